@@ -32,7 +32,7 @@ from snapflow.operators.joins import small_enough
 
 
 def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "auto",
-              buckets: int = 64, broadcast_max_groups: int = 100_000) -> DataFrame:
+              buckets: int = 32, broadcast_max_groups: int = 100_000) -> DataFrame:
     if strategy == "auto":
         strategy = "split"
     if strategy == "window":
@@ -47,26 +47,29 @@ def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "
 
 
 def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 64,
-               broadcast_max_groups: int = 100_000) -> DataFrame:
+               broadcast_max_groups: int = 100_000, accuracy: int = 500) -> DataFrame:
     """``(group, value, out)``: the rank of every distinct ``(group, value)``."""
     h = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
     pcts = [i / buckets for i in range(1, buckets)]
     bounds = (h.where(F.col(value).isNotNull()).groupBy(group)
-               .agg(F.percentile_approx(value, pcts).alias("__bounds")))
+               .agg(F.percentile_approx(value, pcts, accuracy).alias("__bounds")))
     if small_enough(bounds, broadcast_max_groups):
         bounds = F.broadcast(bounds)
-    hb = h.join(bounds, group, "left").withColumn(
+    bounds = bounds.select(F.col(group).alias("__bg"), "__bounds")
+    hb = h.join(bounds, F.col(group).eqNullSafe(F.col("__bg")), "left").withColumn(
         "__b",
         F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
             F.coalesce(F.size(F.filter("__bounds", lambda x: x > F.col(value))), F.lit(0))),
-    ).drop("__bounds")
+    ).drop("__bounds", "__bg")
     g = hb.groupBy(group, "__b").agg(F.sum("__n").alias("__bn"))
     before_bucket = F.sum("__bn").over(
         Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-    g = g.select(group, "__b", F.coalesce(before_bucket, F.lit(0)).alias("__off"))
+    g = g.select(F.col(group).alias("__gg"), F.col("__b").alias("__gb"),
+                 F.coalesce(before_bucket, F.lit(0)).alias("__off"))
     before_in_bucket = F.sum("__n").over(
         Window.partitionBy(group, "__b").orderBy(F.col(value).desc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, -1))
     local = hb.select(group, "__b", value, F.coalesce(before_in_bucket, F.lit(0)).alias("__cum"))
-    return (local.join(g, [group, "__b"])
+    cond = F.col(group).eqNullSafe(F.col("__gg")) & (F.col("__b") == F.col("__gb"))
+    return (local.join(g, cond)
                  .select(group, value, (F.lit(1) + F.col("__off") + F.col("__cum")).cast("bigint").alias(out)))

@@ -114,7 +114,7 @@ def q_land_valid(spark, sf):
              .when(eid % 23 == 0, F.lit(None).cast("string"))            # no document
              .when(eid % 29 == 0, F.lit("[1, 2]"))                        # not an object
              .otherwise(F.col("raw_data")))
-    landed = prepare_landing(raw.withColumn("doc", doc), "repo_name", "doc", NOW)
+    landed = prepare_landing(raw.withColumn("doc", doc), "repo_name", "doc", NOW, as_variant=True)
     return extract(landed, "raw_data", {"language": ("language", "string"), "full_name": ("full_name", "string")},
                    keep=["extracted_at", "repo_name"])
 

@@ -27,28 +27,29 @@ def read_raw(spark: SparkSession, source: str, key: str, doc_col: str = "raw_dat
     return df.select(F.col(ts_col).alias("extracted_at"), F.col(key), F.col(doc_col).alias("raw_data"))
 
 
-def _is_loadable(doc: Column) -> Column:
-    """Document is a non-empty JSON object (what the fetchers would have kept)."""
-    text = F.trim(doc)
-    return (
-        doc.isNotNull()
-        & F.try_parse_json(doc).isNotNull()
-        & text.startswith("{")
-        & ~text.rlike(r"^\{\s*\}$")
-    )
+def _is_loadable(v: Column) -> Column:
+    """The parsed document is a non-empty JSON object (what the fetchers would have kept).
+
+    Tested on the VARIANT only (``try_parse_json`` result): NULL for missing or invalid
+    text, NULL for a non-object when read as a map, and size 0 for ``{}``. The text is
+    then referenced once by the filter, however Catalyst inlines it.
+    """
+    return F.size(F.try_variant_get(v, "$", "map<string,variant>")) > 0
 
 
 def prepare_landing(df: DataFrame, key: str, doc_col: str, loaded_at, as_variant: bool = False) -> DataFrame:
     """Drop empty and non-JSON documents, stamp the load time; others still load.
 
     ``loaded_at`` is a literal timestamp (one value for the whole batch) or a Column.
+    ``as_variant`` keeps the parsed VARIANT instead of the text (saves a re-parse when
+    the rows are used straight away rather than written).
     """
     ts = ts_literal(loaded_at)
-    doc = F.col(doc_col)
-    out = df.where(_is_loadable(doc)).select(
-        ts.cast("timestamp_ntz").alias("extracted_at"),
+    parsed = F.try_parse_json(F.col(doc_col))
+    out = df.where(_is_loadable(parsed)).select(
+        ts.alias("extracted_at"),
         F.col(key).cast("string").alias(key),
-        (F.parse_json(doc) if as_variant else doc.cast("string")).alias("raw_data"),
+        (parsed if as_variant else F.col(doc_col).cast("string")).alias("raw_data"),
     )
     return out
 
