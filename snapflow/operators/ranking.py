@@ -59,7 +59,8 @@ def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 6
     hb = h.join(bounds, F.col(group).eqNullSafe(F.col("__bg")), "left").withColumn(
         "__b",
         F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
-            F.coalesce(F.size(F.filter("__bounds", lambda x: x > F.col(value))), F.lit(0))),
+            F.when(F.col("__bounds").isNull(), F.lit(0))
+             .otherwise(F.size(F.filter("__bounds", lambda x: x > F.col(value))))),
     ).drop("__bounds", "__bg")
     g = hb.groupBy(group, "__b").agg(F.sum("__n").alias("__bn"))
     before_bucket = F.sum("__bn").over(

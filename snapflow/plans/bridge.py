@@ -168,3 +168,103 @@ def snapshot_metrics(snap: DataFrame) -> DataFrame:
         "snapshot_date",
         F.col("snapshot_date").cast("timestamp_ntz").alias("last_updated_at"),
     )
+
+
+ISO_FRAC_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
+
+
+def repo_responses(events: DataFrame) -> DataFrame:
+    """Landed API responses ``(entity, endpoint, status, body)``: main, contributors, releases per user.
+
+    Fixed values: entity ``'r' || user_id``; main 404 when ``user_id % 13 = 5`` and not JSON
+    (but OK) when ``% 17 = 3``; contributors 500 when ``% 7 = 3``; releases 403 when
+    ``% 11 = 4`` and ``{}`` when ``% 19 = 7``; ``forks_count`` absent when ``% 4 = 1``;
+    ``topics`` absent when ``% 6 = 5``; license ``MIT`` when ``% 3 = 0``. Lists are per event
+    type, so each body is bounded by the number of event types, and both aggregations
+    combine map-side.
+    """
+    u = F.col("user_id")
+    ent = F.concat(F.lit("r"), u.cast("string"))
+    per_user = events.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("event_type") == "click").alias("clicks"),
+        F.count_if(F.col("event_type") == "error").alias("errors"),
+        F.sum(F.floor("value")).alias("size"),
+        F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"),
+        F.sort_array(F.collect_set("event_type")).alias("types"))
+    main_body = F.to_json(F.struct(
+        F.concat(F.lit("u"), u.cast("string")).alias("full_name"),
+        F.element_at("types", 1).alias("language"),
+        F.col("n").alias("stargazers_count"),
+        F.when(u % 4 != 1, F.col("clicks")).alias("forks_count"),
+        F.col("n").alias("watchers_count"),
+        F.col("errors").alias("open_issues_count"),
+        F.col("size").alias("size"),
+        F.date_format("first_ts", ISO_Z).alias("created_at"),
+        F.date_format("last_ts", ISO_Z).alias("updated_at"),
+        F.date_format("last_ts", ISO_Z).alias("pushed_at"),
+        F.lit("main").alias("default_branch"),
+        F.when(u % 6 != 5, F.col("types")).alias("topics"),
+        F.when(u % 3 == 0, F.struct(F.lit("mit").alias("key"), F.lit("MIT").alias("name"))).alias("license"),
+    ))
+    main = per_user.select(ent.alias("entity"), F.lit("main").alias("endpoint"),
+                           F.when(u % 13 == 5, 404).otherwise(200).alias("status"),
+                           F.when(u % 17 == 3, F.lit("<html>busy</html>")).otherwise(main_body).alias("body"))
+    contrib = per_user.select(ent.alias("entity"), F.lit("contributors").alias("endpoint"),
+                              F.when(u % 7 == 3, 500).otherwise(200).alias("status"),
+                              F.to_json(F.transform("types", lambda t: F.struct(t.alias("login")))).alias("body"))
+    per_type = events.groupBy("user_id", "event_type").agg(F.max("ts").alias("ts"))
+    rel = per_type.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(
+        F.date_format("ts", ISO_FRAC_Z).alias("published_at"), F.col("event_type").alias("tag_name"))),
+        asc=False).alias("rels"))
+    releases = rel.select(ent.alias("entity"), F.lit("releases").alias("endpoint"),
+                          F.when(u % 11 == 4, 403).otherwise(200).alias("status"),
+                          F.when(u % 19 == 7, F.lit("{}")).otherwise(F.to_json("rels")).alias("body"))
+    return main.unionByName(contrib).unionByName(releases)
+
+
+def package_responses(orders: DataFrame) -> DataFrame:
+    """Landed API responses: metadata and recent download statistics per customer.
+
+    Fixed values: entity ``'p' || o_custkey``; metadata 500 when ``o_custkey % 13 = 7``;
+    versions are order statuses with one file each (upload time = last order date of that
+    status, size = its order count), the current version is the status of the latest
+    order, ``'X'`` (not listed) when ``% 9 = 2``, file lists empty when ``% 9 = 5``;
+    classifiers absent when ``% 5 = 0``; statistics 429 when ``% 8 = 1``, ``last_week``
+    absent when ``% 8 = 6``; day/week/month = order count, ``sum(floor(price / 1000))``,
+    ``sum(floor(price))``.
+    """
+    c = F.col("o_custkey")
+    ent = F.concat(F.lit("p"), c.cast("string"))
+    per_status = orders.groupBy("o_custkey", "o_orderstatus").agg(
+        F.max("o_orderdate").alias("last"), F.count(F.lit(1)).alias("cnt"))
+    files = F.when(c % 9 == 5, F.array().cast(
+        "array<struct<upload_time:string,python_version:string,size:bigint,filename:string>>")).otherwise(
+        F.array(F.struct(F.date_format("last", ISO_LOCAL).alias("upload_time"), F.lit("py3").alias("python_version"),
+                         F.col("cnt").alias("size"),
+                         F.concat(F.lit("pkg-"), F.col("o_orderstatus"), F.lit(".whl")).alias("filename"))))
+    rel = per_status.groupBy("o_custkey").agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("o_orderstatus"), files))).alias("releases"))
+    per_cust = orders.groupBy("o_custkey").agg(
+        F.count(F.lit(1)).alias("n"), F.max("o_orderpriority").alias("pri"),
+        F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("latest_status"),
+        F.sum(F.floor(F.col("o_totalprice") / 1000)).alias("week"),
+        F.sum(F.floor("o_totalprice")).alias("month"))
+    j = per_cust.join(rel, "o_custkey")
+    info = F.struct(
+        F.when(c % 9 == 2, F.lit("X")).otherwise(F.col("latest_status")).alias("version"),
+        F.col("pri").alias("summary"),
+        F.concat(F.lit("c"), c.cast("string")).alias("author"),
+        F.lit(">=3.8").alias("requires_python"),
+        F.when(c % 5 != 0, F.array("pri")).alias("classifiers"),
+    )
+    meta = j.select(ent.alias("entity"), F.lit("metadata").alias("endpoint"),
+                    F.when(c % 13 == 7, 500).otherwise(200).alias("status"),
+                    F.to_json(F.struct(info.alias("info"), F.col("releases"))).alias("body"))
+    recent = per_cust.select(ent.alias("entity"), F.lit("recent").alias("endpoint"),
+                             F.when(c % 8 == 1, 429).otherwise(200).alias("status"),
+                             F.to_json(F.struct(F.struct(
+                                 F.col("n").alias("last_day"),
+                                 F.when(c % 8 != 6, F.col("week")).alias("last_week"),
+                                 F.col("month").alias("last_month")).alias("data"))).alias("body"))
+    return meta.unionByName(recent)

@@ -251,6 +251,50 @@ SELECT {_NOW} AS extracted_at, 'R' || CAST(user_id AS VARCHAR) AS repo_name, eve
 FROM events
 WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0""",
 
+    "flatten_repo": """WITH u AS (
+  SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'click') AS clicks,
+    count(*) FILTER (WHERE event_type = 'error') AS errors, CAST(sum(floor(value)) AS BIGINT) AS size,
+    min(ts) AS first_ts, max(ts) AS last_ts, list_sort(list(DISTINCT event_type)) AS types,
+    count(DISTINCT event_type) AS ntypes, arg_max(event_type, ts) AS last_type
+  FROM events GROUP BY user_id)
+SELECT 'r' || CAST(user_id AS VARCHAR) AS repo_name, 'u' || CAST(user_id AS VARCHAR) AS full_name,
+  types[1] AS language, n AS stars, CAST(CASE WHEN user_id % 4 = 1 THEN 0 ELSE clicks END AS BIGINT) AS forks,
+  n AS watchers, errors AS open_issues, size,
+  date_trunc('second', first_ts) AS created_at, date_trunc('second', last_ts) AS updated_at,
+  CAST(CASE WHEN user_id % 7 = 3 THEN 0 ELSE ntypes END AS BIGINT) AS contributors_count,
+  CAST(CASE WHEN user_id % 11 = 4 OR user_id % 19 = 7 THEN 0 ELSE ntypes END AS BIGINT) AS releases_count,
+  CASE WHEN user_id % 11 = 4 OR user_id % 19 = 7 THEN NULL ELSE last_type END AS latest_release_tag,
+  CASE WHEN user_id % 11 = 4 OR user_id % 19 = 7 THEN NULL ELSE last_ts END AS latest_release_published_at,
+  CASE WHEN user_id % 6 = 5 THEN '[]' ELSE CAST(to_json(types) AS VARCHAR) END AS topics,
+  CASE WHEN user_id % 3 = 0 THEN 'MIT' END AS license
+FROM u
+WHERE user_id % 13 <> 5 AND user_id % 17 <> 3""",
+
+    "flatten_package": """WITH c AS (
+  SELECT o_custkey, count(*) AS n, max(o_orderpriority) AS pri,
+    first(o_orderstatus ORDER BY o_orderdate DESC, o_orderkey DESC) AS latest_status,
+    CAST(sum(floor(o_totalprice / 1000)) AS BIGINT) AS week, CAST(sum(floor(o_totalprice)) AS BIGINT) AS month,
+    count(DISTINCT o_orderstatus) AS nver
+  FROM orders GROUP BY o_custkey),
+st AS (
+  SELECT o_custkey, o_orderstatus, max(o_orderdate) AS last, count(*) AS cnt FROM orders GROUP BY 1, 2),
+v AS (
+  SELECT c.*, CASE WHEN o_custkey % 9 = 2 THEN 'X' ELSE latest_status END AS version FROM c)
+SELECT 'p' || CAST(v.o_custkey AS VARCHAR) AS package_name, v.version, v.pri AS summary,
+  CAST(v.nver AS BIGINT) AS release_count,
+  CASE WHEN v.o_custkey % 9 = 5 THEN NULL ELSE st.last END AS upload_time,
+  CASE WHEN v.o_custkey % 9 = 5 OR st.o_orderstatus IS NULL THEN NULL ELSE 'py3' END AS python_version,
+  CASE WHEN v.o_custkey % 9 = 5 THEN NULL ELSE st.cnt END AS file_size,
+  CASE WHEN v.o_custkey % 9 = 5 OR st.o_orderstatus IS NULL THEN NULL ELSE 'pkg-' || st.o_orderstatus || '.whl' END
+    AS filename,
+  CASE WHEN v.o_custkey % 8 = 1 THEN NULL ELSE v.n END AS downloads_last_day,
+  CAST(CASE WHEN v.o_custkey % 8 = 1 THEN NULL WHEN v.o_custkey % 8 = 6 THEN 0 ELSE v.week END AS BIGINT)
+    AS downloads_last_week,
+  CASE WHEN v.o_custkey % 8 = 1 THEN NULL ELSE v.month END AS downloads_last_month,
+  CASE WHEN v.o_custkey % 5 = 0 THEN '[]' ELSE '["' || v.pri || '"]' END AS classifiers
+FROM v LEFT JOIN st ON st.o_custkey = v.o_custkey AND st.o_orderstatus = v.version
+WHERE v.o_custkey % 13 <> 7""",
+
     "fresh_counts": f"""
 SELECT 'github_repos' AS source, count(*) AS n_rows FROM events
   WHERE ts >= TIMESTAMP '{FRESH_DAY} 00:00:00' AND ts < TIMESTAMP '{FRESH_DAY + dt.timedelta(days=1)} 00:00:00'

@@ -27,6 +27,7 @@ from snapflow.plans import bridge as B
 from snapflow.session import scratch_path
 from snapflow.sources.freshness import fresh_counts
 from snapflow.sources.raw import prepare_landing
+from snapflow.sources.responses import flatten_package, flatten_repo
 
 # Fixed values used by the queries and their oracles.
 AS_OF = dt.date(2001, 11, 4)          # last ship date in the test data
@@ -119,6 +120,38 @@ def q_land_valid(spark, sf):
                    keep=["extracted_at", "repo_name"])
 
 
+def q_flatten_repo(spark, sf):
+    docs = flatten_repo(B.repo_responses(B.table(spark, sf, "events")), loaded_at=NOW)
+    out = extract(docs, "raw_data", {
+        "full_name": ("full_name", "string"), "language": ("language", "string"),
+        "stars": ("stars", "bigint"), "forks": ("forks", "bigint"), "watchers": ("watchers", "bigint"),
+        "open_issues": ("open_issues", "bigint"), "size": ("size", "bigint"),
+        "created_at": ("created_at", "timestamp"), "updated_at": ("updated_at", "timestamp"),
+        "contributors_count": ("contributors_count", "bigint"), "releases_count": ("releases_count", "bigint"),
+        "latest_release_tag": ("latest_release.tag_name", "string"),
+        "latest_release_published_at": ("latest_release.published_at", "timestamp"),
+        "topics": ("topics", "variant"), "license": ("license", "string"),
+    }, keep=["repo_name"])
+    return variant_to_json(out, ["topics"])
+
+
+def q_flatten_package(spark, sf):
+    docs = flatten_package(B.package_responses(B.table(spark, sf, "orders")), loaded_at=NOW)
+    out = extract(docs, "raw_data", {
+        "version": ("version", "string"), "summary": ("summary", "string"),
+        "release_count": ("release_count", "bigint"),
+        "upload_time": ("latest_release_info.upload_time", "timestamp"),
+        "python_version": ("latest_release_info.python_version", "string"),
+        "file_size": ("latest_release_info.size", "bigint"),
+        "filename": ("latest_release_info.filename", "string"),
+        "downloads_last_day": ("downloads_last_day", "bigint"),
+        "downloads_last_week": ("downloads_last_week", "bigint"),
+        "downloads_last_month": ("downloads_last_month", "bigint"),
+        "classifiers": ("classifiers", "variant"),
+    }, keep=["package_name"])
+    return variant_to_json(out, ["classifiers"])
+
+
 def q_fresh_counts(spark, sf):
     return fresh_counts({"github_repos": _raw_repos(spark, sf), "pypi_packages": _raw_packages(spark, sf)},
                         FRESH_DAY)
@@ -328,6 +361,8 @@ QUERIES = {
     "stage_repos": q_stage_repos,
     "stage_packages": q_stage_packages,
     "land_valid": q_land_valid,
+    "flatten_repo": q_flatten_repo,
+    "flatten_package": q_flatten_package,
     "fresh_counts": q_fresh_counts,
     "latest_repo": q_latest_repo,
     "latest_package": q_latest_package,

@@ -34,7 +34,8 @@ def _is_loadable(v: Column) -> Column:
     text, NULL for a non-object when read as a map, and size 0 for ``{}``. The text is
     then referenced once by the filter, however Catalyst inlines it.
     """
-    return F.size(F.try_variant_get(v, "$", "map<string,variant>")) > 0
+    m = F.try_variant_get(v, "$", "map<string,variant>")
+    return m.isNotNull() & (F.size(m) > 0)
 
 
 def prepare_landing(df: DataFrame, key: str, doc_col: str, loaded_at, as_variant: bool = False) -> DataFrame:
