@@ -431,6 +431,7 @@ GROUP BY popularity_tier""",
 }
 
 ORACLE_SQL["daily_rank_window"] = ORACLE_SQL["daily_rank"]
+ORACLE_SQL["stream_latest_repo"] = ORACLE_SQL["latest_repo"]
 
 
 def _nn(model: str, rel: str, col: str) -> str:

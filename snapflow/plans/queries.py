@@ -34,6 +34,7 @@ AS_OF = dt.date(2001, 11, 4)          # last ship date in the test data
 NOW = dt.datetime(2024, 2, 1, 0, 0, 0)
 FRESH_DAY = dt.date(2024, 1, 15)
 DAILY_AS_OF = dt.date(2024, 1, 30)
+STREAM_CUT = "2024-01-16 00:00:00"
 PACKAGES_LOADED_AT = dt.datetime(2024, 1, 30, 12, 0, 0)
 
 
@@ -167,6 +168,21 @@ def q_latest_package(spark, sf):
     return s.select("package_name", "extracted_at", "version", "downloads_last_day", "downloads_last_month")
 
 
+def q_stream_latest_repo(spark, sf):
+    """Latest staged repo per key, maintained by a streaming aggregation over two landings."""
+    from snapflow.streaming.latest import read_latest, stream_latest
+    root = scratch_path(spark, "stream_latest")
+    landing, out, ckpt = f"{root}/landing", f"{root}/latest", f"{root}/_checkpoint"
+    raw = _raw_repos(spark, sf)
+    cut = F.col("extracted_at") < F.lit(STREAM_CUT).cast("timestamp_ntz")
+    for part in (raw.where(cut), raw.where(~cut)):        # two days of landings, one run after each
+        part.write.mode("append").parquet(landing)
+        q = stream_latest(spark, landing, "repo_name", out, ckpt, stage_repos, tiebreak=["full_name"])
+        q.awaitTermination()
+    s = read_latest(spark, out, "repo_name", tiebreak=["full_name"])
+    return s.select("repo_name", "extracted_at", "full_name", "stars", "forks", "contributors_count")
+
+
 def q_dimension(spark, sf):
     return variant_to_json(_dimension(spark, sf), ["topics"])
 
@@ -366,6 +382,7 @@ QUERIES = {
     "fresh_counts": q_fresh_counts,
     "latest_repo": q_latest_repo,
     "latest_package": q_latest_package,
+    "stream_latest_repo": q_stream_latest_repo,
     "dimension": q_dimension,
     "metrics": q_metrics,
     "ratios": q_ratios,
