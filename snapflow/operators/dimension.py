@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import build_time, greatest_strict
@@ -20,6 +20,16 @@ DIMENSION_COLUMNS = [
 ]
 
 
+def _key_match(left: Column, right: Column) -> Column:
+    """``left = right`` for a left join, written so it implies no ``isnotnull(right)``.
+
+    Same matches as plain equality (a NULL mapping key matches nothing), but Catalyst
+    infers no not-null filter on the right side, which it would otherwise push through
+    the latest-row window into the scan and so parse every document a second time.
+    """
+    return left.isNotNull() & left.eqNullSafe(right)
+
+
 def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, now=None,
                     repo_tiebreak: Sequence[str] = (), package_tiebreak: Sequence[str] = (),
                     reduce_max_keys: int = 1_000_000) -> DataFrame:
@@ -36,8 +46,8 @@ def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, n
     gh = latest_per_key(gh, "repo_name", "extracted_at", repo_tiebreak).alias("gh")
     py = latest_per_key(py, "package_name", "extracted_at", package_tiebreak).alias("py")
     tm = mapping.select("technology_name", "github_repo", "pypi_package").alias("tm")
-    j = (tm.join(gh, F.col("tm.github_repo") == F.col("gh.repo_name"), "left")
-           .join(py, F.col("tm.pypi_package") == F.col("py.package_name"), "left"))
+    j = (tm.join(gh, _key_match(F.col("tm.github_repo"), F.col("gh.repo_name")), "left")
+           .join(py, _key_match(F.col("tm.pypi_package"), F.col("py.package_name")), "left"))
     built = build_time(now)
     return j.select(
         F.col("tm.technology_name").alias("technology_name"),

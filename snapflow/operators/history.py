@@ -19,6 +19,7 @@ from pyspark.sql.utils import AnalysisException
 
 from snapflow.functions.scalars import build_time, delta
 from snapflow.operators.latest import latest_per_key
+from snapflow.session import reliable_checkpoint
 
 log = logging.getLogger(__name__)
 
@@ -102,7 +103,7 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str]
     being rewritten.
     """
     if checkpoint:
-        rows = rows.checkpoint(eager=True)
+        rows = reliable_checkpoint(rows)
     dups = check_unique_keys(rows, keys)
     if dups.limit(1).count():
         raise ValueError(f"incoming rows repeat a merge key {tuple(keys)}")
@@ -117,7 +118,7 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str]
         (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
             .partitionBy(part).parquet(path))
         return
-    synced = sync_columns(target, rows).checkpoint(eager=True)
+    synced = reliable_checkpoint(sync_columns(target, rows))
     kept = synced.join(rows.select(*keys), list(keys), "left_anti")
     out = _by_partition(kept.unionByName(rows.select(*synced.columns)).select(*cols), part)
     out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(part).parquet(path)

@@ -22,7 +22,10 @@ def semi_reduce(big: DataFrame, big_key: str, keys: DataFrame, key: str, max_row
     only if it has at most ``max_rows`` distinct keys; otherwise ``big`` is returned as is
     and the later join does the filtering.
     """
-    k = keys.select(F.col(key).alias(big_key)).where(F.col(big_key).isNotNull()).distinct()
+    k = keys.select(F.col(key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
     if max_rows and small_enough(k, max_rows):
-        return big.join(F.broadcast(k), big_key, "left_semi")
+        # Null-safe match: same rows as ``=`` here (the key set has no NULL), but it implies
+        # no ``isnotnull(key)`` constraint, so Catalyst does not push a copy of the key's
+        # (JSON-parsing) expression into the scan filter; the document is parsed once.
+        return big.join(F.broadcast(k), F.col(big_key).eqNullSafe(F.col("__k")), "left_semi")
     return big

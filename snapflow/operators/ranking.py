@@ -28,11 +28,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapflow.operators.joins import small_enough
+from snapflow.session import reliable_checkpoint
+
 
 
 def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "auto",
-              buckets: int = 32, broadcast_max_groups: int = 100_000) -> DataFrame:
+              buckets: int = 32, rank_input: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = rank of ``value`` (descending, NULLs first) within ``group``.
+
+    ``rank_input`` (split strategy): a narrower frame holding the same ``(group, value)``
+    rows to rank from, e.g. the source before later windows; defaults to ``df``.
+    """
     if strategy == "auto":
         strategy = "split"
     if strategy == "window":
@@ -40,21 +46,29 @@ def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "
         return df.withColumn(out, F.rank().over(w).cast("bigint"))
     if strategy != "split":
         raise ValueError(f"unknown rank strategy {strategy!r}")
-    r = rank_table(df, group, value, out, buckets, broadcast_max_groups).select(
+    src = df if rank_input is None else rank_input
+    r = rank_table(src.select(group, value), group, value, out, buckets).select(
         F.col(group).alias("__rg"), F.col(value).alias("__rv"), out)
     cond = F.col(group).eqNullSafe(F.col("__rg")) & F.col(value).eqNullSafe(F.col("__rv"))
     return df.join(r, cond, "left").drop("__rg", "__rv")
 
 
-def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 64,
-               broadcast_max_groups: int = 100_000, accuracy: int = 500) -> DataFrame:
-    """``(group, value, out)``: the rank of every distinct ``(group, value)``."""
+def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 32,
+               accuracy: int = 500, checkpoint: bool = True) -> DataFrame:
+    """``(group, value, out)``: the rank of every distinct ``(group, value)``.
+
+    The pre-aggregate ``H`` feeds three branches (bucket bounds, bucket offsets, in-bucket
+    running counts), so it is checkpointed once to the shared checkpoint folder rather
+    than recomputed from the source by each branch. The bounds table (one row per group)
+    is left to adaptive execution, which broadcasts it when its measured size is under
+    the broadcast threshold and shuffles otherwise.
+    """
     h = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    if checkpoint:
+        h = reliable_checkpoint(h)
     pcts = [i / buckets for i in range(1, buckets)]
     bounds = (h.where(F.col(value).isNotNull()).groupBy(group)
                .agg(F.percentile_approx(value, pcts, accuracy).alias("__bounds")))
-    if small_enough(bounds, broadcast_max_groups):
-        bounds = F.broadcast(bounds)
     bounds = bounds.select(F.col(group).alias("__bg"), "__bounds")
     hb = h.join(bounds, F.col(group).eqNullSafe(F.col("__bg")), "left").withColumn(
         "__b",

@@ -70,7 +70,16 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
         "stars_30days_ago": ("github_stars", 30),
         "downloads_7days_ago": ("pypi_downloads_daily", 7),
     })
-    t = rank_desc(t, "snapshot_date", "github_stars", "daily_popularity_rank", strategy=rank_strategy)
+    if days is not None:
+        # Retention is applied after the look-back windows (they need older rows), but the
+        # daily rank partitions by date, so it only ever needs the retained days: rank from
+        # the filtered source, where the date filter can reach the scan.
+        t = retain_days(t, "snapshot_date", as_of, days)
+        rank_src = retain_days(base, "snapshot_date", as_of, days)
+    else:
+        rank_src = base
+    t = rank_desc(t, "snapshot_date", "github_stars", "daily_popularity_rank", strategy=rank_strategy,
+                  rank_input=rank_src)
     t = t.select(
         "technology_name", "snapshot_date", "github_stars", "github_forks", "pypi_downloads_daily",
         "stars_7day_avg", "downloads_7day_avg", "stars_30day_avg",
@@ -81,6 +90,4 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
         trend_indicator("github_stars", "stars_7day_avg").alias("stars_trend_indicator"),
         trend_indicator("pypi_downloads_daily", "downloads_7day_avg").alias("downloads_trend_indicator"),
     )
-    if days is not None:
-        t = retain_days(t, "snapshot_date", as_of, days)
     return t

@@ -68,3 +68,9 @@ def storage_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the storage root (never a machine-local folder on a cluster)."""
     return f"{storage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def reliable_checkpoint(df, eager: bool = True):
+    """``df.checkpoint()`` into the shared checkpoint folder (set from the session first)."""
+    storage_root(df.sparkSession)
+    return df.checkpoint(eager=eager)
