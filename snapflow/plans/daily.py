@@ -52,6 +52,26 @@ class RunConfig:
         return self.path("raw_data/pypi_packages")
 
 
+# The ten-row technology mapping the reference ships inline (example data;
+# any mapping DataFrame with the same three columns can be passed instead).
+EXAMPLE_MAPPING = [
+    ("Apache Airflow", "apache/airflow", "apache-airflow"),
+    ("dbt", "dbt-labs/dbt-core", "dbt-core"),
+    ("Apache Spark", "apache/spark", "pyspark"),
+    ("Pandas", "pandas-dev/pandas", "pandas"),
+    ("SQLAlchemy", "sqlalchemy/sqlalchemy", "sqlalchemy"),
+    ("Great Expectations", "great-expectations/great_expectations", "great-expectations"),
+    ("Prefect", "prefecthq/prefect", "prefect"),
+    ("Apache Kafka", "apache/kafka", "kafka-python"),
+    ("Snowflake Connector", "snowflakedb/snowflake-connector-python", "snowflake-connector-python"),
+    ("DuckDB", "duckdb/duckdb", "duckdb"),
+]
+
+
+def example_mapping(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(EXAMPLE_MAPPING, "technology_name string, github_repo string, pypi_package string")
+
+
 def _materialize(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
     write_table(df, path, partition_by)
     return spark.read.parquet(path)
