@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.jsonpaths import coalesce_key, extract, fill_zero
+from snapflow.session import ensure_parallelism
 
 # Field name -> (JSON path, type) of the repository document.
 REPO_FIELDS = {
@@ -74,7 +75,7 @@ PACKAGE_COLUMNS = [
 
 def _stage(raw: DataFrame, key: str, fields: dict, zero: list[str], columns: list[str],
            doc_col: str, on_error: str) -> DataFrame:
-    parsed = extract(raw, doc_col, fields, keep=["extracted_at", key], on_error=on_error)
+    parsed = extract(ensure_parallelism(raw), doc_col, fields, keep=["extracted_at", key], on_error=on_error)
     parsed = parsed.withColumn(key, coalesce_key(f"{key}_parsed", key)).drop(f"{key}_parsed")
     return fill_zero(parsed, zero).select(*columns)
 

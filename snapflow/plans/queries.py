@@ -24,7 +24,7 @@ from snapflow.operators.ranking import rank_desc
 from snapflow.operators.staging import stage_packages, stage_repos, variant_to_json
 from snapflow.operators.trends import build_trends, entity_window, with_lags, with_moving_averages
 from snapflow.plans import bridge as B
-from snapflow.session import scratch_path
+from snapflow.session import reliable_checkpoint, scratch_path
 from snapflow.sources.freshness import fresh_counts
 from snapflow.sources.raw import prepare_landing
 from snapflow.sources.responses import flatten_package, flatten_repo
@@ -116,7 +116,9 @@ def q_land_valid(spark, sf):
              .when(eid % 23 == 0, F.lit(None).cast("string"))            # no document
              .when(eid % 29 == 0, F.lit("[1, 2]"))                        # not an object
              .otherwise(F.col("raw_data")))
-    landed = prepare_landing(raw.withColumn("doc", doc), "repo_name", "doc", NOW, as_variant=True)
+    # the fetched documents exist as stored values before landing: write them once
+    fetched = reliable_checkpoint(raw.select("repo_name", doc.alias("doc")))
+    landed = prepare_landing(fetched, "repo_name", "doc", NOW, as_variant=True)
     return extract(landed, "raw_data", {"language": ("language", "string"), "full_name": ("full_name", "string")},
                    keep=["extracted_at", "repo_name"])
 

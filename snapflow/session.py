@@ -74,3 +74,20 @@ def reliable_checkpoint(df, eager: bool = True):
     """``df.checkpoint()`` into the shared checkpoint folder (set from the session first)."""
     storage_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def ensure_parallelism(df, min_partitions: int | None = None):
+    """Spread ``df`` over at least the cluster's default parallelism before CPU-heavy
+    per-row work (JSON parsing, document building).
+
+    Large inputs already arrive in many splits and are returned unchanged (no shuffle).
+    Inputs with fewer partitions than cores (a small file with one row group) get a
+    round-robin repartition; Spark sorts before round-robin so a retried task sees the
+    same rows (deterministic under executor loss).
+    """
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

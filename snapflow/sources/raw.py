@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import ts_literal
+from snapflow.session import ensure_parallelism
 
 log = logging.getLogger(__name__)
 
@@ -27,30 +28,29 @@ def read_raw(spark: SparkSession, source: str, key: str, doc_col: str = "raw_dat
     return df.select(F.col(ts_col).alias("extracted_at"), F.col(key), F.col(doc_col).alias("raw_data"))
 
 
-def _is_loadable(v: Column) -> Column:
-    """The parsed document is a non-empty JSON object (what the fetchers would have kept).
+def _is_loadable(doc: Column) -> Column:
+    """A non-empty JSON object (what the fetchers would have kept).
 
-    Tested on the VARIANT only (``try_parse_json`` result): NULL for missing or invalid
-    text, NULL for a non-object when read as a map, and size 0 for ``{}``. The text is
-    then referenced once by the filter, however Catalyst inlines it.
+    Valid JSON whose text starts with ``{`` is an object; ``{}`` (any spacing) is empty.
+    The text checks are cheap next to the parse, which runs once here.
     """
-    m = F.try_variant_get(v, "$", "map<string,variant>")
-    return m.isNotNull() & (F.size(m) > 0)
+    text = F.trim(doc)
+    return F.try_parse_json(doc).isNotNull() & text.startswith("{") & ~text.rlike(r"^\{\s*\}$")
 
 
 def prepare_landing(df: DataFrame, key: str, doc_col: str, loaded_at, as_variant: bool = False) -> DataFrame:
     """Drop empty and non-JSON documents, stamp the load time; others still load.
 
     ``loaded_at`` is a literal timestamp (one value for the whole batch) or a Column.
-    ``as_variant`` keeps the parsed VARIANT instead of the text (saves a re-parse when
-    the rows are used straight away rather than written).
+    ``as_variant`` returns the parsed VARIANT instead of the text (for immediate use;
+    landing tables store the text).
     """
     ts = ts_literal(loaded_at)
-    parsed = F.try_parse_json(F.col(doc_col))
-    out = df.where(_is_loadable(parsed)).select(
+    doc = F.col(doc_col)
+    out = ensure_parallelism(df).where(_is_loadable(doc)).select(
         ts.alias("extracted_at"),
         F.col(key).cast("string").alias(key),
-        (parsed if as_variant else F.col(doc_col).cast("string")).alias("raw_data"),
+        (F.parse_json(doc) if as_variant else doc.cast("string")).alias("raw_data"),
     )
     return out
 
@@ -74,6 +74,9 @@ def land_raw(df: DataFrame, key: str, doc_col: str, target: str, loaded_at,
     from an ``Observation`` on the same job (no second pass). An empty batch is a no-op
     with a warning.
     """
+    if df.isEmpty():                       # a limit-1 probe, not a count
+        log.warning("nothing to load into %s (empty batch)", target)
+        return LandResult(0, 0)
     obs_in = Observation("fetched")
     counted = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
     obs_out = Observation("loaded")

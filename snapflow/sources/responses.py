@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import ts_literal
+from snapflow.session import ensure_parallelism
 
 _OK = 200
 _JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
@@ -46,7 +47,7 @@ def _iso(loaded_at) -> Column:
 
 
 def _digest(responses: DataFrame, entity: str, endpoint: str, status: str, body: str) -> DataFrame:
-    return responses.select(
+    return ensure_parallelism(responses).select(
         F.col(entity).cast("string").alias("__e"), F.col(endpoint).alias("__ep"),
         (F.col(status) == _OK).alias("__ok"), F.col(body).alias("__body"),
         F.try_parse_json(F.col(body)).alias("__v"))
