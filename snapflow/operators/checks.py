@@ -1,9 +1,8 @@
 """Data checks.
 
 Each check is a distributed aggregate; a suite returns a small report DataFrame
-``(model, check, column, failures)`` with one row per check. All not-null checks of
-one table share a single scan (one ``agg`` of conditional counts); grouped checks
-(unique, accepted values) pre-aggregate map-side before their shuffle.
+``(model, check, column, failures)`` with one row per check. All checks of one table
+share a single scan and a single shuffle, pre-aggregated map-side.
 """
 
 from __future__ import annotations
@@ -61,43 +60,53 @@ def check_accepted(df: DataFrame, col: str, values: Iterable) -> DataFrame:
               .agg(F.count(F.lit(1)).alias("n_records")))
 
 
-def _one(model: str, check: str, column: str, failures) -> DataFrame:
-    return failures.select(F.lit(model).alias("model"), F.lit(check).alias("check"),
-                           F.lit(column).alias("column"), F.col("failures").cast("bigint").alias("failures"))
+def _table_report(model: str, df: DataFrame, cs: Sequence[Check]) -> DataFrame:
+    """Failures of every check on one table from a single scan and a single shuffle.
+
+    Each row emits one small item ``(check id, value)`` per check it fails or feeds: a
+    NULL for not-null, the value for unique, an unaccepted value for accepted-values.
+    Items are counted per ``(id, value)`` with partial aggregation before the shuffle,
+    then reduced per check: rows (not-null), values seen twice or more (unique),
+    distinct values (accepted-values).
+    """
+    items = []
+    for i, c in enumerate(cs):
+        col = F.col(c.column)
+        if c.check == "not_null":
+            cond, val = col.isNull(), F.lit(None).cast("string")
+        elif c.check == "unique":
+            cond, val = col.isNotNull(), col.cast("string")
+        elif c.check == "accepted_values":
+            cond, val = col.isNotNull() & ~col.isin(list(c.values)), col.cast("string")
+        else:
+            raise ValueError(f"unknown check {c.check!r}")
+        items.append(F.when(cond, F.struct(F.lit(i).alias("id"), val.alias("v"))))
+    e = df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x")).select("x.id", "x.v")
+    per_value = e.groupBy("id", "v").agg(F.count(F.lit(1)).alias("n"))
+    per_check = per_value.groupBy("id").agg(
+        F.sum("n").alias("rows"), F.count_if(F.col("n") > 1).alias("repeated"), F.count(F.lit(1)).alias("values"))
+    meta = df.sparkSession.createDataFrame(
+        [(i, model, c.check, c.column) for i, c in enumerate(cs)], "id int, model string, check string, column string")
+    failures = (F.when(F.col("check") == "not_null", F.col("rows"))
+                 .when(F.col("check") == "unique", F.col("repeated"))
+                 .otherwise(F.col("values")))
+    return (meta.join(per_check, "id", "left")
+                .select("model", "check", "column", F.coalesce(failures, F.lit(0)).cast("bigint").alias("failures")))
 
 
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = DEFAULT_CHECKS) -> DataFrame:
     """Report ``(model, check, column, failures)`` for every check whose model is given.
 
     Failures: NULL rows (not_null), repeated values (unique), distinct unaccepted
-    values (accepted_values).
+    values (accepted_values). Each table is read once for all of its checks.
     """
-    parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
         if c.model in tables:
             by_model.setdefault(c.model, []).append(c)
-    for model, cs in by_model.items():
-        df = tables[model]
-        nn = [c for c in cs if c.check == "not_null"]
-        if nn:
-            agg = df.agg(*[F.count_if(F.col(c.column).isNull()).alias(f"__nn{i}") for i, c in enumerate(nn)])
-            stack = ", ".join(f"'{c.column}', __nn{i}" for i, c in enumerate(nn))
-            parts.append(agg.selectExpr(f"stack({len(nn)}, {stack}) as (column, failures)").select(
-                F.lit(model).alias("model"), F.lit("not_null").alias("check"), "column",
-                F.col("failures").cast("bigint").alias("failures")))
-        for c in cs:
-            if c.check == "unique":
-                f = check_unique(df, c.column).agg(F.count(F.lit(1)).alias("failures"))
-            elif c.check == "accepted_values":
-                f = check_accepted(df, c.column, c.values).agg(F.count(F.lit(1)).alias("failures"))
-            elif c.check == "not_null":
-                continue
-            else:
-                raise ValueError(f"unknown check {c.check!r}")
-            parts.append(_one(model, c.check, c.column, f))
-    if not parts:
+    if not by_model:
         raise ValueError("no checks apply to the given tables")
+    parts = [_table_report(m, tables[m], cs) for m, cs in by_model.items()]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

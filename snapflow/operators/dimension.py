@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import build_time, greatest_strict
-from snapflow.operators.joins import semi_reduce
+from snapflow.operators.joins import semi_reduce, small_enough
 from snapflow.operators.latest import latest_per_key
 
 DIMENSION_COLUMNS = [
@@ -41,8 +41,9 @@ def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, n
     against a broadcast of its keys before the latest-row window (fewer rows sorted and
     shuffled); otherwise the left joins do the filtering after a full latest-row pass.
     """
-    gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys)
-    py = semi_reduce(packages, "package_name", mapping, "pypi_package", reduce_max_keys)
+    small = bool(reduce_max_keys) and small_enough(mapping, reduce_max_keys)   # one bounded probe
+    gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys, known_small=small)
+    py = semi_reduce(packages, "package_name", mapping, "pypi_package", reduce_max_keys, known_small=small)
     gh = latest_per_key(gh, "repo_name", "extracted_at", repo_tiebreak).alias("gh")
     py = latest_per_key(py, "package_name", "extracted_at", package_tiebreak).alias("py")
     tm = mapping.select("technology_name", "github_repo", "pypi_package").alias("tm")

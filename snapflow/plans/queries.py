@@ -341,7 +341,7 @@ def q_check_accepted(spark, sf):
 
 
 def q_check_suite(spark, sf):
-    dim = _dimension(spark, sf)
+    dim = reliable_checkpoint(_dimension(spark, sf))     # a mart read by two tables, as in the daily run
     met = build_metrics(dim)
     cur, prior = _split_latest(spark, sf)
     tables = {

@@ -80,6 +80,9 @@ def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread ``df`` over at least the cluster's default parallelism before CPU-heavy
     per-row work (JSON parsing, document building).
 
+    Call it on a source scan: asking a frame that contains a shuffle for its partition
+    count would make adaptive execution run that shuffle stage first.
+
     Large inputs already arrive in many splits and are returned unchanged (no shuffle).
     Inputs with fewer partitions than cores (a small file with one row group) get a
     round-robin repartition; Spark sorts before round-robin so a retried task sees the

@@ -25,6 +25,7 @@ def read_raw(spark: SparkSession, source: str, key: str, doc_col: str = "raw_dat
              ts_col: str = "extracted_at") -> DataFrame:
     """Read a landing table by catalog name or Parquet path; only the three landing columns."""
     df = spark.read.parquet(source) if ("/" in source or source.endswith(".parquet")) else spark.table(source)
+    df = ensure_parallelism(df)     # a plain scan: checking its split count runs nothing
     return df.select(F.col(ts_col).alias("extracted_at"), F.col(key), F.col(doc_col).alias("raw_data"))
 
 
@@ -47,7 +48,7 @@ def prepare_landing(df: DataFrame, key: str, doc_col: str, loaded_at, as_variant
     """
     ts = ts_literal(loaded_at)
     doc = F.col(doc_col)
-    out = ensure_parallelism(df).where(_is_loadable(doc)).select(
+    out = df.where(_is_loadable(doc)).select(
         ts.alias("extracted_at"),
         F.col(key).cast("string").alias(key),
         (F.parse_json(doc) if as_variant else doc.cast("string")).alias("raw_data"),
