@@ -46,20 +46,28 @@ def _built(now):
     return build_time(now)
 
 
+def latest_rows(history: DataFrame, key: str = "technology_name", tiebreak: Sequence[str] = ()) -> DataFrame:
+    """Newest stored row per entity (``snapshot_date DESC``, NULL dates first), measures only."""
+    cols = [key, "snapshot_date", *DELTAS.values(), *tiebreak]
+    return latest_per_key(history.select(*dict.fromkeys(cols)), key, "snapshot_date", tiebreak)
+
+
 def history_rows(metrics: DataFrame, history: DataFrame | None = None, now=None,
-                 key: str = "technology_name", tiebreak: Sequence[str] = ()) -> DataFrame:
+                 key: str = "technology_name", tiebreak: Sequence[str] = (),
+                 previous: DataFrame | None = None) -> DataFrame:
     """New history rows (28 columns).
 
-    ``history=None`` is the first run: every change is 0. Otherwise the previous row per
-    entity is the newest stored one (``snapshot_date DESC``, NULL dates first, as the
-    warehouse orders), however old; an entity new to history shows its full value as change.
+    ``history=None`` and ``previous=None`` is the first run: every change is 0. Otherwise
+    the previous row per entity is the newest stored one (``snapshot_date DESC``, NULL
+    dates first, as the warehouse orders), however old; an entity new to history shows
+    its full value as change. ``previous`` (one row per entity, e.g. the table kept by
+    ``upsert_with_latest``) replaces the scan of the whole history.
     """
     cur = metrics.select(*_CARRIED)
-    if history is None:
+    if history is None and previous is None:
         changes = {c: F.lit(0).cast("bigint") for c in DELTAS}
         return cur.withColumns(changes).withColumn("history_created_at", _built(now)).select(*HISTORY_COLUMNS)
-    prev_cols = [key, "snapshot_date", *DELTAS.values(), *tiebreak]
-    prev = latest_per_key(history.select(*dict.fromkeys(prev_cols)), key, "snapshot_date", tiebreak)
+    prev = previous if previous is not None else latest_rows(history, key, tiebreak)
     prev = prev.select(F.col(key).alias("__pk"), *[F.col(m).alias(f"__p_{m}") for m in DELTAS.values()])
     j = cur.join(prev, cur[key] == prev["__pk"], "left")
     changes = {c: delta(F.col(m), F.col(f"__p_{m}")) for c, m in DELTAS.items()}
@@ -141,6 +149,34 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None
 
 
+def latest_path(path: str) -> str:
+    return path.rstrip("/") + "_latest"
+
+
+def upsert_with_latest(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
+                       part: str = "snapshot_date", key: str = "technology_name") -> DataFrame:
+    """``upsert`` plus a one-row-per-entity table of each entity's newest stored row.
+
+    The next increment reads that small table (``previous=``) instead of scanning the
+    whole history for every entity's latest row, so a daily run costs O(entities), not
+    O(history). New rows win over stored rows of the same date (the merge replaces them).
+    Returns the new latest table.
+    """
+    rows = reliable_checkpoint(rows)
+    upsert(spark, path, rows, keys, part, checkpoint=False)
+    lp = latest_path(path)
+    old = read_table(spark, lp)
+    if old is None:                       # first use: derive it once from the whole table
+        latest = latest_rows(spark.read.parquet(path), key)
+    else:
+        new = latest_rows(rows, key)
+        both = new.withColumn("__seq", F.lit(1)).unionByName(old.select(*new.columns).withColumn("__seq", F.lit(0)))
+        latest = latest_per_key(both, key, "snapshot_date", ["__seq"]).drop("__seq")
+    latest = reliable_checkpoint(latest)  # cut from the table it replaces before overwriting it
+    latest.write.mode("overwrite").parquet(lp)
+    return spark.read.parquet(lp)
+
+
 def sync_columns(target: DataFrame, rows: DataFrame) -> DataFrame:
     """Make ``target`` carry exactly the columns of ``rows``: new ones as typed NULLs,
     dropped ones removed (``on_schema_change='sync_all_columns'``)."""

@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from snapflow.functions.scalars import growth_pct, retain_days, trend_indicator
+from snapflow.functions.scalars import _as_date, growth_pct, retain_days, trend_indicator
 from snapflow.operators.ranking import rank_desc
 
 TRENDS_COLUMNS = [
@@ -47,6 +47,28 @@ def with_lags(df: DataFrame, w: WindowSpec, specs: dict[str, tuple[str, int]]) -
     return df.withColumns({o: F.lag(F.col(c), k).over(w) for o, (c, k) in specs.items()})
 
 
+# The widest frame (30 rows) and the longest look-back (30 rows back).
+LOOKBACK_ROWS = 30
+
+
+def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Sequence[str]) -> DataFrame:
+    """Retained rows plus, per entity, only the ``rows`` newest rows before the cut.
+
+    Frames and look-backs of retained rows reach at most ``rows`` rows back, so older
+    history cannot change any output row; dropping it before the per-entity shuffle and
+    sort keeps that work proportional to the retention period instead of to the whole
+    history. The cut-off top-N runs as a ``WindowGroupLimit`` (partial top-N per task
+    before the shuffle). Undated rows sort after dated ones and so never precede them.
+    """
+    cut = F.date_sub(_as_date(as_of), days)
+    kept = base.where(F.col("snapshot_date") >= cut)
+    older = base.where(F.col("snapshot_date") < cut)
+    w = Window.partitionBy("technology_name").orderBy(
+        F.col("snapshot_date").desc(), *[F.col(t).desc_nulls_first() for t in tiebreak])
+    older = older.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= rows).drop("__k")
+    return kept.unionByName(older)
+
+
 def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
                  key: str = "technology_name", date_col: str = "snapshot_date",
                  tiebreak: Sequence[str] = (), rank_strategy: str = "auto") -> DataFrame:
@@ -60,7 +82,8 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
         F.col(key).alias("technology_name"), F.col(date_col).alias("snapshot_date"),
         "github_stars", "github_forks", "pypi_downloads_daily", *tiebreak)
     w = entity_window("technology_name", "snapshot_date", tiebreak)
-    t = with_moving_averages(base, w, {
+    src = base if days is None else _bounded_lookback(base, as_of, days, LOOKBACK_ROWS, tiebreak)
+    t = with_moving_averages(src, w, {
         "stars_7day_avg": ("github_stars", 7),
         "downloads_7day_avg": ("pypi_downloads_daily", 7),
         "stars_30day_avg": ("github_stars", 30),
