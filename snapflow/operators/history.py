@@ -83,15 +83,30 @@ def check_unique_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def merge_frame(target: DataFrame, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
-                part: str = "snapshot_date") -> DataFrame:
+                part: str = "snapshot_date", max_dates: int = 100_000) -> DataFrame:
     """Contents of every partition ``rows`` touches after the merge.
 
-    Old rows of the touched dates (null-safe date match, so the NULL-date partition keeps
-    its old rows) minus those whose key the new rows replace (plain equality: a NULL key
-    never matches, as in a SQL MERGE), plus the new rows.
+    Old rows of the touched dates (the NULL-date partition keeps its old rows) minus those
+    whose key the new rows replace (plain equality: a NULL key never matches, as in a SQL
+    MERGE), plus the new rows.
+
+    The touched dates are read back as a literal list when there are at most
+    ``max_dates`` of them (dates are bounded by the calendar; a daily run touches one or
+    a few), so the target scan gets a static partition filter and reads only those
+    partitions. Beyond that the dates are applied as a null-safe semi-join.
     """
-    dates = rows.select(F.col(part).alias("__d")).distinct()
-    touched = target.join(dates, target[part].eqNullSafe(dates["__d"]), "left_semi")
+    found = [r[0] for r in rows.select(part).distinct().limit(max_dates + 1).collect()]
+    if len(found) <= max_dates:
+        dated = [d for d in found if d is not None]
+        cond = F.lit(False)
+        if dated:
+            cond = cond | F.col(part).isin(dated)
+        if len(dated) < len(found):
+            cond = cond | F.col(part).isNull()
+        touched = target.where(cond)
+    else:
+        dates = rows.select(F.col(part).alias("__d")).distinct()
+        touched = target.join(dates, target[part].eqNullSafe(dates["__d"]), "left_semi")
     kept = touched.join(rows.select(*keys), list(keys), "left_anti")
     return kept.unionByName(rows.select(*target.columns))
 
