@@ -33,6 +33,8 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    # local runs: list many small partition folders with a few tasks, not thousands
+    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = "16"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
