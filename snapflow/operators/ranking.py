@@ -54,7 +54,7 @@ def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "
 
 
 def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 32,
-               accuracy: int = 500, checkpoint: bool = True) -> DataFrame:
+               accuracy: int = 500, checkpoint: bool = True, max_values_per_task: int = 1_000_000) -> DataFrame:
     """``(group, value, out)``: the rank of every distinct ``(group, value)``.
 
     The pre-aggregate ``H`` feeds three branches (bucket bounds, bucket offsets, in-bucket
@@ -66,6 +66,14 @@ def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 3
     h = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
     if checkpoint:
         h = reliable_checkpoint(h)
+    # Size check on the (small) pre-aggregate: when no group has more than
+    # ``max_values_per_task`` distinct values, one running count per group over ``H`` is
+    # already bounded per task and the bucketing steps are skipped.
+    widest = h.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    if widest <= max_values_per_task:
+        before = F.sum("__n").over(Window.partitionBy(group).orderBy(F.col(value).desc_nulls_first())
+                                   .rowsBetween(Window.unboundedPreceding, -1))
+        return h.select(group, value, (F.lit(1) + F.coalesce(before, F.lit(0))).cast("bigint").alias(out))
     pcts = [i / buckets for i in range(1, buckets)]
     bounds = (h.where(F.col(value).isNotNull()).groupBy(group)
                .agg(F.percentile_approx(value, pcts, accuracy).alias("__bounds")))
