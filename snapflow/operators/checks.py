@@ -113,6 +113,30 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check] = DEFAUL
     return out
 
 
+def observe_not_null(df: DataFrame, model: str, checks: Sequence[Check]):
+    """Attach the not-null checks of ``model`` to ``df`` as an ``Observation``.
+
+    The counts are gathered while ``df`` is computed for something else (e.g. the
+    dimension build), so a table that is expensive to produce (staging parses every
+    document) is not produced a second time just to be checked. Returns the observed
+    frame, the observation and the checks it covers.
+    """
+    from pyspark.sql import Observation
+    nn = [c for c in checks if c.model == model and c.check == "not_null"]
+    if not nn:
+        return df, None, []
+    obs = Observation(f"checks_{model}")
+    aggs = [F.count_if(F.col(c.column).isNull()).alias(f"c{i}") for i, c in enumerate(nn)]
+    return df.observe(obs, *aggs), obs, nn
+
+
+def observed_report(spark, obs, nn: Sequence[Check]) -> DataFrame:
+    """Report rows for checks gathered by ``observe_not_null`` (after the observed job ran)."""
+    got = obs.get if obs is not None else {}
+    data = [(c.model, c.check, c.column, int(got.get(f"c{i}", 0) or 0)) for i, c in enumerate(nn)]
+    return spark.createDataFrame(data, "model string, check string, column string, failures bigint")
+
+
 def assert_checks(report: DataFrame) -> None:
     """Raise if any check failed. The report has one row per check, so collecting it is bounded."""
     bad = [r for r in report.where(F.col("failures") > 0).collect()]

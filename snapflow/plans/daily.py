@@ -14,7 +14,8 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapflow.operators.checks import DEFAULT_CHECKS, assert_checks, run_checks
+from snapflow.operators.checks import (DEFAULT_CHECKS, assert_checks, observe_not_null, observed_report,
+                                       run_checks)
 from snapflow.operators.dimension import build_dimension
 from snapflow.operators.history import history_rows, latest_path, latest_rows, read_table, upsert_with_latest
 from snapflow.operators.metrics import build_metrics
@@ -102,6 +103,12 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     else:
         stg_r = stage_repos(raw_r)                                  # inlined (never stored)
         stg_p = as_view(stage_packages(raw_p), "stg_pypi_packages")  # a named view
+    observed = []
+    if cfg.check != "off" and cfg.staging != "incremental":
+        # staging checks ride along with the dimension build instead of re-parsing every document
+        stg_r, o_r, nn_r = observe_not_null(stg_r, "stg_github_repos", cfg.checks)
+        stg_p, o_p, nn_p = observe_not_null(stg_p, "stg_pypi_packages", cfg.checks)
+        observed = [(o_r, nn_r), (o_p, nn_p)]
     dim = _materialize(spark, build_dimension(mapping, stg_r, stg_p, now=cfg.now,
                                               repo_tiebreak=cfg.repo_tiebreak,
                                               package_tiebreak=cfg.package_tiebreak),
@@ -121,7 +128,12 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
            "fct_technology_metrics": met, "fct_technology_history": hist, "fct_technology_trends": trends}
     result = {"dimension": dim, "metrics": met, "history": hist, "trends": trends}
     if cfg.check != "off":
-        report = run_checks(out, cfg.checks)
+        done = {id(c) for _, nn in observed for c in nn}
+        rest = [c for c in cfg.checks if id(c) not in done]
+        report = run_checks(out, rest)
+        for o, nn in observed:
+            if nn:
+                report = report.unionByName(observed_report(spark, o, nn))
         if cfg.check == "fail":
             assert_checks(report)
         result["checks"] = report

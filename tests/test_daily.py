@@ -36,3 +36,21 @@ def test_incremental_staging_equals_full(spark):
     for t in ("dimension", "history", "trends"):
         cols = [c for c in outs["full"][t].columns if c not in ("topics",)]
         assert rows(outs["full"][t], *cols) == rows(outs["incremental"][t], *cols), t
+
+
+def test_daily_checks_report_and_fail(spark):
+    import pytest
+    root = tempfile.mkdtemp(prefix="daily-chk-", dir=os.environ.get("TMPDIR", "/tmp"))
+    cfg = _cfg(root, "full", dt.date(2024, 1, 30))
+    B.repo_documents(B.table(spark, SF, "events")).write.parquet(cfg.raw_repos)
+    B.package_documents(B.table(spark, SF, "orders")).write.parquet(cfg.raw_packages)
+    mapping = B.mapping(B.table(spark, SF, "customer"))
+    out = run_daily(spark, mapping, cfg)
+    rep = {(r.model, r.check, r.column): r.failures for r in out["checks"].collect()}
+    assert len(rep) == 13
+    assert rep[("stg_github_repos", "not_null", "stars")] == 0
+    assert rep[("dim_technologies", "unique", "technology_name")] == 0
+    assert rep[("fct_technology_history", "not_null", "snapshot_date")] > 0   # one-sided technologies
+    cfg.check = "fail"
+    with pytest.raises(AssertionError, match="snapshot_date"):
+        run_daily(spark, mapping, cfg)
