@@ -1,6 +1,6 @@
 """Scalar helpers (P9-P20) written as Column expressions so they stay inside codegen.
 
-NULL semantics follow the warehouse dialect the reference targets, which differs from
+NULL semantics follow the warehouse dialect the original job targets, which differs from
 Spark's defaults in places (see the docstrings).
 """
 

@@ -22,7 +22,7 @@ class Check:
     values: tuple = ()
 
 
-# The active checks of the reference's models (10 not-null, 1 unique, 2 accepted-values).
+# The active checks of the original job's models (10 not-null, 1 unique, 2 accepted-values).
 POPULARITY_VALUES = ("Very Popular", "Popular", "Moderate", "Emerging")
 USAGE_VALUES = ("High Usage", "Medium Usage", "Low Usage", "Minimal Usage")
 DEFAULT_CHECKS = (

@@ -54,7 +54,7 @@ class RunConfig:
         return self.path("raw_data/pypi_packages")
 
 
-# The ten-row technology mapping the reference ships inline (example data;
+# The ten-row technology mapping the original job ships inline (example data;
 # any mapping DataFrame with the same three columns can be passed instead).
 EXAMPLE_MAPPING = [
     ("Apache Airflow", "apache/airflow", "apache-airflow"),

@@ -10,7 +10,7 @@ still sends one row per task. Each micro-batch emits only the keys it changed
 ``read_latest`` takes the newest per key from that log.
 
 ``trigger(availableNow=True)`` processes everything landed since the last run and
-stops: the daily schedule of the reference, with exactly-once progress tracking.
+stops: the daily schedule of the original job, with exactly-once progress tracking.
 """
 
 from __future__ import annotations
