@@ -268,7 +268,7 @@ def q_trend_indicators(spark, sf):
 
 
 def q_trends_single(spark, sf):
-    """Literal reference behaviour: trends over the one-row-per-technology metrics."""
+    """Literal original behaviour: trends over the one-row-per-technology metrics."""
     return build_trends(build_metrics(_dimension(spark, sf)), as_of=dt.date(2024, 1, 30), days=90)
 
 
