@@ -32,7 +32,7 @@ def _key_match(left: Column, right: Column) -> Column:
 
 def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, now=None,
                     repo_tiebreak: Sequence[str] = (), package_tiebreak: Sequence[str] = (),
-                    reduce_max_keys: int = 1_000_000) -> DataFrame:
+                    reduce_max_keys: int = 200_000) -> DataFrame:
     """One row per mapping row (28 columns).
 
     ``mapping``: ``(technology_name, github_repo, pypi_package)``; ``repos`` / ``packages``:
