@@ -33,8 +33,6 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
-    # local runs: list many small partition folders with a few tasks, not thousands
-    conf["spark.sql.sources.parallelPartitionDiscovery.parallelism"] = "16"
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -48,6 +46,9 @@ def apply_defaults(spark: SparkSession) -> None:
     """Set the semantic defaults the operators rely on (UTC wall clock, dynamic overwrite)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    # List partition folders of day-partitioned tables with one task per core, not one per folder.
+    spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
+                   str(max(1, spark.sparkContext.defaultParallelism)))
 
 
 def storage_root(spark: SparkSession) -> str:
