@@ -14,7 +14,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from snapflow.functions.scalars import build_time, delta
@@ -39,11 +38,7 @@ DELTAS = {
     "downloads_change": "pypi_downloads_daily",
     "issues_change": "open_issues",
 }
-_CARRIED = [c for c in HISTORY_COLUMNS[:23]]
-
-
-def _built(now):
-    return build_time(now)
+_CARRIED = HISTORY_COLUMNS[:23]           # metrics columns kept in history (no download ratios)
 
 
 def latest_rows(history: DataFrame, key: str = "technology_name", tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -66,12 +61,12 @@ def history_rows(metrics: DataFrame, history: DataFrame | None = None, now=None,
     cur = metrics.select(*_CARRIED)
     if history is None and previous is None:
         changes = {c: F.lit(0).cast("bigint") for c in DELTAS}
-        return cur.withColumns(changes).withColumn("history_created_at", _built(now)).select(*HISTORY_COLUMNS)
+        return cur.withColumns(changes).withColumn("history_created_at", build_time(now)).select(*HISTORY_COLUMNS)
     prev = previous if previous is not None else latest_rows(history, key, tiebreak)
     prev = prev.select(F.col(key).alias("__pk"), *[F.col(m).alias(f"__p_{m}") for m in DELTAS.values()])
     j = cur.join(prev, cur[key] == prev["__pk"], "left")
     changes = {c: delta(F.col(m), F.col(f"__p_{m}")) for c, m in DELTAS.items()}
-    return j.withColumns(changes).withColumn("history_created_at", _built(now)).select(*HISTORY_COLUMNS)
+    return j.withColumns(changes).withColumn("history_created_at", build_time(now)).select(*HISTORY_COLUMNS)
 
 
 def check_unique_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -201,13 +196,6 @@ def sync_columns(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.select(*sel)
 
 
-def sync_schema(target_schema: StructType, rows: DataFrame) -> list[str]:
-    """Names of columns added/dropped by a sync (for reporting)."""
-    t = {f.name for f in target_schema.fields}
-    r = set(rows.columns)
-    return sorted(r - t) + sorted(f"-{c}" for c in t - r)
-
-
 def rebuild_history(snapshots: DataFrame, key: str = "technology_name", date_col: str = "snapshot_date",
                     measures: dict[str, str] | None = None) -> DataFrame:
     """One-pass backfill: what folding the daily increment over in-order data gives.
