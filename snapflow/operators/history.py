@@ -171,6 +171,10 @@ def upsert_with_latest(spark: SparkSession, path: str, rows: DataFrame, keys: Se
     whole history for every entity's latest row, so a daily run costs O(entities), not
     O(history). New rows win over stored rows of the same date (the merge replaces them).
     Returns the new latest table.
+
+    The history is written first (it is the source of truth), the latest table second.
+    If a run stops between the two writes, remove the latest table: the next call
+    derives it again from the whole history.
     """
     rows = reliable_checkpoint(rows)
     upsert(spark, path, rows, keys, part, checkpoint=False)

@@ -18,7 +18,6 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     # Small floor for AQE-coalesced partitions: keeps several writer tasks for the small
     # day-partitioned tables of local runs; large shuffles are unaffected (they are far
@@ -43,9 +42,9 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the semantic defaults the operators rely on (UTC wall clock, dynamic overwrite)."""
+    """Set the session defaults the operators rely on (UTC wall clock). Partition overwrite
+    modes are passed per write, never set session-wide."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     # List partition folders of day-partitioned tables with one task per core, not one per folder.
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                    str(max(1, spark.sparkContext.defaultParallelism)))

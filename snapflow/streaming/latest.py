@@ -11,6 +11,8 @@ still sends one row per task. Each micro-batch emits only the keys it changed
 
 ``trigger(availableNow=True)`` processes everything landed since the last run and
 stops: the daily schedule of the original job, with exactly-once progress tracking.
+A micro-batch replayed after a failure appends rows identical to the ones it may
+already have appended, and ``read_latest`` picks one per key, so replays are harmless.
 """
 
 from __future__ import annotations
