@@ -74,3 +74,17 @@ def read_latest(spark: SparkSession, out_path: str, key: str, order_col: str = "
     """Newest row per key from the log (later micro-batches win on equal ordering)."""
     log = spark.read.parquet(out_path)
     return latest_per_key(log, key, order_col, [*tiebreak, "__epoch"]).drop("__epoch")
+
+
+def compact_latest(spark: SparkSession, out_path: str, key: str, order_col: str = "extracted_at",
+                   tiebreak: Sequence[str] = ()) -> int:
+    """Rewrite the log as one row per key (run while no micro-batch is writing).
+
+    The compacted rows are checkpointed to the shared checkpoint folder first, so the
+    overwrite never reads the files it replaces. Returns the number of keys.
+    """
+    from snapflow.session import reliable_checkpoint
+    latest = read_latest(spark, out_path, key, order_col, tiebreak).withColumn("__epoch", F.lit(0).cast("bigint"))
+    latest = reliable_checkpoint(latest)
+    latest.write.mode("overwrite").parquet(out_path)
+    return spark.read.parquet(out_path).count()

@@ -33,3 +33,11 @@ def test_stream_latest_matches_batch_and_is_exactly_once(spark):
         assert got == want
     assert got == [("a", 3), ("b", 9), ("c", 7)]
     assert spark.read.parquet(out).count() == 5      # only changed keys are appended per micro-batch
+    from snapflow.streaming.latest import compact_latest
+    assert compact_latest(spark, out, "repo_name", tiebreak=["full_name"]) == 3
+    assert rows(read_latest(spark, out, "repo_name", tiebreak=["full_name"]), "repo_name", "stars") == got
+    b3 = [(T(2024, 2, 1), "a", json.dumps({"stars": 4, "full_name": "a4"}))]       # stream continues after compaction
+    spark.createDataFrame(b3, schema).write.mode("append").parquet(landing)
+    stream_latest(spark, landing, "repo_name", out, ckpt, stage_repos, tiebreak=["full_name"]).awaitTermination()
+    assert rows(read_latest(spark, out, "repo_name", tiebreak=["full_name"]), "repo_name", "stars") == \
+        [("a", 4), ("b", 9), ("c", 7)]
