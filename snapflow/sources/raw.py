@@ -18,7 +18,6 @@ from snapflow.session import ensure_parallelism
 
 log = logging.getLogger(__name__)
 
-LANDING_COLUMNS = ("extracted_at", "raw_data")
 
 
 def read_raw(spark: SparkSession, source: str, key: str, doc_col: str = "raw_data",
