@@ -3,8 +3,9 @@
 Documents become a VARIANT column once (``parse_json``), then every field is a
 ``variant_get`` on that column, so each document is parsed a single time per row and
 the extraction stays a JVM expression. Semantics match a warehouse ``v:path::TYPE``:
-JSON null and a missing path are NULL, a numeric string casts to its number, and an
-uncastable value fails the query unless ``on_error="null"``.
+JSON null and a missing path are NULL, a numeric string casts to its number, a fraction
+cast to a whole number rounds half away from zero (1.5 -> 2, as the warehouse casts),
+and an uncastable value fails the query unless ``on_error="null"``.
 """
 
 from __future__ import annotations
@@ -20,8 +21,8 @@ from pyspark.sql.types import VariantType
 # as ``Z`` or ``+02:00`` in the text is honoured rather than dropped.
 _TYPES = {
     "string": ("string", None),
-    "bigint": ("bigint", None),
-    "int": ("bigint", None),
+    "bigint": ("decimal(38,9)", "round_bigint"),
+    "int": ("decimal(38,9)", "round_bigint"),
     "double": ("double", None),
     "boolean": ("boolean", None),
     "timestamp": ("timestamp", "timestamp_ntz"),
@@ -46,6 +47,9 @@ def variant_field(v: Column, path: str, typ: str, on_error: str = "fail") -> Col
     target, after = _TYPES[typ]
     getter = F.try_variant_get if on_error == "null" else F.variant_get
     c = getter(v, _path(path), target)
+    if after == "round_bigint":
+        # whole numbers pass unchanged; fractions round half away from zero
+        return F.round(c, 0).cast("bigint")
     return c.cast(after) if after else c
 
 

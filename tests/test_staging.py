@@ -62,3 +62,9 @@ def test_extract_variant_keeps_subdocument(spark):
     out = extract(raw, "raw_data", {"t": ("topics", "variant"), "y": ("o.x.y", "bigint")})
     r = out.select(F.to_json("t").alias("t"), "y").collect()[0]
     assert (r.t, r.y) == ('["a","b"]', 5)
+
+
+def test_fraction_to_whole_number_rounds(spark):
+    raw = _raw(spark, [{"stars": 1.5, "forks": 2.4, "watchers": -1.5, "size": "7", "open_issues": 12345678901234}])
+    r = stage_repos(raw).collect()[0]
+    assert (r.stars, r.forks, r.watchers, r.size, r.open_issues) == (2, 2, -2, 7, 12345678901234)
