@@ -28,10 +28,19 @@ def greatest_strict(*cols: ColumnOrName) -> Column:
     return F.when(all_set, F.greatest(*cs))
 
 
-def safe_ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
-    """``num / den`` when ``den > 0``, else 0.0 (NULL or non-positive denominator)."""
+def safe_ratio(num: ColumnOrName, den: ColumnOrName, scale: int | None = None) -> Column:
+    """``num / den`` when ``den > 0``, else 0.0 (NULL or non-positive denominator).
+
+    ``scale=None``: float division (a ratio written with a float cast). ``scale=6``: the
+    warehouse's whole-number division, an exact decimal rounded half up to 6 places
+    (e.g. ``7 / 3 = 2.333333``), returned as double.
+    """
     n, d = _c(num), _c(den)
-    return F.when(d > 0, n.cast("double") / d).otherwise(F.lit(0.0))
+    if scale is None:
+        q = n.cast("double") / d
+    else:
+        q = F.round(n.cast("decimal(38,0)") / d.cast("decimal(38,0)"), scale).cast("double")
+    return F.when(d > 0, q).otherwise(F.lit(0.0))
 
 
 def tier(col: ColumnOrName, bounds: Sequence[tuple[float, str]], default: str) -> Column:

@@ -43,8 +43,9 @@ def build_metrics(dim: DataFrame,
         "open_issues", "contributors_count",
         F.col("releases_count").alias("github_releases"),
         "pypi_release_count",
-        safe_ratio("downloads_last_week", "downloads_last_day").alias("weekly_to_daily_ratio"),
-        safe_ratio("downloads_last_month", "downloads_last_week").alias("monthly_to_weekly_ratio"),
+        # whole-number divisions (6 decimal places); the two below divide after a float cast
+        safe_ratio("downloads_last_week", "downloads_last_day", scale=6).alias("weekly_to_daily_ratio"),
+        safe_ratio("downloads_last_month", "downloads_last_week", scale=6).alias("monthly_to_weekly_ratio"),
         safe_ratio("forks", "stars").alias("fork_to_star_ratio"),
         safe_ratio("stars", "contributors_count").alias("stars_per_contributor"),
         tier("stars", popularity, popularity_default).alias("popularity_tier"),

@@ -112,10 +112,10 @@ METRICS_SELECT = """met AS (
     downloads_last_day AS pypi_downloads_daily, downloads_last_week AS pypi_downloads_weekly,
     downloads_last_month AS pypi_downloads_monthly,
     open_issues, contributors_count, releases_count AS github_releases, pypi_release_count,
-    CASE WHEN downloads_last_day > 0 THEN CAST(downloads_last_week AS DOUBLE) / downloads_last_day ELSE 0.0 END
+    CASE WHEN downloads_last_day > 0 THEN round(CAST(downloads_last_week AS DOUBLE) / downloads_last_day, 6) ELSE 0.0 END
       AS weekly_to_daily_ratio,
-    CASE WHEN downloads_last_week > 0 THEN CAST(downloads_last_month AS DOUBLE) / downloads_last_week ELSE 0.0 END
-      AS monthly_to_weekly_ratio,
+    CASE WHEN downloads_last_week > 0 THEN round(CAST(downloads_last_month AS DOUBLE) / downloads_last_week, 6)
+         ELSE 0.0 END AS monthly_to_weekly_ratio,
     CASE WHEN stars > 0 THEN CAST(forks AS DOUBLE) / stars ELSE 0.0 END AS fork_to_star_ratio,
     CASE WHEN contributors_count > 0 THEN CAST(stars AS DOUBLE) / contributors_count ELSE 0.0 END
       AS stars_per_contributor,
@@ -324,7 +324,7 @@ QUALIFY row_number() OVER (PARTITION BY package_name ORDER BY extracted_at DESC
 SELECT l_suppkey,
   CASE WHEN stars > 0 THEN CAST(forks AS DOUBLE) / stars ELSE 0.0 END AS fork_to_star_ratio,
   CASE WHEN contributors > 0 THEN CAST(stars AS DOUBLE) / contributors ELSE 0.0 END AS stars_per_contributor,
-  CASE WHEN zero_disc > 0 THEN CAST(forks AS DOUBLE) / zero_disc ELSE 0.0 END AS guarded_ratio
+  CASE WHEN zero_disc > 0 THEN round(CAST(forks AS DOUBLE) / zero_disc, 6) ELSE 0.0 END AS guarded_ratio
 FROM s""",
 
     "tiers": """WITH s AS (

@@ -209,7 +209,7 @@ def q_ratios(spark, sf):
     return s.select("l_suppkey",
                     safe_ratio("forks", "stars").alias("fork_to_star_ratio"),
                     safe_ratio("stars", "contributors").alias("stars_per_contributor"),
-                    safe_ratio("forks", "zero_disc").alias("guarded_ratio"))
+                    safe_ratio("forks", "zero_disc", scale=6).alias("guarded_ratio"))
 
 
 def q_tiers(spark, sf):

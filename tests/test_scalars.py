@@ -19,6 +19,9 @@ def test_safe_ratio_zero_and_null_denominators(spark):
     df = spark.createDataFrame([(10, 4), (10, 0), (10, None), (None, 5), (7, -1)], "n bigint, d bigint")
     got = [r[0] for r in df.select(safe_ratio("n", "d")).collect()]
     assert got == [2.5, 0.0, 0.0, None, 0.0]
+    df2 = spark.createDataFrame([(7, 3), (1, 2000000), (2, 3), (5, 0)], "n bigint, d bigint")
+    got = [r[0] for r in df2.select(safe_ratio("n", "d", scale=6)).collect()]
+    assert got == [2.333333, 0.000001, 0.666667, 0.0]          # whole-number division: 6 places, half up
 
 
 def test_tiers_inclusive_bounds_and_null(spark):
