@@ -175,7 +175,7 @@ sm AS (
     open_issues, CAST(NULL AS BIGINT) AS contributors_count, CAST(NULL AS BIGINT) AS github_releases,
     CAST(NULL AS BIGINT) AS pypi_release_count,
     CASE WHEN github_stars > 0 THEN CAST(github_forks AS DOUBLE) / github_stars ELSE 0.0 END AS fork_to_star_ratio,
-    0.0 AS stars_per_contributor,
+    CAST(0.0 AS DOUBLE) AS stars_per_contributor,
     CASE WHEN github_stars >= 30000 THEN 'Very Popular' WHEN github_stars >= 15000 THEN 'Popular'
          WHEN github_stars >= 5000 THEN 'Moderate' ELSE 'Emerging' END AS popularity_tier,
     'Minimal Usage' AS usage_tier,

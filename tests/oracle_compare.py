@@ -43,6 +43,17 @@ def _rows(cols, rows):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), str(x)) for x in t))
 
 
+# Spark simple type name -> DuckDB type name
+_TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def type_mismatches(sdf, rel):
+    st = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
+    dt_ = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    return {c: (st[c], dt_.get(c)) for c in st if _TYPE_MAP.get(st[c], st[c]) != dt_.get(c)}
+
+
 def duck(sf_dir: str):
     con = duckdb.connect()
     for t in TABLES:
@@ -84,11 +95,14 @@ def compare(spark, sf_dir: str, names=None, verbose=True):
                 print(f"{name:22s} SQL ERROR {str(e)[:400]}")
             continue
         ok_cols = sorted(scols) == sorted(dcols)
+        bad_types = type_mismatches(df, rel) if ok_cols else {}
         a, b = _rows(scols, srows), _rows(dcols, drows)
-        ok = ok_cols and a == b
+        ok = ok_cols and a == b and not bad_types
         results[name] = ("ok" if ok else "mismatch", len(srows), len(drows))
         if verbose:
             print(f"{name:22s} {'OK ' if ok else 'BAD'} spark={len(srows)} duck={len(drows)} {ts:.1f}s")
+            if bad_types:
+                print("   types (spark, duck):", bad_types)
             if not ok_cols:
                 print("   cols spark-only:", sorted(set(scols) - set(dcols)), "duck-only:", sorted(set(dcols) - set(scols)))
             elif not ok:
