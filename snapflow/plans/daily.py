@@ -23,7 +23,7 @@ from snapflow.operators.staging import stage_packages, stage_repos
 from snapflow.operators.trends import build_trends
 from snapflow.sources.freshness import assert_fresh
 from snapflow.sources.raw import read_raw
-from snapflow.sources.sinks import as_view, write_table
+from snapflow.sources.sinks import as_view, qualify, write_table
 
 log = logging.getLogger(__name__)
 
@@ -41,10 +41,16 @@ class RunConfig:
     repo_tiebreak: tuple[str, ...] = ()
     package_tiebreak: tuple[str, ...] = ()
     checks: tuple = field(default=DEFAULT_CHECKS)
+    marts_schema: str | None = "marts"          # custom schema per model group, used as written
+    default_schema: str = "analytics"           # for models without a custom schema
 
     def path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 
+    def table(self, name: str, schema: str | None = None) -> str:
+        """Folder of a model: ``<root>/<schema>/<name>`` with the schema chosen by ``qualify``."""
+        return self.path(qualify(schema, name, self.default_schema).replace(".", "/"))
+
     @property
     def raw_repos(self) -> str:
         return self.path("raw_data/github_repos")
@@ -112,9 +118,9 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     dim = _materialize(spark, build_dimension(mapping, stg_r, stg_p, now=cfg.now,
                                               repo_tiebreak=cfg.repo_tiebreak,
                                               package_tiebreak=cfg.package_tiebreak),
-                       cfg.path("marts/dim_technologies"))
-    met = _materialize(spark, build_metrics(dim), cfg.path("marts/fct_technology_metrics"))
-    hist_path = cfg.path("marts/fct_technology_history")
+                       cfg.table("dim_technologies", cfg.marts_schema))
+    met = _materialize(spark, build_metrics(dim), cfg.table("fct_technology_metrics", cfg.marts_schema))
+    hist_path = cfg.table("fct_technology_history", cfg.marts_schema)
     existing = read_table(spark, hist_path)                      # first-run switch
     previous = read_table(spark, latest_path(hist_path))         # one row per entity, not the whole history
     if previous is None and existing is not None:
@@ -123,7 +129,7 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     hist = spark.read.parquet(hist_path)
     source = hist if cfg.trends_input == "history" else met
     trends = _materialize(spark, build_trends(source, as_of=as_of, days=cfg.retention_days),
-                          cfg.path("marts/fct_technology_trends"))
+                          cfg.table("fct_technology_trends", cfg.marts_schema))
     out = {"stg_github_repos": stg_r, "stg_pypi_packages": stg_p, "dim_technologies": dim,
            "fct_technology_metrics": met, "fct_technology_history": hist, "fct_technology_trends": trends}
     result = {"dimension": dim, "metrics": met, "history": hist, "trends": trends}
