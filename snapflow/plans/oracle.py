@@ -295,6 +295,14 @@ SELECT 'p' || CAST(v.o_custkey AS VARCHAR) AS package_name, v.version, v.pri AS
 FROM v LEFT JOIN st ON st.o_custkey = v.o_custkey AND st.o_orderstatus = v.version
 WHERE v.o_custkey % 13 <> 7""",
 
+    "land_counts": """
+SELECT count(*) AS fetched,
+  count(*) FILTER (WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0)
+    AS loaded,
+  count(*) FILTER (WHERE event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 OR event_id % 29 = 0)
+    AS rejected
+FROM events""",
+
     "fresh_counts": f"""
 SELECT 'github_repos' AS source, count(*) AS n_rows FROM events
   WHERE ts >= TIMESTAMP '{FRESH_DAY} 00:00:00' AND ts < TIMESTAMP '{FRESH_DAY + dt.timedelta(days=1)} 00:00:00'

@@ -107,8 +107,8 @@ def q_stage_packages(spark, sf):
     return variant_to_json(_stg_packages(spark, sf), ["classifiers", "requires_dist", "project_urls"])
 
 
-def q_land_valid(spark, sf):
-    """Landing with broken and empty documents mixed in: only loadable ones stay."""
+def _fetched_with_broken(spark, sf):
+    """Fetched documents with truncated, empty, missing and non-object ones mixed in."""
     raw = B.repo_documents(B.table(spark, sf, "events"), keep=("event_id",))
     eid = F.col("event_id")
     doc = (F.when(eid % 17 == 0, F.substring("raw_data", 1, 25))        # truncated text
@@ -117,12 +117,24 @@ def q_land_valid(spark, sf):
              .when(eid % 29 == 0, F.lit("[1, 2]"))                        # not an object
              .otherwise(F.col("raw_data")))
     # the fetched documents exist as stored values before landing: write them once
-    fetched = reliable_checkpoint(raw.select("repo_name", doc.alias("doc")))
-    landed = prepare_landing(fetched, "repo_name", "doc", NOW, as_variant=True)
+    return reliable_checkpoint(raw.select("repo_name", doc.alias("doc")))
+
+
+def q_land_valid(spark, sf):
+    """Landing with broken and empty documents mixed in: only loadable ones stay."""
+    landed = prepare_landing(_fetched_with_broken(spark, sf), "repo_name", "doc", NOW, as_variant=True)
     return extract(landed, "raw_data", {"language": ("language", "string"), "full_name": ("full_name", "string")},
                    keep=["extracted_at", "repo_name"])
 
 
+def q_land_counts(spark, sf):
+    """One landing job: fetched, loaded and rejected counts gathered by Observation."""
+    from snapflow.sources.raw import land_raw
+    res = land_raw(_fetched_with_broken(spark, sf), "repo_name", "doc", scratch_path(spark, "land_counts"), NOW)
+    return spark.createDataFrame([(res.fetched, res.loaded, res.rejected)],
+                                 "fetched bigint, loaded bigint, rejected bigint")
+
+
 def q_flatten_repo(spark, sf):
     docs = flatten_repo(B.repo_responses(B.table(spark, sf, "events")), loaded_at=NOW)
     out = extract(docs, "raw_data", {
@@ -379,6 +391,7 @@ QUERIES = {
     "stage_repos": q_stage_repos,
     "stage_packages": q_stage_packages,
     "land_valid": q_land_valid,
+    "land_counts": q_land_counts,
     "flatten_repo": q_flatten_repo,
     "flatten_package": q_flatten_package,
     "fresh_counts": q_fresh_counts,
