@@ -59,9 +59,12 @@ def growth_pct(cur: ColumnOrName, past: ColumnOrName) -> Column:
     return F.when(p > 0, ((c - p).cast("double") / p) * 100).otherwise(F.lit(0.0))
 
 
-def trend_indicator(cur: ColumnOrName, avg: ColumnOrName,
-                    above: str = "Above Average", below: str = "Below Average",
-                    equal: str = "Average") -> Column:
+# The three indicator labels (above, below, equal).
+INDICATOR_LABELS = ("Above Average", "Below Average", "Average")
+
+
+def trend_indicator(cur: ColumnOrName, avg: ColumnOrName, above: str = INDICATOR_LABELS[0],
+                    below: str = INDICATOR_LABELS[1], equal: str = INDICATOR_LABELS[2]) -> Column:
     """Three-way label; NULL on either side gives ``equal``."""
     c, a = _c(cur), _c(avg)
     return F.when(c > a, F.lit(above)).when(c < a, F.lit(below)).otherwise(F.lit(equal))

@@ -23,6 +23,29 @@ from pyspark.sql import functions as F
 from snapflow.functions.scalars import _as_date, growth_pct, retain_days, trend_indicator
 from snapflow.operators.ranking import rank_desc
 
+# Moving averages (output: measure, rows in the frame), look-backs (output:
+# measure, rows back), growth columns (output: measure, look-back column) and retention days.
+MOVING_AVERAGES = {
+    "stars_7day_avg": ("github_stars", 7),
+    "downloads_7day_avg": ("pypi_downloads_daily", 7),
+    "stars_30day_avg": ("github_stars", 30),
+}
+LOOK_BACKS = {
+    "stars_7days_ago": ("github_stars", 7),
+    "stars_30days_ago": ("github_stars", 30),
+    "downloads_7days_ago": ("pypi_downloads_daily", 7),
+}
+GROWTH = {
+    "stars_7day_growth_pct": ("github_stars", "stars_7days_ago"),
+    "stars_30day_growth_pct": ("github_stars", "stars_30days_ago"),
+    "downloads_7day_growth_pct": ("pypi_downloads_daily", "downloads_7days_ago"),
+}
+INDICATORS = {
+    "stars_trend_indicator": ("github_stars", "stars_7day_avg"),
+    "downloads_trend_indicator": ("pypi_downloads_daily", "downloads_7day_avg"),
+}
+RETENTION_DAYS = 90
+
 TRENDS_COLUMNS = [
     "technology_name", "snapshot_date", "github_stars", "github_forks", "pypi_downloads_daily",
     "stars_7day_avg", "downloads_7day_avg", "stars_30day_avg", "daily_popularity_rank",
@@ -47,8 +70,8 @@ def with_lags(df: DataFrame, w: WindowSpec, specs: dict[str, tuple[str, int]]) -
     return df.withColumns({o: F.lag(F.col(c), k).over(w) for o, (c, k) in specs.items()})
 
 
-# The widest frame (30 rows) and the longest look-back (30 rows back).
-LOOKBACK_ROWS = 30
+# The widest frame and the longest look-back, in rows.
+LOOKBACK_ROWS = max([n for _, n in MOVING_AVERAGES.values()] + [k for _, k in LOOK_BACKS.values()])
 
 
 def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Sequence[str]) -> DataFrame:
@@ -69,7 +92,7 @@ def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Se
     return kept.unionByName(older)
 
 
-def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
+def build_trends(snapshots: DataFrame, as_of=None, days: int | None = RETENTION_DAYS,
                  key: str = "technology_name", date_col: str = "snapshot_date",
                  tiebreak: Sequence[str] = (), rank_strategy: str = "auto") -> DataFrame:
     """Trend fact (14 columns) from any snapshot frame with ``key``, ``date_col``,
@@ -83,16 +106,8 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
         "github_stars", "github_forks", "pypi_downloads_daily", *tiebreak)
     w = entity_window("technology_name", "snapshot_date", tiebreak)
     src = base if days is None else _bounded_lookback(base, as_of, days, LOOKBACK_ROWS, tiebreak)
-    t = with_moving_averages(src, w, {
-        "stars_7day_avg": ("github_stars", 7),
-        "downloads_7day_avg": ("pypi_downloads_daily", 7),
-        "stars_30day_avg": ("github_stars", 30),
-    })
-    t = with_lags(t, w, {
-        "stars_7days_ago": ("github_stars", 7),
-        "stars_30days_ago": ("github_stars", 30),
-        "downloads_7days_ago": ("pypi_downloads_daily", 7),
-    })
+    t = with_moving_averages(src, w, MOVING_AVERAGES)
+    t = with_lags(t, w, LOOK_BACKS)
     if days is not None:
         # Retention is applied after the look-back windows (they need older rows), but the
         # daily rank partitions by date, so it only ever needs the retained days: rank from
@@ -107,10 +122,7 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = 90,
         "technology_name", "snapshot_date", "github_stars", "github_forks", "pypi_downloads_daily",
         "stars_7day_avg", "downloads_7day_avg", "stars_30day_avg",
         F.col("daily_popularity_rank").cast("bigint").alias("daily_popularity_rank"),
-        growth_pct("github_stars", "stars_7days_ago").alias("stars_7day_growth_pct"),
-        growth_pct("github_stars", "stars_30days_ago").alias("stars_30day_growth_pct"),
-        growth_pct("pypi_downloads_daily", "downloads_7days_ago").alias("downloads_7day_growth_pct"),
-        trend_indicator("github_stars", "stars_7day_avg").alias("stars_trend_indicator"),
-        trend_indicator("pypi_downloads_daily", "downloads_7day_avg").alias("downloads_trend_indicator"),
+        *[growth_pct(c, p).alias(o) for o, (c, p) in GROWTH.items()],
+        *[trend_indicator(c, a).alias(o) for o, (c, a) in INDICATORS.items()],
     )
     return t
