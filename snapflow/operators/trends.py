@@ -74,7 +74,8 @@ def with_lags(df: DataFrame, w: WindowSpec, specs: dict[str, tuple[str, int]]) -
 LOOKBACK_ROWS = max([n for _, n in MOVING_AVERAGES.values()] + [k for _, k in LOOK_BACKS.values()])
 
 
-def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Sequence[str]) -> DataFrame:
+def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Sequence[str],
+                      band_days: int | None = None) -> DataFrame:
     """Retained rows plus, per entity, only the ``rows`` newest rows before the cut.
 
     Frames and look-backs of retained rows reach at most ``rows`` rows back, so older
@@ -82,10 +83,26 @@ def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Se
     sort keeps that work proportional to the retention period instead of to the whole
     history. The cut-off top-N runs as a ``WindowGroupLimit`` (partial top-N per task
     before the shuffle). Undated rows sort after dated ones and so never precede them.
+
+    ``band_days``: read the ``band_days`` before the cut first; partitions older than that
+    are read only for entities (with retained rows) that still have fewer than ``rows``
+    rows in the band, and not at all when there are none. With daily snapshots the band
+    holds every needed row, so the scan covers retention + band instead of all history.
+    Exact in every case.
     """
     cut = F.date_sub(_as_date(as_of), days)
     kept = base.where(F.col("snapshot_date") >= cut)
     older = base.where(F.col("snapshot_date") < cut)
+    if band_days is not None:
+        band_start = F.date_sub(cut, band_days)
+        band = older.where(F.col("snapshot_date") >= band_start)
+        full = band.groupBy("technology_name").count().where(F.col("count") >= rows).select("technology_name")
+        short = kept.select("technology_name").distinct().join(full, "technology_name", "left_anti")
+        if short.limit(1).count():                       # some entity needs older partitions
+            deep = older.where(F.col("snapshot_date") < band_start).join(short, "technology_name", "left_semi")
+            older = band.unionByName(deep)
+        else:
+            older = band
     w = Window.partitionBy("technology_name").orderBy(
         F.col("snapshot_date").desc(), *[F.col(t).desc_nulls_first() for t in tiebreak])
     older = older.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= rows).drop("__k")
@@ -94,18 +111,21 @@ def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Se
 
 def build_trends(snapshots: DataFrame, as_of=None, days: int | None = RETENTION_DAYS,
                  key: str = "technology_name", date_col: str = "snapshot_date",
-                 tiebreak: Sequence[str] = (), rank_strategy: str = "auto") -> DataFrame:
+                 tiebreak: Sequence[str] = (), rank_strategy: str = "auto",
+                 lookback_band_days: int | None = None) -> DataFrame:
     """Trend fact (14 columns) from any snapshot frame with ``key``, ``date_col``,
     ``github_stars``, ``github_forks``, ``pypi_downloads_daily``.
 
     ``as_of``: the day the 90-day retention counts back from (``None`` = current date);
-    ``days=None`` keeps every row.
+    ``days=None`` keeps every row. ``lookback_band_days``: see ``_bounded_lookback``
+    (worth setting when snapshots are roughly daily, e.g. 2 x 30).
     """
     base = snapshots.select(
         F.col(key).alias("technology_name"), F.col(date_col).alias("snapshot_date"),
         "github_stars", "github_forks", "pypi_downloads_daily", *tiebreak)
     w = entity_window("technology_name", "snapshot_date", tiebreak)
-    src = base if days is None else _bounded_lookback(base, as_of, days, LOOKBACK_ROWS, tiebreak)
+    src = base if days is None else _bounded_lookback(base, as_of, days, LOOKBACK_ROWS, tiebreak,
+                                                      lookback_band_days)
     t = with_moving_averages(src, w, MOVING_AVERAGES)
     t = with_lags(t, w, LOOK_BACKS)
     if days is not None:

@@ -37,6 +37,7 @@ class RunConfig:
     check: str = "fail"                         # "fail": stop on a failed check; "report": only report; "off"
     trends_input: str = "history"               # "history" (moving windows) or "metrics" (literal)
     retention_days: int | None = 90
+    lookback_band_days: int | None = 60        # history is daily: the 30 rows before the cut lie in ~60 days
     staging: str = "full"                       # "full": stage every raw row; "incremental": only new files
     repo_tiebreak: tuple[str, ...] = ()
     package_tiebreak: tuple[str, ...] = ()
@@ -128,7 +129,8 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     upsert_with_latest(spark, hist_path, history_rows(met, None, now=cfg.now, previous=previous))
     hist = spark.read.parquet(hist_path)
     source = hist if cfg.trends_input == "history" else met
-    trends = _materialize(spark, build_trends(source, as_of=as_of, days=cfg.retention_days),
+    trends = _materialize(spark, build_trends(source, as_of=as_of, days=cfg.retention_days,
+                                                      lookback_band_days=cfg.lookback_band_days),
                           cfg.table("fct_technology_trends", cfg.marts_schema))
     out = {"stg_github_repos": stg_r, "stg_pypi_packages": stg_p, "dim_technologies": dim,
            "fct_technology_metrics": met, "fct_technology_history": hist, "fct_technology_trends": trends}

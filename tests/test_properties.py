@@ -25,10 +25,11 @@ def test_bounded_lookback_equals_full_history(spark):
                                        "github_forks bigint, pypi_downloads_daily bigint")
     as_of = D0 + dt.timedelta(days=200)
     for days in (30, 90):
-        bounded = build_trends(snap, as_of=as_of, days=days)
         full = retain_days(build_trends(snap, as_of=as_of, days=None, rank_strategy="window"),
                            "snapshot_date", as_of, days)
-        assert rows(bounded) == rows(full), days
+        for band in (None, 10, 60, 400):          # deep scan for some, none, or no band at all
+            bounded = build_trends(snap, as_of=as_of, days=days, lookback_band_days=band)
+            assert rows(bounded) == rows(full), (days, band)
 
 
 def test_hot_key_latest_and_rank(spark):
