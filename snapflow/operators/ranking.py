@@ -20,7 +20,9 @@ task. It rests on ``rank = 1 + (rows ordered strictly before this one)``:
 5. ``rank = 1 + earlier buckets + earlier in bucket``, joined back to the rows on
    ``(group, value)`` (null-safe). Adaptive execution splits a skewed join partition.
 
-Ranks are exact; only the bucket sizes are approximate.
+Steps 2-4 are skipped when a probe of ``H`` shows that no group has more than
+``max_values_per_task`` distinct values: one running count per group over ``H`` is then
+already bounded per task. Ranks are exact; only the bucket sizes are approximate.
 """
 
 from __future__ import annotations
@@ -31,7 +33,6 @@ from pyspark.sql import functions as F
 from snapflow.session import reliable_checkpoint
 
 
-
 def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "auto",
               buckets: int = 32, rank_input: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = rank of ``value`` (descending, NULLs first) within ``group``.
