@@ -51,3 +51,24 @@ def test_hot_key_latest_and_rank(spark):
     a = rows(rank_desc(day, "d", "v", "r", strategy="window"), "id", "r")
     b = rows(rank_desc(day, "d", "v", "r", strategy="split"), "id", "r")
     assert a == b
+
+
+def test_split_rank_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from snapflow.operators.ranking import rank_table
+
+    row = st.tuples(st.one_of(st.none(), st.sampled_from(["a", "b", "c"])),
+                    st.one_of(st.none(), st.integers(-5, 40)))
+
+    @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(row, min_size=1, max_size=60), st.integers(1, 6), st.sampled_from([0, 10 ** 6]))
+    def check(data, buckets, cap):
+        df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(data)], "g string, v bigint, id bigint")
+        want = rows(rank_desc(df, "g", "v", "r", strategy="window"), "id", "r")
+        t = rank_table(df.select("g", "v"), "g", "v", "r", buckets=buckets, max_values_per_task=cap)
+        got = rows(df.join(t, df.g.eqNullSafe(t.g) & df.v.eqNullSafe(t.v)).select("id", "r"), "id", "r")
+        assert got == want
+
+    check()
