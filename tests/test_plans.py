@@ -49,3 +49,18 @@ def test_trends_windows_share_one_sort(spark):
     avg_windows = [l for l in plan.splitlines() if "Window [avg(" in l]
     assert len(avg_windows) == 1 and "lag(" in avg_windows[0]   # averages and look-backs in one Window node
     assert "WindowGroupLimit" in plan and ", 30, Partial" in plan   # bounded look-back: partial top-30 per task
+
+
+def test_trends_over_partitioned_history_prunes(spark):
+    from snapflow.operators.trends import build_trends
+    p = tempfile.mkdtemp(prefix="plan-", dir=os.environ.get("TMPDIR", "/tmp")) + "/h"
+    d0 = dt.date(2024, 1, 1)
+    data = [(e, d0 + dt.timedelta(days=d), d + 1, 1, 1) for e in ("a", "b") for d in range(200)]
+    spark.createDataFrame(data, "technology_name string, snapshot_date date, github_stars bigint, "
+                                "github_forks bigint, pypi_downloads_daily bigint") \
+        .write.partitionBy("snapshot_date").parquet(p)
+    t = build_trends(spark.read.parquet(p), as_of=d0 + dt.timedelta(days=199), days=90, lookback_band_days=60)
+    plan = _plan(t)
+    scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
+    assert scans and all("PartitionFilters: [isnotnull(snapshot_date" in l for l in scans)
+    assert t.count() == 2 * 91
