@@ -18,3 +18,13 @@ def rows(df, *cols):
     """Collect ``cols`` (or all columns) as sorted tuples."""
     cols = cols or tuple(df.columns)
     return sorted((tuple(r) for r in df.select(*cols).collect()), key=lambda t: tuple((x is None, str(x)) for x in t))
+
+
+def plan_text(df) -> str:
+    """The physical plan as printed by ``df.explain()``."""
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()

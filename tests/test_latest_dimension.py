@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from snapflow.operators.dimension import DIMENSION_COLUMNS, build_dimension
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.metrics import METRICS_COLUMNS, build_metrics
-from tests.conftest import rows
+from tests.conftest import plan_text, rows
 
 T = dt.datetime
 
@@ -23,7 +23,7 @@ def test_latest_null_time_wins_and_ties_are_broken(spark):
 
 def test_latest_plans_partial_group_limit(spark):
     df = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("ts"))
-    plan = latest_per_key(df, "k", "ts")._jdf.queryExecution().executedPlan().toString()
+    plan = plan_text(latest_per_key(df, "k", "ts"))
     assert "WindowGroupLimit" in plan
 
 

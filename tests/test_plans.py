@@ -6,12 +6,13 @@ import tempfile
 
 from snapflow.operators.history import merge_frame
 from snapflow.plans import queries as Q
+from tests.conftest import plan_text
 
 SF = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
+    return plan_text(df)
 
 
 def test_dimension_partial_top1_and_single_parse(spark):
