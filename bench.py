@@ -28,16 +28,28 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = get_spark(f"local[{cpus}]", shuffle_partitions=max(8, cpus),
                       extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEM", "16g")})
-    for n in names:                       # warm-up pass (JIT, file metadata), untimed
+    def run(n: str) -> None:
         QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+
+    for n in names:                       # warm-up pass (JIT, file metadata), untimed
+        try:
+            run(n)
+        except Exception as e:  # noqa: BLE001 - reported below, the timed pass decides
+            print(f"warm-up {n} failed: {e}", file=sys.stderr)
     times = {}
     for n in names:
         t0 = time.perf_counter()
-        QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[n] = round(time.perf_counter() - t0, 3)
+        try:
+            run(n)
+            times[n] = round(time.perf_counter() - t0, 3)
+        except Exception as e:  # noqa: BLE001 - a failed query is reported, not hidden
+            print(f"{n} failed: {e}", file=sys.stderr)
+            times[n] = None
     sf = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
-    print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",
-                      "queries": times, "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
+    done = [t for t in times.values() if t is not None]
+    print(json.dumps({"metric": "headline_total", "value": round(sum(done), 3), "unit": "sec",
+                      "queries": times, "failed": [n for n, t in times.items() if t is None],
+                      "sf": float(sf) if sf.replace(".", "").isdigit() else sf}))
 
 
 if __name__ == "__main__":
