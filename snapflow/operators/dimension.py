@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import build_time, greatest_strict
 from snapflow.operators.joins import semi_reduce, small_enough
-from snapflow.operators.latest import latest_per_key
+from snapflow.operators.latest import latest_per_key, total_tiebreak
 
 DIMENSION_COLUMNS = [
     "technology_name", "github_repo", "pypi_package", "stars", "forks", "watchers", "open_issues",
@@ -31,12 +31,12 @@ def _key_match(left: Column, right: Column) -> Column:
 
 
 def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, now=None,
-                    repo_tiebreak: Sequence[str] = (), package_tiebreak: Sequence[str] = (),
+                    repo_tiebreak: Sequence[str] | None = None, package_tiebreak: Sequence[str] | None = None,
                     reduce_max_keys: int = 200_000) -> DataFrame:
     """One row per mapping row (28 columns).
 
     ``mapping``: ``(technology_name, github_repo, pypi_package)``; ``repos`` / ``packages``:
-    staged rows, many per key. Only the repo/package keys named by the mapping can reach
+    staged rows, many per key. Tie-breaks default to every atomic column (deterministic). Only the repo/package keys named by the mapping can reach
     the output, so when the mapping is provably small the staged rows are semi-joined
     against a broadcast of its keys before the latest-row window (fewer rows sorted and
     shuffled); otherwise the left joins do the filtering after a full latest-row pass.
@@ -44,6 +44,10 @@ def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, n
     small = bool(reduce_max_keys) and small_enough(mapping, reduce_max_keys)   # one bounded probe
     gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys, known_small=small)
     py = semi_reduce(packages, "package_name", mapping, "pypi_package", reduce_max_keys, known_small=small)
+    if repo_tiebreak is None:
+        repo_tiebreak = total_tiebreak(gh, ["repo_name", "extracted_at"])
+    if package_tiebreak is None:
+        package_tiebreak = total_tiebreak(py, ["package_name", "extracted_at"])
     gh = latest_per_key(gh, "repo_name", "extracted_at", repo_tiebreak).alias("gh")
     py = latest_per_key(py, "package_name", "extracted_at", package_tiebreak).alias("py")
     tm = mapping.select("technology_name", "github_repo", "pypi_package").alias("tm")

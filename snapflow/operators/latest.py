@@ -16,6 +16,21 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import (BinaryType, BooleanType, DateType, DecimalType, DoubleType, FloatType,
+                               IntegralType, StringType, TimestampNTZType, TimestampType)
+
+_ORDERABLE = (StringType, IntegralType, DoubleType, FloatType, DecimalType, DateType, TimestampType,
+              TimestampNTZType, BooleanType, BinaryType)
+
+
+def total_tiebreak(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+    """Every atomic column not in ``exclude``: a deterministic tie-break when none is given.
+
+    With it, rows tied on the ordering column resolve the same way on every run and on
+    every task retry (a lost executor's recomputation picks the same row). Only rows
+    equal in all atomic columns stay interchangeable.
+    """
+    return [f.name for f in df.schema.fields if f.name not in exclude and isinstance(f.dataType, _ORDERABLE)]
 
 
 def _order(col: str, nulls_first: bool) -> Column:

@@ -39,8 +39,8 @@ class RunConfig:
     retention_days: int | None = 90
     lookback_band_days: int | None = 60        # history is daily: the 30 rows before the cut lie in ~60 days
     staging: str = "full"                       # "full": stage every raw row; "incremental": only new files
-    repo_tiebreak: tuple[str, ...] = ()
-    package_tiebreak: tuple[str, ...] = ()
+    repo_tiebreak: tuple[str, ...] | None = None    # None: every atomic staged column (deterministic)
+    package_tiebreak: tuple[str, ...] | None = None
     checks: tuple = field(default=DEFAULT_CHECKS)
     marts_schema: str | None = "marts"          # custom schema per model group, used as written
     default_schema: str = "analytics"           # for models without a custom schema

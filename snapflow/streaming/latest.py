@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, VariantType
 
-from snapflow.operators.latest import latest_per_key
+from snapflow.operators.latest import latest_per_key, total_tiebreak
 
 
 def landing_schema(key: str) -> StructType:
@@ -52,9 +52,12 @@ def _no_variant(df: DataFrame) -> DataFrame:
 
 def stream_latest(spark: SparkSession, landing_path: str, key: str, out_path: str, checkpoint: str,
                   stage: Callable[[DataFrame], DataFrame], order_col: str = "extracted_at",
-                  tiebreak: Sequence[str] = (), available_now: bool = True) -> StreamingQuery:
+                  tiebreak: Sequence[str] | None = (), available_now: bool = True) -> StreamingQuery:
+    """``tiebreak=None``: every atomic column (deterministic; ``read_latest`` must use the same)."""
     src = spark.readStream.schema(landing_schema(key)).parquet(landing_path)
     staged = _no_variant(stage(src))
+    if tiebreak is None:
+        tiebreak = total_tiebreak(staged, [key, order_col])
     cols = staged.columns
     latest = (staged.groupBy(key)
               .agg(F.max_by(F.struct(*cols), latest_order_key(order_col, tiebreak)).alias("__row"))
@@ -70,14 +73,16 @@ def stream_latest(spark: SparkSession, landing_path: str, key: str, out_path: st
 
 
 def read_latest(spark: SparkSession, out_path: str, key: str, order_col: str = "extracted_at",
-                tiebreak: Sequence[str] = ()) -> DataFrame:
+                tiebreak: Sequence[str] | None = ()) -> DataFrame:
     """Newest row per key from the log (later micro-batches win on equal ordering)."""
     log = spark.read.parquet(out_path)
+    if tiebreak is None:
+        tiebreak = total_tiebreak(log, [key, order_col, "__epoch"])
     return latest_per_key(log, key, order_col, [*tiebreak, "__epoch"]).drop("__epoch")
 
 
 def compact_latest(spark: SparkSession, out_path: str, key: str, order_col: str = "extracted_at",
-                   tiebreak: Sequence[str] = ()) -> int:
+                   tiebreak: Sequence[str] | None = ()) -> int:
     """Rewrite the log as one row per key (run while no micro-batch is writing).
 
     The compacted rows are checkpointed to the shared checkpoint folder first, so the

@@ -11,9 +11,10 @@ from tests.conftest import rows
 SF = "/root/testdata/sf0.001"
 
 
-def _cfg(root, staging, as_of):
+def _cfg(root, staging, as_of, tiebreaks=True):
+    tb = dict(repo_tiebreak=("full_name",), package_tiebreak=("version",)) if tiebreaks else {}
     return RunConfig(root=root, as_of=as_of, now=dt.datetime(2024, 2, 1), check="report", gate=False,
-                     staging=staging, repo_tiebreak=("full_name",), package_tiebreak=("version",))
+                     staging=staging, **tb)
 
 
 def test_incremental_staging_equals_full(spark):
@@ -25,7 +26,7 @@ def test_incremental_staging_equals_full(spark):
     for staging in ("full", "incremental"):
         root = tempfile.mkdtemp(prefix=f"daily-{staging}-", dir=os.environ.get("TMPDIR", "/tmp"))
         for day, cut in ((dt.date(2024, 1, 15), "2024-01-16"), (dt.date(2024, 1, 30), "2024-02-01")):
-            cfg = _cfg(root, staging, day)
+            cfg = _cfg(root, staging, day, tiebreaks=False)       # default: total (all atomic columns)
             lo = F.lit("2024-01-16" if day.day == 30 else "1900-01-01").cast("timestamp_ntz")
             batch = repos.where((F.col("extracted_at") >= lo) & (F.col("extracted_at") < F.lit(cut).cast("timestamp_ntz")))
             batch.write.mode("append").parquet(cfg.raw_repos)
