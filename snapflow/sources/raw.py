@@ -66,13 +66,15 @@ class LandResult:
 
 
 def land_raw(df: DataFrame, key: str, doc_col: str, target: str, loaded_at,
-             fmt: str = "parquet") -> LandResult:
+             fmt: str = "parquet", as_variant: bool = False) -> LandResult:
     """Append valid documents to ``target`` (a path) in one write job.
 
     The write is one Spark job with a single job commit, so the batch lands all or
     nothing; a failed task is retried by Spark without duplicating output. Counts come
     from an ``Observation`` on the same job (no second pass). An empty batch is a no-op
-    with a warning.
+    with a warning. ``as_variant`` stores the parsed VARIANT (Parquet) instead of the
+    text, so staging reads documents without parsing them again; text is the portable
+    default.
     """
     if df.isEmpty():                       # a limit-1 probe, not a count
         log.warning("nothing to load into %s (empty batch)", target)
@@ -80,7 +82,8 @@ def land_raw(df: DataFrame, key: str, doc_col: str, target: str, loaded_at,
     obs_in = Observation("fetched")
     counted = df.observe(obs_in, F.count(F.lit(1)).alias("n"))
     obs_out = Observation("loaded")
-    rows = prepare_landing(counted, key, doc_col, loaded_at).observe(obs_out, F.count(F.lit(1)).alias("n"))
+    rows = prepare_landing(counted, key, doc_col, loaded_at, as_variant=as_variant).observe(
+        obs_out, F.count(F.lit(1)).alias("n"))
     rows.write.mode("append").format(fmt).save(target)
     fetched = int(obs_in.get.get("n", 0))
     loaded = int(obs_out.get.get("n", 0))

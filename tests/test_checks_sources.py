@@ -60,3 +60,16 @@ def test_qualify():
     assert qualify("marts", "dim") == "marts.dim"
     assert qualify(None, "dim", "analytics") == "analytics.dim"
     assert qualify(None, "dim") == "dim"
+
+
+def test_land_as_variant_then_stage_without_parsing(spark):
+    from snapflow.operators.staging import stage_repos
+    target = tempfile.mkdtemp(prefix="landv-", dir=os.environ.get("TMPDIR", "/tmp")) + "/raw"
+    df = spark.createDataFrame([("a", json.dumps({"stars": 3, "topics": ["x"]})), ("b", "{oops")],
+                               "repo_name string, doc string")
+    res = land_raw(df, "repo_name", "doc", target, T(2024, 1, 2), as_variant=True)
+    assert (res.fetched, res.loaded) == (2, 1)
+    raw = read_raw(spark, target, "repo_name")
+    assert raw.schema["raw_data"].dataType.typeName() == "variant"
+    st = stage_repos(raw).collect()
+    assert [(r.repo_name, r.stars) for r in st] == [("a", 3)]
