@@ -27,9 +27,11 @@ from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZT
 from snapflow.operators.latest import latest_per_key, total_tiebreak
 
 
-def landing_schema(key: str) -> StructType:
+def landing_schema(key: str, doc_type: str = "string") -> StructType:
+    """Schema of a landing folder: documents stored as text (default) or as VARIANT."""
+    doc = VariantType() if doc_type == "variant" else StringType()
     return StructType([StructField("extracted_at", TimestampNTZType()), StructField(key, StringType()),
-                       StructField("raw_data", StringType())])
+                       StructField("raw_data", doc)])
 
 
 def latest_order_key(order_col: str, tiebreak: Sequence[str] = ()) -> Column:
@@ -52,9 +54,11 @@ def _no_variant(df: DataFrame) -> DataFrame:
 
 def stream_latest(spark: SparkSession, landing_path: str, key: str, out_path: str, checkpoint: str,
                   stage: Callable[[DataFrame], DataFrame], order_col: str = "extracted_at",
-                  tiebreak: Sequence[str] | None = (), available_now: bool = True) -> StreamingQuery:
-    """``tiebreak=None``: every atomic column (deterministic; ``read_latest`` must use the same)."""
-    src = spark.readStream.schema(landing_schema(key)).parquet(landing_path)
+                  tiebreak: Sequence[str] | None = (), available_now: bool = True,
+                  doc_type: str = "string") -> StreamingQuery:
+    """``tiebreak=None``: every atomic column (deterministic; ``read_latest`` must use the same).
+    ``doc_type="variant"`` for folders landed with ``land_raw(as_variant=True)``."""
+    src = spark.readStream.schema(landing_schema(key, doc_type)).parquet(landing_path)
     staged = _no_variant(stage(src))
     if tiebreak is None:
         tiebreak = total_tiebreak(staged, [key, order_col])

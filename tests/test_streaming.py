@@ -41,3 +41,15 @@ def test_stream_latest_matches_batch_and_is_exactly_once(spark):
     stream_latest(spark, landing, "repo_name", out, ckpt, stage_repos, tiebreak=["full_name"]).awaitTermination()
     assert rows(read_latest(spark, out, "repo_name", tiebreak=["full_name"]), "repo_name", "stars") == \
         [("a", 4), ("b", 9), ("c", 7)]
+
+
+def test_stream_reads_variant_landing(spark):
+    from snapflow.sources.raw import land_raw
+    root = tempfile.mkdtemp(prefix="streamv-", dir=os.environ.get("TMPDIR", "/tmp"))
+    docs = spark.createDataFrame([("a", json.dumps({"stars": 1})), ("a", json.dumps({"stars": 2}))],
+                                 "repo_name string, doc string")
+    land_raw(docs.where("doc like '%1%'"), "repo_name", "doc", f"{root}/landing", T(2024, 1, 1), as_variant=True)
+    land_raw(docs.where("doc like '%2%'"), "repo_name", "doc", f"{root}/landing", T(2024, 1, 2), as_variant=True)
+    stream_latest(spark, f"{root}/landing", "repo_name", f"{root}/out", f"{root}/ckpt", stage_repos,
+                  doc_type="variant").awaitTermination()
+    assert rows(read_latest(spark, f"{root}/out", "repo_name"), "repo_name", "stars") == [("a", 2)]
