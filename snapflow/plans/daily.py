@@ -39,6 +39,7 @@ class RunConfig:
     retention_days: int | None = 90
     lookback_band_days: int | None = 60        # history is daily: the 30 rows before the cut lie in ~60 days
     staging: str = "full"                       # "full": stage every raw row; "incremental": only new files
+    doc_type: str = "string"                    # how landing folders store documents: "string" or "variant"
     repo_tiebreak: tuple[str, ...] | None = None    # None: every atomic staged column (deterministic)
     package_tiebreak: tuple[str, ...] | None = None
     checks: tuple = field(default=DEFAULT_CHECKS)
@@ -90,7 +91,7 @@ def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
     from snapflow.streaming.latest import read_latest, stream_latest
     name = landing.rstrip("/").rsplit("/", 1)[-1]
     out, ckpt = cfg.path(f"staging/{name}_latest"), cfg.path(f"_streams/{name}")
-    stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak).awaitTermination()
+    stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type).awaitTermination()
     return read_latest(spark, out, key, tiebreak=tiebreak)
 
 
