@@ -7,7 +7,9 @@ Plan: every response row is first digested *map-side* into a few small values (a
 count, the first list element, an error flag); only the main document's text travels
 whole. One ``groupBy(entity)`` then combines each entity's responses (partial
 aggregation before the shuffle), and the document is built from the combined row.
-One shuffle, no joins between endpoints, nothing collected.
+One shuffle, no joins between endpoints, nothing collected. The input is one fetch run
+(one response per entity and endpoint); should an endpoint appear twice for an entity,
+the greatest body (or count) is kept, so the result is still deterministic.
 
 Rules (what a fetcher would have produced):
 - repos: main response not OK -> entity dropped; a response marked OK whose body is not
