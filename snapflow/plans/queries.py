@@ -67,6 +67,7 @@ def _dimension(spark, sf):
 # --- sources and projections -------------------------------------------------------
 
 def q_json_extract(spark, sf):
+    """Typed flat fields and a kept sub-document from every repo document."""
     raw = _raw_repos(spark, sf)
     out = extract(raw, "raw_data", {
         "inner_name": ("repo_name", "string"),
@@ -79,6 +80,7 @@ def q_json_extract(spark, sf):
 
 
 def q_json_nested(spark, sf):
+    """Nested paths (object fields, array element) from every package document."""
     raw = _raw_packages(spark, sf)
     return extract(raw, "raw_data", {
         "upload_time": ("latest_release_info.upload_time", "timestamp"),
@@ -90,20 +92,24 @@ def q_json_nested(spark, sf):
 
 
 def q_key_fallback(spark, sf):
+    """Inner key, else the landing key; rows per resulting key."""
     return _stg_repos(spark, sf).groupBy("repo_name").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_fill_zero(spark, sf):
+    """P5: count fields defaulted to 0 (absent statistics, empty release info)."""
     return _stg_packages(spark, sf).select(
         "package_name", "version", "release_count", "latest_release_size", "downloads_last_day",
         "downloads_last_week", "downloads_last_month")
 
 
 def q_stage_repos(spark, sf):
+    """Repository staging, 20 columns."""
     return variant_to_json(_stg_repos(spark, sf), ["topics"])
 
 
 def q_stage_packages(spark, sf):
+    """Package staging, 23 columns."""
     return variant_to_json(_stg_packages(spark, sf), ["classifiers", "requires_dist", "project_urls"])
 
 
@@ -168,16 +174,19 @@ def q_flatten_package(spark, sf):
 
 
 def q_fresh_counts(spark, sf):
+    """Rows per source landed on one day."""
     return fresh_counts({"github_repos": _raw_repos(spark, sf), "pypi_packages": _raw_packages(spark, sf)},
                         FRESH_DAY)
 
 
 def q_latest_repo(spark, sf):
+    """Latest staged repository row per key."""
     s = latest_per_key(_stg_repos(spark, sf), "repo_name", "extracted_at", ["full_name"])
     return s.select("repo_name", "extracted_at", "full_name", "stars", "forks", "contributors_count")
 
 
 def q_latest_package(spark, sf):
+    """Latest staged package row per key."""
     s = latest_per_key(_stg_packages(spark, sf), "package_name", "extracted_at", ["version"])
     return s.select("package_name", "extracted_at", "version", "downloads_last_day", "downloads_last_month")
 
@@ -198,10 +207,12 @@ def q_stream_latest_repo(spark, sf):
 
 
 def q_dimension(spark, sf):
+    """The two-source dimension, 28 columns."""
     return variant_to_json(_dimension(spark, sf), ["topics"])
 
 
 def q_metrics(spark, sf):
+    """Ratios, tiers and snapshot date, 25 columns."""
     return build_metrics(_dimension(spark, sf))
 
 
@@ -217,6 +228,7 @@ def _per_supplier(spark, sf):
 
 
 def q_ratios(spark, sf):
+    """Guarded ratios over per-supplier aggregates."""
     s = _per_supplier(spark, sf)
     return s.select("l_suppkey",
                     safe_ratio("forks", "stars").alias("fork_to_star_ratio"),
@@ -225,6 +237,7 @@ def q_ratios(spark, sf):
 
 
 def q_tiers(spark, sf):
+    """Tier labels over per-supplier aggregates."""
     s = _per_supplier(spark, sf)
     return s.select("l_suppkey",
                     tier(F.col("stars") * 20, POPULARITY_TIERS, POPULARITY_DEFAULT).alias("popularity_tier"),
@@ -234,6 +247,7 @@ def q_tiers(spark, sf):
 # --- windows over daily snapshots ----------------------------------------------------
 
 def q_moving_avg(spark, sf):
+    """7- and 30-row moving averages over daily snapshots."""
     w = entity_window()
     return with_moving_averages(_snapshots(spark, sf), w, {
         "stars_7day_avg": ("github_stars", 7),
@@ -243,6 +257,7 @@ def q_moving_avg(spark, sf):
 
 
 def q_lag_growth(spark, sf):
+    """Values 7 and 30 rows back and growth percentages."""
     w = entity_window()
     t = with_lags(_snapshots(spark, sf), w, {
         "stars_7days_ago": ("github_stars", 7),
@@ -257,21 +272,25 @@ def q_lag_growth(spark, sf):
 
 
 def q_daily_rank(spark, sf):
+    """Daily rank (split strategy)."""
     r = rank_desc(_snapshots(spark, sf), "snapshot_date", "github_stars", "daily_popularity_rank")
     return r.select("technology_name", "snapshot_date", "github_stars", "daily_popularity_rank")
 
 
 def q_daily_rank_window(spark, sf):
+    """Daily rank (plain window), same result."""
     r = rank_desc(_snapshots(spark, sf), "snapshot_date", "github_stars", "daily_popularity_rank",
                   strategy="window")
     return r.select("technology_name", "snapshot_date", "github_stars", "daily_popularity_rank")
 
 
 def q_trends(spark, sf):
+    """The trend fact over daily snapshots, 90-day retention."""
     return build_trends(_snapshots(spark, sf), as_of=AS_OF, days=90)
 
 
 def q_trend_indicators(spark, sf):
+    """Above / below / equal to the 7-row average."""
     w = entity_window()
     t = with_moving_averages(_snapshots(spark, sf), w, {"a": ("github_stars", 7), "b": ("pypi_downloads_daily", 7)})
     return t.select("technology_name", "snapshot_date",
@@ -294,16 +313,19 @@ def _split_latest(spark, sf):
 
 
 def q_history_first(spark, sf):
+    """First run, zero changes."""
     cur, _ = _split_latest(spark, sf)
     return history_rows(cur, None, now=NOW)
 
 
 def q_history_step(spark, sf):
+    """Latest snapshot against the one before it."""
     cur, prior = _split_latest(spark, sf)
     return history_rows(cur, history_rows(prior, None, now=NOW), now=NOW)
 
 
 def q_history_rerun(spark, sf):
+    """H1: same-day rerun, changes are 0."""
     cur, prior = _split_latest(spark, sf)
     first = history_rows(cur, history_rows(prior, None, now=NOW), now=NOW)
     hist = history_rows(prior, None, now=NOW).unionByName(first)
@@ -311,6 +333,7 @@ def q_history_rerun(spark, sf):
 
 
 def q_history_upsert(spark, sf):
+    """Merge into a day-partitioned table, read back whole."""
     cur, prior = _split_latest(spark, sf)
     path = scratch_path(spark, "history_upsert")
     upsert(spark, path, history_rows(prior, None, now=NOW))
@@ -320,12 +343,14 @@ def q_history_upsert(spark, sf):
 
 
 def q_history_replay(spark, sf):
+    """One-pass history back-fill (closed form of the daily fold)."""
     return rebuild_history(B.snapshot_metrics(_snapshots(spark, sf))).select(
         "technology_name", "snapshot_date", "github_stars", "stars_change", "forks_change",
         "downloads_change", "issues_change")
 
 
 def q_schema_sync(spark, sf):
+    """H3: merge after a column was added and one dropped."""
     cur, prior = _split_latest(spark, sf)
     path = scratch_path(spark, "schema_sync")
     old = history_rows(prior, None, now=NOW).drop("issues_change").withColumn("legacy_note", F.lit("v1"))
@@ -337,15 +362,18 @@ def q_schema_sync(spark, sf):
 # --- checks --------------------------------------------------------------------------
 
 def q_check_not_null(spark, sf):
+    """Failing rows of a not-null check."""
     stg = _stg_repos(spark, sf)
     return C.check_not_null(stg, "description").select("repo_name", "extracted_at", "full_name")
 
 
 def q_check_unique(spark, sf):
+    """Repeated values."""
     return C.check_unique(_stg_packages(spark, sf), "package_name")
 
 
 def q_check_accepted(spark, sf):
+    """Values outside the accepted set."""
     m = build_metrics(_dimension(spark, sf))
     return C.check_accepted(m.withColumn("popularity_tier", F.when(
         F.col("github_stars") >= 45000, F.lit("Legendary")).otherwise(F.col("popularity_tier"))),
@@ -353,6 +381,7 @@ def q_check_accepted(spark, sf):
 
 
 def q_check_suite(spark, sf):
+    """C4: report of every check over every table."""
     dim = reliable_checkpoint(_dimension(spark, sf))     # a mart read by two tables, as in the daily run
     met = build_metrics(dim)
     cur, prior = _split_latest(spark, sf)
