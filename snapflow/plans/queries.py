@@ -142,6 +142,7 @@ def q_land_counts(spark, sf):
 
 
 def q_flatten_repo(spark, sf):
+    """Repository documents assembled from landed responses, then extracted."""
     docs = flatten_repo(B.repo_responses(B.table(spark, sf, "events")), loaded_at=NOW)
     out = extract(docs, "raw_data", {
         "full_name": ("full_name", "string"), "language": ("language", "string"),
@@ -157,6 +158,7 @@ def q_flatten_repo(spark, sf):
 
 
 def q_flatten_package(spark, sf):
+    """Package documents assembled from landed responses, then extracted."""
     docs = flatten_package(B.package_responses(B.table(spark, sf, "orders")), loaded_at=NOW)
     out = extract(docs, "raw_data", {
         "version": ("version", "string"), "summary": ("summary", "string"),
