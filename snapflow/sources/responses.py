@@ -4,9 +4,10 @@ Input: ``(entity, endpoint, status, body)`` rows, one per fetched response. Outp
 ``(<key>, raw_data)`` with the document as JSON text, ready for ``land_raw``.
 
 Plan: every response row is first digested *map-side* into a few small values (a
-count, the first list element, an error flag); only the main document's text travels
-whole. One ``groupBy(entity)`` then combines each entity's responses (partial
-aggregation before the shuffle), and the document is built from the combined row.
+count, the first list element, an error flag, the document's fields of the main
+response); the large API bodies never travel. One ``groupBy(entity)`` then combines
+each entity's responses (partial aggregation before the shuffle), and the document is
+built from the combined row.
 One shuffle, no joins between endpoints, nothing collected. The input is one fetch run
 (one response per entity and endpoint); should an endpoint appear twice for an entity,
 the greatest body (or count) is kept, so the result is still deterministic.
@@ -59,6 +60,23 @@ def _size(c: Column) -> Column:
     return F.when(c.isNotNull(), F.size(c))
 
 
+def _license_name(m: Column) -> Column:
+    """``license.name`` when a (non-empty) license object is present, else null."""
+    lic = _vget(m, "$.license")
+    lic_set = lic.isNotNull() & ~F.is_variant_null(lic) & (F.to_json(lic) != "{}")
+    return F.when(lic_set, _vget(m, "$.license.name"))
+
+
+def _pick(m: Column, names) -> list[Column]:
+    """Fields of a digest (every key present, nulls kept) in the given order."""
+    return [_vget(m, f"$.{n}").alias(n) for n in names]
+
+
+# Document fields taken from the main repository response (order = document order).
+_REPO_MAIN = ["full_name", "description", "language", "stars", "forks", "watchers", "open_issues", "size",
+              "created_at", "updated_at", "pushed_at", "default_branch"]
+
+
 def flatten_repo(responses: DataFrame, loaded_at=None, entity: str = "entity", endpoint: str = "endpoint",
                  status: str = "status", body: str = "body", key: str = "repo_name") -> DataFrame:
     d = _digest(responses, entity, endpoint, status, body)
@@ -67,9 +85,27 @@ def flatten_repo(responses: DataFrame, loaded_at=None, entity: str = "entity", e
     obj = F.try_variant_get(v, "$", "map<string,variant>")
     n_contrib = F.coalesce(_size(arr), _size(obj))                       # len() of a list or an object
     n_rel = F.when(arr.isNotNull(), F.size(arr)).when(_size(obj) == 0, F.lit(0))  # a non-empty object fails
+    # Map-side digest of the main response: only the fields the document needs travel
+    # through the shuffle, not the whole (large) API body.
+    main = F.to_json(F.struct(
+        _vget(v, "$.full_name").alias("full_name"),
+        _vget(v, "$.description").alias("description"),
+        _vget(v, "$.language").alias("language"),
+        _default(v, "$.stargazers_count", "0").alias("stars"),
+        _default(v, "$.forks_count", "0").alias("forks"),
+        _default(v, "$.watchers_count", "0").alias("watchers"),
+        _default(v, "$.open_issues_count", "0").alias("open_issues"),
+        _default(v, "$.size", "0").alias("size"),
+        _vget(v, "$.created_at").alias("created_at"),
+        _vget(v, "$.updated_at").alias("updated_at"),
+        _vget(v, "$.pushed_at").alias("pushed_at"),
+        _vget(v, "$.default_branch").alias("default_branch"),
+        _default(v, "$.topics", "[]").alias("topics"),
+        _license_name(v).alias("license"),
+    ), _JSON_KEEP_NULLS)
     d = d.select(
         "__e",
-        F.when((ep == "main") & ok, F.col("__body")).alias("main"),
+        F.when((ep == "main") & ok & v.isNotNull(), main).alias("main"),
         F.when((ep == "contributors") & ok, n_contrib).alias("n_contrib"),
         F.when((ep == "releases") & ok, n_rel).alias("n_rel"),
         F.when((ep == "releases") & ok, F.to_json(F.variant_get(v, "$[0]", "variant"))).alias("first_rel"),
@@ -83,28 +119,14 @@ def flatten_repo(responses: DataFrame, loaded_at=None, entity: str = "entity", e
         F.max("first_rel").alias("first_rel"), F.max("bad").alias("bad"))
     g = g.where(F.col("main").isNotNull() & (F.col("bad") == 0))
     m = F.parse_json(F.col("main"))
-    lic = _vget(m, "$.license")
-    lic_set = lic.isNotNull() & ~F.is_variant_null(lic) & (F.to_json(lic) != "{}")
     loaded = F.current_timestamp() if loaded_at is None else ts_literal(loaded_at)
     doc = F.struct(
         F.col("__e").alias("repo_name"),
-        _vget(m, "$.full_name").alias("full_name"),
-        _vget(m, "$.description").alias("description"),
-        _vget(m, "$.language").alias("language"),
-        _default(m, "$.stargazers_count", "0").alias("stars"),
-        _default(m, "$.forks_count", "0").alias("forks"),
-        _default(m, "$.watchers_count", "0").alias("watchers"),
-        _default(m, "$.open_issues_count", "0").alias("open_issues"),
-        _default(m, "$.size", "0").alias("size"),
-        _vget(m, "$.created_at").alias("created_at"),
-        _vget(m, "$.updated_at").alias("updated_at"),
-        _vget(m, "$.pushed_at").alias("pushed_at"),
-        _vget(m, "$.default_branch").alias("default_branch"),
+        *_pick(m, _REPO_MAIN),
         F.coalesce(F.col("n_contrib"), F.lit(0)).cast("bigint").alias("contributors_count"),
         F.coalesce(F.col("n_rel"), F.lit(0)).cast("bigint").alias("releases_count"),
         F.parse_json(F.col("first_rel")).alias("latest_release"),
-        _default(m, "$.topics", "[]").alias("topics"),
-        F.when(lic_set, _vget(m, "$.license.name")).alias("license"),
+        *_pick(m, ["topics", "license"]),
         F.date_format(loaded, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("extracted_at"),
     )
     return g.select(F.col("__e").alias(key), F.to_json(doc, _JSON_KEEP_NULLS).alias("raw_data"))
@@ -116,25 +138,20 @@ PACKAGE_INFO_FIELDS = ["summary", "description_content_type", "home_page", "auth
 PACKAGE_INFO_DEFAULTS = {"classifiers": "[]", "requires_dist": "[]"}
 
 
+_PACKAGE_META = ["version", *PACKAGE_INFO_FIELDS, *PACKAGE_INFO_DEFAULTS, "requires_python", "project_urls",
+                 "release_count", "latest_release_info"]
+
+
 def flatten_package(responses: DataFrame, loaded_at=None, entity: str = "entity", endpoint: str = "endpoint",
                     status: str = "status", body: str = "body", key: str = "package_name") -> DataFrame:
     d = _digest(responses, entity, endpoint, status, body)
     ep, ok, v = F.col("__ep"), F.col("__ok"), F.col("__v")
     stats = lambda name: F.to_json(_default(_default(v, "$.data", "{}"), f"$.{name}", "0"))
-    d = d.select(
-        "__e",
-        F.when((ep == "metadata") & ok, F.col("__body")).alias("meta"),
-        F.when((ep == "recent") & ok, F.lit(1)).alias("stats_ok"),
-        F.when((ep == "recent") & ok, stats("last_day")).alias("day"),
-        F.when((ep == "recent") & ok, stats("last_week")).alias("week"),
-        F.when((ep == "recent") & ok, stats("last_month")).alias("month"),
-        (ok & ep.isin("metadata", "recent") & v.isNull()).cast("int").alias("bad"),
-    )
-    g = d.groupBy("__e").agg(*[F.max(c).alias(c) for c in ("meta", "stats_ok", "day", "week", "month", "bad")])
-    g = g.where(F.col("meta").isNotNull() & (F.col("bad") == 0))
-    m = F.parse_json(F.col("meta"))
-    info = _default(m, "$.info", "{}")
-    releases = F.try_variant_get(_default(m, "$.releases", "{}"), "$", "map<string,variant>")
+    # Map-side digest of the metadata response: the version map (every file of every
+    # release) is reduced to its size and the current version's first file here, so
+    # only the document's fields travel through the shuffle.
+    info = _default(v, "$.info", "{}")
+    releases = F.try_variant_get(_default(v, "$.releases", "{}"), "$", "map<string,variant>")
     version = F.try_variant_get(info, "$.version", "string")
     first_file = F.variant_get(F.try_element_at(releases, version), "$[0]", "variant")
     release_info = F.when(
@@ -145,9 +162,7 @@ def flatten_package(responses: DataFrame, loaded_at=None, entity: str = "entity"
             _vget(first_file, "$.size").alias("size"),
             _vget(first_file, "$.filename").alias("filename")), _JSON_KEEP_NULLS)),
     ).otherwise(F.parse_json(F.lit("{}")))
-    loaded = F.current_timestamp() if loaded_at is None else ts_literal(loaded_at)
-    common = [
-        F.col("__e").alias("package_name"),
+    meta = F.to_json(F.struct(
         _vget(info, "$.version").alias("version"),
         *[_vget(info, f"$.{f}").alias(f) for f in PACKAGE_INFO_FIELDS],
         *[_default(info, f"$.{f}", dv).alias(f) for f, dv in PACKAGE_INFO_DEFAULTS.items()],
@@ -155,7 +170,21 @@ def flatten_package(responses: DataFrame, loaded_at=None, entity: str = "entity"
         _default(info, "$.project_urls", "{}").alias("project_urls"),
         F.coalesce(_size(releases), F.lit(0)).cast("bigint").alias("release_count"),
         release_info.alias("latest_release_info"),
-    ]
+    ), _JSON_KEEP_NULLS)
+    d = d.select(
+        "__e",
+        F.when((ep == "metadata") & ok & v.isNotNull(), meta).alias("meta"),
+        F.when((ep == "recent") & ok, F.lit(1)).alias("stats_ok"),
+        F.when((ep == "recent") & ok, stats("last_day")).alias("day"),
+        F.when((ep == "recent") & ok, stats("last_week")).alias("week"),
+        F.when((ep == "recent") & ok, stats("last_month")).alias("month"),
+        (ok & ep.isin("metadata", "recent") & v.isNull()).cast("int").alias("bad"),
+    )
+    g = d.groupBy("__e").agg(*[F.max(c).alias(c) for c in ("meta", "stats_ok", "day", "week", "month", "bad")])
+    g = g.where(F.col("meta").isNotNull() & (F.col("bad") == 0))
+    m = F.parse_json(F.col("meta"))
+    loaded = F.current_timestamp() if loaded_at is None else ts_literal(loaded_at)
+    common = [F.col("__e").alias("package_name"), *_pick(m, _PACKAGE_META)]
     ts = F.date_format(loaded, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("extracted_at")
     with_stats = F.struct(*common, F.parse_json(F.col("day")).alias("downloads_last_day"),
                           F.parse_json(F.col("week")).alias("downloads_last_week"),
