@@ -55,10 +55,15 @@ def _no_variant(df: DataFrame) -> DataFrame:
 def stream_latest(spark: SparkSession, landing_path: str, key: str, out_path: str, checkpoint: str,
                   stage: Callable[[DataFrame], DataFrame], order_col: str = "extracted_at",
                   tiebreak: Sequence[str] | None = (), available_now: bool = True,
-                  doc_type: str = "string") -> StreamingQuery:
+                  doc_type: str = "string", max_files_per_batch: int | None = 1000) -> StreamingQuery:
     """``tiebreak=None``: every atomic column (deterministic; ``read_latest`` must use the same).
-    ``doc_type="variant"`` for folders landed with ``land_raw(as_variant=True)``."""
-    src = spark.readStream.schema(landing_schema(key, doc_type)).parquet(landing_path)
+    ``doc_type="variant"`` for folders landed with ``land_raw(as_variant=True)``.
+    ``max_files_per_batch`` bounds each micro-batch, so a first run over a large backlog
+    proceeds in bounded batches (``availableNow`` still processes all of it)."""
+    reader = spark.readStream.schema(landing_schema(key, doc_type))
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+    src = reader.parquet(landing_path)
     staged = _no_variant(stage(src))
     if tiebreak is None:
         tiebreak = total_tiebreak(staged, [key, order_col])

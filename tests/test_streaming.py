@@ -51,5 +51,5 @@ def test_stream_reads_variant_landing(spark):
     land_raw(docs.where("doc like '%1%'"), "repo_name", "doc", f"{root}/landing", T(2024, 1, 1), as_variant=True)
     land_raw(docs.where("doc like '%2%'"), "repo_name", "doc", f"{root}/landing", T(2024, 1, 2), as_variant=True)
     stream_latest(spark, f"{root}/landing", "repo_name", f"{root}/out", f"{root}/ckpt", stage_repos,
-                  doc_type="variant").awaitTermination()
+                  doc_type="variant", max_files_per_batch=1).awaitTermination()     # one file per micro-batch
     assert rows(read_latest(spark, f"{root}/out", "repo_name"), "repo_name", "stars") == [("a", 2)]
