@@ -55,3 +55,10 @@ def test_any_not_null_and_retention(spark):
     d = spark.createDataFrame([(x,) for x in days], "d date")
     kept = sorted(r.d for r in retain_days(d, "d", as_of, 90).collect())
     assert kept == [as_of - dt.timedelta(days=90), as_of]
+
+
+def test_with_audit_literal_and_current(spark):
+    from snapflow.functions.scalars import with_audit
+    df = spark.range(2)
+    assert {r.built for r in with_audit(df, "built", dt.datetime(2024, 2, 1, 3)).collect()} == {dt.datetime(2024, 2, 1, 3)}
+    assert with_audit(df, "built").schema["built"].dataType.simpleString() == "timestamp_ntz"
