@@ -99,10 +99,13 @@ def retain_days(df: DataFrame, date_col: str, as_of, days: int) -> DataFrame:
 
 
 def ts_literal(value) -> Column:
-    """A ``timestamp_ntz`` literal from a datetime/str (wall clock, no zone conversion)."""
+    """A ``timestamp_ntz`` literal from a datetime/str: naive values are taken as UTC wall
+    clock, zone-aware ones are converted to UTC first."""
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
     if isinstance(value, _dt.datetime):
+        if value.tzinfo is not None:                       # aware: express it as UTC wall clock
+            value = value.astimezone(_dt.timezone.utc)
         value = value.replace(tzinfo=None).isoformat(sep=" ")
     elif isinstance(value, _dt.date):
         value = value.isoformat() + " 00:00:00"

@@ -62,3 +62,12 @@ def test_with_audit_literal_and_current(spark):
     df = spark.range(2)
     assert {r.built for r in with_audit(df, "built", dt.datetime(2024, 2, 1, 3)).collect()} == {dt.datetime(2024, 2, 1, 3)}
     assert with_audit(df, "built").schema["built"].dataType.simpleString() == "timestamp_ntz"
+
+
+def test_ts_literal_zones(spark):
+    from snapflow.functions.scalars import ts_literal
+    aware = dt.datetime(2024, 1, 1, 12, 0, tzinfo=dt.timezone(dt.timedelta(hours=2)))
+    got = spark.range(1).select(ts_literal(aware).alias("a"), ts_literal(dt.datetime(2024, 1, 1, 12)).alias("b"),
+                                ts_literal("2024-01-01 05:06:07").alias("c")).collect()[0]
+    assert (got.a, got.b, got.c) == (dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 12),
+                                     dt.datetime(2024, 1, 1, 5, 6, 7))
