@@ -19,6 +19,10 @@ def test_dimension_partial_top1_and_single_parse(spark):
     plan = _plan(Q.QUERIES["dimension"](spark, SF))
     assert plan.count("WindowGroupLimit") >= 4            # partial + final for both sources
     assert "Partial" in plan and "LeftSemi" in plan       # semi-join reduction below the window
+    lines = plan.splitlines()
+    exch = next(i for i, l in enumerate(lines) if "Exchange hashpartitioning(repo_name" in l)
+    semi = next(i for i, l in enumerate(lines) if "LeftSemi" in l)
+    assert exch < semi                                    # filtered map-side, before the shuffle
     scans = [l for l in plan.splitlines() if "FileScan parquet" in l and ("events" in l or "orders" in l)]
     assert scans and all("parseJson" not in l for l in scans)   # no parse pushed into scan filters
 
