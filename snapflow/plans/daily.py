@@ -31,7 +31,7 @@ log = logging.getLogger(__name__)
 @dataclass
 class RunConfig:
     root: str                                   # shared folder holding every table of the run
-    as_of: dt.date | None = None                # the run's day (None = today)
+    as_of: dt.date | None = None                # the run's day (None = today, UTC)
     now: dt.datetime | None = None              # build time stamped on marts (None = now)
     gate: bool = True                           # freshness gate on the raw tables
     check: str = "fail"                         # "fail": stop on a failed check; "report": only report; "off"
@@ -96,7 +96,7 @@ def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
 
 
 def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:
-    as_of = cfg.as_of or dt.date.today()
+    as_of = cfg.as_of or dt.datetime.now(dt.timezone.utc).date()       # load times are UTC
     raw_r = read_raw(spark, cfg.raw_repos, "repo_name")
     raw_p = read_raw(spark, cfg.raw_packages, "package_name")
     if cfg.gate:
