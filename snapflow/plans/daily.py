@@ -88,10 +88,12 @@ def _materialize(spark: SparkSession, df: DataFrame, path: str, partition_by=Non
 
 
 def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
-    from snapflow.streaming.latest import read_latest, stream_latest
+    from snapflow.streaming.latest import landing_schema, read_latest, stream_latest
     name = landing.rstrip("/").rsplit("/", 1)[-1]
     out, ckpt = cfg.path(f"staging/{name}_latest"), cfg.path(f"_streams/{name}")
     stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type).awaitTermination()
+    if read_table(spark, out) is None:        # nothing landed yet: an empty staged relation
+        return stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
     return read_latest(spark, out, key, tiebreak=tiebreak)
 
 
