@@ -440,6 +440,7 @@ GROUP BY popularity_tier""",
 
 ORACLE_SQL["daily_rank_window"] = ORACLE_SQL["daily_rank"]
 ORACLE_SQL["stream_latest_repo"] = ORACLE_SQL["latest_repo"]
+ORACLE_SQL["history_step_latest"] = ORACLE_SQL["history_step"]
 
 
 def _nn(model: str, rel: str, col: str) -> str:

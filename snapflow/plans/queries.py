@@ -344,6 +344,17 @@ def q_history_upsert(spark, sf):
     return spark.read.parquet(path)
 
 
+def q_history_step_latest(spark, sf):
+    """H1 via the latest-state table: previous rows come from the one-row-per-entity table
+    kept by ``upsert_with_latest``, not from a scan of the history (same result as
+    ``history_step``)."""
+    from snapflow.operators.history import latest_path, upsert_with_latest
+    cur, prior = _split_latest(spark, sf)
+    path = scratch_path(spark, "history_latest")
+    upsert_with_latest(spark, path, history_rows(prior, None, now=NOW))
+    return history_rows(cur, None, now=NOW, previous=spark.read.parquet(latest_path(path)))
+
+
 def q_history_replay(spark, sf):
     """One-pass history back-fill (closed form of the daily fold)."""
     return rebuild_history(B.snapshot_metrics(_snapshots(spark, sf))).select(
@@ -444,6 +455,7 @@ QUERIES = {
     "history_step": q_history_step,
     "history_rerun": q_history_rerun,
     "history_upsert": q_history_upsert,
+    "history_step_latest": q_history_step_latest,
     "history_replay": q_history_replay,
     "schema_sync": q_schema_sync,
     "check_not_null": q_check_not_null,
