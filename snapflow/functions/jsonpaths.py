@@ -49,7 +49,8 @@ def variant_field(v: Column, path: str, typ: str, on_error: str = "fail") -> Col
     c = getter(v, _path(path), target)
     if after == "round_bigint":
         # whole numbers pass unchanged; fractions round half away from zero
-        return F.round(c, 0).cast("bigint")
+        r = F.round(c, 0)
+        return r.try_cast("bigint") if on_error == "null" else r.cast("bigint")
     return c.cast(after) if after else c
 
 
