@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import uuid
 from heapq import heappop, heappush
 from itertools import chain
 
@@ -153,11 +154,11 @@ class Codec:
         return b"".join(map(self.vocabulary.__getitem__, ids))
 
 
-_codecs: dict[tuple, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
-def _codec(key: tuple, ranks, pattern: str) -> Codec:
-    """One codec per worker process and vocabulary."""
+def _codec(key: str, ranks, pattern: str) -> Codec:
+    """One codec per worker process and call of ``encode``."""
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(ranks.value, pattern)
@@ -173,7 +174,7 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(rank_path))
-    key = (rank_path, pattern, ranks.id)
+    key = uuid.uuid4().hex
     fields = [pa.field(id_col, pa.int64())] + [pa.field("ids", pa.list_(pa.int32()))] * with_ids + [
         pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
     schema = pa.schema(fields)
