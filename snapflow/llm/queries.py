@@ -5,19 +5,64 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from snapflow.llm import bpe
+from snapflow.llm import bpe, decontam, simhash, suffixdedup, urlrules
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+#: Rules of the URL query: host, path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+             ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes covered by 50-byte strings that start in an earlier document, removed."""
+    return suffixdedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=50)
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten-word windows of the benchmark in every whole text."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    return decontam.digest(decontam.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10))
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The winning rule and verdict of every page's url."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urlrules.judge(table(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """64-bit fingerprints of 3-word shingles and the components linked within 3 bits."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"), shingle=3, bits=3)
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of every whole text, and back."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     return bpe.encode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {"op10_bpe": op10_bpe}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op4_decontamination": op4_decontamination, "op8_url_rules": op8_url_rules, "op9_simhash": op9_simhash,
+           "op10_bpe": op10_bpe}
+
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+ORACLE_SQL: dict[str, str] = {
+    "op8_url_rules": f"""
+WITH rules(rh, rp, v) AS (VALUES {_RULES_SQL}),
+cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+        FROM pages),
+parts AS (SELECT page_id, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM cut),
+urls AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM parts),
+ranked AS (SELECT u.*, rh || rp AS rule, v, row_number() OVER (PARTITION BY u.rowid ORDER BY length(rh || rp) DESC,
+           length(rh) DESC) AS k
+           FROM (SELECT row_number() OVER () AS rowid, * FROM urls) u LEFT JOIN rules
+           ON (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM ranked WHERE k = 1""",
+}
