@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import bpe, decontam, simhash, suffixdedup, urlrules
+from snapflow.llm import ann, bpe, decontam, simhash, suffixdedup, urlrules
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
@@ -30,6 +30,11 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10))
 
 
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every twentieth vector among all others."""
+    return ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0, k=20)
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The winning rule and verdict of every page's url."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -48,7 +53,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op4_decontamination": op4_decontamination, "op8_url_rules": op8_url_rules, "op9_simhash": op9_simhash,
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op4_decontamination": op4_decontamination, "op6_ann": op6_ann, "op8_url_rules": op8_url_rules,
+           "op9_simhash": op9_simhash,
            "op10_bpe": op10_bpe}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
