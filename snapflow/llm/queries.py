@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, simhash, suffixdedup, urlrules
+from snapflow.llm import ann, bpe, decontam, lmscore, simhash, suffixdedup, urlrules
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
@@ -30,6 +30,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.find(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), width=10))
 
 
+def op5_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trigram stupid-backoff score of every whole text under the model of all others."""
+    found = lmscore.score(table(spark, sf_dir, "documents", "doc_id", "text"), order=3, alpha=0.4)
+    return found.select("doc_id", "n_words", F.round("avg_log_score", 6).alias("avg_log_score"))
+
+
 def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every twentieth vector among all others."""
     return ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0, k=20)
@@ -53,7 +59,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op4_decontamination": op4_decontamination, "op6_ann": op6_ann, "op8_url_rules": op8_url_rules,
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op4_decontamination": op4_decontamination, "op5_lm_scores": op5_lm_scores, "op6_ann": op6_ann, "op8_url_rules": op8_url_rules,
            "op9_simhash": op9_simhash,
            "op10_bpe": op10_bpe}
 
@@ -71,4 +77,20 @@ ranked AS (SELECT u.*, rh || rp AS rule, v, row_number() OVER (PARTITION BY u.ro
            FROM (SELECT row_number() OVER () AS rowid, * FROM urls) u LEFT JOIN rules
            ON (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM ranked WHERE k = 1""",
+    "op5_lm_scores": r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents),
+t AS (SELECT r, unnest(ws) AS c, unnest(range(len(ws))) AS i, len(ws) AS own FROM d),
+p AS (SELECT *, lag(c) OVER w AS b, lag(c, 2) OVER w AS a, count(*) OVER () AS n FROM t WINDOW w AS (PARTITION BY r ORDER BY i)),
+q AS (SELECT r, i, n - own AS rest,
+      count(*) OVER (PARTITION BY c) - count(*) OVER (PARTITION BY r, c) AS n1,
+      count(*) OVER (PARTITION BY b, c) - count(*) OVER (PARTITION BY r, b, c) AS n2,
+      count(*) OVER (PARTITION BY a, b, c) - count(*) OVER (PARTITION BY r, a, b, c) AS n3 FROM p),
+s AS (SELECT *, lag(n1) OVER w AS c1, lag(n2) OVER w AS c2 FROM q WINDOW w AS (PARTITION BY r ORDER BY i)),
+v AS (SELECT r, CASE WHEN i >= 2 AND n3 > 0 THEN ln(n3) - ln(c2)
+             WHEN i >= 1 AND n2 > 0 THEN ln(n2) - ln(c1) + least(i - 1, 1) * ln(0.4)
+             WHEN n1 > 0 THEN ln(n1) - ln(rest) + least(i, 2) * ln(0.4)
+             ELSE -ln(rest + 1) + least(i, 2) * ln(0.4) END AS x FROM s),
+a AS (SELECT r, avg(x) AS m FROM v GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(m, 6) AS avg_log_score FROM d LEFT JOIN a USING (r)""",
 }
