@@ -157,8 +157,12 @@ class Codec:
 _codecs: dict[str, Codec] = {}
 
 
-def _codec(key: str, ranks, pattern: str) -> Codec:
-    """One codec per worker process and call of ``encode``."""
+def new_key() -> str:
+    return uuid.uuid4().hex
+
+
+def codec_of(key: str, ranks, pattern: str) -> Codec:
+    """A worker process's codec for a ``new_key`` and broadcast ranks."""
     if key not in _codecs:
         _codecs.clear()
         _codecs[key] = Codec(ranks.value, pattern)
@@ -174,13 +178,13 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
     """
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(load_ranks(rank_path))
-    key = uuid.uuid4().hex
+    key = new_key()
     fields = [pa.field(id_col, pa.int64())] + [pa.field("ids", pa.list_(pa.int32()))] * with_ids + [
         pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())]
     schema = pa.schema(fields)
 
     def run(batches):
-        codec = _codec(key, ranks, pattern)
+        codec = codec_of(key, ranks, pattern)
         decimal = codec.decimal
         for batch in batches:
             rows: list[list] = [[] for _ in fields]

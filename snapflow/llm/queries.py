@@ -7,13 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, lmscore, simhash, suffixdedup, urlrules
+from snapflow.llm import ann, bpe, decontam, lmscore, quality, simhash, suffixdedup, tokenscan, urlrules
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
 BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
+#: An id that the vocabulary leaves free: end of document.
+EOD = 50256
+#: Scores from which documents are kept: rejected ones are three times likelier bad than good.
+KEEP = 0.25
 #: Rules of the URL query: host, path, verdict.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -24,6 +28,12 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_repeats(table(spark, sf_dir, "documents", "doc_id", "text"), width=50)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted by a scan of flat token files for end-of-document ids."""
+    return tokenscan.document_counts(table(spark, sf_dir, "documents", "doc_id", "text"), public_tokenizers.path(BPE_RANKS),
+                                     public_tokenizers.PATTERN, EOD)
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark in every whole text."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -41,6 +51,12 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.search(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), F.col("id") % 20 == 0, k=20)
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Votes, weak label, score and verdict of every whole text."""
+    found = quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), threshold=KEEP)
+    return found.withColumnRenamed("row", "doc_id")
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The winning rule and verdict of every page's url."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
@@ -59,7 +75,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op4_decontamination": op4_decontamination, "op5_lm_scores": op5_lm_scores, "op6_ann": op6_ann, "op8_url_rules": op8_url_rules,
+QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_token_counts": op2_token_counts,
+           "op4_decontamination": op4_decontamination, "op5_lm_scores": op5_lm_scores, "op6_ann": op6_ann, "op7_quality": op7_quality, "op8_url_rules": op8_url_rules,
            "op9_simhash": op9_simhash,
            "op10_bpe": op10_bpe}
 
