@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, lmscore, quality, simhash, suffixdedup, tokenscan, urlrules
+from snapflow.llm import ann, bpe, decontam, lmscore, pii, quality, simhash, suffixdedup, tokenscan, urlrules
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
@@ -16,6 +16,8 @@ BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 
 #: An id that the vocabulary leaves free: end of document.
 EOD = 50256
+#: Key of the surrogates; a deployment sets its own.
+PII_KEY = "surrogate-key"
 #: Scores from which documents are kept: rejected ones are three times likelier bad than good.
 KEEP = 0.25
 #: Rules of the URL query: host, path, verdict.
@@ -34,6 +36,12 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      public_tokenizers.PATTERN, EOD)
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with personal data and secrets replaced by surrogates."""
+    found = pii.replace(table(spark, sf_dir, "documents", "doc_id", "text"), PII_KEY)
+    return found.select("row.doc_id", "row.text", "n_entities")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten-word windows of the benchmark in every whole text."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
@@ -75,10 +83,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
-QUERIES = {"op1_suffix_dedup": op1_suffix_dedup, "op2_token_counts": op2_token_counts,
-           "op4_decontamination": op4_decontamination, "op5_lm_scores": op5_lm_scores, "op6_ann": op6_ann, "op7_quality": op7_quality, "op8_url_rules": op8_url_rules,
-           "op9_simhash": op9_simhash,
-           "op10_bpe": op10_bpe}
+QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_pii, op4_decontamination, op5_lm_scores, op6_ann,
+                                   op7_quality, op8_url_rules, op9_simhash, op10_bpe)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 ORACLE_SQL: dict[str, str] = {
