@@ -10,8 +10,8 @@ Score of a word: its longest n-gram that other documents hold gives log(count /
 down to a shorter one costs ``log(alpha)``; a word that no other document holds counts ``1 / (N + 1)``, N being the
 words of the other documents, after all steps.
 
-Words are runs of bytes other than ASCII white space, A-Z lower-cased; n-grams are told apart by 64-bit hashes and
-stay within a document. Null and empty texts, or those without words, have no words and a null average. Repeated
+Words are runs of bytes other than ASCII white space, A-Z lower-cased; n-grams are told apart by 64-bit hashes, 48 bits
+of them within a part, and stay within a document. Null and empty texts, or those without words, have no words and a null average. Repeated
 rows are documents of their own. No rows: an empty result.
 """
 
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from snapflow.llm.blocks import ANSWER, ASK, ROWS, TEXT, ascending, by_part, exchange, from_ascending, groups, pack, rows, unpack
 from snapflow.llm.common import lower_ascii, mix64, partitions, pieces, utf8
 
-PIECE_BYTES, PART_BYTES = 8 << 20, 32 << 20
+PIECE_BYTES, PART_BYTES = 4 << 20, 32 << 20
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9E3779B97F4A7C15
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -64,27 +64,47 @@ def ngrams(h: np.ndarray, at: np.ndarray, order: int) -> list[np.ndarray]:
     return grams
 
 
-def _counts(grams: list[np.ndarray], at: np.ndarray):
-    """(distinct n-grams, their counts in all rows, positions of each order's n-grams among them, counts of each
-    order's n-grams within their own row); n-grams of different orders don't mix."""
+def _distinct(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a piece, order by order, the empty one last, and their counts."""
+    keys, totals = [], []
+    for n, g in enumerate(grams, 1):
+        u, total = np.unique(g[g != 0], return_counts=True)
+        keys.append(_key(u, n))
+        totals.append(total.astype(np.uint32))
+    return np.r_[np.concatenate(keys), _EMPTY], np.r_[np.concatenate(totals), np.uint32(len(grams[0]))]
+
+
+def _key(gram: np.ndarray, n: int) -> np.ndarray:
+    """What a part knows an n-gram of order n by."""
+    return mix64(gram ^ np.uint64(n * _BASE & (1 << 64) - 1))
+
+
+def _parts(keys: np.ndarray, parts: int):
+    """(part, positions of its n-grams in ascending order of their names, the names): 48 bits within a part."""
+    name = keys >> np.uint64(16)
+    for p, k in by_part((mix64(keys) % np.uint64(parts)).astype(np.int64)):
+        k = k[np.argsort(name[k], kind="stable")]
+        yield p, k, name[k]
+
+
+def _places(grams: list[np.ndarray], at: np.ndarray):
+    """Positions of each order's n-grams among the distinct ones, and their counts within their own row."""
     rows_ = np.repeat(np.arange(len(at) - 1), np.diff(at))
-    keys, places, owns, totals = [], [], [], []
+    places, owns = [], []
     base = 0
-    for n, g in enumerate(grams, 1):
+    for g in grams:
         has = g != 0
-        u, inverse, total = np.unique(g[has], return_inverse=True, return_counts=True)
+        u, inverse = np.unique(g[has], return_inverse=True)
         place = np.full(len(g), -1)
         place[has] = inverse + base
         pair = rows_[has] * np.int64(len(u) + 1) + inverse
         _, back, own = np.unique(pair, return_inverse=True, return_counts=True)
         mine = np.zeros(len(g), np.int64)
         mine[has] = own[back]
-        keys.append(mix64(u ^ np.uint64(n * 0x9E3779B97F4A7C15 & (1 << 64) - 1)))
         places.append(place)
         owns.append(mine)
-        totals.append(total)
         base += len(u)
-    return np.concatenate(keys), np.concatenate(totals), places, owns
+    return places, owns
 
 
 def _score(grams: list[np.ndarray], at: np.ndarray, places, owns, corpus: np.ndarray, words: int, alpha: float) -> np.ndarray:
@@ -133,12 +153,10 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, id_col: str = "do
             for lo, hi in pieces(offsets, PIECE_BYTES):
                 x, off = data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
                 h, at = word_hashes(x, off)
-                keys, total, _, _ = _counts(ngrams(h, at, order), at)
-                keys, total = np.r_[keys, _EMPTY], np.r_[total, len(h)]
+                keys, total = _distinct(ngrams(h, at, order))
                 out = [(src, TEXT, src, pack(ids.slice(lo, hi - lo).to_pylist(), off, x.tobytes()))]
-                for p, k in by_part((keys % np.uint64(parts)).astype(np.int64)):
-                    k = k[np.argsort(keys[k])]
-                    out.append((p, ASK, src, pack(ascending(keys[k]), total[k].astype(np.uint32))))
+                for p, k, named in _parts(keys, parts):
+                    out.append((p, ASK, src, pack(ascending(named), total[k])))
                 yield rows(out)
                 src += 1
 
@@ -161,19 +179,19 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, id_col: str = "do
             answer = np.empty(len(every), np.uint64)
             answer[order_] = total[np.cumsum(first) - 1]
             for (src, _), a in zip(asked, np.split(answer, np.cumsum([len(k) for k in named])[:-1]), strict=True):
-                yield rows([(src, ANSWER, key, pack(key, a))])
+                yield rows([(src, ANSWER, key, pack(key, a.astype(np.uint32) if a.max() < 1 << 32 else a))])
 
     def join(batches):  # 3: pieces join the totals and score
         for _, found in groups(batches):
             ids, off, x = unpack(next(d for kind, _, d in found if kind == TEXT))
             h, at = word_hashes(np.frombuffer(x, np.uint8), off)
             grams = ngrams(h, at, order)
-            keys, _, places, owns = _counts(grams, at)
-            keys = np.r_[keys, _EMPTY]
+            keys, _ = _distinct(grams)
+            places, owns = _places(grams, at)
             corpus = np.zeros(len(keys), np.int64)
             answers = dict(unpack(d) for kind, _, d in found if kind == ANSWER)
-            for p, k in by_part((keys % np.uint64(parts)).astype(np.int64)):
-                corpus[k[np.argsort(keys[k])]] = answers[p].astype(np.int64)
+            for p, k, _ in _parts(keys, parts):
+                corpus[k] = answers[p].astype(np.int64)
             total = _score(grams, at, places, owns, corpus[:-1], int(corpus[-1]), alpha)
             n = np.diff(at)
             with np.errstate(invalid="ignore", divide="ignore"):
