@@ -27,7 +27,7 @@ from snapflow.llm.common import partitions
 from snapflow.session import reliable_checkpoint
 
 #: Vectors a list should have; lists at most; vectors and queries sampled to place them; rounds of k-means.
-LIST, MAX_LISTS, SAMPLE, ASKED, ROUNDS = 500, 16_384, 131_072, 256, 8
+LIST, MAX_LISTS, SAMPLE, ASKED, ROUNDS = 1000, 16_384, 131_072, 256, 8
 GROUP = 4000
 #: Columns of a block; tolerance of the test, in units of 1 / sqrt(dimensions seen).
 BLOCK, ADAPT = 16, 2.1
@@ -175,7 +175,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
               .select("list", "s", "b", "class", "v"))
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list] = ([], [])
         if left.num_rows and right.num_rows:
             x, q = (_matrix(t.column("v").combine_chunks(), dim) for t in (left, right))
             ids = left.column("ids").to_pylist()
@@ -185,19 +185,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
                 near = adaptive_scan(w, xs, k + 1)
                 score = x[near] @ v
                 best = sorted((-p, i) for p, a in zip(score.tolist(), near.tolist(), strict=True) for i in ids[a])[:k + 1]
-                out[0].extend([c] * len(best))
-                out[1].extend(i for _, i in best)
-                out[2].extend(-p for p, _ in best)
-        return pa.table({"class": pa.array(out[0], pa.int64()), "vec_id": pa.array(out[1], pa.int64()),
-                         "score": pa.array(out[2], pa.float64())})
+                out[0].append(c)
+                out[1].append([{"minus": p, "vec_id": i} for p, i in best])
+        return pa.table({"class": pa.array(out[0], pa.int64()),
+                         "near": pa.array(out[1], pa.list_(pa.struct([("minus", pa.float64()), ("vec_id", pa.int64())])))})
 
     keys = ["list", "s", "b"]
     found = (dealt.repartition(partitions(vectors), *keys).groupBy(*keys).cogroup(asking.groupBy(*keys))
-             .applyInArrow(scan, "class long, vec_id long, score double"))
-    best = Window.partitionBy("class").orderBy(F.desc("score"), "vec_id")
-    found = (found.withColumn("n", F.row_number().over(best)).where(F.col("n") <= k + 1)
-             .groupBy("class").agg(F.sort_array(F.collect_list(F.struct("n", "vec_id", "score"))).alias("near")))
+             .applyInArrow(scan, "class long, near array<struct<minus:double,vec_id:long>>"))
+    # one short list from each visited split: their union is merged, not spread out as rows
+    found = found.groupBy("class").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
     of = queries.join(classes.select("v", "class"), "v").select(F.col("id").alias("query_id"), "class")
     own = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
     return (of.join(found, "class").select("query_id", F.posexplode(F.slice(own, 1, k)).alias("p", "x"))
-            .select("query_id", (F.col("p") + 1).alias("rank"), "x.vec_id", "x.score"))
+            .select("query_id", (F.col("p") + 1).alias("rank"), "x.vec_id", (-F.col("x.minus")).alias("score")))
