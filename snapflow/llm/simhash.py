@@ -53,16 +53,18 @@ def _signature(words: list[bytes], shingle: int) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, ``fp`` long) of every row; words are split at ASCII white space, A-Z lower-cased."""
-    schema = pa.schema([(id_col, pa.int64()), ("fp", pa.int64())])
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, the columns ``carry``, ``fp`` long) of every row; words are split at ASCII white space, A-Z lower-cased."""
+    docs = docs.select(F.col(id_col).cast("long"), *carry, text_col)
+    kinds = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in docs.schema.fields[:-1])
 
     def run(batches):
         for batch in batches:
-            fps = [_signature((t.as_py() or "").encode().lower().split(), shingle) for t in batch.column(1)]
-            yield pa.record_batch([batch.column(0).cast(pa.int64()), pa.array(fps, pa.int64())], schema=schema)
+            fps = [_signature((t.as_py() or "").encode().lower().split(), shingle) for t in batch.column(batch.num_columns - 1)]
+            yield pa.record_batch([*batch.columns[:-1], pa.array(fps, pa.int64())], names=[*batch.schema.names[:-1], "fp"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` long, fp long")
+    return docs.mapInArrow(run, f"{kinds}fp long")
 
 
 def _variants(fp: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -195,13 +197,14 @@ def _by_part(batches):
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
-    """Per row: id, ``fp`` (long), ``component_id``: the least id reachable over links of at most ``bits`` bits."""
-    rows = reliable_checkpoint(fingerprints(docs, shingle, id_col, text_col))
+                    text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: id, the columns ``carry``, ``fp`` (long), ``root`` (a fingerprint that names the component) and
+    ``component_id``: the least id reachable over links of at most ``bits`` bits."""
+    rows = reliable_checkpoint(fingerprints(docs, shingle, id_col, text_col, carry))
     reps = reliable_checkpoint(rows.groupBy("fp").agg(F.min(id_col).alias("rep")))
     stars = components(links(reps.select("fp"), bits))
     rooted = reps.join(stars, reps.fp == stars.node, "left").select(
         "fp", "rep", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("of"), "component_id")
-    return rows.join(of, rows.fp == F.col("of"), "left").select(id_col, "fp", "component_id")
+    of = rooted.select("fp", "root").join(least, "root").select(F.col("fp").alias("of"), "root", "component_id")
+    return rows.join(of, rows.fp == F.col("of"), "left").select(id_col, *carry, "fp", "root", "component_id")

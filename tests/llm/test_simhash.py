@@ -13,7 +13,8 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def brute(rows, bits=3):
+def roots(rows, bits=3):
+    """Each row's fingerprint and the one that stands for its component."""
     fps = [fingerprint(r[1]) for r in rows]
     group = {f: f for f in fps}
 
@@ -27,16 +28,20 @@ def brute(rows, bits=3):
         for b in distinct[:i]:
             if (a ^ b).bit_count() <= bits:
                 group[find(a)] = find(b)
-    least = {}
-    for f, r in zip(fps, rows):
+    return [(f, find(f)) for f in fps]
+
+
+def brute(rows, bits=3):
+    found, least = roots(rows, bits), {}
+    for (_, c), r in zip(found, rows):
         if r[0] is not None:
-            least[find(f)] = min(least.get(find(f), r[0]), r[0])
-    return [(r[0], f - (f >> 63 << 64), least.get(find(f))) for f, r in zip(fps, rows)]
+            least[c] = min(least.get(c, r[0]), r[0])
+    return [(r[0], f - (f >> 63 << 64), least.get(c)) for (f, c), r in zip(found, rows)]
 
 
 def test_matches_brute_force(spark):
     rows = documents(150)
-    got = [tuple(r) for r in simhash.near_duplicates(frame(spark, rows)).collect()]
+    got = [(r["doc_id"], r["fp"], r["component_id"]) for r in simhash.near_duplicates(frame(spark, rows)).collect()]
     assert sorted(got, key=key) == sorted(brute(rows), key=key)
     assert simhash.near_duplicates(empty(spark)).collect() == []
 
