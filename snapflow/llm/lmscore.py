@@ -10,7 +10,7 @@ Score of a word: its longest n-gram that other documents hold gives log(count /
 down to a shorter one costs ``log(alpha)``; a word that no other document holds counts ``1 / (N + 1)``, N being the
 words of the other documents, after all steps.
 
-Words are runs of bytes other than ASCII white space, A-Z lower-cased; n-grams are told apart by 64-bit hashes, 48 bits
+Words are runs of bytes other than ASCII white space, A-Z lower-cased; n-grams are told apart by 64-bit hashes, 46 bits
 of them within a part, and stay within a document. Null and empty texts, or those without words, have no words and a null average. Repeated
 rows are documents of their own. No rows: an empty result.
 """
@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from snapflow.llm.blocks import ANSWER, ASK, ROWS, TEXT, ascending, by_part, exchange, from_ascending, groups, pack, rows, unpack
 from snapflow.llm.common import lower_ascii, mix64, partitions, pieces, utf8
 
-PIECE_BYTES, PART_BYTES = 4 << 20, 32 << 20
+PIECE_BYTES, PART_BYTES = 4 << 20, 8 << 20
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9E3779B97F4A7C15
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -80,8 +80,8 @@ def _key(gram: np.ndarray, n: int) -> np.ndarray:
 
 
 def _parts(keys: np.ndarray, parts: int):
-    """(part, positions of its n-grams in ascending order of their names, the names): 48 bits within a part."""
-    name = keys >> np.uint64(16)
+    """(part, positions of its n-grams in ascending order of their names, the names): 46 bits within a part."""
+    name = keys >> np.uint64(18)
     for p, k in by_part((mix64(keys) % np.uint64(parts)).astype(np.int64)):
         k = k[np.argsort(name[k], kind="stable")]
         yield p, k, name[k]
