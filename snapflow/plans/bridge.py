@@ -44,7 +44,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _prepend(json_obj: Column, field_text: Column) -> Column:
     """Insert ``"name":value,`` text (or nothing) at the start of a JSON object."""
-    return F.concat(F.lit("{"), field_text, F.substring(json_obj, 2, 1 << 30))
+    return F.concat(F.lit("{"), field_text, F.substring(json_obj, F.lit(2), F.length(json_obj)))
 
 
 def repo_documents(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -178,10 +178,13 @@ ISO_FRAC_Z = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 def repo_responses(events: DataFrame) -> DataFrame:
     """Landed API responses ``(entity, endpoint, status, body)``: main, contributors, releases per user.
 
-    Fixed values: entity ``'r' || user_id``; main 404 when ``user_id % 13 = 5`` and not JSON
-    (but OK) when ``% 17 = 3``; contributors 500 when ``% 7 = 3``; releases 403 when
-    ``% 11 = 4`` and ``{}`` when ``% 19 = 7``; ``forks_count`` absent when ``% 4 = 1``;
-    ``topics`` absent when ``% 6 = 5``; license ``MIT`` when ``% 3 = 0``. Lists are per event
+    Fixed values: entity ``'r' || user_id``; main 404 when ``user_id % 13 = 5``, 201 when
+    ``% 8 = 6``, its body not JSON when ``% 17 = 3``, a list, null or text when it is 6, 9
+    or 12; contributors 500 when ``% 7 = 3``, their body null, text or a status 203 when
+    ``% 23`` is 4, 8 or 11; releases 403 when ``% 11 = 4``, ``{}``, an object or an empty
+    list when ``% 19`` is 7, 11 or 13; ``forks_count`` absent when ``% 4 = 1``; ``topics``
+    absent when ``% 6 = 5``; license ``MIT`` when ``% 3 = 0``, a text when ``% 29 = 5``; an
+    older main response, to be ignored, when ``% 5 = 2``. Lists are per event
     type, so each body is bounded by the number of event types, and both aggregations
     combine map-side.
     """
@@ -209,26 +212,41 @@ def repo_responses(events: DataFrame) -> DataFrame:
         F.when(u % 6 != 5, F.col("types")).alias("topics"),
         F.when(u % 3 == 0, F.struct(F.lit("mit").alias("key"), F.lit("MIT").alias("name"))).alias("license"),
     ))
+    main_body = F.when(u % 29 == 5, _prepend(F.regexp_replace(main_body, '"license":\\{[^}]*\\},?', ""), F.lit('"license":"MIT",'))
+                       ).otherwise(main_body)
+    broken = (F.when(u % 17 == 3, F.lit("<html>busy</html>")).when(u % 17 == 6, F.lit("[]")).when(u % 17 == 9, F.lit("null"))
+              .when(u % 17 == 12, F.lit('"x"')))
     main = per_user.select(ent.alias("entity"), F.lit("main").alias("endpoint"),
-                           F.when(u % 13 == 5, 404).otherwise(200).alias("status"),
-                           F.when(u % 17 == 3, F.lit("<html>busy</html>")).otherwise(main_body).alias("body"))
+                           F.when(u % 13 == 5, 404).when(u % 8 == 6, 201).otherwise(200).alias("status"),
+                           F.coalesce(broken, main_body).alias("body"), F.col("last_ts").alias("fetched_at"))
+    older = per_user.where(u % 5 == 2).select(
+        ent.alias("entity"), F.lit("main").alias("endpoint"), F.lit(200).alias("status"),
+        F.lit('{"full_name":"older","stargazers_count":999999}').alias("body"),
+        (F.col("first_ts") - F.expr("interval 1 day")).alias("fetched_at"))
     contrib = per_user.select(ent.alias("entity"), F.lit("contributors").alias("endpoint"),
-                              F.when(u % 7 == 3, 500).otherwise(200).alias("status"),
-                              F.to_json(F.transform("types", lambda t: F.struct(t.alias("login")))).alias("body"))
+                              F.when(u % 7 == 3, 500).when(u % 23 == 11, 203).otherwise(200).alias("status"),
+                              F.when(u % 23 == 4, F.lit("null")).when(u % 23 == 8, F.lit('"abc"')).otherwise(
+                                  F.to_json(F.transform("types", lambda t: F.struct(t.alias("login"))))).alias("body"),
+                              F.col("last_ts").alias("fetched_at"))
     per_type = events.groupBy("user_id", "event_type").agg(F.max("ts").alias("ts"))
     rel = per_type.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct(
         F.date_format("ts", ISO_FRAC_Z).alias("published_at"), F.col("event_type").alias("tag_name"))),
         asc=False).alias("rels"))
     releases = rel.select(ent.alias("entity"), F.lit("releases").alias("endpoint"),
                           F.when(u % 11 == 4, 403).otherwise(200).alias("status"),
-                          F.when(u % 19 == 7, F.lit("{}")).otherwise(F.to_json("rels")).alias("body"))
-    return main.unionByName(contrib).unionByName(releases)
+                          F.when(u % 19 == 7, F.lit("{}")).when(u % 19 == 11, F.lit('{"message":"moved"}'))
+                          .when(u % 19 == 13, F.lit("[]")).otherwise(F.to_json("rels")).alias("body"),
+                          F.lit(None).cast("timestamp").alias("fetched_at"))
+    return main.unionByName(older).unionByName(contrib).unionByName(releases)
 
 
 def package_responses(orders: DataFrame) -> DataFrame:
     """Landed API responses: metadata and recent download statistics per customer.
 
-    Fixed values: entity ``'p' || o_custkey``; metadata 500 when ``o_custkey % 13 = 7``;
+    Fixed values: entity ``'p' || o_custkey``; metadata 500 when ``o_custkey % 13 = 7``, 203
+    when it is 3, its body a list, null, text, without info (null) or releases (null) when
+    ``% 17`` is 3, 5, 8, 11 or 13; statistics 203 when ``% 8 = 3``, their body a list, with
+    null data or null when ``% 19`` is 4, 9 or 12;
     versions are order statuses with one file each (upload time = last order date of that
     status, size = its order count), the current version is the status of the latest
     order, ``'X'`` (not listed) when ``% 9 = 2``, file lists empty when ``% 9 = 5``;
@@ -261,12 +279,18 @@ def package_responses(orders: DataFrame) -> DataFrame:
         F.when(c % 5 != 0, F.array("pri")).alias("classifiers"),
     )
     meta = j.select(ent.alias("entity"), F.lit("metadata").alias("endpoint"),
-                    F.when(c % 13 == 7, 500).otherwise(200).alias("status"),
-                    F.to_json(F.struct(info.alias("info"), F.col("releases"))).alias("body"))
+                    F.when(c % 13 == 7, 500).when(c % 13 == 3, 203).otherwise(200).alias("status"),
+                    F.when(c % 17 == 3, F.lit("[]")).when(c % 17 == 5, F.lit("null")).when(c % 17 == 8, F.lit('"x"'))
+                    .when(c % 17 == 11, F.concat(F.lit('{"info":null,"releases":'), F.to_json("releases"), F.lit("}")))
+                    .when(c % 17 == 13, F.concat(F.lit('{"releases":null,"info":'), F.to_json(info), F.lit("}")))
+                    .otherwise(F.to_json(F.struct(info.alias("info"), F.col("releases")))).alias("body"),
+                    F.lit(None).cast("timestamp").alias("fetched_at"))
     recent = per_cust.select(ent.alias("entity"), F.lit("recent").alias("endpoint"),
-                             F.when(c % 8 == 1, 429).otherwise(200).alias("status"),
-                             F.to_json(F.struct(F.struct(
+                             F.when(c % 8 == 1, 429).when(c % 8 == 3, 203).otherwise(200).alias("status"),
+                             F.when(c % 19 == 4, F.lit("[]")).when(c % 19 == 9, F.lit('{"data":null}')).when(c % 19 == 12, F.lit("null"))
+                             .otherwise(F.to_json(F.struct(F.struct(
                                  F.col("n").alias("last_day"),
                                  F.when(c % 8 != 6, F.col("week")).alias("last_week"),
-                                 F.col("month").alias("last_month")).alias("data"))).alias("body"))
+                                 F.col("month").alias("last_month")).alias("data")))).alias("body"),
+                             F.lit(None).cast("timestamp").alias("fetched_at"))
     return meta.unionByName(recent)

@@ -106,6 +106,7 @@ DIM_SELECT = f"""dim AS (
 
 DIM = f"WITH {STG_REPOS},\n{STG_PACKAGES},\n{MAPPING},\n{LATEST},\n{DIM_SELECT}"
 
+# The tier bounds and labels below.
 METRICS_SELECT = """met AS (
   SELECT technology_name, github_repo, pypi_package,
     stars AS github_stars, forks AS github_forks, watchers AS github_watchers,
@@ -140,6 +141,7 @@ W_ENT = "PARTITION BY technology_name ORDER BY snapshot_date ASC NULLS LAST"
 
 
 def _trends_sql(src: str, cut: str) -> str:
+    # The frames, look-backs and indicator labels below.
     return f"""tc AS (
   SELECT technology_name, snapshot_date, github_stars, github_forks, pypi_downloads_daily,
     avg(github_stars) OVER ({W_ENT} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS stars_7day_avg,
@@ -167,6 +169,7 @@ FROM tc
 WHERE snapshot_date >= DATE '{cut}'"""
 
 
+# The tier bounds and labels below.
 SNAP_METRICS = SNAP + """,
 sm AS (
   SELECT technology_name, technology_name AS github_repo, CAST(NULL AS VARCHAR) AS pypi_package,
@@ -249,7 +252,8 @@ SELECT package_name, version, release_count, latest_release_size, downloads_last
 SELECT {_NOW} AS extracted_at, 'R' || CAST(user_id AS VARCHAR) AS repo_name, event_type AS language,
   'u' || CAST(user_id AS VARCHAR) || '/e' || CAST(event_id AS VARCHAR) AS full_name
 FROM events
-WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0""",
+WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0
+  AND event_id % 43 <> 0""",
 
     "flatten_repo": """WITH u AS (
   SELECT user_id, count(*) AS n, count(*) FILTER (WHERE event_type = 'click') AS clicks,
@@ -261,14 +265,16 @@ SELECT 'r' || CAST(user_id AS VARCHAR) AS repo_name, 'u' || CAST(user_id AS VARC
   types[1] AS language, n AS stars, CAST(CASE WHEN user_id % 4 = 1 THEN 0 ELSE clicks END AS BIGINT) AS forks,
   n AS watchers, errors AS open_issues, size,
   date_trunc('second', first_ts) AS created_at, date_trunc('second', last_ts) AS updated_at,
-  CAST(CASE WHEN user_id % 7 = 3 THEN 0 ELSE ntypes END AS BIGINT) AS contributors_count,
-  CAST(CASE WHEN user_id % 11 = 4 OR user_id % 19 = 7 THEN 0 ELSE ntypes END AS BIGINT) AS releases_count,
-  CASE WHEN user_id % 11 = 4 OR user_id % 19 = 7 THEN NULL ELSE last_type END AS latest_release_tag,
-  CASE WHEN user_id % 11 = 4 OR user_id % 19 = 7 THEN NULL ELSE last_ts END AS latest_release_published_at,
+  CAST(CASE WHEN user_id % 7 = 3 OR user_id % 23 = 11 THEN 0 WHEN user_id % 23 = 8 THEN 3 ELSE ntypes END AS BIGINT)
+    AS contributors_count,
+  CAST(CASE WHEN user_id % 11 = 4 OR user_id % 19 IN (7, 13) THEN 0 ELSE ntypes END AS BIGINT) AS releases_count,
+  CASE WHEN user_id % 11 = 4 OR user_id % 19 IN (7, 13) THEN NULL ELSE last_type END AS latest_release_tag,
+  CASE WHEN user_id % 11 = 4 OR user_id % 19 IN (7, 13) THEN NULL ELSE last_ts END AS latest_release_published_at,
   CASE WHEN user_id % 6 = 5 THEN '[]' ELSE CAST(to_json(types) AS VARCHAR) END AS topics,
   CASE WHEN user_id % 3 = 0 THEN 'MIT' END AS license
 FROM u
-WHERE user_id % 13 <> 5 AND user_id % 17 <> 3""",
+WHERE user_id % 13 <> 5 AND user_id % 17 NOT IN (3, 6, 9, 12) AND user_id % 29 <> 5
+  AND NOT (user_id % 23 = 4 AND user_id % 7 <> 3) AND NOT (user_id % 19 = 11 AND user_id % 11 <> 4)""",
 
     "flatten_package": """WITH c AS (
   SELECT o_custkey, count(*) AS n, max(o_orderpriority) AS pri,
@@ -287,20 +293,21 @@ SELECT 'p' || CAST(v.o_custkey AS VARCHAR) AS package_name, v.version, v.pri AS
   CASE WHEN v.o_custkey % 9 = 5 THEN NULL ELSE st.cnt END AS file_size,
   CASE WHEN v.o_custkey % 9 = 5 OR st.o_orderstatus IS NULL THEN NULL ELSE 'pkg-' || st.o_orderstatus || '.whl' END
     AS filename,
-  CASE WHEN v.o_custkey % 8 = 1 THEN NULL ELSE v.n END AS downloads_last_day,
-  CAST(CASE WHEN v.o_custkey % 8 = 1 THEN NULL WHEN v.o_custkey % 8 = 6 THEN 0 ELSE v.week END AS BIGINT)
+  CASE WHEN v.o_custkey % 8 IN (1, 3) THEN NULL ELSE v.n END AS downloads_last_day,
+  CAST(CASE WHEN v.o_custkey % 8 IN (1, 3) THEN NULL WHEN v.o_custkey % 8 = 6 THEN 0 ELSE v.week END AS BIGINT)
     AS downloads_last_week,
-  CASE WHEN v.o_custkey % 8 = 1 THEN NULL ELSE v.month END AS downloads_last_month,
+  CASE WHEN v.o_custkey % 8 IN (1, 3) THEN NULL ELSE v.month END AS downloads_last_month,
   CASE WHEN v.o_custkey % 5 = 0 THEN '[]' ELSE '["' || v.pri || '"]' END AS classifiers
 FROM v LEFT JOIN st ON st.o_custkey = v.o_custkey AND st.o_orderstatus = v.version
-WHERE v.o_custkey % 13 <> 7""",
+WHERE v.o_custkey % 13 <> 7 AND v.o_custkey % 17 NOT IN (3, 5, 8, 11, 13)
+  AND NOT (v.o_custkey % 19 IN (4, 9, 12) AND v.o_custkey % 8 NOT IN (1, 3))""",
 
     "land_counts": """
 SELECT count(*) AS fetched,
-  count(*) FILTER (WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0)
-    AS loaded,
-  count(*) FILTER (WHERE event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 OR event_id % 29 = 0)
-    AS rejected
+  count(*) FILTER (WHERE event_id % 17 <> 0 AND event_id % 19 <> 0 AND event_id % 23 <> 0 AND event_id % 29 <> 0
+                   AND event_id % 43 <> 0) AS loaded,
+  count(*) FILTER (WHERE event_id % 17 = 0 OR event_id % 19 = 0 OR event_id % 23 = 0 OR event_id % 29 = 0
+                   OR event_id % 43 = 0) AS rejected
 FROM events""",
 
     "fresh_counts": f"""

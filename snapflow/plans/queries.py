@@ -114,13 +114,17 @@ def q_stage_packages(spark, sf):
 
 
 def _fetched_with_broken(spark, sf):
-    """Fetched documents with truncated, empty, missing and non-object ones mixed in."""
+    """Fetched documents with truncated, empty, missing and non-object ones mixed in, and white space before good ones."""
     raw = B.repo_documents(B.table(spark, sf, "events"), keep=("event_id",))
     eid = F.col("event_id")
     doc = (F.when(eid % 17 == 0, F.substring("raw_data", 1, 25))        # truncated text
              .when(eid % 19 == 0, F.lit("{ }"))                           # empty object
              .when(eid % 23 == 0, F.lit(None).cast("string"))            # no document
              .when(eid % 29 == 0, F.lit("[1, 2]"))                        # not an object
+             .when(eid % 43 == 0, F.lit("{}\n\n"))                        # empty object, line breaks after it
+             .when(eid % 31 == 0, F.concat(F.lit("\n"), "raw_data"))      # good: a line break first
+             .when(eid % 37 == 0, F.concat(F.lit("\t"), "raw_data"))
+             .when(eid % 41 == 0, F.concat(F.lit("\r\n"), "raw_data"))
              .otherwise(F.col("raw_data")))
     # the fetched documents exist as stored values before landing: write them once
     return reliable_checkpoint(raw.select("repo_name", doc.alias("doc")))
@@ -143,7 +147,7 @@ def q_land_counts(spark, sf):
 
 def q_flatten_repo(spark, sf):
     """Repository documents assembled from landed responses, then extracted."""
-    docs = flatten_repo(B.repo_responses(B.table(spark, sf, "events")), loaded_at=NOW)
+    docs = flatten_repo(B.repo_responses(B.table(spark, sf, "events")), loaded_at=NOW, fetched_at="fetched_at")
     out = extract(docs, "raw_data", {
         "full_name": ("full_name", "string"), "language": ("language", "string"),
         "stars": ("stars", "bigint"), "forks": ("forks", "bigint"), "watchers": ("watchers", "bigint"),
@@ -159,7 +163,7 @@ def q_flatten_repo(spark, sf):
 
 def q_flatten_package(spark, sf):
     """Package documents assembled from landed responses, then extracted."""
-    docs = flatten_package(B.package_responses(B.table(spark, sf, "orders")), loaded_at=NOW)
+    docs = flatten_package(B.package_responses(B.table(spark, sf, "orders")), loaded_at=NOW, fetched_at="fetched_at")
     out = extract(docs, "raw_data", {
         "version": ("version", "string"), "summary": ("summary", "string"),
         "release_count": ("release_count", "bigint"),
@@ -200,7 +204,7 @@ def q_stream_latest_repo(spark, sf):
     landing, out, ckpt = f"{root}/landing", f"{root}/latest", f"{root}/_checkpoint"
     raw = _raw_repos(spark, sf)
     cut = F.col("extracted_at") < F.lit(STREAM_CUT).cast("timestamp_ntz")
-    for part in (raw.where(cut), raw.where(~cut)):        # two days of landings, one run after each
+    for part in (raw.where(cut), raw.where(~F.coalesce(cut, F.lit(False)))):   # two days of landings, one run after each
         part.write.mode("append").parquet(landing)
         q = stream_latest(spark, landing, "repo_name", out, ckpt, stage_repos, tiebreak=["full_name"])
         q.awaitTermination()

@@ -7,10 +7,13 @@ cluster); only when the session has none (local tests) do we pick one ourselves.
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
 
 _DEFAULTS = {
@@ -53,13 +56,19 @@ def apply_defaults(spark: SparkSession) -> None:
 def storage_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and working tables.
 
-    Read from ``spark.checkpoint.dir``; set a local one only when it is unset (tests).
+    Read from ``spark.checkpoint.dir``. Only a local session (tests), whose executors are
+    this process, gets a folder of its own when none is set, deleted when the process
+    ends; on a cluster a missing setting is an error, as executors would not share it.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder (master {master})")
         d = tempfile.mkdtemp(prefix="snapflow-ckpt-", dir=os.environ.get("SNAPFLOW_TMP", "/tmp"))
+        atexit.register(shutil.rmtree, d, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", d)
     sc_dir = spark.sparkContext.getCheckpointDir()
     if not sc_dir:
@@ -67,9 +76,55 @@ def storage_root(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+_scratch: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the storage root (never a machine-local folder on a cluster)."""
-    return f"{storage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{storage_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+    _scratch.append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete working tables that a finished run no longer reads (all of this process if none are named)."""
+    for p in paths or tuple(_scratch):
+        delete_path(spark, p)
+        if p in _scratch:
+            _scratch.remove(p)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Rename within one file system; the target must not exist."""
+    p, fs = _file_system(spark, source)
+    to, _ = _file_system(spark, target)
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def observed(observation, name: str, recount) -> int:
+    """A count gathered by an ``Observation``, or counted again where the optimiser took the observed part out of the
+    plan (then the metric doesn't exist, which is no zero)."""
+    try:
+        value = observation.get.get(name)
+    except (Py4JError, AssertionError):
+        value = None
+    return int(recount() if value is None else value)
 
 
 def reliable_checkpoint(df, eager: bool = True):

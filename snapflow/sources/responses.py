@@ -9,19 +9,25 @@ response); the large API bodies never travel. One ``groupBy(entity)`` then combi
 each entity's responses (partial aggregation before the shuffle), and the document is
 built from the combined row.
 One shuffle, no joins between endpoints, nothing collected. The input is one fetch run
-(one response per entity and endpoint); should an endpoint appear twice for an entity,
-the greatest body (or count) is kept, so the result is still deterministic.
+(one response per entity and endpoint). Should an endpoint appear twice for an entity,
+one whole response is taken: the newest by ``fetched_at`` if such a column is named, the
+one with the greatest digest among equals.
 
 Rules (what a fetcher would have produced):
-- repos: main response not OK -> entity dropped; a response marked OK whose body is not
-  JSON -> entity dropped; contributors not OK -> 0; releases not OK -> empty list;
-  counts are list lengths; ``latest_release`` is the first list element or null;
-  ``license`` is ``license.name`` when a license object is present; absent counts
-  become 0 and absent ``topics`` an empty list, while an explicit JSON null stays null.
-- packages: metadata not OK -> dropped; statistics not OK -> the three download fields
-  are absent; present statistics missing a field -> 0; release count = number of
-  versions; latest release file = first file listed under the current version, or
-  ``{}`` when the version is missing or has no files.
+- main and metadata responses fail at status 400 and above, the secondary ones at any
+  status but 200; a failed main or metadata response, or none, drops the entity.
+- a good response that a fetcher could not read drops the entity: a body that is not
+  JSON, a main, metadata or statistics body that is not an object, a license, ``info`` or
+  ``data`` of another kind than an object, ``releases`` without a length, a
+  contributors or releases body without a length, a releases object that is not empty.
+- repos: contributors not OK -> 0; releases not OK -> empty list; counts are lengths;
+  ``latest_release`` is the first list element or null; ``license`` is ``license.name``
+  when a license object is present; absent counts become 0 and absent ``topics`` an
+  empty list, while an explicit JSON null stays null.
+- packages: statistics not OK -> the three download fields are absent; present
+  statistics missing a field -> 0; release count = number of versions; latest release
+  file = first file listed under the current version, or ``{}`` when the version is
+  missing or has no files.
 """
 
 from __future__ import annotations
@@ -31,7 +37,8 @@ from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import ts_literal
 
-_OK = 200
+# From which status a main or metadata response fails; the one good status of the others.
+_FAILED, _OK = 400, 200
 _JSON_KEEP_NULLS = {"ignoreNullFields": "false"}
 
 
@@ -48,11 +55,33 @@ def _iso(loaded_at) -> Column:
     return F.date_format(ts_literal(loaded_at), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-def _digest(responses: DataFrame, entity: str, endpoint: str, status: str, body: str) -> DataFrame:
+def _digest(responses: DataFrame, entity: str, endpoint: str, status: str, body: str, primary: str,
+            fetched_at: str | None) -> DataFrame:
+    ep, st = F.col(endpoint), F.col(status)
+    ok = F.coalesce(F.when(ep == primary, st < _FAILED).otherwise(st == _OK), F.lit(False))
+    at = F.col(fetched_at).cast("timestamp") if fetched_at else F.lit(None).cast("timestamp")
     return responses.select(
-        F.col(entity).cast("string").alias("__e"), F.col(endpoint).alias("__ep"),
-        (F.col(status) == _OK).alias("__ok"), F.col(body).alias("__body"),
-        F.try_parse_json(F.col(body)).alias("__v"))
+        F.col(entity).cast("string").alias("__e"), ep.alias("__ep"), ok.alias("__ok"), at.alias("__at"),
+        F.regexp_extract(F.col(body), r"^\s*(.)", 1).alias("__kind"), F.try_parse_json(F.col(body)).alias("__v"))
+
+
+def _is_object(v: Column) -> Column:
+    return F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+
+
+def _truthy(v: Column) -> Column:
+    """Whether a present value counts as true: not null, false, zero or empty."""
+    return v.isNotNull() & ~F.to_json(v).isin("null", "false", "0", "0.0", '""', "[]", "{}")
+
+
+def _one_each(d: DataFrame, payloads: dict[str, Column]) -> DataFrame:
+    """One response per entity and endpoint: its digest as a column named like the endpoint (null: none).
+
+    ``max`` over ``(fetched, digest)`` combines map-side and never mixes two responses.
+    """
+    return d.groupBy("__e").agg(*[
+        F.max(F.when(F.col("__ep") == ep, F.struct(F.col("__at"), F.col("__ok").alias("ok"), p.alias("p")))).alias(ep)
+        for ep, p in payloads.items()])
 
 
 def _size(c: Column) -> Column:
@@ -78,13 +107,17 @@ _REPO_MAIN = ["full_name", "description", "language", "stars", "forks", "watcher
 
 
 def flatten_repo(responses: DataFrame, loaded_at=None, entity: str = "entity", endpoint: str = "endpoint",
-                 status: str = "status", body: str = "body", key: str = "repo_name") -> DataFrame:
-    d = _digest(responses, entity, endpoint, status, body)
-    ep, ok, v = F.col("__ep"), F.col("__ok"), F.col("__v")
+                 status: str = "status", body: str = "body", key: str = "repo_name",
+                 fetched_at: str | None = None) -> DataFrame:
+    d = _digest(responses, entity, endpoint, status, body, "main", fetched_at)
+    v, kind = F.col("__v"), F.col("__kind")
     arr = F.try_variant_get(v, "$", "array<variant>")
     obj = F.try_variant_get(v, "$", "map<string,variant>")
-    n_contrib = F.coalesce(_size(arr), _size(obj))                       # len() of a list or an object
-    n_rel = F.when(arr.isNotNull(), F.size(arr)).when(_size(obj) == 0, F.lit(0))  # a non-empty object fails
+    text = F.when(v.isNotNull() & (kind == '"'), F.try_variant_get(v, "$", "string"))   # text has a length, too
+    n_contrib = F.coalesce(_size(arr), _size(obj), F.length(text))
+    n_rel = F.coalesce(_size(arr), F.when(_size(obj) == 0, F.lit(0)), F.length(text))   # a non-empty object fails
+    first_rel = F.coalesce(F.to_json(F.variant_get(v, "$[0]", "variant")),
+                           F.when(F.length(text) > 0, F.regexp_extract(F.to_json(F.array(F.left(text, F.lit(1)))), r"(?s)^\[(.*)\]$", 1)))
     # Map-side digest of the main response: only the fields the document needs travel
     # through the shuffle, not the whole (large) API body.
     main = F.to_json(F.struct(
@@ -103,29 +136,23 @@ def flatten_repo(responses: DataFrame, loaded_at=None, entity: str = "entity", e
         _default(v, "$.topics", "[]").alias("topics"),
         _license_name(v).alias("license"),
     ), _JSON_KEEP_NULLS)
-    d = d.select(
-        "__e",
-        F.when((ep == "main") & ok & v.isNotNull(), main).alias("main"),
-        F.when((ep == "contributors") & ok, n_contrib).alias("n_contrib"),
-        F.when((ep == "releases") & ok, n_rel).alias("n_rel"),
-        F.when((ep == "releases") & ok, F.to_json(F.variant_get(v, "$[0]", "variant"))).alias("first_rel"),
-        # an OK response that a fetcher could not read fails the whole entity
-        (ok & ((ep == "main") & v.isNull()
-               | (ep == "contributors") & n_contrib.isNull()
-               | (ep == "releases") & n_rel.isNull())).cast("int").alias("bad"),
-    )
-    g = d.groupBy("__e").agg(
-        F.max("main").alias("main"), F.max("n_contrib").alias("n_contrib"), F.max("n_rel").alias("n_rel"),
-        F.max("first_rel").alias("first_rel"), F.max("bad").alias("bad"))
-    g = g.where(F.col("main").isNotNull() & (F.col("bad") == 0))
-    m = F.parse_json(F.col("main"))
+    lic = _vget(v, "$.license")
+    readable = _is_object(v) & (~F.coalesce(_truthy(lic), F.lit(False)) | _is_object(lic))
+    g = _one_each(d, {
+        "main": F.when(readable, main),
+        "contributors": F.struct(n_contrib.alias("n")),
+        "releases": F.struct(n_rel.alias("n"), F.when(n_rel > 0, first_rel).alias("first"))})
+    unreadable = lambda ep: F.coalesce(F.col(f"{ep}.ok") & F.col(f"{ep}.p.n").isNull(), F.lit(False))
+    good = lambda ep, c: F.when(F.col(f"{ep}.ok"), F.col(f"{ep}.p.{c}"))
+    g = g.where(F.col("main.ok") & F.col("main.p").isNotNull() & ~unreadable("contributors") & ~unreadable("releases"))
+    m = F.parse_json(F.col("main.p"))
     loaded = F.current_timestamp() if loaded_at is None else ts_literal(loaded_at)
     doc = F.struct(
         F.col("__e").alias("repo_name"),
         *_pick(m, _REPO_MAIN),
-        F.coalesce(F.col("n_contrib"), F.lit(0)).cast("bigint").alias("contributors_count"),
-        F.coalesce(F.col("n_rel"), F.lit(0)).cast("bigint").alias("releases_count"),
-        F.parse_json(F.col("first_rel")).alias("latest_release"),
+        F.coalesce(good("contributors", "n"), F.lit(0)).cast("bigint").alias("contributors_count"),
+        F.coalesce(good("releases", "n"), F.lit(0)).cast("bigint").alias("releases_count"),
+        F.parse_json(good("releases", "first")).alias("latest_release"),
         *_pick(m, ["topics", "license"]),
         F.date_format(loaded, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("extracted_at"),
     )
@@ -143,17 +170,21 @@ _PACKAGE_META = ["version", *PACKAGE_INFO_FIELDS, *PACKAGE_INFO_DEFAULTS, "requi
 
 
 def flatten_package(responses: DataFrame, loaded_at=None, entity: str = "entity", endpoint: str = "endpoint",
-                    status: str = "status", body: str = "body", key: str = "package_name") -> DataFrame:
-    d = _digest(responses, entity, endpoint, status, body)
-    ep, ok, v = F.col("__ep"), F.col("__ok"), F.col("__v")
+                    status: str = "status", body: str = "body", key: str = "package_name",
+                    fetched_at: str | None = None) -> DataFrame:
+    d = _digest(responses, entity, endpoint, status, body, "metadata", fetched_at)
+    v = F.col("__v")
+    absent_or_object = lambda path: ~F.coalesce(_vget(v, path).isNotNull(), F.lit(False)) | _is_object(_vget(v, path))
     stats = lambda name: F.to_json(_default(_default(v, "$.data", "{}"), f"$.{name}", "0"))
     # Map-side digest of the metadata response: the version map (every file of every
     # release) is reduced to its size and the current version's first file here, so
     # only the document's fields travel through the shuffle.
     info = _default(v, "$.info", "{}")
     releases = F.try_variant_get(_default(v, "$.releases", "{}"), "$", "map<string,variant>")
+    listed = F.try_variant_get(_vget(v, "$.releases"), "$", "array<variant>")     # a list has a length, too
     version = F.try_variant_get(info, "$.version", "string")
-    first_file = F.variant_get(F.try_element_at(releases, version), "$[0]", "variant")
+    files = F.when(version != "", F.try_element_at(releases, version))
+    first_file = F.variant_get(files, "$[0]", "variant")
     release_info = F.when(
         first_file.isNotNull(),
         F.parse_json(F.to_json(F.struct(
@@ -168,28 +199,26 @@ def flatten_package(responses: DataFrame, loaded_at=None, entity: str = "entity"
         *[_default(info, f"$.{f}", dv).alias(f) for f, dv in PACKAGE_INFO_DEFAULTS.items()],
         _vget(info, "$.requires_python").alias("requires_python"),
         _default(info, "$.project_urls", "{}").alias("project_urls"),
-        F.coalesce(_size(releases), F.lit(0)).cast("bigint").alias("release_count"),
+        F.coalesce(_size(releases), _size(listed), F.lit(0)).cast("bigint").alias("release_count"),
         release_info.alias("latest_release_info"),
     ), _JSON_KEEP_NULLS)
-    d = d.select(
-        "__e",
-        F.when((ep == "metadata") & ok & v.isNotNull(), meta).alias("meta"),
-        F.when((ep == "recent") & ok, F.lit(1)).alias("stats_ok"),
-        F.when((ep == "recent") & ok, stats("last_day")).alias("day"),
-        F.when((ep == "recent") & ok, stats("last_week")).alias("week"),
-        F.when((ep == "recent") & ok, stats("last_month")).alias("month"),
-        (ok & ep.isin("metadata", "recent") & v.isNull()).cast("int").alias("bad"),
-    )
-    g = d.groupBy("__e").agg(*[F.max(c).alias(c) for c in ("meta", "stats_ok", "day", "week", "month", "bad")])
-    g = g.where(F.col("meta").isNotNull() & (F.col("bad") == 0))
-    m = F.parse_json(F.col("meta"))
+    in_list = F.exists(listed, lambda x: F.to_json(x) == F.to_json(_vget(info, "$.version")))
+    versions = F.when(listed.isNotNull(), (F.coalesce(version, F.lit("")) == "") | ~in_list).otherwise(absent_or_object("$.releases"))
+    # files that are there must begin with an object
+    first_ok = ~F.coalesce(_truthy(files), F.lit(False)) | F.coalesce(_is_object(first_file), F.lit(False))
+    readable = _is_object(v) & absent_or_object("$.info") & F.coalesce(versions, F.lit(False)) & first_ok
+    g = _one_each(d, {
+        "metadata": F.when(readable, meta),
+        "recent": F.when(_is_object(v) & absent_or_object("$.data"), F.struct(
+            stats("last_day").alias("day"), stats("last_week").alias("week"), stats("last_month").alias("month")))})
+    unread = F.coalesce(F.col("recent.ok") & F.col("recent.p").isNull(), F.lit(False))
+    g = g.where(F.col("metadata.ok") & F.col("metadata.p").isNotNull() & ~unread)
+    m = F.parse_json(F.col("metadata.p"))
     loaded = F.current_timestamp() if loaded_at is None else ts_literal(loaded_at)
     common = [F.col("__e").alias("package_name"), *_pick(m, _PACKAGE_META)]
     ts = F.date_format(loaded, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'").alias("extracted_at")
-    with_stats = F.struct(*common, F.parse_json(F.col("day")).alias("downloads_last_day"),
-                          F.parse_json(F.col("week")).alias("downloads_last_week"),
-                          F.parse_json(F.col("month")).alias("downloads_last_month"), ts)
+    with_stats = F.struct(*common, *[F.parse_json(F.col(f"recent.p.{c}")).alias(f"downloads_last_{c}") for c in ("day", "week", "month")], ts)
     without = F.struct(*common, ts)
-    doc = F.when(F.col("stats_ok") == 1, F.to_json(with_stats, _JSON_KEEP_NULLS)).otherwise(
+    doc = F.when(F.col("recent.ok"), F.to_json(with_stats, _JSON_KEEP_NULLS)).otherwise(
         F.to_json(without, _JSON_KEEP_NULLS))
     return g.select(F.col("__e").alias(key), doc.alias("raw_data"))

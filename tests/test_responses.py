@@ -62,3 +62,68 @@ def test_flatten_package_rules(spark):
     raw = docs.selectExpr("timestamp_ntz'2024-01-02 03:04:05' as extracted_at", "package_name", "raw_data")
     st = {r.package_name: r for r in stage_packages(raw).collect()}
     assert st["b"].downloads_last_month == 0 and st["a"].latest_release_size == 9
+
+
+def _repo(spark, main='{"full_name":"o/x"}', contributors="[]", releases="[]", status=200, c_status=200):
+    data = [("o/x", "main", status, main), ("o/x", "contributors", c_status, contributors), ("o/x", "releases", 200, releases)]
+    got = flatten_repo(_resp(spark, data), loaded_at=NOW).collect()
+    return json.loads(got[0].raw_data) if got else None
+
+
+def test_unreadable_repo_responses_drop_the_entity(spark):
+    for main in ("[]", "null", '"x"', "7", "", '{"license":"MIT"}', '{"license":[1]}', None):
+        assert _repo(spark, main=main) is None, main
+    for lic in ("null", '""', "{}", "[]", "0", "false"):
+        assert _repo(spark, main='{"license":%s}' % lic)["license"] is None
+    assert _repo(spark, main='\n\t {"full_name":"o/x"}\r\n')["full_name"] == "o/x"
+    for body in ("null", "3", "true", "x"):
+        assert _repo(spark, contributors=body) is None and _repo(spark, releases=body) is None, body
+    assert _repo(spark, releases='{"a":1}') is None
+    assert _repo(spark, releases="{}")["releases_count"] == 0
+    assert _repo(spark, contributors='{"a":1}')["contributors_count"] == 1
+    assert _repo(spark, contributors='"abc"')["contributors_count"] == 3
+    r = _repo(spark, releases='"abc"')
+    assert (r["releases_count"], r["latest_release"]) == (3, "a")
+
+
+def test_statuses(spark):
+    for status in (200, 201, 203, 304, 399):
+        assert _repo(spark, status=status) is not None
+    for status in (400, 404, 503, None):
+        assert _repo(spark, status=status) is None
+    assert _repo(spark, c_status=201, contributors="[1]")["contributors_count"] == 0
+    data = [("a", "metadata", 201, '{"info":{}}'), ("a", "recent", 201, "null"), ("b", "metadata", 400, "{}")]
+    got = {r.package_name: json.loads(r.raw_data) for r in flatten_package(_resp(spark, data), loaded_at=NOW).collect()}
+    assert set(got) == {"a"} and "downloads_last_day" not in got["a"]
+
+
+def test_unreadable_package_responses_drop_the_entity(spark):
+    ok = '{"info":{"version":"1"},"releases":{"1":[{"size":3}]}}'
+    bad_meta = ["[]", "null", '"x"', '{"info":null}', '{"info":[]}', '{"releases":null}', '{"releases":7}',
+                '{"info":{"version":"1"},"releases":["1"]}', '{"info":{"version":"1"},"releases":{"1":["f"]}}',
+                '{"info":{"version":"1"},"releases":{"1":{"a":1}}}', '{"info":{"version":"1"},"releases":{"1":5}}']
+    good_meta = {"{}": 0, ok: 1, '{"info":{"version":"1"},"releases":["2","3"]}': 2, '{"info":{"version":"1"},"releases":{"1":null}}': 1,
+                 '{"info":{"version":""},"releases":{"":["f"]}}': 1}
+    data = [(f"bad{i}", "metadata", 200, b) for i, b in enumerate(bad_meta)]
+    data += [(f"good{i}", "metadata", 200, b) for i, b in enumerate(good_meta)]
+    bad_recent = ["[]", "null", '"x"', '{"data":null}', '{"data":[]}', "x"]
+    for i, b in enumerate(bad_recent):
+        data += [(f"r{i}", "metadata", 200, ok), (f"r{i}", "recent", 200, b)]
+    data += [("r_ok", "metadata", 200, ok), ("r_ok", "recent", 200, "{}")]
+    got = {r.package_name: json.loads(r.raw_data) for r in flatten_package(_resp(spark, data), loaded_at=NOW).collect()}
+    assert set(got) == {f"good{i}" for i in range(len(good_meta))} | {"r_ok"}
+    assert [got[f"good{i}"]["release_count"] for i in range(len(good_meta))] == list(good_meta.values())
+    assert got["r_ok"]["downloads_last_week"] == 0
+
+
+def test_one_whole_response_is_taken(spark):
+    rows = [("o/x", "main", 200, '{"full_name":"old","size":9}', "2024-01-01 00:00:00"),
+            ("o/x", "main", 200, '{"full_name":"new"}', "2024-01-02 00:00:00"),
+            ("o/x", "releases", 200, '[{"tag_name":"v1"},{"tag_name":"v0"}]', "2024-01-01 00:00:00"),
+            ("o/x", "releases", 200, '[{"tag_name":"a"}]', "2024-01-02 00:00:00"),
+            ("o/y", "main", 200, "{}", "2024-01-01 00:00:00"), ("o/y", "main", 404, "{}", "2024-01-02 00:00:00")]
+    df = spark.createDataFrame(rows, "entity string, endpoint string, status int, body string, at string")
+    got = {r.repo_name: json.loads(r.raw_data) for r in flatten_repo(df, loaded_at=NOW, fetched_at="at").collect()}
+    assert set(got) == {"o/x"}
+    x = got["o/x"]
+    assert (x["full_name"], x["size"], x["releases_count"], x["latest_release"]["tag_name"]) == ("new", 0, 1, "a")
