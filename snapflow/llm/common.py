@@ -22,6 +22,11 @@ def partitions(df: DataFrame) -> int:
                df.sparkSession.sparkContext.defaultParallelism)
 
 
+def some_rows(df: DataFrame, n: int, size: int) -> DataFrame:
+    """About ``size`` of the ``n`` rows of a stored frame (all if there are no more), at most a tenth over."""
+    return df if n <= size else df.sample(size / n, seed=1).limit(size + size // 10)
+
+
 def utf8(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """A string or binary column as (all bytes, offsets of rows); null reads as empty."""
     if isinstance(col, pa.ChunkedArray):

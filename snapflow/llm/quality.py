@@ -5,7 +5,7 @@ expectation-maximisation estimates, for each labeller, how often it votes what o
 share of good ones, from the counts of vote patterns over all documents (at most ``3 ** labellers`` patterns, whatever
 the size of the corpus). The posterior of a pattern is the label of its documents. A linear scorer over hashed
 features of the whole text (shapes of words and of neighbouring words, repeats) is then trained on the posterior labels
-of a bounded sample of ``SAMPLE`` documents and scores every document; a document is kept if its score reaches the
+of a bounded sample of about ``SAMPLE`` documents and scores every document; a document is kept if its score reaches the
 threshold.
 
 No given label is used in training; ``labels`` only measure. Null and empty texts, or those without words, get the
@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.common import lower_ascii, mix64, pieces, utf8
+from snapflow.llm.common import lower_ascii, mix64, pieces, some_rows, utf8
 from snapflow.session import reliable_checkpoint
 
 #: Documents that the scorer is trained on; hashed features; bytes of text in one vectorised step.
@@ -257,10 +257,7 @@ def fit(found: DataFrame) -> tuple[LabelModel, np.ndarray] | None:
     total = np.array([r["count"] for r in counts], float)
     model = LabelModel(patterns, total)
     label = dict(zip((r["votes"] for r in counts), model.posterior(patterns).tolist(), strict=True))
-    sample = found.select("votes", "features")
-    if total.sum() > SAMPLE:
-        sample = sample.orderBy(F.xxhash64("features")).limit(SAMPLE)
-    got = sample.collect()
+    got = some_rows(found.select("votes", "features"), int(total.sum()), SAMPLE).collect()
     return model, train([_unpack(bytes(r["features"])) for r in got], np.array([label[r["votes"]] for r in got]))
 
 
