@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from snapflow.llm.common import mix64, partitions
+from snapflow.llm.common import mix64, partitions, some_rows
 from snapflow.llm.components import components
 from snapflow.session import reliable_checkpoint
 
@@ -152,9 +152,9 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     per = len(_variants(np.zeros(1, np.uint64), bits)[0])
     parts = max(1, -(-n * per // PART_ENTRIES))
     if n > SAMPLE:
-        some = fps.orderBy(F.xxhash64("fp")).limit(SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
+        some = some_rows(fps, n, SAMPLE).toPandas()["fp"].to_numpy(np.int64).view(np.uint64)
         k, c = np.unique(_variants(some, bits)[1], return_counts=True)
-        hot = k[c > SAMPLE * HOT_SHARE]
+        hot = k[c > len(some) * HOT_SHARE]
     else:
         hot = np.empty(0, np.uint64)
 
