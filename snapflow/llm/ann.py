@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from snapflow.llm.common import partitions
+from snapflow.llm.common import partitions, some_rows
 from snapflow.session import reliable_checkpoint
 
 #: Vectors a list should have; lists at most; vectors and queries sampled to place them; rounds of k-means.
@@ -140,7 +140,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     classes = classes.where(F.size("v") == dim)
     wide = F.transform("v", lambda x: x.cast("double"))
     norm = classes.agg(F.max(F.aggregate(wide, F.lit(0.0), lambda a, x: a + x * x))).first()[0]
-    sample = classes.orderBy(F.xxhash64("class")).limit(SAMPLE).select("v").toArrow().column("v").combine_chunks()
+    sample = some_rows(classes, n, SAMPLE).select("v").toArrow().column("v").combine_chunks()
     lists = max(1, min(MAX_LISTS, n // LIST, len(sample) // 8))
     space = spark.sparkContext.broadcast(Space(_matrix(sample, dim), norm, lists, k, recall))
 
