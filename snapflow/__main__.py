@@ -2,7 +2,7 @@
 
     python -m snapflow land    --docs DIR --key-path repo_name --key repo_name --target ROOT/raw_data/github_repos
     python -m snapflow flatten --responses PATH --kind repo --target ROOT/raw_data/github_repos
-    python -m snapflow daily   --root ROOT --mapping PATH [--as-of 2024-01-30] [--staging incremental]
+    python -m snapflow daily   --root ROOT --mapping PATH [--as-of 2024-01-30] [--catalog]
 
 Paths are Parquet folders except ``--docs`` (text files, one JSON document per line).
 The Spark session comes from ``spark-submit`` (``--master`` etc.); ``spark.checkpoint.dir``
@@ -43,9 +43,10 @@ def main(argv: list[str] | None = None) -> int:
     daily.add_argument("--root", required=True)
     daily.add_argument("--mapping", required=True, help="Parquet with technology_name, github_repo, pypi_package")
     daily.add_argument("--as-of", default=None)
-    daily.add_argument("--staging", choices=["full", "incremental"], default="full")
+    daily.add_argument("--staging", choices=["full", "incremental"], default="incremental")
     daily.add_argument("--trends-input", choices=["history", "metrics"], default="history")
     daily.add_argument("--no-gate", action="store_true")
+    daily.add_argument("--catalog", action="store_true", help="marts as catalog tables")
     daily.add_argument("--check", choices=["fail", "report", "off"], default="fail")
     a = p.parse_args(argv)
     spark = _session()
@@ -69,7 +70,8 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     from snapflow.plans.daily import RunConfig, run_daily
     cfg = RunConfig(root=a.root, as_of=dt.date.fromisoformat(a.as_of) if a.as_of else None, now=now,
-                    gate=not a.no_gate, check=a.check, staging=a.staging, trends_input=a.trends_input)
+                    gate=not a.no_gate, check=a.check, staging=a.staging, trends_input=a.trends_input,
+                    catalog=a.catalog)
     out = run_daily(spark, spark.read.parquet(a.mapping), cfg)
     if "checks" in out:
         for r in out["checks"].collect():          # one row per check

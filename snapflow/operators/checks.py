@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from snapflow.session import observed
+
 
 @dataclass(frozen=True)
 class Check:
@@ -130,11 +132,26 @@ def observe_not_null(df: DataFrame, model: str, checks: Sequence[Check]):
     return df.observe(obs, *aggs), obs, nn
 
 
-def observed_report(spark, obs, nn: Sequence[Check]) -> DataFrame:
-    """Report rows for checks gathered by ``observe_not_null`` (after the observed job ran)."""
-    got = obs.get if obs is not None else {}
-    data = [(c.model, c.check, c.column, int(got.get(f"c{i}", 0) or 0)) for i, c in enumerate(nn)]
-    return spark.createDataFrame(data, "model string, check string, column string, failures bigint")
+def _counts(spark, rows) -> DataFrame:
+    return spark.createDataFrame(rows, "model string, check string, column string, failures bigint")
+
+
+def observed_report(spark, obs, nn: Sequence[Check], df: DataFrame) -> DataFrame:
+    """Report rows for checks gathered by ``observe_not_null`` (after the observed job ran).
+
+    A count that is missing (the optimiser took the observed part out of the plan) is no pass:
+    it is taken again from ``df``.
+    """
+    return _counts(spark, [(c.model, c.check, c.column, observed(obs, f"c{i}", lambda c=c: check_not_null(df, c.column).count()))
+                           for i, c in enumerate(nn)])
+
+
+def counted_report(spark, nn: Sequence[Check], nulls: Mapping[str, int]) -> DataFrame:
+    """Report rows for not-null checks from null counts by column; a table without rows has none."""
+    missing = [c.column for c in nn if nulls and c.column not in nulls]
+    if missing:
+        raise ValueError(f"no null counts for {missing}")
+    return _counts(spark, [(c.model, c.check, c.column, nulls.get(c.column, 0)) for c in nn])
 
 
 def assert_checks(report: DataFrame) -> None:

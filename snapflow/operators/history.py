@@ -1,10 +1,15 @@
 """Keyed day-by-day history (H1-H4) and its one-pass closed form.
 
-The history table is Parquet partitioned by ``snapshot_date``. An increment compares
-current metrics with the newest stored row per entity (``W3`` + left join), then the
-upsert rewrites only the date partitions the new rows touch (dynamic partition
-overwrite): ``kept old rows of those dates (key anti-join) + new rows``. Everything is
-DataFrame work; the driver never sees rows.
+The history table is Parquet partitioned by ``snapshot_date``, in a folder or the catalog. An
+increment compares current metrics with the newest stored row per entity (``W3`` + left
+join), then the upsert rewrites only the date partitions the new rows touch (dynamic
+partition overwrite): ``kept old rows of those dates (key anti-join) + new rows``. Rows
+without a date match nothing and are appended. Everything is DataFrame work; the driver
+never sees rows.
+
+Beside the history stands a table with one row per entity (``_latest``): its newest stored
+row, first date and newest dates. It is marked stale before the history is written and
+clear once it follows, so after a stop between the two writes it is derived anew.
 """
 
 from __future__ import annotations
@@ -12,13 +17,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql.types import DateType
 
 from snapflow.functions.scalars import build_time, delta
 from snapflow.operators.latest import latest_per_key
 from snapflow.session import reliable_checkpoint
+from snapflow.sources import sinks
 
 log = logging.getLogger(__name__)
 
@@ -39,12 +45,18 @@ DELTAS = {
     "issues_change": "open_issues",
 }
 _CARRIED = HISTORY_COLUMNS[:23]           # metrics columns kept in history (no download ratios)
+# Dates kept per entity in the latest table: retention, look-back and some to spare.
+RECENT_DATES = 150
 
 
 def latest_rows(history: DataFrame, key: str = "technology_name", tiebreak: Sequence[str] = ()) -> DataFrame:
-    """Newest stored row per entity (``snapshot_date DESC``, NULL dates first), measures only."""
-    cols = [key, "snapshot_date", *DELTAS.values(), *tiebreak]
-    return latest_per_key(history.select(*dict.fromkeys(cols)), key, "snapshot_date", tiebreak)
+    """Newest stored row per entity (``snapshot_date DESC``, NULL dates first), measures only.
+
+    Rows of one date (only undated ones can be several) go by their build time, newest first.
+    """
+    built = ["history_created_at"] if "history_created_at" in history.columns else []
+    cols = [key, "snapshot_date", *DELTAS.values(), *tiebreak, *built]
+    return latest_per_key(history.select(*dict.fromkeys(cols)), key, "snapshot_date", [*tiebreak, *built])
 
 
 def history_rows(metrics: DataFrame, history: DataFrame | None = None, now=None,
@@ -78,45 +90,40 @@ def check_unique_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def merge_frame(target: DataFrame, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
-                part: str = "snapshot_date", max_dates: int = 100_000) -> DataFrame:
-    """Contents of every partition ``rows`` touches after the merge.
+                part: str = "snapshot_date", max_dates: int = 400) -> DataFrame:
+    """Contents of every dated partition ``rows`` touches after the merge.
 
-    Old rows of the touched dates (the NULL-date partition keeps its old rows) minus those
-    whose key the new rows replace (plain equality: a NULL key never matches, as in a SQL
-    MERGE), plus the new rows.
+    Old rows of the touched dates minus those whose key the new rows replace, plus the new
+    rows. Rows without a date match nothing (a NULL key never equals another, as in a SQL
+    MERGE), so their partition is not rewritten and they are not part of the result.
 
-    The touched dates are read back as a literal list when there are at most
-    ``max_dates`` of them (dates are bounded by the calendar; a daily run touches one or
-    a few), so the target scan gets a static partition filter and reads only those
-    partitions. Beyond that the dates are applied as a null-safe semi-join.
+    Up to ``max_dates`` touched dates (a daily run touches one or a few) become a literal
+    list, beyond that a range and a semi-join: either way the target scan gets a static
+    partition filter.
     """
-    found = [r[0] for r in rows.select(part).distinct().limit(max_dates + 1).collect()]
+    rows = rows.where(F.col(part).isNotNull())
+    dates = rows.select(part).distinct()
+    found = [r[0] for r in dates.limit(max_dates + 1).collect()]
     if len(found) <= max_dates:
-        dated = [d for d in found if d is not None]
-        cond = F.lit(False)
-        if dated:
-            cond = cond | F.col(part).isin(dated)
-        if len(dated) < len(found):
-            cond = cond | F.col(part).isNull()
-        touched = target.where(cond)
+        touched = target.where(F.col(part).isin(found))
     else:
-        dates = rows.select(F.col(part).alias("__d")).distinct()
-        touched = target.join(dates, target[part].eqNullSafe(dates["__d"]), "left_semi")
+        low, high = rows.agg(F.min(part), F.max(part)).first()
+        touched = target.where(F.col(part).between(low, high)).join(dates, part, "left_semi")
     kept = touched.join(rows.select(*keys), list(keys), "left_anti")
-    return kept.unionByName(rows.select(*target.columns))
+    return kept.select(*target.columns).unionByName(rows.select(*target.columns))
 
 
-def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
+def upsert(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
            part: str = "snapshot_date", checkpoint: bool = True) -> None:
-    """Merge ``rows`` into the Parquet table at ``path`` (created on first use).
+    """Merge ``rows`` into the table ``target``, a folder or a catalog table (created on first use).
 
-    Same columns as the table: only the partitions present in ``rows`` are rewritten
-    (dynamic partition overwrite: one job, one commit; other dates are not touched).
-    Columns changed (``sync_all_columns``): every partition must change, so the synced
-    table is first checkpointed to the shared checkpoint folder and the whole table is
-    rewritten from that reliable copy.
+    Same columns as the table: only the dated partitions present in ``rows`` are rewritten
+    (dynamic partition overwrite: one job, one commit; other dates are not touched), and
+    rows without a date are appended. Columns changed (``sync_all_columns``): every
+    partition must change, so the synced table is written beside the old one and takes its
+    place when it is whole.
 
-    ``rows`` is checkpointed first, so the duplicate-key check and the write see the same
+    ``rows`` is checkpointed first, so the duplicate-key check and the writes see the same
     rows, and a lost executor recomputes from the reliable copy, not from the table
     being rewritten.
     """
@@ -125,70 +132,82 @@ def upsert(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str]
     dups = check_unique_keys(rows, keys)
     if dups.limit(1).count():
         raise ValueError(f"incoming rows repeat a merge key {tuple(keys)}")
-    cols = [c for c in rows.columns if c != part] + [part]
-    target = read_table(spark, path)
-    if target is None:
-        _by_partition(rows.select(*cols), part).write.mode("overwrite").partitionBy(part).parquet(path)
+    old = read_history(spark, target, part, rows.schema[part].dataType)
+    if old is None:
+        sinks.write_table(rows, target, [part])
         return
-    same = {(f.name, f.dataType) for f in target.schema.fields} == {(f.name, f.dataType) for f in rows.schema.fields}
-    if same:
-        out = _by_partition(merge_frame(target, rows.select(*target.columns), keys, part).select(*cols), part)
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(part).parquet(path))
+    if {(f.name, f.dataType) for f in old.schema.fields} == {(f.name, f.dataType) for f in rows.schema.fields}:
+        rows = rows.select(*old.columns)
+        sinks.overwrite_partitions(merge_frame(old, rows, keys, part), target, part)
+        undated = rows.where(F.col(part).isNull())
+        if not undated.isEmpty():
+            sinks.append(undated, target, part)
         return
-    synced = reliable_checkpoint(sync_columns(target, rows))
+    synced = sync_columns(old, rows)
     kept = synced.join(rows.select(*keys), list(keys), "left_anti")
-    out = _by_partition(kept.unionByName(rows.select(*synced.columns)).select(*cols), part)
-    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(part).parquet(path)
+    sinks.write_table(kept.select(*rows.columns).unionByName(rows), target, [part])
 
 
-def _by_partition(df: DataFrame, part: str) -> DataFrame:
-    """Cluster rows by the partition column before a partitioned write.
+def read_history(spark: SparkSession, target: str, part: str = "snapshot_date", part_type=None) -> DataFrame | None:
+    """The history with its partition column typed, or None before the first run."""
+    return sinks.read_table(spark, target, {part: part_type or DateType()})
 
-    A ``rebalance`` hint: hash-partitions on ``part`` so each date lands in one task
-    (one file per date instead of one per task and date), while adaptive execution
-    splits a date that is too big for one task and packs small dates together.
-    """
-    return df.hint("rebalance", part)
+
+def latest_path(target: str) -> str:
+    return target.rstrip("/") + "_latest"
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException:
-        return None
+def _entity_state(rows: DataFrame, key: str, part: str, seq: Column, first: Column, recent: Column) -> DataFrame:
+    """One row per entity: newest row (by date, undated first, then ``seq`` and build time), first and newest dates."""
+    kept = [part, *DELTAS.values(), "history_created_at"]
+    at = F.struct(F.col(part).isNull().alias("undated"), F.col(part), seq.alias("seq"), F.col("history_created_at").alias("built"))
+    rows = rows.select(key, F.struct(at.alias("at"), F.struct(*kept).alias("row")).alias("x"), first.alias("first"), recent.alias("recent"))
+    dates = F.array_distinct(F.flatten(F.collect_list("recent")))
+    return (rows.groupBy(key).agg(F.max_by("x.row", "x.at").alias("row"), F.min("first").alias("first_snapshot_date"),
+                                  F.slice(F.sort_array(dates, asc=False), 1, RECENT_DATES).alias("recent_dates"))
+            .select(key, "row.*", "first_snapshot_date", "recent_dates"))
 
 
-def latest_path(path: str) -> str:
-    return path.rstrip("/") + "_latest"
+def derive_latest(history: DataFrame, key: str = "technology_name", part: str = "snapshot_date") -> DataFrame:
+    """The latest table from the whole history (dates per entity are bounded by the days of the history)."""
+    return _entity_state(history, key, part, F.lit(0), F.col(part), F.array_compact(F.array(part)))
 
 
-def upsert_with_latest(spark: SparkSession, path: str, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
+def previous_rows(spark: SparkSession, target: str, key: str = "technology_name",
+                  part: str = "snapshot_date") -> DataFrame | None:
+    """Newest stored row per entity: the latest table if it follows the history, else from the history; None before
+    the first run."""
+    if not sinks.is_stale(spark, latest_path(target)):
+        return sinks.read_table(spark, latest_path(target), {part: DateType()})
+    history = read_history(spark, target, part)
+    return None if history is None else derive_latest(history, key, part)
+
+
+def upsert_with_latest(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
                        part: str = "snapshot_date", key: str = "technology_name") -> DataFrame:
-    """``upsert`` plus a one-row-per-entity table of each entity's newest stored row.
+    """``upsert`` plus the table of each entity's newest stored row, first date and newest dates.
 
-    The next increment reads that small table (``previous=``) instead of scanning the
+    The next increment reads that small table (``previous_rows``) instead of scanning the
     whole history for every entity's latest row, so a daily run costs O(entities), not
     O(history). New rows win over stored rows of the same date (the merge replaces them).
     Returns the new latest table.
-
-    The history is written first (it is the source of truth), the latest table second.
-    If a run stops between the two writes, remove the latest table: the next call
-    derives it again from the whole history.
     """
     rows = reliable_checkpoint(rows)
-    upsert(spark, path, rows, keys, part, checkpoint=False)
-    lp = latest_path(path)
-    old = read_table(spark, lp)
-    if old is None:                       # first use: derive it once from the whole table
-        latest = latest_rows(spark.read.parquet(path), key)
+    latest = latest_path(target)
+    old = None if sinks.is_stale(spark, latest) else sinks.read_table(spark, latest, {part: DateType()})
+    sinks.mark_stale(spark, latest)
+    upsert(spark, target, rows, keys, part, checkpoint=False)
+    if old is None:                       # first use, or a run stopped before: derive it from the whole table
+        whole = read_history(spark, target, part)
+        new = derive_latest(rows if whole is None else whole, key, part)
     else:
-        new = latest_rows(rows, key)
-        both = new.withColumn("__seq", F.lit(1)).unionByName(old.select(*new.columns).withColumn("__seq", F.lit(0)))
-        latest = latest_per_key(both, key, "snapshot_date", ["__seq"]).drop("__seq")
-    latest = reliable_checkpoint(latest)  # cut from the table it replaces before overwriting it
-    latest.write.mode("overwrite").parquet(lp)
-    return spark.read.parquet(lp)
+        fresh = rows.select(key, part, *DELTAS.values(), "history_created_at", F.col(part).alias("first_snapshot_date"),
+                            F.array_compact(F.array(part)).alias("recent_dates"), F.lit(1).alias("seq"))
+        both = fresh.unionByName(old.withColumn("seq", F.lit(0)))
+        new = _entity_state(both, key, part, F.col("seq"), F.col("first_snapshot_date"), F.col("recent_dates"))
+    sinks.write_table(new, latest)
+    sinks.clear_stale(spark, latest)
+    return sinks.read_table(spark, latest)
 
 
 def sync_columns(target: DataFrame, rows: DataFrame) -> DataFrame:
@@ -207,13 +226,15 @@ def rebuild_history(snapshots: DataFrame, key: str = "technology_name", date_col
     With one row per entity and date, the change is ``m - coalesce(lag(m), 0)`` per
     entity in date order, and 0 for every row of the very first date (the first run).
     One shuffle by entity and one window, instead of one merge per day. The first date
-    is a scalar subquery (a global ``min``, computed once and inlined), not a join.
+    is a scalar subquery (a global ``min``, computed once and inlined), not a join. A row
+    without a date has no place in the order of the days and is an error.
     """
     measures = measures or DELTAS
     w = Window.partitionBy(key).orderBy(F.col(date_col).asc_nulls_last())
     first_day = snapshots.agg(F.min(date_col)).scalar()
     return snapshots.withColumns({
-        c: F.when(F.col(date_col) == first_day, F.lit(0).cast("bigint"))
+        c: F.when(F.col(date_col).isNull(), F.raise_error(F.lit(f"{date_col} is null")).cast("bigint"))
+            .when(F.col(date_col) == first_day, F.lit(0).cast("bigint"))
             .otherwise(delta(F.col(m), F.lag(F.col(m)).over(w)))
         for c, m in measures.items()
     })

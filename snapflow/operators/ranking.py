@@ -20,9 +20,9 @@ task. It rests on ``rank = 1 + (rows ordered strictly before this one)``:
 5. ``rank = 1 + earlier buckets + earlier in bucket``, joined back to the rows on
    ``(group, value)`` (null-safe). Adaptive execution splits a skewed join partition.
 
-Steps 2-4 are skipped when a probe of ``H`` shows that no group has more than
-``max_values_per_task`` distinct values: one running count per group over ``H`` is then
-already bounded per task. Ranks are exact; only the bucket sizes are approximate.
+The number of buckets follows the widest group: one bucket for every ``per_bucket``
+distinct values, so a task's work is bounded however wide a group gets, and narrow
+groups have the one bucket. Ranks are exact; only the bucket sizes are approximate.
 """
 
 from __future__ import annotations
@@ -32,30 +32,31 @@ from pyspark.sql import functions as F
 
 from snapflow.session import reliable_checkpoint
 
+#: Distinct values of a group that one task counts through.
+PER_BUCKET = 1_000_000
 
-def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "auto",
-              buckets: int = 32, rank_input: DataFrame | None = None) -> DataFrame:
+
+def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "split",
+              per_bucket: int = PER_BUCKET, rank_input: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = rank of ``value`` (descending, NULLs first) within ``group``.
 
     ``rank_input`` (split strategy): a narrower frame holding the same ``(group, value)``
     rows to rank from, e.g. the source before later windows; defaults to ``df``.
     """
-    if strategy == "auto":
-        strategy = "split"
     if strategy == "window":
         w = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_first())
         return df.withColumn(out, F.rank().over(w).cast("bigint"))
     if strategy != "split":
         raise ValueError(f"unknown rank strategy {strategy!r}")
     src = df if rank_input is None else rank_input
-    r = rank_table(src.select(group, value), group, value, out, buckets).select(
+    r = rank_table(src.select(group, value), group, value, out, per_bucket).select(
         F.col(group).alias("__rg"), F.col(value).alias("__rv"), out)
     cond = F.col(group).eqNullSafe(F.col("__rg")) & F.col(value).eqNullSafe(F.col("__rv"))
     return df.join(r, cond, "left").drop("__rg", "__rv")
 
 
-def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 32,
-               accuracy: int = 500, checkpoint: bool = True, max_values_per_task: int = 1_000_000) -> DataFrame:
+def rank_table(df: DataFrame, group: str, value: str, out: str, per_bucket: int = PER_BUCKET,
+               accuracy: int = 500) -> DataFrame:
     """``(group, value, out)``: the rank of every distinct ``(group, value)``.
 
     The pre-aggregate ``H`` feeds three branches (bucket bounds, bucket offsets, in-bucket
@@ -64,27 +65,17 @@ def rank_table(df: DataFrame, group: str, value: str, out: str, buckets: int = 3
     is left to adaptive execution, which broadcasts it when its measured size is under
     the broadcast threshold and shuffles otherwise.
     """
-    h = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
-    if checkpoint:
-        h = reliable_checkpoint(h)
-    # Size check on the (small) pre-aggregate: when no group has more than
-    # ``max_values_per_task`` distinct values, one running count per group over ``H`` is
-    # already bounded per task and the bucketing steps are skipped.
+    h = reliable_checkpoint(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n")))
     widest = h.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    if widest <= max_values_per_task:
-        before = F.sum("__n").over(Window.partitionBy(group).orderBy(F.col(value).desc_nulls_first())
-                                   .rowsBetween(Window.unboundedPreceding, -1))
-        return h.select(group, value, (F.lit(1) + F.coalesce(before, F.lit(0))).cast("bigint").alias(out))
-    pcts = [i / buckets for i in range(1, buckets)]
-    bounds = (h.where(F.col(value).isNotNull()).groupBy(group)
-               .agg(F.percentile_approx(value, pcts, accuracy).alias("__bounds")))
-    bounds = bounds.select(F.col(group).alias("__bg"), "__bounds")
-    hb = h.join(bounds, F.col(group).eqNullSafe(F.col("__bg")), "left").withColumn(
-        "__b",
-        F.when(F.col(value).isNull(), F.lit(-1)).otherwise(
-            F.when(F.col("__bounds").isNull(), F.lit(0))
-             .otherwise(F.size(F.filter("__bounds", lambda x: x > F.col(value))))),
-    ).drop("__bounds", "__bg")
+    buckets = max(1, -(-widest // per_bucket))
+    null_first = F.when(F.col(value).isNull(), F.lit(-1))
+    if buckets == 1:
+        hb = h.withColumn("__b", null_first.otherwise(F.lit(0)))
+    else:
+        bounds = h.where(F.col(value).isNotNull()).groupBy(group).agg(F.percentile_approx(
+            value, [i / buckets for i in range(1, buckets)], max(accuracy, 10 * buckets)).alias("__bounds"))
+        hb = h.join(bounds.withColumnRenamed(group, "__bg"), F.col(group).eqNullSafe(F.col("__bg")), "left").withColumn(
+            "__b", null_first.otherwise(F.size(F.filter("__bounds", lambda x: x > F.col(value))))).drop("__bounds", "__bg")
     g = hb.groupBy(group, "__b").agg(F.sum("__n").alias("__bn"))
     before_bucket = F.sum("__bn").over(
         Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))

@@ -15,7 +15,9 @@ tasks instead of sorting it in one.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -74,8 +76,35 @@ def with_lags(df: DataFrame, w: WindowSpec, specs: dict[str, tuple[str, int]]) -
 LOOKBACK_ROWS = max([n for _, n in MOVING_AVERAGES.values()] + [k for _, k in LOOK_BACKS.values()])
 
 
+@dataclass
+class LookBack:
+    start: dt.date | None              # no partition before this date is read ...
+    deep: DataFrame | None = None      # ... but for these entities
+
+
+def look_back_start(state: DataFrame, as_of, days: int = RETENTION_DAYS, rows: int = LOOKBACK_ROWS,
+                    band_days: int = 90) -> LookBack:
+    """From which date on the history must be read for the retained days, and for which entities before that.
+
+    ``state`` has one row per entity: ``first_snapshot_date`` and ``recent_dates`` (the newest dates, in descending
+    order). An entity with retained rows needs its ``rows`` newest dates before the cut, or all of them if it has
+    fewer. The start is the least such date within ``band_days`` before the cut; entities that need more (sparse ones,
+    or those whose kept dates don't reach far enough) are listed to be read in full. The driver gets one row.
+    """
+    cut = F.date_sub(_as_date(as_of), days)
+    older = F.filter("recent_dates", lambda d: d < cut)
+    # the last of the older dates that count; if the list ends before, only the first date is known
+    need = F.when(F.size(older) >= rows, F.get(older, F.lit(rows - 1))).otherwise(F.col("first_snapshot_date"))
+    known = state.where(F.get("recent_dates", F.lit(0)) >= cut).select(
+        F.col("technology_name"), F.least(need, cut).alias("need"))
+    band = F.date_sub(cut, band_days)
+    deep = known.where(F.col("need") < band).select("technology_name")
+    start, n_deep = known.agg(F.min(F.when(F.col("need") >= band, F.col("need"))), F.count_if(F.col("need") < band)).first()
+    return LookBack(start, deep if n_deep else None)
+
+
 def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Sequence[str],
-                      band_days: int | None = None) -> DataFrame:
+                      look_back: LookBack | None = None) -> DataFrame:
     """Retained rows plus, per entity, only the ``rows`` newest rows before the cut.
 
     Frames and look-backs of retained rows reach at most ``rows`` rows back, so older
@@ -84,25 +113,19 @@ def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Se
     history. The cut-off top-N runs as a ``WindowGroupLimit`` (partial top-N per task
     before the shuffle). Undated rows sort after dated ones and so never precede them.
 
-    ``band_days``: read the ``band_days`` before the cut first; partitions older than that
-    are read only for entities (with retained rows) that still have fewer than ``rows``
-    rows in the band, and not at all when there are none. With daily snapshots the band
-    holds every needed row, so the scan covers retention + band instead of all history.
-    Exact in every case.
+    ``look_back`` (see ``look_back_start``) also bounds the scan: partitions before its start
+    are read for its listed entities only, and not at all when there are none. Exact in
+    every case.
     """
     cut = F.date_sub(_as_date(as_of), days)
     kept = base.where(F.col("snapshot_date") >= cut)
     older = base.where(F.col("snapshot_date") < cut)
-    if band_days is not None:
-        band_start = F.date_sub(cut, band_days)
-        band = older.where(F.col("snapshot_date") >= band_start)
-        full = band.groupBy("technology_name").count().where(F.col("count") >= rows).select("technology_name")
-        short = kept.select("technology_name").distinct().join(full, "technology_name", "left_anti")
-        if short.limit(1).count():                       # some entity needs older partitions
-            deep = older.where(F.col("snapshot_date") < band_start).join(short, "technology_name", "left_semi")
-            older = band.unionByName(deep)
-        else:
-            older = band
+    if look_back is not None:
+        start = cut if look_back.start is None else F.lit(look_back.start)
+        near = older.where(F.col("snapshot_date") >= start)
+        if look_back.deep is not None:
+            near = near.unionByName(older.where(F.col("snapshot_date") < start).join(look_back.deep, "technology_name", "left_semi"))
+        older = near
     w = Window.partitionBy("technology_name").orderBy(
         F.col("snapshot_date").desc(), *[F.col(t).desc_nulls_first() for t in tiebreak])
     older = older.withColumn("__k", F.row_number().over(w)).where(F.col("__k") <= rows).drop("__k")
@@ -111,21 +134,20 @@ def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Se
 
 def build_trends(snapshots: DataFrame, as_of=None, days: int | None = RETENTION_DAYS,
                  key: str = "technology_name", date_col: str = "snapshot_date",
-                 tiebreak: Sequence[str] = (), rank_strategy: str = "auto",
-                 lookback_band_days: int | None = None) -> DataFrame:
+                 tiebreak: Sequence[str] = (), rank_strategy: str = "split",
+                 look_back: LookBack | None = None) -> DataFrame:
     """Trend fact (14 columns) from any snapshot frame with ``key``, ``date_col``,
     ``github_stars``, ``github_forks``, ``pypi_downloads_daily``.
 
     ``as_of``: the day the 90-day retention counts back from (``None`` = current date);
-    ``days=None`` keeps every row. ``lookback_band_days``: see ``_bounded_lookback``
-    (worth setting when snapshots are roughly daily, e.g. 2 x 30).
+    ``days=None`` keeps every row. ``look_back``: how far back the scan must go, see
+    ``look_back_start``; without it older partitions are scanned whole.
     """
     base = snapshots.select(
         F.col(key).alias("technology_name"), F.col(date_col).alias("snapshot_date"),
         "github_stars", "github_forks", "pypi_downloads_daily", *tiebreak)
     w = entity_window("technology_name", "snapshot_date", tiebreak)
-    src = base if days is None else _bounded_lookback(base, as_of, days, LOOKBACK_ROWS, tiebreak,
-                                                      lookback_band_days)
+    src = base if days is None else _bounded_lookback(base, as_of, days, LOOKBACK_ROWS, tiebreak, look_back)
     t = with_moving_averages(src, w, MOVING_AVERAGES)
     t = with_lags(t, w, LOOK_BACKS)
     if days is not None:

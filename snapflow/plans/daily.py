@@ -4,6 +4,9 @@ Plain driver code calling the operators; every step is one or more Spark jobs. M
 that several later steps read (dimension, metrics) are written as tables and read back,
 which both materialises them once and cuts the lineage so a lost executor recomputes
 from the stored table, not from the raw JSON.
+
+Staging parses only what has landed since the run before (``staging="incremental"``); its
+results and check counts are those of staging every document ever landed (``"full"``).
 """
 
 from __future__ import annotations
@@ -14,16 +17,17 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from snapflow.operators.checks import (DEFAULT_CHECKS, assert_checks, observe_not_null, observed_report,
-                                       run_checks)
+from snapflow.operators.checks import (DEFAULT_CHECKS, assert_checks, counted_report, observe_not_null,
+                                       observed_report, run_checks)
 from snapflow.operators.dimension import build_dimension
-from snapflow.operators.history import history_rows, latest_path, latest_rows, read_table, upsert_with_latest
+from snapflow.operators.history import history_rows, previous_rows, read_history, upsert_with_latest
 from snapflow.operators.metrics import build_metrics
 from snapflow.operators.staging import stage_packages, stage_repos
-from snapflow.operators.trends import build_trends
+from snapflow.operators.trends import build_trends, look_back_start
 from snapflow.sources.freshness import assert_fresh
 from snapflow.sources.raw import read_raw
-from snapflow.sources.sinks import as_view, qualify, write_table
+from snapflow.sources.sinks import as_view, qualify, read_table, table_exists, write_table
+from snapflow.streaming.latest import compact_latest, landing_schema, null_counts, read_latest, stream_latest
 
 log = logging.getLogger(__name__)
 
@@ -37,8 +41,9 @@ class RunConfig:
     check: str = "fail"                         # "fail": stop on a failed check; "report": only report; "off"
     trends_input: str = "history"               # "history" (moving windows) or "metrics" (literal)
     retention_days: int | None = 90
-    lookback_band_days: int | None = 60        # history is daily: the 30 rows before the cut lie in ~60 days
-    staging: str = "full"                       # "full": stage every raw row; "incremental": only new files
+    staging: str = "incremental"                # only newly landed files; "full": every raw row, same results
+    compact_epochs: int = 8                     # micro-batches in the staged log that make the run compact it
+    catalog: bool = False                       # marts as catalog tables "schema.name" instead of folders
     doc_type: str = "string"                    # how landing folders store documents: "string" or "variant"
     repo_tiebreak: tuple[str, ...] | None = None    # None: every atomic staged column (deterministic)
     package_tiebreak: tuple[str, ...] | None = None
@@ -50,8 +55,9 @@ class RunConfig:
         return f"{self.root.rstrip('/')}/{name}"
 
     def table(self, name: str, schema: str | None = None) -> str:
-        """Folder of a model: ``<root>/<schema>/<name>`` with the schema chosen by ``qualify``."""
-        return self.path(qualify(schema, name, self.default_schema).replace(".", "/"))
+        """A model's table: ``schema.name`` with the schema chosen by ``qualify``, or its folder under the root."""
+        target = qualify(schema, name, self.default_schema)
+        return target if self.catalog else self.path(target.replace(".", "/"))
 
     @property
     def raw_repos(self) -> str:
@@ -82,19 +88,22 @@ def example_mapping(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(EXAMPLE_MAPPING, "technology_name string, github_repo string, pypi_package string")
 
 
-def _materialize(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
-    write_table(df, path, partition_by)
-    return spark.read.parquet(path)
+def _materialize(spark: SparkSession, df: DataFrame, target: str, partition_by=None) -> DataFrame:
+    write_table(df, target, partition_by)
+    return read_table(spark, target)
 
 
 def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
-    from snapflow.streaming.latest import landing_schema, read_latest, stream_latest
+    """Latest staged rows per key after taking up newly landed files, and the folder of their log."""
     name = landing.rstrip("/").rsplit("/", 1)[-1]
     out, ckpt = cfg.path(f"staging/{name}_latest"), cfg.path(f"_streams/{name}")
+    empty = stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
+    table_exists(spark, out)                  # a stopped compaction is finished before the log is written to
     stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type).awaitTermination()
-    if read_table(spark, out) is None:        # nothing landed yet: an empty staged relation
-        return stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
-    return read_latest(spark, out, key, tiebreak=tiebreak)
+    compact_latest(spark, out, key, tiebreak=tiebreak, min_epochs=cfg.compact_epochs)
+    if not table_exists(spark, out):          # nothing landed yet
+        return empty, out
+    return read_latest(spark, out, key, tiebreak=tiebreak, schema=empty.schema), out
 
 
 def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:
@@ -104,47 +113,64 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     if cfg.gate:
         counts = assert_fresh({"github_repos": raw_r, "pypi_packages": raw_p}, as_of)
         log.info("fresh rows on %s: %s", as_of, counts)
+    staged = {"stg_github_repos": (raw_r, stage_repos), "stg_pypi_packages": (raw_p, stage_packages)}
+    checks = [] if cfg.check == "off" else list(cfg.checks)
+    counted: list = []                        # reports of staging checks that need no pass of their own
     if cfg.staging == "incremental":
-        # Parse only documents landed since the last run; the stream state keeps the
-        # latest staged row per key (see snapflow.streaming.latest).
-        stg_r = _incremental_latest(spark, cfg, cfg.raw_repos, "repo_name", stage_repos, cfg.repo_tiebreak)
-        stg_p = _incremental_latest(spark, cfg, cfg.raw_packages, "package_name", stage_packages,
-                                    cfg.package_tiebreak)
-    else:
+        stg_r, log_r = _incremental_latest(spark, cfg, cfg.raw_repos, "repo_name", stage_repos, cfg.repo_tiebreak)
+        stg_p, log_p = _incremental_latest(spark, cfg, cfg.raw_packages, "package_name", stage_packages,
+                                           cfg.package_tiebreak)
+        for model, out in (("stg_github_repos", log_r), ("stg_pypi_packages", log_p)):
+            nn = [c for c in checks if c.model == model and c.check == "not_null"]
+            if nn:
+                nulls = null_counts(spark, out)
+                counted.append((nn, lambda nn=nn, nulls=nulls: counted_report(spark, nn, nulls)))
+    elif cfg.staging == "full":
         stg_r = stage_repos(raw_r)                                  # inlined (never stored)
         stg_p = as_view(stage_packages(raw_p), "stg_pypi_packages")  # a named view
-    observed = []
-    if cfg.check != "off" and cfg.staging != "incremental":
         # staging checks ride along with the dimension build instead of re-parsing every document
-        stg_r, o_r, nn_r = observe_not_null(stg_r, "stg_github_repos", cfg.checks)
-        stg_p, o_p, nn_p = observe_not_null(stg_p, "stg_pypi_packages", cfg.checks)
-        observed = [(o_r, nn_r), (o_p, nn_p)]
+        stg_r, o_r, nn_r = observe_not_null(stg_r, "stg_github_repos", checks)
+        stg_p, o_p, nn_p = observe_not_null(stg_p, "stg_pypi_packages", checks)
+        for o, nn, model in ((o_r, nn_r, "stg_github_repos"), (o_p, nn_p, "stg_pypi_packages")):
+            if nn:
+                raw, stage = staged[model]
+                counted.append((nn, lambda o=o, nn=nn, raw=raw, stage=stage: observed_report(spark, o, nn, stage(raw))))
+    else:
+        raise ValueError(f"unknown staging {cfg.staging!r}")
     dim = _materialize(spark, build_dimension(mapping, stg_r, stg_p, now=cfg.now,
                                               repo_tiebreak=cfg.repo_tiebreak,
                                               package_tiebreak=cfg.package_tiebreak),
                        cfg.table("dim_technologies", cfg.marts_schema))
     met = _materialize(spark, build_metrics(dim), cfg.table("fct_technology_metrics", cfg.marts_schema))
-    hist_path = cfg.table("fct_technology_history", cfg.marts_schema)
-    existing = read_table(spark, hist_path)                      # first-run switch
-    previous = read_table(spark, latest_path(hist_path))         # one row per entity, not the whole history
-    if previous is None and existing is not None:
-        previous = latest_rows(existing)
-    upsert_with_latest(spark, hist_path, history_rows(met, None, now=cfg.now, previous=previous))
-    hist = spark.read.parquet(hist_path)
-    source = hist if cfg.trends_input == "history" else met
-    trends = _materialize(spark, build_trends(source, as_of=as_of, days=cfg.retention_days,
-                                                      lookback_band_days=cfg.lookback_band_days),
-                          cfg.table("fct_technology_trends", cfg.marts_schema))
-    out = {"stg_github_repos": stg_r, "stg_pypi_packages": stg_p, "dim_technologies": dim,
-           "fct_technology_metrics": met, "fct_technology_history": hist, "fct_technology_trends": trends}
+    target = cfg.table("fct_technology_history", cfg.marts_schema)
+    previous = previous_rows(spark, target)                      # one row per entity; None on the first run
+    rows = history_rows(met, None, now=cfg.now, previous=previous)
+    state = upsert_with_latest(spark, target, rows)
+    hist = read_history(spark, target)
+    if hist is None:                                             # no rows yet
+        hist = spark.createDataFrame([], rows.schema)
+    if cfg.trends_input == "history":
+        back = None if cfg.retention_days is None else look_back_start(state, as_of, cfg.retention_days)
+        trend = build_trends(hist, as_of=as_of, days=cfg.retention_days, look_back=back)
+    else:
+        trend = build_trends(met, as_of=as_of, days=cfg.retention_days)
+    trends = _materialize(spark, trend, cfg.table("fct_technology_trends", cfg.marts_schema))
     result = {"dimension": dim, "metrics": met, "history": hist, "trends": trends}
     if cfg.check != "off":
-        done = {id(c) for _, nn in observed for c in nn}
-        rest = [c for c in cfg.checks if id(c) not in done]
-        report = run_checks(out, rest)
-        for o, nn in observed:
-            if nn:
-                report = report.unionByName(observed_report(spark, o, nn))
+        done = {id(c) for nn, _ in counted for c in nn}
+        out = {"dim_technologies": dim, "fct_technology_metrics": met, "fct_technology_history": hist,
+               "fct_technology_trends": trends}
+        # other checks of staged rows look at all of them, too
+        out |= {m: stage(raw) for m, (raw, stage) in staged.items()}
+        reports = [r() for _, r in counted]
+        rest = [c for c in checks if id(c) not in done and c.model in out]
+        if rest:
+            reports.append(run_checks(out, rest))
+        if not reports:
+            raise ValueError("no checks apply to the tables of the run")
+        report = reports[0]
+        for r in reports[1:]:
+            report = report.unionByName(r)
         if cfg.check == "fail":
             assert_checks(report)
         result["checks"] = report

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 import datetime as dt
 
-from snapflow.plans.queries import AS_OF, DAILY_AS_OF, FRESH_DAY, NOW, PACKAGES_LOADED_AT
+from snapflow.plans.daily import EXAMPLE_MAPPING
+from snapflow.plans.queries import AS_OF, DAILY_AS_OF, FRESH_DAY, NOW, ORDER_CUT, PACKAGES_LOADED_AT, REPO_CUT, RUNS
 
 _NOW = f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'"
 _CUT = (AS_OF - dt.timedelta(days=90)).isoformat()
@@ -480,4 +481,66 @@ UNION ALL {_nn("fct_technology_metrics", "met", "snapshot_date")}
 UNION ALL SELECT 'stg_pypi_packages', 'unique', 'package_name', count(*) FROM (
   SELECT package_name FROM stg_packages WHERE package_name IS NOT NULL GROUP BY 1 HAVING count(*) > 1) p"""
 
-ORACLE_SQL["daily_run"] = _daily_dim() + ",\n" + METRICS_SELECT + ",\n" + _trends_sql("met", _DAILY_CUT)
+ORACLE_SQL["daily_trends"] = _daily_dim() + ",\n" + METRICS_SELECT + ",\n" + _trends_sql("met", _DAILY_CUT)
+ORACLE_SQL["daily_rank_buckets"] = ORACLE_SQL["daily_rank"]
+ORACLE_SQL["trends_look_back"] = ORACLE_SQL["trends"]
+
+
+def _ts(t: dt.datetime) -> str:
+    return f"TIMESTAMP '{t:%Y-%m-%d %H:%M:%S}'"
+
+
+def _run_ctes(last: int) -> str:
+    """Staging to metrics over what has landed by the given run (0: the first)."""
+    loaded = f"CASE WHEN o_orderdate < TIMESTAMP '{ORDER_CUT}' THEN {_ts(RUNS[0][1])} ELSE {_ts(RUNS[1][1])} END"
+    repos, orders = STG_REPOS, f"stg_packages AS (\n  SELECT {loaded} AS extracted_at, {PKG_COLS}\n  FROM orders"
+    if last == 0:
+        repos = repos.replace("FROM events)", f"FROM events WHERE ts < TIMESTAMP '{REPO_CUT}')")
+        orders += f" WHERE o_orderdate < TIMESTAMP '{ORDER_CUT}'"
+    return f"{repos},\n{orders}),\n{MAPPING},\n{LATEST},\n{DIM_SELECT}".replace(_NOW, _ts(RUNS[2][2])) + ",\n" + METRICS_SELECT
+
+
+def _changes(now: dt.datetime, previous: str | None) -> str:
+    """New history rows of ``met`` against ``previous``."""
+    carried = ", ".join(f"c.{c.strip()}" for c in HIST_CARRIED.split(","))
+    names = {"stars_change": "github_stars", "forks_change": "github_forks", "downloads_change": "pypi_downloads_daily",
+             "issues_change": "open_issues"}
+    deltas = ", ".join((f"c.{m} - coalesce(p.{m}, 0)" if previous else "CAST(0 AS BIGINT)") + f" AS {d}" for d, m in names.items())
+    join = f" LEFT JOIN {previous} p ON c.technology_name = p.technology_name" if previous else ""
+    return f"SELECT {carried}, {deltas}, {_ts(now)} AS history_created_at FROM {{src}} c{join}"
+
+
+def _merged(old: str, new: str) -> str:
+    return (f"SELECT * FROM {old} o WHERE NOT EXISTS (SELECT 1 FROM {new} n WHERE n.snapshot_date = o.snapshot_date "
+            f"AND n.technology_name = o.technology_name) UNION ALL SELECT * FROM {new}")
+
+
+ORACLE_SQL["daily_run"] = f"""WITH met1 AS (WITH {_run_ctes(0)} SELECT * FROM met),
+met2 AS (WITH {_run_ctes(1)} SELECT * FROM met),
+h1 AS ({_changes(RUNS[0][2], None).format(src="met1")}),
+r2 AS ({_changes(RUNS[1][2], "h1").format(src="met2")}),
+h2 AS ({_merged("h1", "r2")}),
+p3 AS (SELECT * FROM h2 QUALIFY row_number() OVER (PARTITION BY technology_name
+       ORDER BY snapshot_date DESC NULLS FIRST, history_created_at DESC) = 1),
+r3 AS ({_changes(RUNS[2][2], "p3").format(src="met2")})
+{_merged("h2", "r3")}"""
+ORACLE_SQL["daily_run_full"] = ORACLE_SQL["daily_run"]
+ORACLE_SQL["daily_run_dimension"] = f"WITH {_run_ctes(1)} SELECT * FROM dim"
+
+_SM = [c.strip() for c in HIST_CARRIED.split(",")]
+_MORE = ", ".join({"github_stars": "github_stars + 5 AS github_stars",
+                   "pypi_downloads_daily": "pypi_downloads_daily + 1 AS pypi_downloads_daily"}.get(c, c) for c in _SM)
+ORACLE_SQL["history_three_days"] = f"""WITH {SNAP_METRICS},
+two AS (SELECT {_MORE} FROM sm WHERE rn = 2),
+three AS (SELECT * FROM sm WHERE rn = 1)
+SELECT {HIST_CARRIED}, {ZERO_DELTAS} FROM sm WHERE rn = 3
+UNION ALL
+SELECT {HIST_CARRIED}, CAST(5 AS BIGINT) AS stars_change, CAST(0 AS BIGINT) AS forks_change, CAST(1 AS BIGINT) AS downloads_change,
+  CAST(0 AS BIGINT) AS issues_change, {_NOW} AS history_created_at FROM two
+UNION ALL
+{_changes(NOW, "two").format(src="three")}"""
+
+ORACLE_SQL["example_mapping"] = "WITH m AS (SELECT * FROM (VALUES " + ", ".join(
+    f"({i}, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(EXAMPLE_MAPPING)) + f""") t(k, technology_name, github_repo, pypi_package)),
+n AS (SELECT o_orderkey % {len(EXAMPLE_MAPPING)} AS k, count(*) AS c FROM orders GROUP BY 1)
+SELECT technology_name, github_repo, pypi_package, c AS repo_orders, c AS package_orders FROM m LEFT JOIN n USING (k)"""

@@ -24,6 +24,7 @@ from snapflow.operators.ranking import rank_desc
 from snapflow.operators.staging import stage_packages, stage_repos, variant_to_json
 from snapflow.operators.trends import build_trends, entity_window, with_lags, with_moving_averages
 from snapflow.plans import bridge as B
+from snapflow.plans.daily import EXAMPLE_MAPPING
 from snapflow.session import reliable_checkpoint, scratch_path
 from snapflow.sources.freshness import fresh_counts
 from snapflow.sources.raw import prepare_landing
@@ -36,6 +37,12 @@ FRESH_DAY = dt.date(2024, 1, 15)
 DAILY_AS_OF = dt.date(2024, 1, 30)
 STREAM_CUT = "2024-01-16 00:00:00"
 PACKAGES_LOADED_AT = dt.datetime(2024, 1, 30, 12, 0, 0)
+# The runs of the multi-day queries: (day, load time of packages, build time); documents before the cuts are
+# there on the first day, the rest on the second, and the second day runs twice.
+RUNS = [(dt.date(2024, 1, 15), dt.datetime(2024, 1, 15, 12), dt.datetime(2024, 1, 15, 23)),
+        (dt.date(2024, 1, 30), dt.datetime(2024, 1, 30, 12), dt.datetime(2024, 1, 30, 23)),
+        (dt.date(2024, 1, 30), None, dt.datetime(2024, 1, 30, 23, 30))]
+REPO_CUT, ORDER_CUT = "2024-01-16 00:00:00", "1996-01-01 00:00:00"
 
 
 def _raw_repos(spark, sf):
@@ -283,6 +290,12 @@ def q_daily_rank(spark, sf):
     return r.select("technology_name", "snapshot_date", "github_stars", "daily_popularity_rank")
 
 
+def q_daily_rank_buckets(spark, sf):
+    """The same ranks when every day is cut into many buckets."""
+    r = rank_desc(_snapshots(spark, sf), "snapshot_date", "github_stars", "daily_popularity_rank", per_bucket=3)
+    return r.select("technology_name", "snapshot_date", "github_stars", "daily_popularity_rank")
+
+
 def q_daily_rank_window(spark, sf):
     """Daily rank (plain window), same result."""
     r = rank_desc(_snapshots(spark, sf), "snapshot_date", "github_stars", "daily_popularity_rank",
@@ -295,6 +308,16 @@ def q_trends(spark, sf):
     return build_trends(_snapshots(spark, sf), as_of=AS_OF, days=90)
 
 
+def q_trends_look_back(spark, sf):
+    """R1 with the scan of older days bounded by each entity's dates, as in the daily run; same result."""
+    from snapflow.operators.trends import look_back_start
+    snap = reliable_checkpoint(_snapshots(spark, sf))
+    dates = F.sort_array(F.collect_set("snapshot_date"), asc=False)
+    state = snap.groupBy("technology_name").agg(F.min("snapshot_date").alias("first_snapshot_date"),
+                                                F.slice(dates, 1, 150).alias("recent_dates"))
+    return build_trends(snap, as_of=AS_OF, days=90, look_back=look_back_start(state, AS_OF, 90))
+
+
 def q_trend_indicators(spark, sf):
     """Above / below / equal to the 7-row average."""
     w = entity_window()
@@ -359,6 +382,21 @@ def q_history_step_latest(spark, sf):
     return history_rows(cur, None, now=NOW, previous=spark.read.parquet(latest_path(path)))
 
 
+def q_history_three_days(spark, sf):
+    """H1, H1a, H2 over four runs: a first day, the next, the next again with more stars and downloads, a third.
+    Each entity's three newest snapshots are its days."""
+    from snapflow.operators.history import previous_rows, read_history, upsert_with_latest
+    m = B.snapshot_metrics(_snapshots(spark, sf))
+    w = Window.partitionBy("technology_name").orderBy(F.col("snapshot_date").desc_nulls_first())
+    m = reliable_checkpoint(m.withColumn("__rn", F.row_number().over(w)).where("__rn <= 3"))
+    one, two, three = (m.where(F.col("__rn") == k).drop("__rn") for k in (3, 2, 1))
+    again = two.withColumns({"github_stars": F.col("github_stars") + 5, "pypi_downloads_daily": F.col("pypi_downloads_daily") + 1})
+    path = scratch_path(spark, "history_days")
+    for day in (one, two, again, three):
+        upsert_with_latest(spark, path, history_rows(day, None, now=NOW, previous=previous_rows(spark, path)))
+    return read_history(spark, path)
+
+
 def q_history_replay(spark, sf):
     """One-pass history back-fill (closed form of the daily fold)."""
     return rebuild_history(B.snapshot_metrics(_snapshots(spark, sf))).select(
@@ -398,17 +436,24 @@ def q_check_accepted(spark, sf):
 
 
 def q_check_suite(spark, sf):
-    """C4: report of every check over every table."""
-    dim = reliable_checkpoint(_dimension(spark, sf))     # a mart read by two tables, as in the daily run
-    met = build_metrics(dim)
-    cur, prior = _split_latest(spark, sf)
+    """C4: report of every check over every table. Tables that feed several others are stored once, as in the
+    daily run: staged rows (the columns that dimension and checks read), the dimension, the snapshots."""
+    stg_r, stg_p = _stg_repos(spark, sf), _stg_packages(spark, sf)
+    stg_r = reliable_checkpoint(stg_r.drop("size", "pushed_at", "default_branch"))
+    stg_p = reliable_checkpoint(stg_p.drop("description_content_type", "classifiers", "requires_dist", "project_urls", "keywords"))
+    dim = reliable_checkpoint(build_dimension(B.mapping(B.table(spark, sf, "customer")), stg_r, stg_p, now=NOW,
+                                              repo_tiebreak=["full_name"], package_tiebreak=["version"]))
+    snap = reliable_checkpoint(_snapshots(spark, sf))
+    m = B.snapshot_metrics(snap)
+    w = Window.partitionBy("technology_name").orderBy(F.col("snapshot_date").desc_nulls_first())
+    newest = m.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")
     tables = {
-        "stg_github_repos": _stg_repos(spark, sf),
-        "stg_pypi_packages": _stg_packages(spark, sf),
+        "stg_github_repos": stg_r,
+        "stg_pypi_packages": stg_p,
         "dim_technologies": dim,
-        "fct_technology_metrics": met,
-        "fct_technology_history": history_rows(cur, None, now=NOW),
-        "fct_technology_trends": build_trends(_snapshots(spark, sf), as_of=AS_OF, days=90),
+        "fct_technology_metrics": build_metrics(dim),
+        "fct_technology_history": history_rows(newest, None, now=NOW),
+        "fct_technology_trends": build_trends(snap, as_of=AS_OF, days=90),
     }
     extra = (C.Check("stg_github_repos", "not_null", "description"),
              C.Check("fct_technology_metrics", "not_null", "snapshot_date"),
@@ -416,11 +461,11 @@ def q_check_suite(spark, sf):
     return C.run_checks(tables, C.DEFAULT_CHECKS + extra)
 
 
-def q_daily_run(spark, sf):
-    """The whole daily run on landed copies of the driver tables; returns its trends."""
+def q_daily_trends(spark, sf):
+    """One daily run on landed copies of the driver tables; returns its trends."""
     from snapflow.plans.daily import RunConfig, run_daily
     from snapflow.sources.raw import land_raw
-    cfg = RunConfig(root=scratch_path(spark, "daily_run"), as_of=DAILY_AS_OF, now=NOW, check="report",
+    cfg = RunConfig(root=scratch_path(spark, "daily_trends"), as_of=DAILY_AS_OF, now=NOW, check="report",
                     repo_tiebreak=("full_name",), package_tiebreak=("version",))
     B.repo_documents(B.table(spark, sf, "events")).write.parquet(cfg.raw_repos)
     land_raw(B.package_documents(B.table(spark, sf, "orders")), "package_name", "raw_data",
@@ -429,6 +474,54 @@ def q_daily_run(spark, sf):
     return out["trends"]
 
 
+def _daily_runs(spark, sf, staging):
+    """Two days of landings and a rerun of the second (``RUNS``)."""
+    from snapflow.plans.daily import RunConfig, run_daily
+    from snapflow.sources.raw import land_raw
+    root = scratch_path(spark, f"daily_{staging}")
+    repos = B.repo_documents(B.table(spark, sf, "events"))
+    orders = B.table(spark, sf, "orders")
+    early = [F.coalesce(F.col(c) < F.lit(cut).cast("timestamp_ntz"), F.lit(False))
+             for c, cut in (("extracted_at", REPO_CUT), ("o_orderdate", ORDER_CUT))]
+    for n, (day, loaded_at, now) in enumerate(RUNS):
+        cfg = RunConfig(root=root, as_of=day, now=now, check="report", staging=staging, compact_epochs=2,
+                        repo_tiebreak=("full_name",), package_tiebreak=("version",))
+        if loaded_at is not None:
+            here = [c if n == 0 else ~c for c in early]
+            repos.where(here[0]).write.mode("append").parquet(cfg.raw_repos)
+            land_raw(B.package_documents(orders.where(here[1])), "package_name", "raw_data", cfg.raw_packages, loaded_at)
+        out = run_daily(spark, B.mapping(B.table(spark, sf, "customer")), cfg)
+    return out
+
+
+def q_daily_run(spark, sf):
+    """L1: two days and a rerun, staging only newly landed documents; returns the history with its changes."""
+    return _daily_runs(spark, sf, "incremental")["history"]
+
+
+def q_daily_run_full(spark, sf):
+    """L1: the same runs, staging every document each time; the same history."""
+    return _daily_runs(spark, sf, "full")["history"]
+
+
+def q_daily_run_dimension(spark, sf):
+    """L1: the dimension after those runs, with the VARIANT topics that staged rows were stored with."""
+    return variant_to_json(_daily_runs(spark, sf, "incremental")["dimension"], ["topics"])
+
+
+def q_example_mapping(spark, sf):
+    """The ten literal mapping rows, joined to staged documents of their own names made of ``orders``."""
+    from snapflow.plans.daily import example_mapping
+    m = example_mapping(spark)
+    names = F.array(*[F.lit(x) for _, x, _ in EXAMPLE_MAPPING]), F.array(*[F.lit(x) for _, _, x in EXAMPLE_MAPPING])
+    k = (F.col("o_orderkey") % len(EXAMPLE_MAPPING) + 1).cast("int")
+    per = B.table(spark, sf, "orders").groupBy(F.element_at(names[0], k).alias("repo"), F.element_at(names[1], k).alias("package")).agg(
+        F.count(F.lit(1)).alias("orders"))
+    return (m.join(per.select("repo", F.col("orders").alias("repo_orders")), m.github_repo == F.col("repo"), "left")
+            .join(per.select("package", F.col("orders").alias("package_orders")), m.pypi_package == F.col("package"), "left")
+            .select("technology_name", "github_repo", "pypi_package", "repo_orders", "package_orders"))
+
+
 QUERIES = {
     "json_extract": q_json_extract,
     "json_nested": q_json_nested,
@@ -452,14 +545,17 @@ QUERIES = {
     "lag_growth": q_lag_growth,
     "daily_rank": q_daily_rank,
     "daily_rank_window": q_daily_rank_window,
+    "daily_rank_buckets": q_daily_rank_buckets,
     "trend_indicators": q_trend_indicators,
     "trends": q_trends,
     "trends_single": q_trends_single,
+    "trends_look_back": q_trends_look_back,
     "history_first": q_history_first,
     "history_step": q_history_step,
     "history_rerun": q_history_rerun,
     "history_upsert": q_history_upsert,
     "history_step_latest": q_history_step_latest,
+    "history_three_days": q_history_three_days,
     "history_replay": q_history_replay,
     "schema_sync": q_schema_sync,
     "check_not_null": q_check_not_null,
@@ -467,4 +563,8 @@ QUERIES = {
     "check_accepted": q_check_accepted,
     "check_suite": q_check_suite,
     "daily_run": q_daily_run,
+    "daily_run_full": q_daily_run_full,
+    "daily_run_dimension": q_daily_run_dimension,
+    "daily_trends": q_daily_trends,
+    "example_mapping": q_example_mapping,
 }

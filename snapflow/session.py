@@ -104,6 +104,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def make_path(spark: SparkSession, path: str) -> None:
+    p, fs = _file_system(spark, path)
+    fs.mkdirs(p)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     p, fs = _file_system(spark, path)
     fs.delete(p, True)

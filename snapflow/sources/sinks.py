@@ -1,8 +1,16 @@
-"""Sinks (S10-S14): replace a table, name a view, inline, schema-qualified names."""
+"""Sinks (S10-S14): tables by path or catalog name, views, schema-qualified names.
+
+A target with a ``/`` is a folder of Parquet files, any other a catalog table. A table that exists is replaced by writing
+the new one beside it and swapping the two, so a stop at any point leaves a whole table: ``recover`` puts it back in place.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import DataType, NullType, StructField, StructType
+
+from snapflow.session import delete_path, make_path, move_path, path_exists, reliable_checkpoint
 
 
 def qualify(schema: str | None, name: str, default_schema: str | None = None) -> str:
@@ -11,18 +19,143 @@ def qualify(schema: str | None, name: str, default_schema: str | None = None) ->
     return f"{s}.{name}" if s else name
 
 
-def write_table(df: DataFrame, target: str, partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> None:
-    """Replace a table: a path (contains '/') or a catalog name."""
+def is_path(target: str) -> bool:
+    return "/" in target
+
+
+def recover(spark: SparkSession, target: str) -> None:
+    """Finish a swap that a stopped run left half done."""
+    if is_path(target):
+        t = target.rstrip("/")
+        if not path_exists(spark, t) and path_exists(spark, f"{t}__old"):
+            move_path(spark, f"{t}__old", t)
+    elif not spark.catalog.tableExists(target) and spark.catalog.tableExists(f"{target}__new"):
+        _adopt(spark, target)
+
+
+def _adopt(spark: SparkSession, target: str) -> None:
+    """Give the whole catalog table ``target__new`` its name; there is no table of that name."""
+    parts = [c.name for c in spark.catalog.listColumns(f"{target}__new") if c.isPartition]
+    if parts:                              # not every catalog moves a table's partitions with its name
+        _save(spark.table(f"{target}__new"), target, parts, "parquet")
+        spark.sql(f"DROP TABLE {target}__new")
+    else:
+        spark.sql(f"ALTER TABLE {target}__new RENAME TO {target}")
+
+
+def table_exists(spark: SparkSession, target: str) -> bool:
+    recover(spark, target)
+    return path_exists(spark, target) if is_path(target) else spark.catalog.tableExists(target)
+
+
+def read_table(spark: SparkSession, target: str, types: dict[str, DataType] | None = None) -> DataFrame | None:
+    """The table, or None if there is none or only an empty folder (the first-run switch, H4); any other trouble
+    is an error.
+
+    ``types`` names the types of partition columns: a folder read infers them from the values,
+    which fails for a column that has only been null so far.
+    """
+    if not table_exists(spark, target):
+        return None
+    if not is_path(target):
+        return spark.table(target)
+    try:
+        df = spark.read.parquet(target)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":      # a folder without any file: written without rows
+            return None
+        raise
+    fields = [StructField(f.name, (types or {}).get(f.name, f.dataType)) for f in df.schema.fields]
+    if any(f.dataType != g.dataType for f, g in zip(df.schema.fields, fields, strict=True)):
+        df = spark.read.schema(StructType(fields)).parquet(target)
+    if any(isinstance(f.dataType, NullType) for f in df.schema.fields):
+        raise ValueError(f"{target}: name the types of {[f.name for f in df.schema.fields if isinstance(f.dataType, NullType)]}")
+    return df
+
+
+def _save(df: DataFrame, target: str, partition_by: list[str] | None, fmt: str) -> None:
     if partition_by:
         df = df.hint("rebalance", *partition_by)   # one file per partition value; AQE splits hot ones
     w = df.write.mode("overwrite").format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
-    if "/" in target:
-        w.save(target)
+    if is_path(target):
+        w.option("partitionOverwriteMode", "static").save(target)
     else:
-        w.saveAsTable(target)
+        w.saveAsTable(target)              # options would stay with the table
+
+
+def write_table(df: DataFrame, target: str, partition_by: list[str] | None = None,
+                fmt: str = "parquet") -> None:
+    """Replace a table: a path (contains '/') or a catalog name."""
+    spark = df.sparkSession
+    if not table_exists(spark, target):
+        if not is_path(target) and "." in target:
+            spark.sql(f"CREATE DATABASE IF NOT EXISTS {target.rsplit('.', 1)[0]}")
+        _save(df, target, partition_by, fmt)
+        return
+    if is_path(target):
+        t = target.rstrip("/")
+        _save(df, f"{t}__new", partition_by, fmt)
+        delete_path(spark, f"{t}__old")
+        move_path(spark, t, f"{t}__old")
+        move_path(spark, f"{t}__new", t)
+        delete_path(spark, f"{t}__old")
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {target}__new")
+        _save(df, f"{target}__new", partition_by, fmt)
+        spark.sql(f"DROP TABLE {target}")
+        _adopt(spark, target)
+
+
+def overwrite_partitions(df: DataFrame, target: str, part: str) -> None:
+    """Replace the partitions that ``df`` has rows for, and no others, in one commit. A catalog table must not be
+    read and overwritten by one job, so its rows are checkpointed first."""
+    cols = [c for c in df.columns if c != part] + [part]
+    if is_path(target):
+        (df.select(*cols).hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(part).parquet(target))
+        return
+    conf, name = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    before = conf.get(name)
+    rows = reliable_checkpoint(df).select(*cols).hint("rebalance", part)
+    conf.set(name, "dynamic")              # inserts read the session's mode, not a write option
+    try:
+        rows.write.mode("overwrite").insertInto(target)
+    finally:
+        conf.set(name, before)
+
+
+def append(df: DataFrame, target: str, part: str) -> None:
+    cols = [c for c in df.columns if c != part] + [part]
+    w = df.select(*cols).write.mode("append")
+    if is_path(target):
+        w.partitionBy(part).parquet(target)
+    else:
+        w.insertInto(target)
+
+
+def mark_stale(spark: SparkSession, target: str) -> None:
+    """Say that a table doesn't follow its source until it is written again and ``clear_stale`` is called."""
+    if is_path(target):
+        make_path(spark, f"{target.rstrip('/')}__stale")
+    elif spark.catalog.tableExists(target):
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('stale' = 'true')")
+
+
+def clear_stale(spark: SparkSession, target: str) -> None:
+    """A catalog table loses the mark when it is replaced."""
+    if is_path(target):
+        delete_path(spark, f"{target.rstrip('/')}__stale")
+
+
+def is_stale(spark: SparkSession, target: str) -> bool:
+    """Whether the table is missing or marked."""
+    if not table_exists(spark, target):
+        return True
+    if is_path(target):
+        return path_exists(spark, f"{target.rstrip('/')}__stale")
+    return spark.sql(f"SHOW TBLPROPERTIES {target}").where("key = 'stale' and value = 'true'").count() > 0
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:

@@ -2,29 +2,37 @@
 
 The batch job recomputes "latest row per key" over every raw row ever landed. As a
 stream, newly landed files are read once (the checkpoint records which files were
-processed, so a rerun never double counts), staged, and folded into a streaming
-aggregation whose state holds one row per key: ``max_by(row, order_key)``. Partial
-aggregation runs before the shuffle, so a key that receives a third of all documents
-still sends one row per task. Each micro-batch emits only the keys it changed
-(``update`` mode); ``foreachBatch`` appends them to a compact log of latest rows, and
-``read_latest`` takes the newest per key from that log.
+processed, so a rerun never double counts) and staged; each micro-batch appends its
+latest row per key (``max_by(row, order_key)``, combined before the shuffle, so a key that
+receives a third of all documents still sends one row per task) to a compact log, and
+``read_latest`` takes the newest per key from that log. ``compact_latest`` rewrites the
+log as one row per key.
+
+The same pass over a micro-batch counts the nulls of every staged column; ``null_counts``
+adds them up over all rows ever staged, which is what checks of the staged rows need.
 
 ``trigger(availableNow=True)`` processes everything landed since the last run and
 stops: the daily schedule of the original job, with exactly-once progress tracking.
 A micro-batch replayed after a failure appends rows identical to the ones it may
-already have appended, and ``read_latest`` picks one per key, so replays are harmless.
+already have appended; ``read_latest`` picks one per key and ``null_counts`` one count per
+micro-batch, so replays are harmless.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, VariantType
 
 from snapflow.operators.latest import latest_per_key, total_tiebreak
+from snapflow.session import observed
+from snapflow.sources import sinks
+
+
+NULLS = "epoch bigint, column string, nulls bigint"
 
 
 def landing_schema(key: str, doc_type: str = "string") -> StructType:
@@ -47,7 +55,7 @@ def latest_order_key(order_col: str, tiebreak: Sequence[str] = ()) -> Column:
 
 
 def _no_variant(df: DataFrame) -> DataFrame:
-    """State stores keep plain types: render VARIANT columns as JSON text."""
+    """The log keeps plain types (VARIANT can't be ordered): render VARIANT columns as JSON text."""
     return df.withColumns({f.name: F.to_json(F.col(f.name)) for f in df.schema.fields
                            if isinstance(f.dataType, VariantType)})
 
@@ -63,42 +71,59 @@ def stream_latest(spark: SparkSession, landing_path: str, key: str, out_path: st
     reader = spark.readStream.schema(landing_schema(key, doc_type))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    src = reader.parquet(landing_path)
-    staged = _no_variant(stage(src))
-    if tiebreak is None:
-        tiebreak = total_tiebreak(staged, [key, order_col])
-    cols = staged.columns
-    latest = (staged.groupBy(key)
-              .agg(F.max_by(F.struct(*cols), latest_order_key(order_col, tiebreak)).alias("__row"))
-              .select("__row.*"))
 
-    def append_batch(batch: DataFrame, epoch_id: int) -> None:
-        batch.withColumn("__epoch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(out_path)
-
-    w = (latest.writeStream.outputMode("update").foreachBatch(append_batch)
-         .option("checkpointLocation", checkpoint))
+    def fold(batch: DataFrame, epoch_id: int) -> None:
+        staged = _no_variant(stage(batch))
+        ties = total_tiebreak(staged, [key, order_col]) if tiebreak is None else tiebreak
+        cols = staged.columns
+        seen = Observation()
+        nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in cols]
+        (staged.observe(seen, *nulls).groupBy(key)
+         .agg(F.max_by(F.struct(*cols), latest_order_key(order_col, ties)).alias("__row")).select("__row.*")
+         .withColumn("__epoch", F.lit(epoch_id).cast("bigint")).write.mode("append").parquet(out_path))
+        counts = [(epoch_id, c, observed(seen, c, lambda c=c: staged.where(F.col(c).isNull()).count())) for c in cols]
+        spark.createDataFrame(counts, NULLS).coalesce(1).write.mode("append").parquet(nulls_path(out_path))
+
+    w = reader.parquet(landing_path).writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
     return w.start()
 
 
+def nulls_path(out_path: str) -> str:
+    return out_path.rstrip("/") + "_nulls"
+
+
+def null_counts(spark: SparkSession, out_path: str) -> dict[str, int]:
+    """Nulls of each staged column over all rows ever staged (one row a column)."""
+    log = sinks.read_table(spark, nulls_path(out_path))
+    if log is None:
+        return {}
+    once = log.groupBy("epoch", "column").agg(F.max("nulls").alias("nulls"))
+    return {r["column"]: r["n"] for r in once.groupBy("column").agg(F.sum("nulls").alias("n")).collect()}
+
+
 def read_latest(spark: SparkSession, out_path: str, key: str, order_col: str = "extracted_at",
-                tiebreak: Sequence[str] | None = ()) -> DataFrame:
-    """Newest row per key from the log (later micro-batches win on equal ordering)."""
-    log = spark.read.parquet(out_path)
+                tiebreak: Sequence[str] | None = (), schema: StructType | None = None) -> DataFrame:
+    """Newest row per key from the log (later micro-batches win on equal ordering).
+
+    ``schema`` is that of the staged rows: its VARIANT columns are read back from their text.
+    """
+    log = sinks.read_table(spark, out_path)
     if tiebreak is None:
         tiebreak = total_tiebreak(log, [key, order_col, "__epoch"])
-    return latest_per_key(log, key, order_col, [*tiebreak, "__epoch"]).drop("__epoch")
+    latest = latest_per_key(log, key, order_col, [*tiebreak, "__epoch"]).drop("__epoch")
+    variants = [f.name for f in schema.fields if isinstance(f.dataType, VariantType)] if schema else []
+    return latest.withColumns({c: F.parse_json(F.col(c)) for c in variants})
 
 
 def compact_latest(spark: SparkSession, out_path: str, key: str, order_col: str = "extracted_at",
-                   tiebreak: Sequence[str] | None = ()) -> int:
-    """Rewrite the log as one row per key (run while no micro-batch is writing).
-
-    The compacted rows are checkpointed to the shared checkpoint folder first, so the
-    overwrite never reads the files it replaces. Returns the number of keys.
-    """
-    from snapflow.session import reliable_checkpoint
-    latest = read_latest(spark, out_path, key, order_col, tiebreak).withColumn("__epoch", F.lit(0).cast("bigint"))
-    latest = reliable_checkpoint(latest)
-    latest.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path).count()
+                   tiebreak: Sequence[str] | None = (), min_epochs: int = 1) -> bool:
+    """Rewrite the log as one row per key (run while no micro-batch is writing), if it holds at least
+    ``min_epochs`` micro-batches. The old log stays until the new one is whole. Returns whether it did."""
+    log = sinks.read_table(spark, out_path)
+    if log is None or log.agg(F.count_distinct("__epoch")).first()[0] < min_epochs:
+        return False
+    last = log.agg(F.max("__epoch")).first()[0]
+    latest = read_latest(spark, out_path, key, order_col, tiebreak)
+    sinks.write_table(latest.withColumn("__epoch", F.lit(last).cast("bigint")), out_path)
+    return True

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -9,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from snapflow.session import get_spark
-    s = get_spark("local[4]", shuffle_partitions=4)
+    s = get_spark("local[4]", shuffle_partitions=4, extra={"spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wh-")})
     yield s
     s.stop()
 

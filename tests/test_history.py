@@ -90,7 +90,8 @@ def test_duplicate_incoming_keys_rejected(spark):
 def test_merge_frame_keeps_untouched_rows(spark):
     t = spark.createDataFrame([(D0, "a", 1), (D0, "b", 2), (None, "a", 3)], "snapshot_date date, technology_name string, v int")
     r = spark.createDataFrame([(D0, "a", 10), (None, "a", 30)], "snapshot_date date, technology_name string, v int")
-    assert rows(merge_frame(t, r)) == [(D0, "a", 10), (D0, "b", 2), (None, "a", 3), (None, "a", 30)]
+    assert rows(merge_frame(t, r)) == [(D0, "a", 10), (D0, "b", 2)]       # undated rows are appended, not merged
+    assert rows(merge_frame(t, r, max_dates=0)) == [(D0, "a", 10), (D0, "b", 2)]
 
 
 def test_schema_sync_adds_and_drops(spark):
@@ -148,3 +149,128 @@ def test_latest_table_equals_history_scan(spark):
         upsert_with_latest(spark, p_state, history_rows(m, None, now=NOW, previous=prev))
     cols = ("technology_name", "snapshot_date", "stars_change", "downloads_change")
     assert rows(spark.read.parquet(p_scan), *cols) == rows(spark.read.parquet(p_state), *cols)
+
+
+def test_stop_between_the_two_writes(spark, monkeypatch):
+    """History written, latest table not: the next day still compares with what the history holds."""
+    from snapflow.operators import history as H
+    path = _path()
+
+    def day(n, stars):
+        m = _metrics(spark, [("a", D0 + dt.timedelta(days=n), stars, 0, stars, 0)])
+        return history_rows(m, None, now=NOW + dt.timedelta(days=n), previous=H.previous_rows(spark, path))
+
+    H.upsert_with_latest(spark, path, day(0, 10))
+    write = H.sinks.write_table
+
+    def stop(df, target, *a, **k):
+        if target.endswith("_latest"):
+            raise KeyboardInterrupt
+        return write(df, target, *a, **k)
+
+    monkeypatch.setattr(H.sinks, "write_table", stop)
+    with pytest.raises(KeyboardInterrupt):
+        H.upsert_with_latest(spark, path, day(1, 43))
+    monkeypatch.setattr(H.sinks, "write_table", write)
+    H.upsert_with_latest(spark, path, day(1, 43))                        # the day again: nothing has changed since
+    assert _changes(spark.read.parquet(path).where(F.col("snapshot_date") == D0 + dt.timedelta(days=1))) == \
+        [("a", D0 + dt.timedelta(days=1), 0, 0)]
+    monkeypatch.setattr(H.sinks, "write_table", stop)
+    with pytest.raises(KeyboardInterrupt):
+        H.upsert_with_latest(spark, path, day(2, 36))
+    monkeypatch.setattr(H.sinks, "write_table", write)
+    state = H.upsert_with_latest(spark, path, day(3, 10))
+    d3 = D0 + dt.timedelta(days=3)
+    assert _changes(spark.read.parquet(path).where(F.col("snapshot_date") == d3)) == [("a", d3, -26, -26)]
+    r = state.first()
+    assert (r.snapshot_date, r.first_snapshot_date, len(r.recent_dates)) == (d3, D0, 4)
+    assert rows(state) == rows(H.derive_latest(H.read_history(spark, path)))
+
+
+def test_first_run_with_undated_rows_only(spark):
+    from snapflow.operators.history import previous_rows, read_history, upsert_with_latest
+    path = _path()
+    for n in range(2):
+        m = _metrics(spark, [("a", None, 5 + n, 0, 1, 0)])
+        upsert_with_latest(spark, path, history_rows(m, None, now=NOW + dt.timedelta(days=n), previous=previous_rows(spark, path)))
+    upsert_with_latest(spark, path, history_rows(_metrics(spark, [("b", D0, 1, 1, 1, 1)]), None, now=NOW,
+                                                 previous=previous_rows(spark, path)))
+    h = read_history(spark, path)
+    assert dict(h.dtypes)["snapshot_date"] == "date"
+    assert rows(h, "technology_name", "snapshot_date", "stars_change") == [("a", None, 0), ("a", None, 1), ("b", D0, 1)]
+
+
+def test_undated_partition_is_not_rewritten(spark):
+    import glob
+    path = _path()
+    upsert(spark, path, history_rows(_metrics(spark, [("a", None, 1, 1, 1, 1), ("a", D0, 1, 1, 1, 1)]), None, now=NOW))
+    before = set(glob.glob(f"{path}/snapshot_date=__HIVE*/*.parquet"))
+    upsert(spark, path, history_rows(_metrics(spark, [("b", None, 2, 1, 1, 1), ("b", D0, 2, 1, 1, 1)]), None, now=NOW))
+    assert before and before < set(glob.glob(f"{path}/snapshot_date=__HIVE*/*.parquet"))
+
+
+def test_previous_of_undated_rows_is_the_newest_built(spark):
+    from snapflow.operators.history import derive_latest, latest_rows
+    one, two = (history_rows(_metrics(spark, [("a", None, stars, 0, 0, 0)]), None, now=NOW + dt.timedelta(days=n))
+                for n, stars in ((0, 9), (1, 4)))
+    for h in (one.union(two), two.union(one)):
+        assert rows(latest_rows(h), "github_stars") == rows(derive_latest(h), "github_stars") == [(4,)]
+
+
+def test_unreadable_history_is_an_error(spark):
+    from snapflow.operators.history import previous_rows
+    path = _path()
+    assert previous_rows(spark, path) is None
+    os.makedirs(path)
+    with open(f"{path}/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        previous_rows(spark, path)
+    with pytest.raises(Exception):
+        upsert(spark, path, history_rows(_metrics(spark, [("a", D0, 1, 1, 1, 1)]), None, now=NOW))
+    assert os.listdir(path) == ["part-0.parquet"]
+
+
+def test_stop_in_the_middle_of_a_schema_change(spark, monkeypatch):
+    from snapflow.operators.history import read_history
+    from snapflow.sources import sinks
+    path = _path()
+    old = history_rows(_metrics(spark, [("a", D0, 1, 1, 1, 1)]), None, now=NOW).drop("issues_change")
+    upsert(spark, path, old)
+    new = history_rows(_metrics(spark, [("b", D0, 2, 2, 2, 2)]), None, now=NOW)
+    move = sinks.move_path
+
+    def stop(spark, source, target):
+        if source.endswith("__new"):
+            raise KeyboardInterrupt
+        move(spark, source, target)
+
+    monkeypatch.setattr(sinks, "move_path", stop)
+    with pytest.raises(KeyboardInterrupt):
+        upsert(spark, path, new)
+    monkeypatch.setattr(sinks, "move_path", move)
+    assert rows(read_history(spark, path), "technology_name") == [("a",)]           # the old table, whole
+    upsert(spark, path, new)
+    assert rows(read_history(spark, path), "technology_name", "issues_change") == [("a", None), ("b", 0)]
+    assert not [n for n in os.listdir(os.path.dirname(path)) if "__" in n]
+
+
+def test_rebuild_rejects_undated_rows(spark):
+    with pytest.raises(Exception, match="snapshot_date is null"):
+        rebuild_history(_metrics(spark, [("a", D0, 1, 1, 1, 1), ("a", None, 2, 1, 1, 1)])).collect()
+
+
+def test_catalog_history(spark):
+    from snapflow.operators.history import previous_rows, read_history, upsert_with_latest
+    spark.sql("DROP DATABASE IF EXISTS hist_test CASCADE")
+    name = "hist_test.fct_history"
+    for n, stars in ((0, 10), (1, 15), (1, 16)):
+        m = _metrics(spark, [("a", D0 + dt.timedelta(days=n), stars, 0, 0, 0), ("x", None, stars, 0, 0, 0)])
+        upsert_with_latest(spark, name, history_rows(m, None, now=NOW + dt.timedelta(hours=stars), previous=previous_rows(spark, name)))
+    d1 = D0 + dt.timedelta(days=1)
+    assert rows(spark.table(name), "technology_name", "snapshot_date", "stars_change") == [
+        ("a", D0, 0), ("a", d1, 1), ("x", None, 0), ("x", None, 1), ("x", None, 5)]
+    new = history_rows(_metrics(spark, [("b", D0, 2, 2, 2, 2)]), None, now=NOW).withColumn("note", F.lit("n"))
+    upsert_with_latest(spark, name, new)
+    assert rows(read_history(spark, name), "technology_name", "note")[0] == ("a", None)
+    spark.sql("DROP DATABASE hist_test CASCADE")

@@ -4,6 +4,8 @@ import datetime as dt
 import os
 import tempfile
 
+from pyspark.sql import functions as F
+
 from snapflow.operators.history import merge_frame
 from snapflow.plans import queries as Q
 from tests.conftest import plan_text
@@ -12,6 +14,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def _plan(df) -> str:
+    df.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "2000")     # partition filters in full
     return plan_text(df)
 
 
@@ -56,16 +59,45 @@ def test_trends_windows_share_one_sort(spark):
     assert "WindowGroupLimit" in plan and ", 30, Partial" in plan   # bounded look-back: partial top-30 per task
 
 
+def test_merge_of_many_dates_prunes(spark):
+    p = tempfile.mkdtemp(prefix="plan-", dir=os.environ.get("TMPDIR", "/tmp")) + "/t"
+    schema = "snapshot_date date, technology_name string, v int"
+    spark.createDataFrame([(dt.date(2024, 1, d), "a", d) for d in range(1, 10)], schema) \
+        .write.partitionBy("snapshot_date").parquet(p)
+    new = spark.createDataFrame([(dt.date(2024, 1, d), "a", 50) for d in (4, 5)], schema)
+    plan = _plan(merge_frame(spark.read.parquet(p), new, max_dates=1))
+    scan = [line for line in plan.splitlines() if "FileScan parquet" in line][0]
+    assert "snapshot_date#" in scan.split("PartitionFilters")[1] and ">= 2024-01-04" in scan and "<= 2024-01-05" in scan
+
+
 def test_trends_over_partitioned_history_prunes(spark):
-    from snapflow.operators.trends import build_trends
+    from snapflow.operators.trends import build_trends, look_back_start
     p = tempfile.mkdtemp(prefix="plan-", dir=os.environ.get("TMPDIR", "/tmp")) + "/h"
     d0 = dt.date(2024, 1, 1)
-    data = [(e, d0 + dt.timedelta(days=d), d + 1, 1, 1) for e in ("a", "b") for d in range(200)]
-    spark.createDataFrame(data, "technology_name string, snapshot_date date, github_stars bigint, "
-                                "github_forks bigint, pypi_downloads_daily bigint") \
-        .write.partitionBy("snapshot_date").parquet(p)
-    t = build_trends(spark.read.parquet(p), as_of=d0 + dt.timedelta(days=199), days=90, lookback_band_days=60)
-    plan = _plan(t)
-    scans = [l for l in plan.splitlines() if "FileScan parquet" in l]
-    assert scans and all("PartitionFilters: [isnotnull(snapshot_date" in l for l in scans)
-    assert t.count() == 2 * 91
+    as_of = d0 + dt.timedelta(days=299)
+    schema = "technology_name string, snapshot_date date, github_stars bigint, github_forks bigint, pypi_downloads_daily bigint"
+    daily = [(e, d0 + dt.timedelta(days=d), d + 1, 1, 1) for e in ("a", "b") for d in range(300)]
+    new = [("new", d0 + dt.timedelta(days=d), d + 1, 1, 1) for d in range(290, 300)]
+    sparse = [("sparse", d0 + dt.timedelta(days=d), d + 1, 1, 1) for d in (0, 150, 299)]
+
+    def trends(data):
+        path = f"{p}{len(data)}"
+        df = spark.createDataFrame(data, schema)
+        df.write.partitionBy("snapshot_date").parquet(path)
+        dates = F.sort_array(F.collect_set("snapshot_date"), asc=False)
+        state = df.groupBy("technology_name").agg(F.min("snapshot_date").alias("first_snapshot_date"), F.slice(dates, 1, 150).alias("recent_dates"))
+        back = look_back_start(state, as_of, 90)
+        t = build_trends(spark.read.parquet(path), as_of=as_of, days=90, look_back=back)
+        lows = [line.split("PartitionFilters")[1] for line in _plan(t).splitlines() if "FileScan parquet" in line]
+        return t, back, lows
+
+    # a new entity opens no older partitions: the look-back starts 30 days before the cut
+    t, back, lows = trends(daily + new)
+    start = as_of - dt.timedelta(days=90 + 30)
+    assert back.start == start and back.deep is None
+    assert lows and all(f">= {start}" in f or f">= {as_of - dt.timedelta(days=90)}" in f for f in lows)
+    assert t.count() == 2 * 91 + 10
+    # an entity that needs more is read in full, the others are not
+    t, back, lows = trends(daily + new + sparse)
+    assert back.start == start and [r[0] for r in back.deep.collect()] == ["sparse"]
+    assert t.count() == 2 * 91 + 10 + 1

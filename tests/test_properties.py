@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from snapflow.functions.scalars import retain_days
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.ranking import rank_desc
-from snapflow.operators.trends import build_trends
+from snapflow.operators.trends import build_trends, look_back_start
 from tests.conftest import rows
 
 D0 = dt.date(2023, 1, 1)
@@ -27,9 +27,15 @@ def test_bounded_lookback_equals_full_history(spark):
     for days in (30, 90):
         full = retain_days(build_trends(snap, as_of=as_of, days=None, rank_strategy="window"),
                            "snapshot_date", as_of, days)
-        for band in (None, 10, 60, 400):          # deep scan for some, none, or no band at all
-            bounded = build_trends(snap, as_of=as_of, days=days, lookback_band_days=band)
-            assert rows(bounded) == rows(full), (days, band)
+        state = snap.groupBy("technology_name").agg(
+            F.min("snapshot_date").alias("first_snapshot_date"),
+            F.sort_array(F.collect_set("snapshot_date"), asc=False).alias("recent_dates"))
+        short = state.withColumn("recent_dates", F.slice("recent_dates", 1, 25))   # too few dates kept
+        for st in (None, state, short):
+            for band in (10, 60, 400) if st else (None,):          # read in full for some or none
+                back = st and look_back_start(st, as_of, days, band_days=band)
+                bounded = build_trends(snap, as_of=as_of, days=days, look_back=back)
+                assert rows(bounded) == rows(full), (days, band)
 
 
 def test_hot_key_latest_and_rank(spark):
@@ -63,11 +69,11 @@ def test_split_rank_property(spark):
                     st.one_of(st.none(), st.integers(-5, 40)))
 
     @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
-    @given(st.lists(row, min_size=1, max_size=60), st.integers(1, 6), st.sampled_from([0, 10 ** 6]))
-    def check(data, buckets, cap):
+    @given(st.lists(row, min_size=1, max_size=60), st.integers(1, 12))
+    def check(data, per_bucket):
         df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(data)], "g string, v bigint, id bigint")
         want = rows(rank_desc(df, "g", "v", "r", strategy="window"), "id", "r")
-        t = rank_table(df.select("g", "v"), "g", "v", "r", buckets=buckets, max_values_per_task=cap)
+        t = rank_table(df.select("g", "v"), "g", "v", "r", per_bucket=per_bucket)
         got = rows(df.join(t, df.g.eqNullSafe(t.g) & df.v.eqNullSafe(t.v)).select("id", "r"), "id", "r")
         assert got == want
 

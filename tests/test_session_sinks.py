@@ -33,3 +33,29 @@ def test_checkpoints_go_to_the_session_folder(spark):
     assert root and spark.conf.get("spark.checkpoint.dir")
     c = reliable_checkpoint(spark.range(5))
     assert c.count() == 5
+
+
+def test_a_cluster_must_name_a_shared_folder(spark, monkeypatch):
+    import types
+
+    import pytest
+
+    from snapflow import session
+    context = types.SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    other = types.SimpleNamespace(conf=types.SimpleNamespace(get=lambda k, d=None: d), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.storage_root(other)
+    context.master = "local-cluster[2,1,512]"
+    with pytest.raises(ValueError):
+        session.storage_root(other)
+
+
+def test_scratch_is_deleted_when_released(spark):
+    from snapflow.session import path_exists, release_scratch, scratch_path
+    kept, gone = scratch_path(spark, "kept"), scratch_path(spark, "gone")
+    for p in (kept, gone):
+        spark.range(3).write.parquet(p)
+    release_scratch(spark, gone)
+    assert path_exists(spark, kept) and not path_exists(spark, gone)
+    release_scratch(spark, kept)
+    assert not path_exists(spark, kept)

@@ -34,7 +34,9 @@ def test_stream_latest_matches_batch_and_is_exactly_once(spark):
     assert got == [("a", 3), ("b", 9), ("c", 7)]
     assert spark.read.parquet(out).count() == 5      # only changed keys are appended per micro-batch
     from snapflow.streaming.latest import compact_latest
-    assert compact_latest(spark, out, "repo_name", tiebreak=["full_name"]) == 3
+    assert not compact_latest(spark, out, "repo_name", tiebreak=["full_name"], min_epochs=3)
+    assert compact_latest(spark, out, "repo_name", tiebreak=["full_name"], min_epochs=2)
+    assert spark.read.parquet(out).count() == 3
     assert rows(read_latest(spark, out, "repo_name", tiebreak=["full_name"]), "repo_name", "stars") == got
     b3 = [(T(2024, 2, 1), "a", json.dumps({"stars": 4, "full_name": "a4"}))]       # stream continues after compaction
     spark.createDataFrame(b3, schema).write.mode("append").parquet(landing)
@@ -53,3 +55,35 @@ def test_stream_reads_variant_landing(spark):
     stream_latest(spark, f"{root}/landing", "repo_name", f"{root}/out", f"{root}/ckpt", stage_repos,
                   doc_type="variant", max_files_per_batch=1).awaitTermination()     # one file per micro-batch
     assert rows(read_latest(spark, f"{root}/out", "repo_name"), "repo_name", "stars") == [("a", 2)]
+
+
+def test_null_counts_cover_every_staged_row_once(spark):
+    from snapflow.streaming.latest import null_counts, nulls_path
+    root = tempfile.mkdtemp(prefix="streamn-", dir=os.environ.get("TMPDIR", "/tmp"))
+    schema = "extracted_at timestamp_ntz, repo_name string, raw_data string"
+    assert null_counts(spark, f"{root}/out") == {}
+    docs = [{"description": None, "topics": ["x"]}, {"description": "d"}, {}]          # overtaken rows count, too
+    for day in (1, 2):
+        spark.createDataFrame([(T(2024, 1, day, h), "a", json.dumps(d)) for h, d in enumerate(docs)], schema) \
+            .write.mode("append").parquet(f"{root}/landing")
+        stream_latest(spark, f"{root}/landing", "repo_name", f"{root}/out", f"{root}/ckpt", stage_repos,
+                      tiebreak=None).awaitTermination()
+    got = null_counts(spark, f"{root}/out")
+    assert (got["description"], got["topics"], got["repo_name"], got["stars"]) == (4, 4, 0, 0)
+    # a replayed micro-batch is counted once
+    spark.read.parquet(nulls_path(f"{root}/out")).where("epoch = 0").coalesce(1).write.parquet(f"{root}/again")
+    spark.read.parquet(f"{root}/again").write.mode("append").parquet(nulls_path(f"{root}/out"))
+    assert null_counts(spark, f"{root}/out") == got
+
+
+def test_variant_columns_come_back(spark):
+    root = tempfile.mkdtemp(prefix="streamt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    schema = "extracted_at timestamp_ntz, repo_name string, raw_data string"
+    df = spark.createDataFrame([(T(2024, 1, 1), "a", json.dumps({"topics": ["x", {"y": 1}]})), (T(2024, 1, 1), "b", "{}")], schema)
+    df.write.parquet(f"{root}/landing")
+    stream_latest(spark, f"{root}/landing", "repo_name", f"{root}/out", f"{root}/ckpt", stage_repos).awaitTermination()
+    staged = stage_repos(df)
+    got = read_latest(spark, f"{root}/out", "repo_name", schema=staged.schema)
+    assert got.schema["topics"].dataType == staged.schema["topics"].dataType
+    pick = "variant_get(topics, '$[1].y', 'int') as y"
+    assert sorted(r.y is None for r in got.selectExpr(pick).collect()) == [False, True]
