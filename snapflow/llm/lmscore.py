@@ -10,7 +10,7 @@ Score of a word: its longest n-gram that other documents hold gives log(count /
 down to a shorter one costs ``log(alpha)``; a word that no other document holds counts ``1 / (N + 1)``, N being the
 words of the other documents, after all steps.
 
-Words are runs of bytes other than ASCII white space, A-Z lower-cased; n-grams are told apart by 64-bit hashes, 46 bits
+Words are runs of bytes other than ASCII white space, A-Z lower-cased; n-grams are told apart by 64-bit hashes, 44 bits
 of them within a part, and stay within a document. Null and empty texts, or those without words, have no words and a null average. Repeated
 rows are documents of their own. No rows: an empty result.
 """
@@ -23,10 +23,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from snapflow.llm.blocks import ANSWER, ASK, ROWS, TEXT, ascending, by_part, exchange, from_ascending, groups, pack, rows, unpack
+from snapflow.llm.blocks import (ANSWER, ASK, ROWS, TEXT, ascending, by_part, exchange, from_ascending, from_planes, groups,
+                                 pack, planes, rows, unpack)
 from snapflow.llm.common import lower_ascii, mix64, partitions, pieces, utf8
 
-PIECE_BYTES, PART_BYTES = 4 << 20, 8 << 20
+PIECE_BYTES, PART_BYTES = 6 << 20, 8 << 20
 _SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _BASE = 0x9E3779B97F4A7C15
 _CODE = mix64(np.arange(1, 257, dtype=np.uint64))
@@ -80,8 +81,8 @@ def _key(gram: np.ndarray, n: int) -> np.ndarray:
 
 
 def _parts(keys: np.ndarray, parts: int):
-    """(part, positions of its n-grams in ascending order of their names, the names): 46 bits within a part."""
-    name = keys >> np.uint64(18)
+    """(part, positions of its n-grams in ascending order of their names, the names): 44 bits within a part."""
+    name = keys >> np.uint64(20)
     for p, k in by_part((mix64(keys) % np.uint64(parts)).astype(np.int64)):
         k = k[np.argsort(name[k], kind="stable")]
         yield p, k, name[k]
@@ -156,7 +157,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, id_col: str = "do
                 keys, total = _distinct(ngrams(h, at, order))
                 out = [(src, TEXT, src, pack(ids.slice(lo, hi - lo).to_pylist(), off, x.tobytes()))]
                 for p, k, named in _parts(keys, parts):
-                    out.append((p, ASK, src, pack(ascending(named), total[k])))
+                    out.append((p, ASK, src, pack(ascending(named), planes(total[k]))))
                 yield rows(out)
                 src += 1
 
@@ -175,11 +176,11 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, id_col: str = "do
             order_ = np.argsort(every, kind="stable")
             s = every[order_]
             first = np.r_[True, s[1:] != s[:-1]]
-            total = np.add.reduceat(np.concatenate([t for _, (_, t) in asked])[order_].astype(np.uint64), np.flatnonzero(first))
+            total = np.add.reduceat(np.concatenate([from_planes(t, np.uint32) for _, (_, t) in asked])[order_].astype(np.uint64), np.flatnonzero(first))
             answer = np.empty(len(every), np.uint64)
             answer[order_] = total[np.cumsum(first) - 1]
             for (src, _), a in zip(asked, np.split(answer, np.cumsum([len(k) for k in named])[:-1]), strict=True):
-                yield rows([(src, ANSWER, key, pack(key, a.astype(np.uint32) if a.max() < 1 << 32 else a))])
+                yield rows([(src, ANSWER, key, pack(key, planes(a)))])
 
     def join(batches):  # 3: pieces join the totals and score
         for _, found in groups(batches):
@@ -191,7 +192,7 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, id_col: str = "do
             corpus = np.zeros(len(keys), np.int64)
             answers = dict(unpack(d) for kind, _, d in found if kind == ANSWER)
             for p, k, _ in _parts(keys, parts):
-                corpus[k] = answers[p].astype(np.int64)
+                corpus[k] = from_planes(answers[p], np.uint64).astype(np.int64)
             total = _score(grams, at, places, owns, corpus[:-1], int(corpus[-1]), alpha)
             n = np.diff(at)
             with np.errstate(invalid="ignore", divide="ignore"):
