@@ -23,7 +23,7 @@ from snapflow.llm.common import lower_ascii, mix64, pieces, some_rows, utf8
 from snapflow.session import reliable_checkpoint
 
 #: Documents that the scorer is trained on; hashed features; bytes of text in one vectorised step.
-SAMPLE, DIM, PIECE_BYTES = 20_000, 1 << 14, 4 << 20
+SAMPLE, DIM, PIECE_BYTES = 20_000, 1 << 14, 2 << 20
 GOOD, BAD, NONE = 1, -1, 0
 #: Labellers: signal, bad and good from / up to these values (low, high): a signal within a range votes.
 #: Fixed values.
