@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from snapflow.llm.common import lower_ascii, mix64, pieces, utf8
 from snapflow.llm.fmindex import FMIndex
 
-SHARD_BYTES, GROUP_BYTES = 8 << 20, 16 << 20
+SHARD_BYTES, GROUP_BYTES = 4 << 20, 16 << 20
 
 _IS_WORD = np.array([0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A or b >= 0x80 for b in range(256)])
 _BASE = 0x9E3779B97F4A7C15
