@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from snapflow.llm import bpe, decontam, pii, quality, simhash
 from snapflow.llm.queries import BPE_RANKS, KEEP, PII_KEY
-from snapflow.session import apply_defaults, ensure_parallelism, scratch_path
+from snapflow.session import apply_defaults, ensure_parallelism, release_scratch, scratch_path
 
 #: Near duplicates: words of a shingle, most differing bits. Decontamination: words of a window.
 SHINGLE, BITS, WINDOW = 3, 3, 10
@@ -77,11 +77,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; what a stage returns is written to the shared folder and read again."""
+    """All stages over ``documents``; what a stage returns is written to the shared folder and read again, and
+    deleted once the next stage is written (the last one's input when the caller releases its scratch)."""
     apply_defaults(spark)
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, name)
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            release_scratch(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
