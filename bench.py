@@ -18,7 +18,9 @@ from snapflow.session import get_spark  # noqa: E402
 
 HEADLINE = [
     "trends", "daily_rank", "moving_avg", "history_replay", "history_step", "dimension", "metrics",
-    "stage_repos", "stage_packages", "latest_package", "check_suite", "land_valid", "daily_run",
+    "stage_repos", "stage_packages", "latest_package", "check_suite", "land_valid", "daily_trends",
+    "trends_look_back", "daily_rank_window", "daily_rank_buckets", "history_upsert", "history_three_days", "schema_sync",
+    "stream_latest_repo", "daily_run", "daily_run_full",
 ]
 
 

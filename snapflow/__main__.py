@@ -19,6 +19,8 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from snapflow.session import release_scratch
+
 
 def _session() -> SparkSession:
     from snapflow.session import apply_defaults
@@ -76,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
     if "checks" in out:
         for r in out["checks"].collect():          # one row per check
             print(f"{r['model']}.{r['column']} {r['check']}: {r['failures']}")
+    release_scratch(spark)
     return 0
 
 

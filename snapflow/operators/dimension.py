@@ -36,10 +36,10 @@ def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, n
     """One row per mapping row (28 columns).
 
     ``mapping``: ``(technology_name, github_repo, pypi_package)``; ``repos`` / ``packages``:
-    staged rows, many per key. Tie-breaks default to every atomic column (deterministic). Only the repo/package keys named by the mapping can reach
-    the output, so when the mapping is provably small the staged rows are semi-joined
-    against a broadcast of its keys before the latest-row window (fewer rows sorted and
-    shuffled); otherwise the left joins do the filtering after a full latest-row pass.
+    staged rows, many per key. Tie-breaks default to every atomic column (deterministic).
+    Only the repo/package keys named by the mapping can reach the output, so the staged rows
+    are semi-joined with its keys before the latest-row window (fewer rows sorted): against
+    a broadcast, below the shuffle, when the mapping is provably small.
     """
     small = bool(reduce_max_keys) and small_enough(mapping, reduce_max_keys)   # one bounded probe
     gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys, known_small=small)

@@ -35,6 +35,7 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
     conf = dict(_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.ui.enabled"] = "false"
+    conf["spark.cleaner.referenceTracking.cleanCheckpoints"] = "true"    # checkpoints go with their frames
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
