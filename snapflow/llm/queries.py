@@ -87,7 +87,23 @@ QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_pii,
                                    op7_quality, op8_url_rules, op9_simhash, op10_bpe)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+_WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+  '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
 ORACLE_SQL: dict[str, str] = {
+    "op1_suffix_dedup": """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS o,
+           hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT r, o, unnest(range(length(h) // 2 - 49)) AS i, unnest([substr(h, 2 * x + 1, 100) FOR x IN range(length(h) // 2 - 49)]) AS s
+      FROM d),
+g AS (SELECT r, i FROM (SELECT r, i, o, min(o) OVER (PARTITION BY s) AS least FROM w) WHERE o > least),
+n AS (SELECT *, CASE WHEN i - lag(i) OVER x <= 50 THEN 0 ELSE 1 END AS new FROM g WINDOW x AS (PARTITION BY r ORDER BY i)),
+k AS (SELECT *, sum(new) OVER (PARTITION BY r ORDER BY i) AS span FROM n),
+p AS (SELECT r, span, min(i) AS a, max(i) + 50 AS b FROM k GROUP BY r, span),
+q AS (SELECT *, coalesce(lag(b) OVER (PARTITION BY r ORDER BY a), 0) AS before FROM p),
+c AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans, max(b) AS last,
+      string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept FROM q JOIN d USING (r) GROUP BY r)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256 FROM d LEFT JOIN c USING (r)""",
     "op8_url_rules": f"""
 WITH rules(rh, rp, v) AS (VALUES {_RULES_SQL}),
 cut AS (SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
@@ -100,6 +116,19 @@ ranked AS (SELECT u.*, rh || rp AS rule, v, row_number() OVER (PARTITION BY u.ro
            FROM (SELECT row_number() OVER () AS rowid, * FROM urls) u LEFT JOIN rules
            ON (host = rh OR host LIKE '%.' || rh) AND starts_with(path, rp))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM ranked WHERE k = 1""",
+    "op4_decontamination": rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS_SQL} AS ws FROM documents),
+b AS (SELECT item_id, ws, least(10, len(ws)) AS n FROM (SELECT item_id, {_WORDS_SQL} AS ws FROM benchmark)),
+w AS (SELECT DISTINCT item_id, n, unnest([array_to_string(ws[x:x + n - 1], ' ') FOR x IN range(1, len(ws) - n + 2)]) AS s FROM b
+      WHERE n > 0),
+g AS (SELECT r, n, unnest(range(1, len(ws) - n + 2)) AS i,
+      unnest([array_to_string(ws[x:x + n - 1], ' ') FOR x IN range(1, len(ws) - n + 2)]) AS s FROM d, (SELECT DISTINCT n FROM w) AS l),
+m AS (SELECT r, i, n, item_id FROM g JOIN w USING (n, s)),
+h AS (SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM m) GROUP BY r),
+f AS (SELECT r, list(DISTINCT CAST(item_id AS VARCHAR)) AS ids FROM m WHERE item_id IS NOT NULL GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, CAST(coalesce(len(ids), 0) AS BIGINT) AS n_items,
+  sha256(coalesce(array_to_string(list_sort(ids), ','), '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h USING (r) LEFT JOIN f USING (r)""",
     "op5_lm_scores": r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents),
