@@ -3,9 +3,10 @@
 Vectors get one more coordinate that gives all of them the same norm, so that the largest inner product is
 the least Euclidean distance, and then a random rotation. A coarse index (k-means on a bounded sample) deals
 all vectors to lists of about ``LIST`` vectors; a query visits its nearest lists, as many as the sample's own
-nearest neighbours need for the ``recall`` asked for. Within a list the distance is summed over blocks of columns; after each block a candidate is given up once its partial
-distance, scaled to all dimensions, exceeds the current threshold by more than a hypothesis test allows
-(``ADAPT``). Candidates that stay get their exact inner product on the original vectors in double precision.
+nearest neighbours need for the ``recall`` asked for. Within a list the distance is summed over blocks of
+columns; after each block a candidate is given up once its partial distance, scaled to all dimensions, exceeds
+the current threshold by more than a hypothesis test allows (``ADAPT``). Candidates that stay get their exact
+inner product on the original vectors in double precision.
 
 Equal vectors are one class, searched once as a candidate and once as a query, with the ``k + 1`` least ids of
 each class: enough for every query, since a class's further copies come after those. Lists are split so that

@@ -176,7 +176,8 @@ def score(docs: DataFrame, order: int = 3, alpha: float = 0.4, id_col: str = "do
             order_ = np.argsort(every, kind="stable")
             s = every[order_]
             first = np.r_[True, s[1:] != s[:-1]]
-            total = np.add.reduceat(np.concatenate([from_planes(t, np.uint32) for _, (_, t) in asked])[order_].astype(np.uint64), np.flatnonzero(first))
+            counts = np.concatenate([from_planes(t, np.uint32) for _, (_, t) in asked])[order_].astype(np.uint64)
+            total = np.add.reduceat(counts, np.flatnonzero(first))
             answer = np.empty(len(every), np.uint64)
             answer[order_] = total[np.cumsum(first) - 1]
             for (src, _), a in zip(asked, np.split(answer, np.cumsum([len(k) for k in named])[:-1]), strict=True):

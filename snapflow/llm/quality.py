@@ -137,7 +137,8 @@ def signals(w: Words, rows: int) -> np.ndarray:
     columns = {
         "same_as_before": share(again), "upper": share((upper >= 2) & (upper > 2 * lower)), "symbols": share(symbol >= 2),
         "bars": share((bare <= 1) & (w.size == 1) & (w.data[w.start] == ord("|"))) if len(w.start) else np.zeros(rows),
-        "short_words": share((letters >= 1) & (letters <= 4)), "distinct": np.where(n, few, 0), "pairs_again": np.where(n, 1 - distinct(pair), 0), "stop_words": share(is_stop),
+        "short_words": share((letters >= 1) & (letters <= 4)), "distinct": np.where(n, few, 0),
+        "pairs_again": np.where(n, 1 - distinct(pair), 0), "stop_words": share(is_stop),
         "ends": share(np.isin(w.data[last], [ord("."), ord("!"), ord("?")]) if len(last) else np.empty(0, bool)), "words": n.astype(float)}
     return np.stack([columns[s] for s in SIGNALS], axis=1)
 
