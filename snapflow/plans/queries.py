@@ -25,7 +25,7 @@ from snapflow.operators.staging import stage_packages, stage_repos, variant_to_j
 from snapflow.operators.trends import build_trends, entity_window, with_lags, with_moving_averages
 from snapflow.plans import bridge as B
 from snapflow.plans.daily import EXAMPLE_MAPPING
-from snapflow.session import reliable_checkpoint, scratch_path
+from snapflow.session import reliable_checkpoint, reliable_checkpoints, scratch_path
 from snapflow.sources.freshness import fresh_counts
 from snapflow.sources.raw import prepare_landing
 from snapflow.sources.responses import flatten_package, flatten_repo
@@ -439,11 +439,13 @@ def q_check_suite(spark, sf):
     """C4: report of every check over every table. Tables that feed several others are stored once, as in the
     daily run: staged rows (the columns that dimension and checks read), the dimension, the snapshots."""
     stg_r, stg_p = _stg_repos(spark, sf), _stg_packages(spark, sf)
-    stg_r = reliable_checkpoint(stg_r.drop("size", "pushed_at", "default_branch"))
-    stg_p = reliable_checkpoint(stg_p.drop("description_content_type", "classifiers", "requires_dist", "project_urls", "keywords"))
+    stg_r, stg_p, snap = reliable_checkpoints(
+        stg_r.drop("size", "pushed_at", "default_branch"),
+        stg_p.select("package_name", "extracted_at", "version", "downloads_last_day", "downloads_last_week", "downloads_last_month",
+                     "release_count", "requires_python", "author", "summary", "home_page", "latest_release_upload_time"),
+        _snapshots(spark, sf))
     dim = reliable_checkpoint(build_dimension(B.mapping(B.table(spark, sf, "customer")), stg_r, stg_p, now=NOW,
                                               repo_tiebreak=["full_name"], package_tiebreak=["version"]))
-    snap = reliable_checkpoint(_snapshots(spark, sf))
     m = B.snapshot_metrics(snap)
     w = Window.partitionBy("technology_name").orderBy(F.col("snapshot_date").desc_nulls_first())
     newest = m.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

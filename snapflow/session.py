@@ -12,6 +12,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JError
 from pyspark.sql import SparkSession
@@ -139,6 +140,13 @@ def reliable_checkpoint(df, eager: bool = True):
     return df.checkpoint(eager=eager)
 
 
+def reliable_checkpoints(*frames) -> list:
+    """Checkpoint frames that don't depend on each other side by side (each may be too narrow to fill the cluster)."""
+    storage_root(frames[0].sparkSession)
+    with ThreadPoolExecutor(len(frames)) as pool:
+        return list(pool.map(reliable_checkpoint, frames))
+
+
 def ensure_parallelism(df, min_partitions: int | None = None):
     """Spread ``df`` over at least the cluster's default parallelism before CPU-heavy
     per-row work (JSON parsing, document building).
