@@ -29,7 +29,7 @@ from snapflow.llm.components import components
 from snapflow.session import reliable_checkpoint
 
 #: Fingerprints sampled to find hot buckets, the share of the sample that makes one hot, entries of a part.
-SAMPLE, HOT_SHARE, PART_ENTRIES = 20_000, 1 / 256, 1_000_000
+SAMPLE, HOT_SHARE, PART_ENTRIES = 20_000, 1 / 256, 250_000
 _SEED = 42
 
 
@@ -161,8 +161,8 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
     def index(batches):
         for batch in batches:
             values = batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            for lo in range(0, len(values), 1 << 13):
-                fp, key = _refine(*_variants(values[lo:lo + (1 << 13)], bits), hot)
+            for lo in range(0, len(values), 1 << 14):
+                fp, key = _refine(*_variants(values[lo:lo + (1 << 14)], bits), hot)
                 part = (key % np.uint64(parts)).astype(np.int64)
                 order = np.argsort(part, kind="stable")
                 ids, first = np.unique(part[order], return_index=True)
@@ -177,8 +177,10 @@ def links(fps: DataFrame, bits: int = 3) -> DataFrame:
                 e = edges.view(np.int64)
                 yield pa.record_batch([pa.array(e[:, 0].copy()), pa.array(e[:, 1].copy())], names=["a", "b"])
 
-    blocks = fps.select("fp").mapInArrow(index, "part long, block binary")
-    return (blocks.repartition(min(parts, 4 * partitions(fps)), "part").sortWithinPartitions("part")
+    deal = min(parts, 4 * partitions(fps))
+    # a stored frame of fingerprints has few partitions for the entries that it makes
+    blocks = fps.select("fp").repartition(deal, "fp").mapInArrow(index, "part long, block binary")
+    return (blocks.repartition(deal, "part").sortWithinPartitions("part")
             .mapInArrow(meet, "a long, b long"))
 
 
