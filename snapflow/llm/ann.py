@@ -1,9 +1,11 @@
 """Approximate nearest neighbours by inner product, with an adaptive scan of dimensions.
 
-Vectors get one more coordinate that gives all of them the same norm, so that the largest inner product is
-the least Euclidean distance, and then a random rotation. A coarse index (k-means on a bounded sample) deals
-all vectors to lists of about ``LIST`` vectors; a query visits its nearest lists, as many as the sample's own
-nearest neighbours need for the ``recall`` asked for. Within a list the distance is summed over blocks of
+Vectors are dealt to bands of norms, each within a factor of two. In a band they are divided by its greatest norm
+and get one more coordinate that gives all of them norm 1, queries are divided by their own, so that the largest
+inner product is the least Euclidean distance, whatever the norms of other bands; then comes a random rotation. A
+coarse index (k-means on a bounded sample, by band) deals all vectors to lists of about ``LIST`` vectors; a query
+visits its nearest lists in each band, as many as the sample's own nearest neighbours in that band need for the
+``recall`` asked for, and one at least. Within a list the distance is summed over blocks of
 columns; after each block a candidate is given up once its partial distance, scaled to all dimensions, exceeds
 the current threshold by more than a hypothesis test allows (``ADAPT``). Candidates that stay get their exact
 inner product on the original vectors in double precision.
@@ -45,54 +47,96 @@ def _matrix(col: pa.Array, dim: int) -> np.ndarray:
     return col.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
 
 
+def _norms(x: np.ndarray) -> np.ndarray:
+    """Norms that neither overflow nor vanish in the squares."""
+    top = np.maximum(np.abs(x).max(axis=1), np.finfo(np.float64).tiny)
+    return top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1))
+
+
+def _bands(norms: np.ndarray) -> np.ndarray:
+    """The band of each norm; the edges lie off the powers of two, so that norms of about 1 share one."""
+    return np.ceil(np.log2(norms) - 0.5).astype(np.int32)
+
+
 class Space:
-    """The rotated space of equal norms, its lists' centres, and how many lists a query must visit."""
+    """The rotated space of unit vectors, a part for each band of norms, the centres of its lists, and how many lists
+    a query must visit. ``bands``: number, rows and greatest norm of each, in ascending order."""
 
-    def __init__(self, sample: np.ndarray, norm: float, lists: int, k: int, recall: float) -> None:
+    def __init__(self, sample: np.ndarray, bands: list[tuple[int, int, float]], k: int, recall: float) -> None:
         rng = np.random.default_rng(7)
-        dim = sample.shape[1]
-        self.norm = norm
+        dim, n = sample.shape[1], sum(rows for _, rows, _ in bands)
+        self.bands, self.norms = np.array([b for b, _, _ in bands]), np.array([norm for _, _, norm in bands])
         self.rotation = np.linalg.qr(rng.standard_normal((dim + 1, dim + 1)))[0].astype(np.float32)
-        x = self.place(sample)
-        centres = x[rng.choice(len(x), min(lists, len(x)), replace=False)]
+        x, of = self.place(sample)
+        centres = []
+        for b, (_, rows, _) in enumerate(bands):
+            mine = x[of == b]
+            centres.append(self._means(mine, max(1, min(MAX_LISTS * rows // n, rows // LIST, len(mine) // 8)), rng))
+        self.centres = np.concatenate(centres)
+        self.first = np.cumsum([0, *map(len, centres)])
+        q = rng.choice(len(sample), min(ASKED, len(sample)), replace=False)
+        order = np.argsort(-(sample[q] @ sample.T), axis=1)[:, :k]
+        asked, to = self.ask(sample[q]), self.lists(x, of)
+        self.probes = []
+        for b in range(len(bands)):
+            place = np.argsort(self._near(asked, b, self.first[b + 1] - self.first[b], in_order=True), axis=1)
+            query, hit = np.nonzero(of[order] == b)
+            need = place[query, to[order[query, hit]] - self.first[b]]
+            self.probes.append(int(np.quantile(need, recall, method="higher")) + 1 if len(need) else 1)
+
+    def _means(self, x: np.ndarray, lists: int, rng: np.random.Generator) -> np.ndarray:
+        """Centres of ``lists`` lists; of a band that the sample misses, the origin."""
+        if not len(x):
+            return np.zeros((1, x.shape[1]), np.float32)
+        centres = x[rng.choice(len(x), lists, replace=False)]
         for _ in range(ROUNDS):
-            near = self._nearest(x, centres, 1)[:, 0]
+            near = self._nearest(x, centres)
             count = np.bincount(near, minlength=len(centres))
             total = np.zeros((len(centres), x.shape[1]))
             np.add.at(total, near, x)
             some = count > 0
             centres[some] = (total[some] / count[some, None]).astype(np.float32)
-        self.centres = centres
-        q = rng.choice(len(sample), min(ASKED, len(sample)), replace=False)
-        order = np.argsort(-(sample[q] @ sample.T), axis=1)[:, :k]
-        place = np.argsort(self._nearest(self.ask(sample[q]), centres, len(centres), in_order=True), axis=1)
-        need = np.take_along_axis(place, self.lists(x)[:, 0][order], axis=1).ravel()
-        self.probes = int(np.quantile(need, recall, method="higher")) + 1
+        return centres
 
-    def place(self, x: np.ndarray) -> np.ndarray:
-        """Candidates in the rotated space."""
-        last = np.sqrt(np.maximum(self.norm - (x * x).sum(axis=1), 0))
-        return np.c_[x, last].astype(np.float32) @ self.rotation
+    def place(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Candidates in the rotated space, and the position of each one's band."""
+        of = np.minimum(np.searchsorted(self.bands, _bands(_norms(x))), len(self.bands) - 1)
+        x = x / self.norms[of][:, None]
+        last = np.sqrt(np.maximum(1 - (x * x).sum(axis=1), 0))
+        return np.c_[x, last].astype(np.float32) @ self.rotation, of
 
     def ask(self, q: np.ndarray) -> np.ndarray:
         """Queries in the rotated space."""
-        return np.c_[q, np.zeros(len(q))].astype(np.float32) @ self.rotation
+        return np.c_[q / _norms(q)[:, None], np.zeros(len(q))].astype(np.float32) @ self.rotation
 
     @staticmethod
-    def _nearest(x: np.ndarray, centres: np.ndarray, n: int, in_order: bool = False) -> np.ndarray:
+    def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        size = (centres * centres).sum(axis=1)
+        out = [np.argmin(size - 2 * (x[lo:lo + 4096] @ centres.T), axis=1) for lo in range(0, len(x), 4096)]
+        return np.concatenate(out) if out else np.empty(0, np.int64)
+
+    def lists(self, x: np.ndarray, of: np.ndarray) -> np.ndarray:
+        """The list of each candidate: the nearest of its band."""
+        out = np.zeros(len(x), np.int64)
+        for b in np.unique(of):
+            mine = of == b
+            out[mine] = self.first[b] + self._nearest(x[mine], self.centres[self.first[b]:self.first[b + 1]])
+        return out
+
+    def visits(self, q: np.ndarray) -> np.ndarray:
+        """The lists that each query visits."""
+        return np.concatenate([self.first[b] + self._near(q, b, n) for b, n in enumerate(self.probes)], axis=1)
+
+    def _near(self, q: np.ndarray, b: int, n: int, in_order: bool = False) -> np.ndarray:
+        """The ``n`` nearest lists of each query in a band, counted within the band."""
         out = []
+        centres = self.centres[self.first[b]:self.first[b + 1]]
         size = (centres * centres).sum(axis=1)
-        for lo in range(0, len(x), 4096):
-            d = size - 2 * (x[lo:lo + 4096] @ centres.T)
-            if in_order:
-                out.append(np.argsort(d, axis=1)[:, :n])
-            else:
-                out.append(np.argmin(d, axis=1)[:, None] if n == 1 else np.argpartition(d, n - 1, axis=1)[:, :n])
+        for lo in range(0, len(q), 4096):
+            d = size - 2 * (q[lo:lo + 4096] @ centres.T)
+            out.append(np.argsort(d, axis=1)[:, :n] if in_order else np.argpartition(d, n - 1, axis=1)[:, :n])
         return np.concatenate(out) if out else np.empty((0, n), np.int64)
 
-    def lists(self, x: np.ndarray, n: int = 1) -> np.ndarray:
-        return self._nearest(x, self.centres, min(n, len(self.centres)))
-
 
 def adaptive_scan(q: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     """Positions in ``x`` of about the ``k`` nearest to ``q``: candidates are given up early."""
@@ -139,11 +183,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
         return spark.createDataFrame([], schema)
     dim, n = sizes["dim"], sizes["count"]
     classes = classes.where(F.size("v") == dim)
-    wide = F.transform("v", lambda x: x.cast("double"))
-    norm = classes.agg(F.max(F.aggregate(wide, F.lit(0.0), lambda a, x: a + x * x))).first()[0]
+
+    def band(batches):
+        for batch in batches:
+            norms = _norms(_matrix(batch.column(0), dim))
+            yield pa.record_batch([pa.array(_bands(norms)), pa.array(norms)], names=["band", "norm"])
+
+    bands = (classes.select("v").mapInArrow(band, "band int, norm double").groupBy("band")
+             .agg(F.count("*").alias("n"), F.max("norm").alias("norm")).collect())       # at most some 2,100 rows
+    bands = sorted((r["band"], r["n"], r["norm"]) for r in bands)
     sample = some_rows(classes, n, SAMPLE).select("v").toArrow().column("v").combine_chunks()
-    lists = max(1, min(MAX_LISTS, n // LIST, len(sample) // 8))
-    space = spark.sparkContext.broadcast(Space(_matrix(sample, dim), norm, lists, k, recall))
+    space = spark.sparkContext.broadcast(Space(_matrix(sample, dim), bands, k, recall))
 
     queries = rows.where(is_query & (F.size("v") == dim))
     asked = queries.select("v").distinct().join(classes, "v").select("class", "v")
@@ -153,7 +203,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
             for batch in batches:
                 x = _matrix(batch.column(1), dim)
                 s = space.value
-                to = s.lists(s.ask(x), s.probes) if asks else s.lists(s.place(x))
+                to = s.visits(s.ask(x)) if asks else s.lists(*s.place(x))[:, None]
                 take = np.repeat(np.arange(len(x)), to.shape[1])
                 yield pa.record_batch([pa.array(to.ravel().astype(np.int32)), *(c.take(pa.array(take)) for c in batch.columns)],
                                       names=["list", *batch.schema.names])
@@ -181,7 +231,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
             x, q = (_matrix(t.column("v").combine_chunks(), dim) for t in (left, right))
             ids = left.column("ids").to_pylist()
             s = space.value
-            xs, qs = s.place(x), s.ask(q)
+            xs, qs = s.place(x)[0], s.ask(q)
             for c, v, w in zip(right.column("class").to_pylist(), q, qs, strict=True):
                 near = adaptive_scan(w, xs, k + 1)
                 score = x[near] @ v

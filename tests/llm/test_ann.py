@@ -57,6 +57,19 @@ def test_recall_over_many_lists(spark, monkeypatch):
     assert hit >= 0.9 * sum(map(len, want.values()))
 
 
+def test_long_vectors_cost_others_nothing(spark, monkeypatch):
+    rows = vectors()
+    top = (max(i for i, _ in rows) // 20 + 1) * 20
+    rows += [(top, [1e4 * x for x in rows[3][1]]), (top + 1, [1e4 * x for x in rows[8][1]]), (top + 2, [1e-4 * x for x in rows[9][1]])]
+    want = brute([(i, np.float32(v).tolist()) for i, v in rows], 20)
+    for lists, least in ((1000, 1), (20, 0.9)):               # one list a band, and many
+        monkeypatch.setattr(ann, "LIST", lists)
+        got = run(spark, rows)
+        assert got.keys() == want.keys()
+        hit = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+        assert hit >= least * sum(map(len, want.values())), (lists, hit)
+
+
 def test_few_and_none(spark):
     assert run(spark, []) == {}
     assert run(spark, [(20, [1.0, 0.0])]) == {}
