@@ -30,7 +30,7 @@ def _with_text(changed: DataFrame, like: DataFrame, text: Column, where: Column)
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the quality classifier rejects."""
+    """Drop the documents that the classifier rejects, for their quality or as toxic."""
     rows = ensure_parallelism(docs).select(F.struct("*").alias("row"), "text")
     return quality.classify(rows, threshold=KEEP, row="row").where("keep").select("row.*")
 

@@ -18,8 +18,9 @@ BPE_RANKS = "byte_bpe_multi_50k.tiktoken"
 EOD = 50256
 #: Key of the surrogates; a deployment sets its own.
 PII_KEY = "surrogate-key"
-#: Scores from which documents are kept: rejected ones are three times likelier bad than good.
-KEEP = 0.25
+#: Quality scores from which documents are kept (rejected ones are three times likelier bad than good), and toxic scores
+#: from which they are rejected.
+KEEP = (0.25, 0.5)
 #: Rules of the URL query: host, path, verdict.
 URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
              ("com", "/fr/", "allow"), ("com", "/de/", "block")]
@@ -60,7 +61,7 @@ def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Votes, weak label, score and verdict of every whole text."""
+    """Votes, weak label and score of every whole text, for quality and for toxicity, and the verdict on both."""
     found = quality.classify(table(spark, sf_dir, "documents", "doc_id", "text"), threshold=KEEP)
     return found.withColumnRenamed("row", "doc_id")
 

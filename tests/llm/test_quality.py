@@ -61,6 +61,26 @@ def test_held_out_accuracy(spark):
     assert kept[1] >= 0.98 and kept[0] <= 0.1
 
 
+def test_toxic_documents_are_rejected(spark):
+    """The test tables' abusive words are listed for English only; other languages invent theirs."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(4)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    got = quality.classify(docs, threshold=(0.25, 0.5)).join(labels, F.col("row") == labels.doc_id).where("quality = 1")
+    kept = {(r["toxic"], r["en"]): r["m"] for r in got.join(docs.select("doc_id", (F.col("lang") == "en").alias("en")), "doc_id")
+            .groupBy("toxic", "en").agg(F.avg(F.col("keep").cast("int")).alias("m")).collect()}
+    assert kept[1, True] <= 0.1 and kept[0, True] >= 0.98 and kept[0, False] >= 0.98
+
+
+def test_toxic_signals():
+    texts = ["You IDIOT, what a clown!", "a fine day for all of us", "", None, "idiot idiot x moron."]
+    data, offsets = utf8(pa.array(texts, pa.string()))
+    w = quality.Words(data, offsets)
+    got = quality.toxic_signals(w, quality.bare_words(w), len(texts))
+    at = quality.TOXIC_SIGNALS.index
+    assert np.allclose(got[:, at("abuse")], [0.4, 0, 0, 0, 0.75]) and got[:, at("kinds")].tolist() == [2, 0, 0, 0, 2]
+    assert np.allclose(got[:, at("mind")], [0.2, 0, 0, 0, 0.75]) and np.allclose(got[:, at("mock")], [0.2, 0, 0, 0, 0])
+
+
 def test_awkward_rows(spark):
     rows = documents()
     got = quality.classify(frame(spark, rows), row="doc_id").collect()
