@@ -32,11 +32,11 @@ IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])"
 KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
 CARD = r"(?<![A-Za-z0-9])(?:(?:[0-9]{4}[ -]?){3}[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![A-Za-z0-9])"
-PHONE = (r"(?<![A-Za-z0-9+])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[.-])[0-9]{3}[ .-][0-9]{4}"
-         r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5})(?![A-Za-z0-9])")
-HEX = r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])"
+PHONE = (r"(?<![A-Za-z0-9+])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
+         r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}|\+[1-9][0-9]{0,2}[ .-]?[0-9]{6,12})(?![A-Za-z0-9])")
+HEX = r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])"
 SECRET = (r"(?<![A-Za-z0-9_])(?i:password|passwd|pwd|secret|api_?key|access_?token|token)[\"']?[ ]?[=:][ ]?[\"']?"
-          r"(?=[^\s\"',;]*[0-9])[^\s\"',;]{4,128}")
+          r"(?=[^\s\"',;]*[0-9])[^\s\"',;]{4,}+")
 _SECRET_PREFIX = r"^(?i:password|passwd|pwd|secret|api_?key|access_?token|token)[\"']?[ ]?[=:][ ]?[\"']?"
 MALE = ["Mister", "Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "г-н", "κύριος", "Κύριος"]
 FEMALE = ["Mrs", "Miss", "Ms", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "г-жа", "κυρία", "Κυρία"]
@@ -60,15 +60,22 @@ _SYLLABLES = {
 }
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, not again for each element of a ``transform`` in it."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def _bytes(key: str, kind: Column, norm: Column, attempt: int) -> Column:
-    """A stream of hash bytes for a value, as hexadecimal text: one byte a character and some to spare."""
+    """A stream of hash bytes for a value, in hexadecimal blocks of 64: one byte a character and some to spare."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, norm, F.lit(str(attempt)))
+    seed = F.when(F.length(norm) > 128, F.sha2(seed, 512)).otherwise(seed)     # a long value is hashed once, not by block
     blocks = F.sequence(F.lit(0), F.floor((F.length(norm) + 16) / 64).cast("int"))
-    return F.array_join(F.transform(blocks, lambda j: F.sha2(F.concat(seed, F.lit("\x1f"), j.cast("string")), 512)), "")
+    return _once(seed, lambda x: F.transform(blocks, lambda j: F.sha2(F.concat(x, F.lit("\x1f"), j.cast("string")), 512)))
 
 
 def _byte(stream: Column, i: Column) -> Column:
-    return F.conv(F.substring(stream, i * 2 + 1, F.lit(2)), 16, 10).cast("int")
+    block = F.element_at(stream, F.floor(i / 64).cast("int") + 1)
+    return F.conv(F.substring(block, (i % 64) * 2 + 1, F.lit(2)), 16, 10).cast("int")
 
 
 def _pick(letters: str, b: Column) -> Column:
@@ -106,14 +113,17 @@ def _name(script: str, end: int, stream: Column, attempt: int) -> Column:
 
 def _candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
     """The surrogate of a normal form at an attempt."""
-    s = _bytes(key, kind, norm, attempt)
+    return _once(_bytes(key, kind, norm, attempt), lambda s: _surrogate(s, kind, norm, attempt))
+
+
+def _surrogate(s: Column, kind: Column, norm: Column, attempt: int) -> Column:
     extra = attempt // 16
     more = F.concat(*(_pick("0123456789", _byte(s, F.length(norm) + i)) for i in range(extra))) if extra else F.lit("")
     host = F.substring_index(norm, "@", -1)
     labels = F.split(host, r"\.")
     under = F.array_join(F.slice(labels, 1, F.greatest(F.size(labels) - 2, F.lit(0))), ".")
     email = F.concat(_like(F.substring_index(norm, "@", 1), s), more, F.lit("@"),
-                     F.when(F.size(labels) > 2, F.concat(_like(under, F.reverse(s)), F.lit("."))).otherwise(""),
+                     F.when(F.size(labels) > 2, F.concat(_like(under, F.transform(F.reverse(s), F.reverse)), F.lit("."))).otherwise(""),
                      F.lit("example."), F.element_at(labels, -1))
     octets = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(s, i) % 254 + 1).cast("string")), ".")
     body = F.concat(F.left(norm, F.lit(1)), _like(F.substring(norm, F.lit(2), F.length(norm) - 2), s), more)
@@ -156,7 +166,7 @@ def _digits(v: Column) -> Column:
 
 
 def _norm(kind: Column, v: Column) -> Column:
-    return (F.when(kind == "email", F.lower(v)).when(kind == "phone", F.right(_digits(v), F.lit(10)))
+    return (F.when(kind == "email", F.lower(v)).when(kind == "phone", F.right(_digits(v), F.greatest(F.lit(10), F.length(_digits(v)) - 3)))
             .when(kind.isin("card", "ssn"), _digits(v)).when(kind.startswith("given") | kind.startswith("family"), F.initcap(F.lower(v)))
             .otherwise(v))
 

@@ -65,6 +65,22 @@ def test_form_and_coreference(done):
     assert re.fullmatch(r"[Ͱ-Ͽ]+", rest[5] + rest[6])
 
 
+def test_long_secrets_and_compact_phones(spark):
+    """Nothing of a long value stays, and phone numbers need no separators after a plus, or blanks."""
+    digest = [("0a1b2c3d9e8f7" * 400)[:n] for n in (64, 65, 128, 129, 5000)]
+    token = ["".join(chr(97 + (i * i + n) % 26) if i % 3 else str(i * 7 % 10) for i in range(n)) for n in (128, 129, 404, 5000)]
+    token.append("eyJhbGciOiJIUzI1NiJ9." + "Ab9_-" * 60 + ".Zz8" + "q7" * 40)
+    phones = ["+14155550123", "415 555 0123", "+1 415 555 0123", "+442079460958", "+123456789012345"]
+    texts, n = run(spark, [f"x {d} y" for d in digest] + [f"token={t} y" for t in token] + [f"call {p} now" for p in phones])
+    assert n == [1] * len(texts)
+    for was, now in zip(digest + token, texts):
+        new = now.removeprefix("x ").removeprefix("token=").removesuffix(" y")
+        assert len(new) == len(was) and not any(was[i:i + 16] in new for i in range(0, len(was) - 16, 8))
+    for was, now in zip(phones, texts[-len(phones):]):
+        assert was not in now and re.sub("[0-9]", "0", now) == re.sub("[0-9]", "0", f"call {was} now")
+        assert was[-6:] not in now
+
+
 def test_key_decides(spark, done):
     assert run(spark, TEXTS)[0] == done[0]
     df = spark.createDataFrame([(1, TEXTS[2])], "doc_id long, text string")
