@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, lmscore, pii, quality, simhash, suffixdedup, tokenscan, urlrules
+from snapflow.llm import ann, bpe, decontam, lmscore, pii, quality, simhash, suffixdedup, tokenscan, urlrules, whiten
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
@@ -84,8 +84,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, public_tokenizers.path(BPE_RANKS), public_tokenizers.PATTERN, with_ids=False)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the 32 leading components of all, whitened."""
+    found = whiten.whiten(table(spark, sf_dir, "embeddings", "vec_id", "embedding"), components=32, scale=64, offset=1_000_000)
+    return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_pii, op4_decontamination, op5_lm_scores, op6_ann,
-                                   op7_quality, op8_url_rules, op9_simhash, op10_bpe)}
+                                   op7_quality, op8_url_rules, op9_simhash, op10_bpe, op11_whitening)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
