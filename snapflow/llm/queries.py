@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, lmscore, pii, quality, simhash, suffixdedup, tokenscan, urlrules, whiten
+from snapflow.llm import ann, bpe, decontam, lmscore, pii, quality, simhash, suffixdedup, tokenscan, urlrules, vgram, whiten
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
@@ -90,8 +90,15 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
 
 
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the words of all whole texts, one code point of some runs left out."""
+    words = vgram.vocabulary(table(spark, sf_dir, "documents", "doc_id", "text"), min_length=7, min_count=2, drop=31)
+    return vgram.group_variants(words, ratio=10)
+
+
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_pii, op4_decontamination, op5_lm_scores, op6_ann,
-                                   op7_quality, op8_url_rules, op9_simhash, op10_bpe, op11_whitening)}
+                                   op7_quality, op8_url_rules, op9_simhash, op10_bpe, op11_whitening,
+                                   op13_variants)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -152,4 +159,26 @@ v AS (SELECT r, CASE WHEN i >= 2 AND n3 > 0 THEN ln(n3) - ln(c2)
              ELSE -ln(rest + 1) + least(i, 2) * ln(0.4) END AS x FROM s),
 a AS (SELECT r, avg(x) AS m FROM v GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(m, 6) AS avg_log_score FROM d LEFT JOIN a USING (r)""",
+    "op13_variants": r"""
+WITH RECURSIVE tab AS (SELECT [list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)
+         FOR i IN range(256)] AS t),
+r AS (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS raw FROM documents),
+l AS (SELECT doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS k FROM r
+      WHERE length(raw) >= 7 GROUP BY 1, 2),
+b AS (SELECT w, k, flatten([CASE WHEN unicode(c) < 128 THEN [unicode(c)] ELSE [195, unicode(c) - 64] END
+           FOR c IN string_split(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || w, '')]) AS s FROM l),
+h AS (SELECT w, k, xor(4294967295, list_reduce([4294967295] || s, lambda c, x: xor(c // 256, t[1 + xor(c % 256, x)]))) AS h FROM b, tab),
+d AS (SELECT CASE WHEN h % 31 = 0 THEN left(w, h % length(w)) || substr(w, 2 + h % length(w)) ELSE w END AS word, k FROM h),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM d WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+x AS (SELECT word, n, unnest(range(length(word))) AS i FROM v),
+cut AS (SELECT word, n, i, left(word, i) || substr(word, i + 2) AS s FROM x),
+pairs AS (SELECT DISTINCT a.word, a.n, b.word AS near, b.n AS m FROM cut a JOIN cut b USING (i, s) WHERE a.word <> b.word
+          UNION SELECT DISTINCT c.word, c.n, v.word, v.n FROM cut c JOIN v ON c.s = v.word
+          UNION SELECT DISTINCT v.word, v.n, c.word, c.n FROM cut c JOIN v ON c.s = v.word),
+best AS (SELECT word, count(*) AS n_near, min({'less': -m, 'near': encode(near)}) AS b FROM pairs GROUP BY word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN -b.less >= 10 * n THEN decode(b.near) END AS form,
+      CASE WHEN -b.less >= 10 * n THEN -b.less END AS form_n FROM v LEFT JOIN best USING (word)),
+walk AS (SELECT word, word AS root FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, walk.root, f.n, f.n_near, f.form_n FROM f JOIN walk USING (word) JOIN f AS e ON e.word = walk.root
+WHERE e.form IS NULL""",
 }
