@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from snapflow.llm import ann, bpe, decontam, lmscore, pii, quality, simhash, suffixdedup, tokenscan, urlrules, vgram, whiten
+from snapflow.llm import ann, bpe, decontam, lmscore, partenum, pii, quality, simhash, suffixdedup, tokenscan, urlrules, vgram, whiten
 from snapflow.llm.common import table
 
 #: Rank file of the byte-level BPE operator.
@@ -90,6 +90,11 @@ def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("deviation", F.expr("try_cast(deviation as long)"))
 
 
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of the whole texts whose sets of 5-word shingles are similar by 80 hundredths."""
+    return partenum.near_sets(table(spark, sf_dir, "documents", "doc_id", "text"), size=5, percent=80)
+
+
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spelling variants among the words of all whole texts, one code point of some runs left out."""
     words = vgram.vocabulary(table(spark, sf_dir, "documents", "doc_id", "text"), min_length=7, min_count=2, drop=31)
@@ -98,7 +103,7 @@ def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_suffix_dedup, op2_token_counts, op3_pii, op4_decontamination, op5_lm_scores, op6_ann,
                                    op7_quality, op8_url_rules, op9_simhash, op10_bpe, op11_whitening,
-                                   op13_variants)}
+                                   op12_jaccard, op13_variants)}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 _WORDS_SQL = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -159,6 +164,18 @@ v AS (SELECT r, CASE WHEN i >= 2 AND n3 > 0 THEN ln(n3) - ln(c2)
              ELSE -ln(rest + 1) + least(i, 2) * ln(0.4) END AS x FROM s),
 a AS (SELECT r, avg(x) AS m FROM v GROUP BY r)
 SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, round(m, 6) AS avg_log_score FROM d LEFT JOIN a USING (r)""",
+    "op12_jaccard": r"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t\n\x0B\x0C\r]+') AS ws FROM documents),
+s AS (SELECT r, doc_id, list_distinct([array_to_string(ws[x:x + 4], ' ') FOR x IN range(1, greatest(len(ws) - 4, least(len(ws), 1)) + 1)]) AS g
+      FROM d),
+e AS (SELECT r, doc_id, len(g) AS n, unnest(g) AS w FROM s),
+p AS (SELECT a.r AS a, b.r AS b FROM e a JOIN e b USING (w) GROUP BY a.r, b.r
+      HAVING 100 * count(*) >= 80 * (any_value(a.n) + any_value(b.n) - count(*))),
+c AS (SELECT a, b FROM p UNION SELECT c.a, p.b FROM c JOIN p ON c.b = p.a),
+m AS (SELECT a, min(d.doc_id) AS least FROM c JOIN d ON d.r = c.b GROUP BY a)
+SELECT doc_id, CAST(len(g) AS BIGINT) AS n_shingles, CASE WHEN m.a IS NULL THEN doc_id ELSE least END AS component_id
+FROM s LEFT JOIN m ON m.a = s.r""",
     "op13_variants": r"""
 WITH RECURSIVE tab AS (SELECT [list_reduce([i] || range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END)
          FOR i IN range(256)] AS t),
