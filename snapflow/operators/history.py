@@ -1,11 +1,12 @@
 """Keyed day-by-day history (H1-H4) and its one-pass closed form.
 
-The history table is Parquet partitioned by ``snapshot_date``, in a folder or the catalog. An
-increment compares current metrics with the newest stored row per entity (``W3`` + left
-join), then the upsert rewrites only the date partitions the new rows touch (dynamic
-partition overwrite): ``kept old rows of those dates (key anti-join) + new rows``. Rows
-without a date match nothing and are appended. Everything is DataFrame work; the driver
-never sees rows.
+The history table is Parquet partitioned by ``snapshot_date`` and, below it, by ``history_run``,
+in a folder or the catalog; ``read_history`` reads it without the second. An increment compares
+current metrics with the newest stored row per entity (``W3`` + left join), then the upsert
+rewrites only the date partitions the new rows touch: ``kept old rows of those dates (key
+anti-join) + new rows``, all under the run ``-``. Rows without a date match nothing: they come
+under a run of their own, so one dynamic partition overwrite writes dated and undated rows and
+no undated row is ever written again. Everything is DataFrame work; the driver never sees rows.
 
 Beside the history stands a table with one row per entity (``_latest``): its newest stored
 row, first date and newest dates. It is marked stale before the history is written and
@@ -15,11 +16,12 @@ clear once it follows, so after a stop between the two writes it is derived anew
 from __future__ import annotations
 
 import logging
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType
+from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from snapflow.functions.scalars import build_time, delta
 from snapflow.operators.latest import latest_per_key
@@ -45,6 +47,8 @@ DELTAS = {
     "issues_change": "open_issues",
 }
 _CARRIED = HISTORY_COLUMNS[:23]           # metrics columns kept in history (no download ratios)
+#: Second partition column: the run that brought rows without a date; dated rows bear ``DATED``.
+RUN, DATED = "history_run", "-"
 # Dates kept per entity in the latest table: retention, look-back and some to spare.
 RECENT_DATES = 150
 
@@ -117,11 +121,15 @@ def upsert(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str
            part: str = "snapshot_date", checkpoint: bool = True) -> None:
     """Merge ``rows`` into the table ``target``, a folder or a catalog table (created on first use).
 
-    Same columns as the table: only the dated partitions present in ``rows`` are rewritten
-    (dynamic partition overwrite: one job, one commit; other dates are not touched), and
-    rows without a date are appended. Columns changed (``sync_all_columns``): every
-    partition must change, so the synced table is written beside the old one and takes its
-    place when it is whole.
+    Only the dated partitions present in ``rows`` are rewritten; rows without a date form a
+    partition of their own. Both go through one dynamic partition overwrite, so no stop
+    leaves the one without the other, and a repeated run ends in the same dated rows.
+
+    Columns changed (``sync_all_columns``): the columns are set first, as the warehouse
+    alters its table before it merges; no stored file is rewritten (``sinks.Layout``; a
+    catalog table gets new columns by ``ALTER TABLE``). Only a column of another type, a
+    dropped column of a catalog table, and a table written without the second partition
+    column are written anew, beside the old table, and take its place when whole.
 
     ``rows`` is checkpointed first, so the duplicate-key check and the writes see the same
     rows, and a lost executor recomputes from the reliable copy, not from the table
@@ -132,25 +140,51 @@ def upsert(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str
     dups = check_unique_keys(rows, keys)
     if dups.limit(1).count():
         raise ValueError(f"incoming rows repeat a merge key {tuple(keys)}")
-    old = read_history(spark, target, part, rows.schema[part].dataType)
-    if old is None:
-        sinks.write_table(rows, target, [part])
+    run = F.when(F.col(part).isNotNull(), DATED).otherwise(uuid.uuid4().hex)
+    stored = _stored(spark, target, part, rows.schema[part].dataType)
+    if stored is None:
+        sinks.write_table(rows.withColumn(RUN, run), target, [part, RUN])
         return
-    if {(f.name, f.dataType) for f in old.schema.fields} == {(f.name, f.dataType) for f in rows.schema.fields}:
-        rows = rows.select(*old.columns)
-        sinks.overwrite_partitions(merge_frame(old, rows, keys, part), target, part)
-        undated = rows.where(F.col(part).isNull())
-        if not undated.isEmpty():
-            sinks.append(undated, target, part)
+    if not _align(spark, target, stored, rows):
+        old = stored if RUN in stored.columns else stored.withColumn(RUN, run)
+        kept = sync_columns(old, rows.withColumn(RUN, run)).join(rows.select(*keys), list(keys), "left_anti")
+        sinks.write_table(kept.unionByName(rows.withColumn(RUN, run)), target, [part, RUN])
         return
-    synced = sync_columns(old, rows)
-    kept = synced.join(rows.select(*keys), list(keys), "left_anti")
-    sinks.write_table(kept.select(*rows.columns).unionByName(rows), target, [part])
+    old = read_history(spark, target, part, rows.schema[part].dataType)
+    undated = rows.where(F.col(part).isNull()).select(*old.columns)
+    merged = merge_frame(old, rows, keys, part).unionByName(undated)
+    sinks.overwrite_partitions(merged.withColumn(RUN, run), target, part, RUN)
+
+
+def _align(spark: SparkSession, target: str, stored: DataFrame, rows: DataFrame) -> bool:
+    """Give the table the columns of ``rows`` without writing a row again; False where that can't be."""
+    if RUN not in stored.columns:
+        return False
+    have = {f.name: f.dataType for f in stored.schema.fields if f.name != RUN}
+    want = {f.name: f.dataType for f in rows.schema.fields}
+    if any(have[c] != want[c] for c in have.keys() & want.keys()):
+        return False
+    if have.keys() == want.keys():
+        return True
+    if sinks.is_path(target):
+        now = sinks.read_layout(spark, target) or sinks.Layout(stored.schema)
+        sinks.write_layout(spark, target, now.changed(StructType([*rows.schema.fields, StructField(RUN, StringType())])))
+        return True
+    if have.keys() - want.keys():
+        return False
+    new = ", ".join(f"`{c}` {want[c].simpleString()}" for c in rows.columns if c not in have)
+    spark.sql(f"ALTER TABLE {target} ADD COLUMNS ({new})")
+    return True
+
+
+def _stored(spark: SparkSession, target: str, part: str, part_type=None) -> DataFrame | None:
+    return sinks.read_table(spark, target, {part: part_type or DateType(), RUN: StringType()})
 
 
 def read_history(spark: SparkSession, target: str, part: str = "snapshot_date", part_type=None) -> DataFrame | None:
     """The history with its partition column typed, or None before the first run."""
-    return sinks.read_table(spark, target, {part: part_type or DateType()})
+    stored = _stored(spark, target, part, part_type)
+    return None if stored is None else stored.drop(RUN)
 
 
 def latest_path(target: str) -> str:

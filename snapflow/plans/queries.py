@@ -16,7 +16,7 @@ from snapflow.functions.jsonpaths import extract
 from snapflow.functions.scalars import growth_pct, safe_ratio, tier, trend_indicator
 from snapflow.operators import checks as C
 from snapflow.operators.dimension import build_dimension
-from snapflow.operators.history import history_rows, rebuild_history, upsert
+from snapflow.operators.history import history_rows, read_history, rebuild_history, upsert
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.metrics import (POPULARITY_DEFAULT, POPULARITY_TIERS, USAGE_DEFAULT, USAGE_TIERS,
                                         build_metrics)
@@ -366,9 +366,8 @@ def q_history_upsert(spark, sf):
     cur, prior = _split_latest(spark, sf)
     path = scratch_path(spark, "history_upsert")
     upsert(spark, path, history_rows(prior, None, now=NOW))
-    hist = spark.read.parquet(path)
-    upsert(spark, path, history_rows(cur, hist, now=NOW))
-    return spark.read.parquet(path)
+    upsert(spark, path, history_rows(cur, read_history(spark, path), now=NOW))
+    return read_history(spark, path)
 
 
 def q_history_step_latest(spark, sf):
@@ -385,7 +384,7 @@ def q_history_step_latest(spark, sf):
 def q_history_three_days(spark, sf):
     """H1, H1a, H2 over four runs: a first day, the next, the next again with more stars and downloads, a third.
     Each entity's three newest snapshots are its days."""
-    from snapflow.operators.history import previous_rows, read_history, upsert_with_latest
+    from snapflow.operators.history import previous_rows, upsert_with_latest
     m = B.snapshot_metrics(_snapshots(spark, sf))
     w = Window.partitionBy("technology_name").orderBy(F.col("snapshot_date").desc_nulls_first())
     m = reliable_checkpoint(m.withColumn("__rn", F.row_number().over(w)).where("__rn <= 3"))
@@ -410,8 +409,8 @@ def q_schema_sync(spark, sf):
     path = scratch_path(spark, "schema_sync")
     old = history_rows(prior, None, now=NOW).drop("issues_change").withColumn("legacy_note", F.lit("v1"))
     upsert(spark, path, old)
-    upsert(spark, path, history_rows(cur, spark.read.parquet(path), now=NOW))
-    return spark.read.parquet(path)
+    upsert(spark, path, history_rows(cur, read_history(spark, path), now=NOW))
+    return read_history(spark, path)
 
 
 # --- checks --------------------------------------------------------------------------

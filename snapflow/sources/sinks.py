@@ -2,12 +2,20 @@
 
 A target with a ``/`` is a folder of Parquet files, any other a catalog table. A table that exists is replaced by writing
 the new one beside it and swapping the two, so a stop at any point leaves a whole table: ``recover`` puts it back in place.
+
+A folder whose columns have changed since it was first written holds a ``Layout``, a one-row table that readers of the folder
+pass over: the columns as they are now and the name each bears in the files. Files of other times lack columns that came later (they read as null) and
+hold columns that went (they are not read); a name that comes back gets a new one in the files, so old values stay gone.
 """
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass, field
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NullType, StructField, StructType
 
 from snapflow.session import delete_path, make_path, move_path, path_exists, reliable_checkpoint
@@ -59,6 +67,11 @@ def read_table(spark: SparkSession, target: str, types: dict[str, DataType] | No
         return None
     if not is_path(target):
         return spark.table(target)
+    layout = read_layout(spark, target)
+    if layout is not None:
+        fields = [StructField(layout.in_files(f.name), (types or {}).get(f.name, f.dataType)) for f in layout.schema.fields]
+        files = spark.read.schema(StructType(fields)).parquet(target)
+        return files.select(*[F.col(layout.in_files(f.name)).alias(f.name) for f in layout.schema.fields])
     try:
         df = spark.read.parquet(target)
     except AnalysisException as e:
@@ -73,6 +86,46 @@ def read_table(spark: SparkSession, target: str, types: dict[str, DataType] | No
     return df
 
 
+@dataclass(frozen=True)
+class Layout:
+    """Columns of a folder, the names they bear in its files, and names in the files that no column bears any more."""
+    schema: StructType
+    stored: dict[str, str] = field(default_factory=dict)
+    retired: tuple[str, ...] = ()
+
+    def in_files(self, name: str) -> str:
+        return self.stored.get(name, name)
+
+    def changed(self, schema: StructType) -> Layout:
+        """The layout with the columns of ``schema`` instead: kept names keep their column, others go or come."""
+        keep = {f.name for f in self.schema.fields} & {f.name for f in schema.fields}
+        retired = [*self.retired, *(self.in_files(f.name) for f in self.schema.fields if f.name not in keep)]
+        stored, taken = {n: self.in_files(n) for n in keep}, {n.lower() for n in retired}
+        for f in schema.fields:
+            name, k = stored.get(f.name, f.name), 2
+            while f.name not in keep and name.lower() in taken:
+                name, k = f"{f.name}__{k}", k + 1
+            stored[f.name] = name
+        return Layout(schema, stored, tuple(dict.fromkeys(retired)))
+
+
+def layout_path(target: str) -> str:
+    return f"{target.rstrip('/')}/_layout"
+
+
+def read_layout(spark: SparkSession, target: str) -> Layout | None:
+    """The layout of a folder, None if its files say it all."""
+    if not is_path(target) or not table_exists(spark, layout_path(target)):
+        return None
+    said = json.loads(spark.read.schema("layout string").parquet(layout_path(target)).first()["layout"])
+    return Layout(StructType.fromJson(said["schema"]), said["stored"], tuple(said["retired"]))
+
+
+def write_layout(spark: SparkSession, target: str, layout: Layout) -> None:
+    said = {"schema": json.loads(layout.schema.json()), "stored": layout.stored, "retired": layout.retired}
+    write_table(spark.createDataFrame([(json.dumps(said),)], "layout string").coalesce(1), layout_path(target))
+
+
 def _save(df: DataFrame, target: str, partition_by: list[str] | None, fmt: str) -> None:
     if partition_by:
         df = df.hint("rebalance", *partition_by)   # one file per partition value; AQE splits hot ones
@@ -108,17 +161,19 @@ def write_table(df: DataFrame, target: str, partition_by: list[str] | None = Non
         _adopt(spark, target)
 
 
-def overwrite_partitions(df: DataFrame, target: str, part: str) -> None:
-    """Replace the partitions that ``df`` has rows for, and no others, in one commit. A catalog table must not be
+def overwrite_partitions(df: DataFrame, target: str, *parts: str) -> None:
+    """Replace the partitions that ``df`` has rows for, and no others, by one write job. A catalog table must not be
     read and overwritten by one job, so its rows are checkpointed first."""
-    cols = [c for c in df.columns if c != part] + [part]
+    spark = df.sparkSession
     if is_path(target):
-        (df.select(*cols).hint("rebalance", part).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(part).parquet(target))
+        layout = read_layout(spark, target)
+        cols = [F.col(c).alias(layout.in_files(c) if layout else c) for c in df.columns]
+        (df.hint("rebalance", *parts).select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*parts).parquet(target))
         return
-    conf, name = df.sparkSession.conf, "spark.sql.sources.partitionOverwriteMode"
+    conf, name = spark.conf, "spark.sql.sources.partitionOverwriteMode"
     before = conf.get(name)
-    rows = reliable_checkpoint(df).select(*cols).hint("rebalance", part)
+    rows = reliable_checkpoint(df).select(*spark.table(target).columns).hint("rebalance", *parts)
     conf.set(name, "dynamic")              # inserts read the session's mode, not a write option
     try:
         rows.write.mode("overwrite").insertInto(target)
@@ -126,15 +181,6 @@ def overwrite_partitions(df: DataFrame, target: str, part: str) -> None:
         conf.set(name, before)
 
 
-def append(df: DataFrame, target: str, part: str) -> None:
-    cols = [c for c in df.columns if c != part] + [part]
-    w = df.select(*cols).write.mode("append")
-    if is_path(target):
-        w.partitionBy(part).parquet(target)
-    else:
-        w.insertInto(target)
-
-
 def mark_stale(spark: SparkSession, target: str) -> None:
     """Say that a table doesn't follow its source until it is written again and ``clear_stale`` is called."""
     if is_path(target):
