@@ -9,20 +9,19 @@ task. It rests on ``rank = 1 + (rows ordered strictly before this one)``:
 
 1. ``H`` = rows counted per ``(group, value)``: partial aggregation map-side, so a value
    shared by a third of all rows becomes one row before any shuffle.
-2. Per group, approximate quantiles of the distinct values cut ``H`` into ``buckets``
-   value ranges of about equal size (an aggregate of mergeable sketches). NULL values
-   get their own first bucket.
-3. Per ``(group, bucket)``: the total count; a running sum over the buckets of a group
-   (at most ``buckets + 1`` rows per group) gives the rows in all earlier buckets.
-4. Inside each ``(group, bucket)`` a running sum over ``H`` in value order gives the rows
-   before each value in its bucket. Each such window partition holds about
-   ``|H_group| / buckets`` distinct values, so no task sorts a whole group.
-5. ``rank = 1 + earlier buckets + earlier in bucket``, joined back to the rows on
+2. ``H`` is range-partitioned by ``(group, value)`` into pieces of about equal size,
+   whatever the width of the groups: a wide group spans many pieces, narrow ones share one.
+3. Per ``(group, piece)``: the total count; a running sum over a group's pieces (at most
+   one row a piece) gives the rows in all earlier pieces.
+4. Inside each ``(group, piece)`` a running sum over ``H`` in value order gives the rows
+   before each value in its piece, which holds at most a piece's share of ``H``.
+5. ``rank = 1 + earlier pieces + earlier in piece``, joined back to the rows on
    ``(group, value)`` (null-safe). Adaptive execution splits a skewed join partition.
 
-The number of buckets follows the widest group: one bucket for every ``per_bucket``
-distinct values, so a task's work is bounded however wide a group gets, and narrow
-groups have the one bucket. Ranks are exact; only the bucket sizes are approximate.
+Building the frame runs no job. Steps 3 and 4 read one range exchange (its bounds are
+sampled once, so both see the same pieces); a session that forbids reusing exchanges gets
+the pieces from the checkpoint folder instead. Ranks are exact; only the sizes of the
+pieces are approximate.
 """
 
 from __future__ import annotations
@@ -32,12 +31,9 @@ from pyspark.sql import functions as F
 
 from snapflow.session import reliable_checkpoint
 
-#: Distinct values of a group that one task counts through.
-PER_BUCKET = 1_000_000
-
 
 def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "split",
-              per_bucket: int = PER_BUCKET, rank_input: DataFrame | None = None) -> DataFrame:
+              pieces: int | None = None, rank_input: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = rank of ``value`` (descending, NULLs first) within ``group``.
 
     ``rank_input`` (split strategy): a narrower frame holding the same ``(group, value)``
@@ -49,42 +45,27 @@ def rank_desc(df: DataFrame, group: str, value: str, out: str, strategy: str = "
     if strategy != "split":
         raise ValueError(f"unknown rank strategy {strategy!r}")
     src = df if rank_input is None else rank_input
-    r = rank_table(src.select(group, value), group, value, out, per_bucket).select(
+    r = rank_table(src.select(group, value), group, value, out, pieces).select(
         F.col(group).alias("__rg"), F.col(value).alias("__rv"), out)
     cond = F.col(group).eqNullSafe(F.col("__rg")) & F.col(value).eqNullSafe(F.col("__rv"))
     return df.join(r, cond, "left").drop("__rg", "__rv")
 
 
-def rank_table(df: DataFrame, group: str, value: str, out: str, per_bucket: int = PER_BUCKET,
-               accuracy: int = 500) -> DataFrame:
-    """``(group, value, out)``: the rank of every distinct ``(group, value)``.
-
-    The pre-aggregate ``H`` feeds three branches (bucket bounds, bucket offsets, in-bucket
-    running counts), so it is checkpointed once to the shared checkpoint folder rather
-    than recomputed from the source by each branch. The bounds table (one row per group)
-    is left to adaptive execution, which broadcasts it when its measured size is under
-    the broadcast threshold and shuffles otherwise.
-    """
-    h = reliable_checkpoint(df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n")))
-    widest = h.groupBy(group).count().agg(F.max("count")).first()[0] or 0
-    buckets = max(1, -(-widest // per_bucket))
-    null_first = F.when(F.col(value).isNull(), F.lit(-1))
-    if buckets == 1:
-        hb = h.withColumn("__b", null_first.otherwise(F.lit(0)))
-    else:
-        bounds = h.where(F.col(value).isNotNull()).groupBy(group).agg(F.percentile_approx(
-            value, [i / buckets for i in range(1, buckets)], max(accuracy, 10 * buckets)).alias("__bounds"))
-        hb = h.join(bounds.withColumnRenamed(group, "__bg"), F.col(group).eqNullSafe(F.col("__bg")), "left").withColumn(
-            "__b", null_first.otherwise(F.size(F.filter("__bounds", lambda x: x > F.col(value))))).drop("__bounds", "__bg")
-    g = hb.groupBy(group, "__b").agg(F.sum("__n").alias("__bn"))
-    before_bucket = F.sum("__bn").over(
-        Window.partitionBy(group).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
-    g = g.select(F.col(group).alias("__gg"), F.col("__b").alias("__gb"),
-                 F.coalesce(before_bucket, F.lit(0)).alias("__off"))
-    before_in_bucket = F.sum("__n").over(
-        Window.partitionBy(group, "__b").orderBy(F.col(value).desc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, -1))
-    local = hb.select(group, "__b", value, F.coalesce(before_in_bucket, F.lit(0)).alias("__cum"))
-    cond = F.col(group).eqNullSafe(F.col("__gg")) & (F.col("__b") == F.col("__gb"))
-    return (local.join(g, cond)
-                 .select(group, value, (F.lit(1) + F.col("__off") + F.col("__cum")).cast("bigint").alias(out)))
+def rank_table(df: DataFrame, group: str, value: str, out: str, pieces: int | None = None) -> DataFrame:
+    """``(group, value, out)``: the rank of every distinct ``(group, value)``, counted over ``pieces`` ranges (as many
+    as the session has shuffle partitions)."""
+    conf = df.sparkSession.conf
+    pieces = pieces or int(conf.get("spark.sql.shuffle.partitions"))
+    order = F.col(value).desc_nulls_first()
+    h = df.groupBy(group, value).agg(F.count(F.lit(1)).alias("__n"))
+    h = h.repartitionByRange(pieces, F.col(group).asc_nulls_first(), order).withColumn("__p", F.spark_partition_id())
+    if conf.get("spark.sql.exchange.reuse", "true") != "true":
+        h = reliable_checkpoint(h)
+    before = Window.unboundedPreceding, -1
+    totals = h.groupBy(group, "__p").agg(F.sum("__n").alias("__t"))
+    earlier = F.sum("__t").over(Window.partitionBy(group).orderBy("__p").rowsBetween(*before))
+    offsets = totals.select(F.col(group).alias("__og"), F.col("__p").alias("__op"), F.coalesce(earlier, F.lit(0)).alias("__off"))
+    within = F.sum("__n").over(Window.partitionBy(group, "__p").orderBy(order).rowsBetween(*before))
+    local = h.select(group, "__p", value, F.coalesce(within, F.lit(0)).alias("__cum"))
+    met = local.join(offsets, F.col(group).eqNullSafe(F.col("__og")) & (F.col("__p") == F.col("__op")))
+    return met.select(group, value, (F.lit(1) + F.col("__off") + F.col("__cum")).cast("bigint").alias(out))

@@ -292,7 +292,7 @@ def q_daily_rank(spark, sf):
 
 def q_daily_rank_buckets(spark, sf):
     """The same ranks when every day is cut into many buckets."""
-    r = rank_desc(_snapshots(spark, sf), "snapshot_date", "github_stars", "daily_popularity_rank", per_bucket=3)
+    r = rank_desc(_snapshots(spark, sf), "snapshot_date", "github_stars", "daily_popularity_rank", pieces=64)
     return r.select("technology_name", "snapshot_date", "github_stars", "daily_popularity_rank")
 
 

@@ -70,10 +70,10 @@ def test_split_rank_property(spark):
 
     @settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
     @given(st.lists(row, min_size=1, max_size=60), st.integers(1, 12))
-    def check(data, per_bucket):
+    def check(data, pieces):
         df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(data)], "g string, v bigint, id bigint")
         want = rows(rank_desc(df, "g", "v", "r", strategy="window"), "id", "r")
-        t = rank_table(df.select("g", "v"), "g", "v", "r", per_bucket=per_bucket)
+        t = rank_table(df.select("g", "v"), "g", "v", "r", pieces=pieces)
         got = rows(df.join(t, df.g.eqNullSafe(t.g) & df.v.eqNullSafe(t.v)).select("id", "r"), "id", "r")
         assert got == want
 

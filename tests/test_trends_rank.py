@@ -66,10 +66,44 @@ def test_split_rank_equals_window_on_skewed_data(spark):
         data.append((g, v, i))
     df = spark.createDataFrame(data, "g string, v bigint, id bigint")
     a = rows(rank_desc(df, "g", "v", "r", strategy="window"), "id", "r")
-    b = rows(rank_desc(df, "g", "v", "r", strategy="split", per_bucket=40), "id", "r")
+    b = rows(rank_desc(df, "g", "v", "r", strategy="split", pieces=40), "id", "r")
     assert a == b
     from snapflow.operators.ranking import rank_table
-    for cap in (1, 30, 10 ** 6):              # as many buckets as values, some, one
-        t = rank_table(df.select("g", "v"), "g", "v", "r", per_bucket=cap)
+    for cap in (1, 30, 300):                  # one piece, some, about as many as values
+        t = rank_table(df.select("g", "v"), "g", "v", "r", pieces=cap)
         c = rows(df.join(t, (df.g.eqNullSafe(t.g)) & (df.v.eqNullSafe(t.v))).select("id", "r"), "id", "r")
         assert a == c, cap
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_one_wide_day_is_counted_in_pieces(spark):
+    """A table of one day: its values go over all pieces, which are read from one exchange; no job while building."""
+    from snapflow.operators.ranking import rank_table
+    rnd = random.Random(3)
+    day = spark.createDataFrame([("d", None if i % 50 == 0 else rnd.choice((7, rnd.randint(0, 900))), i) for i in range(3000)],
+                                "g string, v bigint, id bigint").repartition(5)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("ranks", "building")
+    got = rank_table(day, "g", "v", "r", pieces=16)
+    assert not tracker.getJobIdsForGroup("ranks")
+    spark.sparkContext.setJobGroup("other", "running")
+    plan = _final_plan(got)
+    assert "ReusedExchange" in plan and "rangepartitioning" in plan and "percentile" not in plan and "bounds" not in plan
+    assert rows(rank_desc(day, "g", "v", "r", pieces=16), "id", "r") == rows(rank_desc(day, "g", "v", "r", strategy="window"), "id", "r")
+    spread = day.groupBy("g", "v").count().repartitionByRange(16, F.col("g").asc_nulls_first(), F.col("v").desc_nulls_first())
+    sizes = spread.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) >= 12 and max(r["count"] for r in sizes) < 200
+
+
+def test_pieces_without_reused_exchanges(spark):
+    df = spark.createDataFrame([("d", i * 7 % 100) for i in range(500)], "g string, v bigint")
+    want = rows(rank_desc(df, "g", "v", "r", strategy="window"))
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        assert rows(rank_desc(df, "g", "v", "r", pieces=9)) == want
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
