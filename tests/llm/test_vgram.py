@@ -72,18 +72,21 @@ def test_words_of_awkward_documents(spark):
     assert found(vgram.group_variants(vgram.vocabulary(empty(spark)))) == []
 
 
-@pytest.mark.parametrize("hot", [400, 2])
+@pytest.mark.parametrize("hot", [1000, 2])
 def test_variants_equal_brute_force(spark, monkeypatch, hot):
-    monkeypatch.setattr(vgram, "HOT", hot)             # every list cut by halves
+    monkeypatch.setattr(vgram, "HOT", hot)             # every list cut, again and again
     monkeypatch.setattr(vgram, "FREQUENT", 3)          # grams of all lengths
     words = variants()
+    long_ = "wordsoverthirtyletterslongandmore"
+    words |= {long_: 900, long_[:20] + long_[21:]: 80, long_ + "x": 3, long_[:16] + "é" + long_[17:]: 2, "x" + long_[1:]: 2, long_[1:]: 4,
+              long_[:8] + "zz" + long_[10:]: 9}
     want = brute(words)
     assert sum(r[1] is not None and r[2] != r[1] for r in want) > 5           # chains of forms
     assert found(vgram.group_variants(spark.createDataFrame(list(words.items()), "word string, n long").repartition(5))) == want
 
 
 def test_grams_and_bounds():
-    frequent = {"ab", "abc", "bc"}
+    frequent = {"ab": 9, "abc": 7, "bc": 8}
     assert vgram.decompose("abcabd", frequent, 4) == (["abca", "bca", "ca", "abd", "bd", "d$"], 4)
     for a in list(variants())[:60]:                    # one edit leaves all grams but the bound
         grams, most = vgram.decompose(a, frequent, 6)
