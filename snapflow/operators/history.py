@@ -25,6 +25,7 @@ from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from snapflow.functions.scalars import build_time, delta
 from snapflow.operators.latest import latest_per_key
+from snapflow.operators.trends import STATE_DATES
 from snapflow.session import reliable_checkpoint
 from snapflow.sources import sinks
 
@@ -49,8 +50,6 @@ DELTAS = {
 _CARRIED = HISTORY_COLUMNS[:23]           # metrics columns kept in history (no download ratios)
 #: Second partition column: the run that brought rows without a date; dated rows bear ``DATED``.
 RUN, DATED = "history_run", "-"
-# Dates kept per entity in the latest table: retention, look-back and some to spare.
-RECENT_DATES = 150
 
 
 def latest_rows(history: DataFrame, key: str = "technology_name", tiebreak: Sequence[str] = ()) -> DataFrame:
@@ -198,7 +197,7 @@ def _entity_state(rows: DataFrame, key: str, part: str, seq: Column, first: Colu
     rows = rows.select(key, F.struct(at.alias("at"), F.struct(*kept).alias("row")).alias("x"), first.alias("first"), recent.alias("recent"))
     dates = F.array_distinct(F.flatten(F.collect_list("recent")))
     return (rows.groupBy(key).agg(F.max_by("x.row", "x.at").alias("row"), F.min("first").alias("first_snapshot_date"),
-                                  F.slice(F.sort_array(dates, asc=False), 1, RECENT_DATES).alias("recent_dates"))
+                                  F.slice(F.sort_array(dates, asc=False), 1, STATE_DATES).alias("recent_dates"))
             .select(key, "row.*", "first_snapshot_date", "recent_dates"))
 
 

@@ -19,11 +19,13 @@ import datetime as dt
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, WindowSpec
+from pyspark.sql import DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from snapflow.functions.scalars import _as_date, growth_pct, retain_days, trend_indicator
 from snapflow.operators.ranking import rank_desc
+from snapflow.sources import sinks
 
 # Moving averages (output: measure, rows in the frame), look-backs (output:
 # measure, rows back), growth columns (output: measure, look-back column) and retention days.
@@ -47,6 +49,8 @@ INDICATORS = {
     "downloads_trend_indicator": ("pypi_downloads_daily", "downloads_7day_avg"),
 }
 RETENTION_DAYS = 90
+# Dates that the latest table keeps of an entity: retention, look-back and some to spare.
+STATE_DATES = 150
 
 TRENDS_COLUMNS = [
     "technology_name", "snapshot_date", "github_stars", "github_forks", "pypi_downloads_daily",
@@ -135,14 +139,17 @@ def _bounded_lookback(base: DataFrame, as_of, days: int, rows: int, tiebreak: Se
 def build_trends(snapshots: DataFrame, as_of=None, days: int | None = RETENTION_DAYS,
                  key: str = "technology_name", date_col: str = "snapshot_date",
                  tiebreak: Sequence[str] = (), rank_strategy: str = "split",
-                 look_back: LookBack | None = None) -> DataFrame:
+                 look_back: LookBack | None = None, dates: Sequence[dt.date] | None = None) -> DataFrame:
     """Trend fact (14 columns) from any snapshot frame with ``key``, ``date_col``,
     ``github_stars``, ``github_forks``, ``pypi_downloads_daily``.
 
     ``as_of``: the day the 90-day retention counts back from (``None`` = current date);
     ``days=None`` keeps every row. ``look_back``: how far back the scan must go, see
-    ``look_back_start``; without it older partitions are scanned whole.
+    ``look_back_start``; without it older partitions are scanned whole. ``dates``: only the
+    rows of these days come out (and are ranked); later days are not read.
     """
+    if dates is not None:
+        snapshots = snapshots.where(F.col(date_col) <= max(dates))
     base = snapshots.select(
         F.col(key).alias("technology_name"), F.col(date_col).alias("snapshot_date"),
         "github_stars", "github_forks", "pypi_downloads_daily", *tiebreak)
@@ -158,6 +165,8 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = RETENTION_
         rank_src = retain_days(base, "snapshot_date", as_of, days)
     else:
         rank_src = base
+    if dates is not None:
+        t, rank_src = (x.where(F.col("snapshot_date").isin(list(dates))) for x in (t, rank_src))
     t = rank_desc(t, "snapshot_date", "github_stars", "daily_popularity_rank", strategy=rank_strategy,
                   rank_input=rank_src)
     t = t.select(
@@ -168,3 +177,56 @@ def build_trends(snapshots: DataFrame, as_of=None, days: int | None = RETENTION_
         *[trend_indicator(c, a).alias(o) for o, (c, a) in INDICATORS.items()],
     )
     return t
+
+
+def changed_dates(rows: DataFrame, state: DataFrame, as_of, days: int, after: int = LOOKBACK_ROWS) -> list[dt.date] | None:
+    """The retained days whose trends a merge of ``rows`` changes: theirs, where measures and ranks change, and the
+    ``after`` next days of each of their entities, whose frames and look-backs reach them. ``state`` is the latest table
+    after the merge. None if its dates per entity do not reach back to the cut, so that nobody knows. The driver gets the
+    days, at most as many as are retained."""
+    cut = F.date_sub(_as_date(as_of), days)
+    touched = rows.where(F.col("snapshot_date").isNotNull()).groupBy("technology_name").agg(F.min("snapshot_date").alias("t"),
+                                                                                           F.collect_set("snapshot_date").alias("own"))
+    later = F.sort_array(F.filter("recent_dates", lambda d: d > F.col("t")))
+    # the days between an entity's touched days are at most ``after`` apart from one, or are taken without need
+    many = F.size("own") > 1
+    found = touched.join(state.select("technology_name", "recent_dates"), "technology_name").select(
+        F.array_union("own", F.when(many, later).otherwise(F.slice(later, 1, after))).alias("d"),
+        ((F.size("recent_dates") > 0) & (F.array_min("recent_dates") > cut) & (F.size("recent_dates") >= STATE_DATES)).alias("unknown"))
+    got = found.select(F.explode("d").alias("d"), "unknown").where(F.col("unknown") | (F.col("d") >= cut)).distinct().collect()
+    return None if any(r["unknown"] for r in got) else sorted(r["d"] for r in got)
+
+
+def update_trends(spark: SparkSession, target: str, history: DataFrame, rows: DataFrame, state: DataFrame, as_of,
+                  days: int = RETENTION_DAYS) -> bool:
+    """Bring the stored trends (partitioned by day, fresh up to the merge of ``rows`` into ``history``) to ``as_of``: the
+    changed days are computed and overwritten by one write job, days before the cut go, all others stay as they are. False,
+    with nothing done, where only a full build is sure: no table, another retention, an earlier ``as_of``."""
+    note, today = sinks.read_note(spark, target), _day(spark, as_of)
+    if note is None or note.get("days") != days or note["as_of"] > str(today):
+        return False
+    dates = changed_dates(rows, state, today, days)
+    if dates is None:
+        return False
+    if dates:
+        back = look_back_start(state, dates[0], 0)
+        new = build_trends(history, as_of=dates[0], days=0, look_back=back, dates=dates)
+        sinks.overwrite_partitions(new, target, "snapshot_date")
+    sinks.drop_days(spark, target, "snapshot_date", today - dt.timedelta(days=days))
+    sinks.write_note(spark, target, {"as_of": str(today), "days": days})
+    return True
+
+
+def write_trends(spark: SparkSession, target: str, trends: DataFrame, as_of, days: int | None) -> None:
+    """Store whole trends, a partition a day."""
+    sinks.write_table(trends, target, ["snapshot_date"])
+    sinks.write_note(spark, target, {"as_of": str(_day(spark, as_of)), "days": days})
+
+
+def read_trends(spark: SparkSession, target: str) -> DataFrame | None:
+    df = sinks.read_table(spark, target, {"snapshot_date": DateType()})
+    return None if df is None else df.select(*TRENDS_COLUMNS)
+
+
+def _day(spark: SparkSession, as_of) -> dt.date:
+    return spark.range(1).select(_as_date(as_of)).first()[0]

@@ -23,7 +23,9 @@ from snapflow.operators.dimension import build_dimension
 from snapflow.operators.history import history_rows, previous_rows, read_history, upsert_with_latest
 from snapflow.operators.metrics import build_metrics
 from snapflow.operators.staging import stage_packages, stage_repos
-from snapflow.operators.trends import build_trends, look_back_start
+from snapflow.operators.trends import build_trends, look_back_start, read_trends, update_trends, write_trends
+from snapflow.session import reliable_checkpoint
+from snapflow.sources import sinks
 from snapflow.sources.freshness import assert_fresh
 from snapflow.sources.raw import read_raw
 from snapflow.sources.sinks import as_view, qualify, read_table, table_exists, write_table
@@ -145,16 +147,25 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     target = cfg.table("fct_technology_history", cfg.marts_schema)
     previous = previous_rows(spark, target)                      # one row per entity; None on the first run
     rows = history_rows(met, None, now=cfg.now, previous=previous)
+    trends_target = cfg.table("fct_technology_trends", cfg.marts_schema)
+    fresh = cfg.trends_input == "history" and cfg.retention_days is not None and not sinks.is_stale(spark, trends_target)
+    sinks.mark_stale(spark, trends_target)                       # until it has followed the history
+    rows = reliable_checkpoint(rows)
     state = upsert_with_latest(spark, target, rows)
     hist = read_history(spark, target)
     if hist is None:                                             # no rows yet
         hist = spark.createDataFrame([], rows.schema)
-    if cfg.trends_input == "history":
-        back = None if cfg.retention_days is None else look_back_start(state, as_of, cfg.retention_days)
-        trend = build_trends(hist, as_of=as_of, days=cfg.retention_days, look_back=back)
-    else:
-        trend = build_trends(met, as_of=as_of, days=cfg.retention_days)
-    trends = _materialize(spark, trend, cfg.table("fct_technology_trends", cfg.marts_schema))
+    if not (fresh and update_trends(spark, trends_target, hist, rows, state, as_of, cfg.retention_days)):
+        if cfg.trends_input == "history":
+            back = None if cfg.retention_days is None else look_back_start(state, as_of, cfg.retention_days)
+            trend = build_trends(hist, as_of=as_of, days=cfg.retention_days, look_back=back)
+        else:
+            trend = build_trends(met, as_of=as_of, days=cfg.retention_days)
+        write_trends(spark, trends_target, trend, as_of, cfg.retention_days)
+    sinks.clear_stale(spark, trends_target)
+    trends = read_trends(spark, trends_target)
+    if trends is None:                                           # no rows yet
+        trends = build_trends(hist, as_of=as_of, days=cfg.retention_days).limit(0)
     result = {"dimension": dim, "metrics": met, "history": hist, "trends": trends}
     if cfg.check != "off":
         done = {id(c) for nn, _ in counted for c in nn}

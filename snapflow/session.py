@@ -106,6 +106,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _file_system(spark, path)
+    return [f.getPath().getName() for f in fs.listStatus(p)] if fs.exists(p) else []
+
+
 def make_path(spark: SparkSession, path: str) -> None:
     p, fs = _file_system(spark, path)
     fs.mkdirs(p)

@@ -10,6 +10,7 @@ hold columns that went (they are not read); a name that comes back gets a new on
 
 from __future__ import annotations
 
+import datetime
 import json
 from dataclasses import dataclass, field
 
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, NullType, StructField, StructType
 
-from snapflow.session import delete_path, make_path, move_path, path_exists, reliable_checkpoint
+from snapflow.session import delete_path, list_names, make_path, move_path, path_exists, reliable_checkpoint
 
 
 def qualify(schema: str | None, name: str, default_schema: str | None = None) -> str:
@@ -181,6 +182,38 @@ def overwrite_partitions(df: DataFrame, target: str, *parts: str) -> None:
         conf.set(name, before)
 
 
+def drop_days(spark: SparkSession, target: str, part: str, cut: datetime.date) -> None:
+    """Delete the partitions of days before ``cut`` from a table with the one partition column ``part``."""
+    if is_path(target):
+        for name in list_names(spark, target):
+            day = name.removeprefix(f"{part}=")
+            if day != name and day[:1].isdigit() and datetime.date.fromisoformat(day) < cut:
+                delete_path(spark, f"{target.rstrip('/')}/{name}")
+        return
+    old = spark.table(target).where(F.col(part) < F.lit(cut)).select(part).distinct()
+    for r in old.collect():                # days, not rows
+        spark.sql(f"ALTER TABLE {target} DROP IF EXISTS PARTITION ({part} = DATE'{r[0]}')")
+
+
+def write_note(spark: SparkSession, target: str, note: dict) -> None:
+    """Keep a few values with a table: what it was built for. A table that is replaced loses them."""
+    said = json.dumps(note)
+    if is_path(target):
+        write_table(spark.createDataFrame([(said,)], "note string").coalesce(1), f"{target.rstrip('/')}/_note")
+    else:
+        spark.sql(f"ALTER TABLE {target} SET TBLPROPERTIES ('note' = '{said}')")
+
+
+def read_note(spark: SparkSession, target: str) -> dict | None:
+    if not table_exists(spark, target):
+        return None
+    if is_path(target):
+        path = f"{target.rstrip('/')}/_note"
+        return json.loads(spark.read.schema("note string").parquet(path).first()["note"]) if table_exists(spark, path) else None
+    said = spark.sql(f"SHOW TBLPROPERTIES {target}").where("key = 'note'").first()
+    return json.loads(said["value"]) if said else None
+
+
 def mark_stale(spark: SparkSession, target: str) -> None:
     """Say that a table doesn't follow its source until it is written again and ``clear_stale`` is called."""
     if is_path(target):
@@ -190,9 +223,10 @@ def mark_stale(spark: SparkSession, target: str) -> None:
 
 
 def clear_stale(spark: SparkSession, target: str) -> None:
-    """A catalog table loses the mark when it is replaced."""
     if is_path(target):
         delete_path(spark, f"{target.rstrip('/')}__stale")
+    elif spark.catalog.tableExists(target):
+        spark.sql(f"ALTER TABLE {target} UNSET TBLPROPERTIES IF EXISTS ('stale')")
 
 
 def is_stale(spark: SparkSession, target: str) -> bool:
