@@ -168,14 +168,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     """Per query row: ``query_id``, ``rank`` (from 1), ``vec_id``, ``score`` of its ``k`` nearest other rows.
 
     ``is_query`` is a condition on the column ``id``. Fewer candidates than ``k``: all of them. ``recall`` sets how
-    many lists a query visits; it is met on the sample's own neighbours.
+    many lists a query visits; it is met on the sample's own neighbours. Every query row has an answer of its own, from all
+    rows of other ids: rows of one id never find each other, rows of another id count as often as they occur.
     """
     spark = vectors.sparkSession
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("v")))
     top = Window.partitionBy("v").orderBy("id")
-    classes = (rows.withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1)
-               .groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids")))
+    each = F.array_repeat("id", F.least(F.col("times"), F.lit(k)).cast("int"))
+    classes = (rows.groupBy("v", "id").agg(F.count("*").alias("times"))          # k ids and rows are left without any one id
+               .withColumn("n", F.row_number().over(top)).where(F.col("n") <= k + 1)
+               .groupBy("v").agg(F.sort_array(F.flatten(F.collect_list(each))).alias("ids")))
     classes = reliable_checkpoint(classes.withColumn("class", F.monotonically_increasing_id()))
     sizes = classes.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), "dim").first()
     schema = "query_id long, rank int, vec_id long, score double"
@@ -196,7 +199,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     space = spark.sparkContext.broadcast(Space(_matrix(sample, dim), bands, k, recall))
 
     queries = rows.where(is_query & (F.size("v") == dim))
-    asked = queries.select("v").distinct().join(classes, "v").select("class", "v")
+    several = queries.groupBy("id").count().where("count > 1").select(F.col("id").alias("own"))
+    queries = queries.join(several, F.col("id") == F.col("own"), "left")          # ids of several rows ask for themselves
+    asked = queries.select("v", "own").distinct().join(classes, "v").select("class", "v", "own")
 
     def deal(asks: bool):
         def run(batches):
@@ -212,7 +217,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
     kind = next(f.dataType.simpleString() for f in rows.schema if f.name == "v")
     dealt = reliable_checkpoint(classes.select("class", "v", "ids").mapInArrow(
         deal(False), f"list int, class long, v {kind}, ids array<long>"))
-    asking = reliable_checkpoint(asked.mapInArrow(deal(True), f"list int, class long, v {kind}"))
+    asking = reliable_checkpoint(asked.mapInArrow(deal(True), f"list int, class long, v {kind}, own long"))
     # at most one row a list: the numbers of its splits
     held = dealt.groupBy("list").agg(F.ceil(F.count("*") / GROUP).alias("vs"))
     wanted = asking.groupBy("list").agg(F.ceil(F.count("*") / GROUP).alias("qs"))
@@ -223,30 +228,37 @@ def search(vectors: DataFrame, is_query: Column, k: int = 20, recall: float = 0.
              .select("list", "s", "b", "class", "v", "ids"))
     asking = (asking.join(splits, "list").withColumn("b", F.pmod(salt, "qs").cast("int"))
               .withColumn("s", F.explode(F.sequence(F.lit(0), (F.col("vs") - 1).cast("int"))))
-              .select("list", "s", "b", "class", "v"))
+              .select("list", "s", "b", "class", "v", "own"))
 
     def scan(left: pa.Table, right: pa.Table) -> pa.Table:
-        out: tuple[list, list] = ([], [])
+        out: tuple[list, list, list] = ([], [], [])
         if left.num_rows and right.num_rows:
             x, q = (_matrix(t.column("v").combine_chunks(), dim) for t in (left, right))
             ids = left.column("ids").to_pylist()
+            least, most = (np.array([i[e] for i in ids]) for e in (0, -1))
             s = space.value
             xs, qs = s.place(x)[0], s.ask(q)
-            for c, v, w in zip(right.column("class").to_pylist(), q, qs, strict=True):
-                near = adaptive_scan(w, xs, k + 1)
+            for c, own, v, w in zip(right.column("class").to_pylist(), right.column("own").to_pylist(), q, qs, strict=True):
+                if own is None:
+                    near = adaptive_scan(w, xs, k + 1)
+                else:
+                    others = np.flatnonzero((least != own) | (most != own))      # classes of the own id alone stay out
+                    near = others[adaptive_scan(w, xs[others], k + 1)]
                 score = x[near] @ v
-                best = sorted((-p, i) for p, a in zip(score.tolist(), near.tolist(), strict=True) for i in ids[a])[:k + 1]
+                best = sorted((-p, i) for p, a in zip(score.tolist(), near.tolist(), strict=True) for i in ids[a] if i != own)[:k + 1]
                 out[0].append(c)
-                out[1].append([{"minus": p, "vec_id": i} for p, i in best])
-        return pa.table({"class": pa.array(out[0], pa.int64()),
-                         "near": pa.array(out[1], pa.list_(pa.struct([("minus", pa.float64()), ("vec_id", pa.int64())])))})
+                out[1].append(own)
+                out[2].append([{"minus": p, "vec_id": i} for p, i in best])
+        return pa.table({"class": pa.array(out[0], pa.int64()), "own": pa.array(out[1], pa.int64()),
+                         "near": pa.array(out[2], pa.list_(pa.struct([("minus", pa.float64()), ("vec_id", pa.int64())])))})
 
     keys = ["list", "s", "b"]
     found = (dealt.repartition(partitions(vectors), *keys).groupBy(*keys).cogroup(asking.groupBy(*keys))
-             .applyInArrow(scan, "class long, near array<struct<minus:double,vec_id:long>>"))
+             .applyInArrow(scan, "class long, own long, near array<struct<minus:double,vec_id:long>>"))
     # one short list from each visited split: their union is merged, not spread out as rows
-    found = found.groupBy("class").agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
-    of = queries.join(classes.select("v", "class"), "v").select(F.col("id").alias("query_id"), "class")
+    found = found.groupBy("class", F.col("own").alias("asker")).agg(F.slice(F.sort_array(F.flatten(F.collect_list("near"))), 1, k + 1).alias("near"))
+    of = queries.join(classes.select("v", "class"), "v").select(F.col("id").alias("query_id"), "class", "own")
     own = F.filter("near", lambda x: x["vec_id"] != F.col("query_id"))
-    return (of.join(found, "class").select("query_id", F.posexplode(F.slice(own, 1, k)).alias("p", "x"))
+    met = of.join(found, (of["class"] == found["class"]) & F.col("own").eqNullSafe(F.col("asker")))
+    return (met.select("query_id", F.posexplode(F.slice(own, 1, k)).alias("p", "x"))
             .select("query_id", (F.col("p") + 1).alias("rank"), "x.vec_id", (-F.col("x.minus")).alias("score")))

@@ -70,6 +70,30 @@ def test_long_vectors_cost_others_nothing(spark, monkeypatch):
         assert hit >= least * sum(map(len, want.values())), (lists, hit)
 
 
+def answers(rows, k):
+    """Every query row's ranks, by id and vector."""
+    good = [(i, np.array(v, float)) for i, v in rows]
+    return sorted((q, [i for _, i in sorted((-float(v @ w), i) for i, w in good if i != q)[:k]]) for q, v in good if q % 20 == 0)
+
+
+def test_repeated_ids_find_as_many(spark):
+    rows = vectors()[:120]
+    v, w = rows[5][1], rows[9][1]
+    rows += [(20, v), (20, v), *[(40, [(1 + 0.01 * j) * x for x in v]) for j in range(25)],      # own rows near, and many
+             *[(60, w)] * 30, (60, rows[20][1]), *[(7, w)] * 23, *[(3, v)] * 2, (61, w)]          # one vector, several ids
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    found = ann.search(df, F.col("id") % 20 == 0, k=20).collect()
+    assert len(found) == 20 * sum(i % 20 == 0 for i, _ in rows)
+    want = answers([(i, np.float32(v).tolist()) for i, v in rows], 20)
+    for q in {i for i, _ in want}:
+        ranks = {}
+        for r in found:
+            if r["query_id"] == q:
+                ranks.setdefault(r["rank"], []).append(r["vec_id"])
+        of = [ids for i, ids in want if i == q]
+        assert [sorted(ranks[k + 1]) for k in range(20)] == [sorted(ids[k] for ids in of) for k in range(20)], q
+
+
 def test_few_and_none(spark):
     assert run(spark, []) == {}
     assert run(spark, [(20, [1.0, 0.0])]) == {}
