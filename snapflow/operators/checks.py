@@ -147,7 +147,8 @@ def observed_report(spark, obs, nn: Sequence[Check], df: DataFrame) -> DataFrame
 
 
 def counted_report(spark, nn: Sequence[Check], nulls: Mapping[str, int]) -> DataFrame:
-    """Report rows for not-null checks from null counts by column; a table without rows has none."""
+    """Report rows for not-null checks from null counts by column (``streaming.latest.null_counts``, which fails where counts
+    of staged rows are missing); only a table that never held a row has none."""
     missing = [c.column for c in nn if nulls and c.column not in nulls]
     if missing:
         raise ValueError(f"no null counts for {missing}")

@@ -28,8 +28,8 @@ from snapflow.session import reliable_checkpoint
 from snapflow.sources import sinks
 from snapflow.sources.freshness import assert_fresh
 from snapflow.sources.raw import read_raw
-from snapflow.sources.sinks import as_view, qualify, read_table, table_exists, write_table
-from snapflow.streaming.latest import compact_latest, landing_schema, null_counts, read_latest, stream_latest
+from snapflow.sources.sinks import as_view, qualify, read_table, write_table
+from snapflow.streaming.latest import BUCKETS, landing_schema, null_counts, read_latest, stream_latest
 
 log = logging.getLogger(__name__)
 
@@ -44,7 +44,7 @@ class RunConfig:
     trends_input: str = "history"               # "history" (moving windows) or "metrics" (literal)
     retention_days: int | None = 90
     staging: str = "incremental"                # only newly landed files; "full": every raw row, same results
-    compact_epochs: int = 8                     # micro-batches in the staged log that make the run compact it
+    latest_buckets: int = BUCKETS               # key buckets of a new latest-staged table
     catalog: bool = False                       # marts as catalog tables "schema.name" instead of folders
     doc_type: str = "string"                    # how landing folders store documents: "string" or "variant"
     repo_tiebreak: tuple[str, ...] | None = None    # None: every atomic staged column (deterministic)
@@ -96,16 +96,15 @@ def _materialize(spark: SparkSession, df: DataFrame, target: str, partition_by=N
 
 
 def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
-    """Latest staged rows per key after taking up newly landed files, and the folder of their log."""
+    """Latest staged rows per key after taking up newly landed files, and the folder that holds them."""
     name = landing.rstrip("/").rsplit("/", 1)[-1]
     out, ckpt = cfg.path(f"staging/{name}_latest"), cfg.path(f"_streams/{name}")
     empty = stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
-    table_exists(spark, out)                  # a stopped compaction is finished before the log is written to
-    stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type).awaitTermination()
-    compact_latest(spark, out, key, tiebreak=tiebreak, min_epochs=cfg.compact_epochs)
-    if not table_exists(spark, out):          # nothing landed yet
+    stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type,
+                  buckets=cfg.latest_buckets).awaitTermination()
+    if read_table(spark, out) is None:        # nothing landed yet
         return empty, out
-    return read_latest(spark, out, key, tiebreak=tiebreak, schema=empty.schema), out
+    return read_latest(spark, out, schema=empty.schema), out
 
 
 def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:

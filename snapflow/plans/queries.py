@@ -215,7 +215,7 @@ def q_stream_latest_repo(spark, sf):
         part.write.mode("append").parquet(landing)
         q = stream_latest(spark, landing, "repo_name", out, ckpt, stage_repos, tiebreak=["full_name"])
         q.awaitTermination()
-    s = read_latest(spark, out, "repo_name", tiebreak=["full_name"])
+    s = read_latest(spark, out)
     return s.select("repo_name", "extracted_at", "full_name", "stars", "forks", "contributors_count")
 
 
@@ -485,7 +485,7 @@ def _daily_runs(spark, sf, staging):
     early = [F.coalesce(F.col(c) < F.lit(cut).cast("timestamp_ntz"), F.lit(False))
              for c, cut in (("extracted_at", REPO_CUT), ("o_orderdate", ORDER_CUT))]
     for n, (day, loaded_at, now) in enumerate(RUNS):
-        cfg = RunConfig(root=root, as_of=day, now=now, check="report", staging=staging, compact_epochs=2,
+        cfg = RunConfig(root=root, as_of=day, now=now, check="report", staging=staging,
                         repo_tiebreak=("full_name",), package_tiebreak=("version",))
         if loaded_at is not None:
             here = [c if n == 0 else ~c for c in early]

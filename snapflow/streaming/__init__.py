@@ -1,5 +1,5 @@
 """Structured Streaming form of the daily increment over the landing folders."""
 
-from snapflow.streaming.latest import compact_latest, latest_order_key, read_latest, stream_latest
+from snapflow.streaming.latest import latest_order_key, null_counts, read_latest, stream_latest
 
-__all__ = ["compact_latest", "latest_order_key", "read_latest", "stream_latest"]
+__all__ = ["latest_order_key", "null_counts", "read_latest", "stream_latest"]
