@@ -58,7 +58,7 @@ def main(argv: list[str] | None = None) -> int:
         from snapflow.sources.raw import land_raw
         docs = spark.read.text(a.docs).select(F.col("value").alias("doc"))
         docs = docs.withColumn(a.key, F.get_json_object("doc", "$." + a.key_path.lstrip("$.")))
-        res = land_raw(docs, a.key, "doc", a.target, now)
+        res = land_raw(docs, a.key, "doc", a.target, now, by_day=True)
         print(json.dumps({"fetched": res.fetched, "loaded": res.loaded, "rejected": res.rejected}))
         return 0
     if a.cmd == "flatten":
@@ -67,7 +67,7 @@ def main(argv: list[str] | None = None) -> int:
         responses = spark.read.parquet(a.responses)
         docs = flatten_repo(responses, now) if a.kind == "repo" else flatten_package(responses, now)
         key = "repo_name" if a.kind == "repo" else "package_name"
-        res = land_raw(docs, key, "raw_data", a.target, now)
+        res = land_raw(docs, key, "raw_data", a.target, now, by_day=True)
         print(json.dumps({"fetched": res.fetched, "loaded": res.loaded, "rejected": res.rejected}))
         return 0
     from snapflow.plans.daily import RunConfig, run_daily

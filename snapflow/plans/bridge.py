@@ -184,7 +184,8 @@ def repo_responses(events: DataFrame) -> DataFrame:
     ``% 23`` is 4, 8 or 11; releases 403 when ``% 11 = 4``, ``{}``, an object or an empty
     list when ``% 19`` is 7, 11 or 13; ``forks_count`` absent when ``% 4 = 1``; ``topics``
     absent when ``% 6 = 5``; license ``MIT`` when ``% 3 = 0``, a text when ``% 29 = 5``; an
-    older main response, to be ignored, when ``% 5 = 2``. Lists are per event
+    older main response, to be ignored, when ``% 5 = 2``; two keys named twice, the first
+    time with other values, when ``% 31 = 2``. Lists are per event
     type, so each body is bounded by the number of event types, and both aggregations
     combine map-side.
     """
@@ -214,6 +215,7 @@ def repo_responses(events: DataFrame) -> DataFrame:
     ))
     main_body = F.when(u % 29 == 5, _prepend(F.regexp_replace(main_body, '"license":\\{[^}]*\\},?', ""), F.lit('"license":"MIT",'))
                        ).otherwise(main_body)
+    main_body = F.when(u % 31 == 2, _prepend(main_body, F.lit('"stargazers_count":-1,"size":"x",'))).otherwise(main_body)
     broken = (F.when(u % 17 == 3, F.lit("<html>busy</html>")).when(u % 17 == 6, F.lit("[]")).when(u % 17 == 9, F.lit("null"))
               .when(u % 17 == 12, F.lit('"x"')))
     main = per_user.select(ent.alias("entity"), F.lit("main").alias("endpoint"),
@@ -283,6 +285,7 @@ def package_responses(orders: DataFrame) -> DataFrame:
                     F.when(c % 17 == 3, F.lit("[]")).when(c % 17 == 5, F.lit("null")).when(c % 17 == 8, F.lit('"x"'))
                     .when(c % 17 == 11, F.concat(F.lit('{"info":null,"releases":'), F.to_json("releases"), F.lit("}")))
                     .when(c % 17 == 13, F.concat(F.lit('{"releases":null,"info":'), F.to_json(info), F.lit("}")))
+                    .when(c % 31 == 2, _prepend(F.to_json(F.struct(info.alias("info"), F.col("releases"))), F.lit('"info":{"version":"0"},')))
                     .otherwise(F.to_json(F.struct(info.alias("info"), F.col("releases")))).alias("body"),
                     F.lit(None).cast("timestamp").alias("fetched_at"))
     recent = per_cust.select(ent.alias("entity"), F.lit("recent").alias("endpoint"),

@@ -27,7 +27,7 @@ from snapflow.operators.trends import build_trends, look_back_start, read_trends
 from snapflow.session import reliable_checkpoint
 from snapflow.sources import sinks
 from snapflow.sources.freshness import assert_fresh
-from snapflow.sources.raw import read_raw
+from snapflow.sources.raw import landing_path, read_raw
 from snapflow.sources.sinks import as_view, qualify, read_table, write_table
 from snapflow.streaming.latest import BUCKETS, landing_schema, null_counts, read_latest, stream_latest
 
@@ -100,7 +100,7 @@ def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
     name = landing.rstrip("/").rsplit("/", 1)[-1]
     out, ckpt = cfg.path(f"staging/{name}_latest"), cfg.path(f"_streams/{name}")
     empty = stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
-    stream_latest(spark, landing, key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type,
+    stream_latest(spark, landing_path(spark, landing), key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type,
                   buckets=cfg.latest_buckets).awaitTermination()
     if read_table(spark, out) is None:        # nothing landed yet
         return empty, out

@@ -311,6 +311,14 @@ SELECT count(*) AS fetched,
                    OR event_id % 43 = 0) AS rejected
 FROM events""",
 
+    "land_rejected": f"""
+WITH d AS (SELECT 'R' || CAST(user_id AS VARCHAR) AS repo_name, CASE WHEN event_id % 17 = 0 THEN 'not JSON'
+    WHEN event_id % 19 = 0 THEN 'empty object' WHEN event_id % 23 = 0 THEN 'no document' WHEN event_id % 29 = 0 THEN 'not an object'
+    WHEN event_id % 43 = 0 THEN 'empty object' END AS reason, CASE WHEN event_id % 17 = 0 THEN NULL WHEN event_id % 19 = 0 THEN '{{ }}'
+    WHEN event_id % 23 = 0 THEN NULL WHEN event_id % 29 = 0 THEN '[1, 2]' ELSE '{{}}' || chr(10) || chr(10) END AS document FROM events),
+c AS (SELECT count(*) AS fetched, count(*) FILTER (WHERE reason IS NULL) AS loaded FROM d)
+SELECT {_NOW} AS extracted_at, repo_name, reason, document, loaded AS loaded_rows, fetched, loaded FROM d, c WHERE reason IS NOT NULL""",
+
     "fresh_counts": f"""
 SELECT 'github_repos' AS source, count(*) AS n_rows FROM events
   WHERE ts >= TIMESTAMP '{FRESH_DAY} 00:00:00' AND ts < TIMESTAMP '{FRESH_DAY + dt.timedelta(days=1)} 00:00:00'

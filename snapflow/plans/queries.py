@@ -132,6 +132,7 @@ def _fetched_with_broken(spark, sf):
              .when(eid % 31 == 0, F.concat(F.lit("\n"), "raw_data"))      # good: a line break first
              .when(eid % 37 == 0, F.concat(F.lit("\t"), "raw_data"))
              .when(eid % 41 == 0, F.concat(F.lit("\r\n"), "raw_data"))
+             .when(eid % 47 == 0, F.concat(F.lit('{"language":"?",'), F.substring("raw_data", 2, 1 << 30)))     # good: a key twice
              .otherwise(F.col("raw_data")))
     # the fetched documents exist as stored values before landing: write them once
     return reliable_checkpoint(raw.select("repo_name", doc.alias("doc")))
@@ -152,6 +153,16 @@ def q_land_counts(spark, sf):
                                  "fetched bigint, loaded bigint, rejected bigint")
 
 
+def q_land_rejected(spark, sf):
+    """Every document that did not load, with its key and the reason, from the job that loaded the others."""
+    from snapflow.sources.raw import land_raw, read_raw, read_rejected
+    path = scratch_path(spark, "land_rejected")
+    res = land_raw(_fetched_with_broken(spark, sf), "repo_name", "doc", path, NOW, by_day=True)
+    rejected = read_rejected(spark, path, "repo_name").withColumn("document", F.when(F.col("reason") != "not JSON", F.col("document")))
+    counts = {"loaded_rows": read_raw(spark, path, "repo_name").count(), "fetched": res.fetched, "loaded": res.loaded}
+    return rejected.withColumns({c: F.lit(n).cast("bigint") for c, n in counts.items()})
+
+
 def q_flatten_repo(spark, sf):
     """Repository documents assembled from landed responses, then extracted."""
     docs = flatten_repo(B.repo_responses(B.table(spark, sf, "events")), loaded_at=NOW, fetched_at="fetched_at")
@@ -470,7 +481,7 @@ def q_daily_trends(spark, sf):
                     repo_tiebreak=("full_name",), package_tiebreak=("version",))
     B.repo_documents(B.table(spark, sf, "events")).write.parquet(cfg.raw_repos)
     land_raw(B.package_documents(B.table(spark, sf, "orders")), "package_name", "raw_data",
-             cfg.raw_packages, PACKAGES_LOADED_AT)
+             cfg.raw_packages, PACKAGES_LOADED_AT, by_day=True)
     out = run_daily(spark, B.mapping(B.table(spark, sf, "customer")), cfg)
     return out["trends"]
 
@@ -490,7 +501,8 @@ def _daily_runs(spark, sf, staging):
         if loaded_at is not None:
             here = [c if n == 0 else ~c for c in early]
             repos.where(here[0]).write.mode("append").parquet(cfg.raw_repos)
-            land_raw(B.package_documents(orders.where(here[1])), "package_name", "raw_data", cfg.raw_packages, loaded_at)
+            land_raw(B.package_documents(orders.where(here[1])), "package_name", "raw_data", cfg.raw_packages, loaded_at,
+                     by_day=True)
         out = run_daily(spark, B.mapping(B.table(spark, sf, "customer")), cfg)
     return out
 
@@ -532,6 +544,7 @@ QUERIES = {
     "stage_packages": q_stage_packages,
     "land_valid": q_land_valid,
     "land_counts": q_land_counts,
+    "land_rejected": q_land_rejected,
     "flatten_repo": q_flatten_repo,
     "flatten_package": q_flatten_package,
     "fresh_counts": q_fresh_counts,

@@ -23,6 +23,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # A document that names a key twice is read as the fetchers read it: the last value holds.
+    "spark.sql.variant.allowDuplicateKeys": "true",
     # Small floor for AQE-coalesced partitions: keeps several writer tasks for the small
     # day-partitioned tables of local runs; large shuffles are unaffected (they are far
     # above the floor and sized by spark.sql.shuffle.partitions / advisory size).
@@ -47,9 +49,10 @@ def get_spark(master: str = "local[*]", shuffle_partitions: int = 8, app: str =
 
 
 def apply_defaults(spark: SparkSession) -> None:
-    """Set the session defaults the operators rely on (UTC wall clock). Partition overwrite
-    modes are passed per write, never set session-wide."""
+    """Set the session defaults the operators rely on (UTC wall clock, the last of repeated JSON keys). Partition
+    overwrite modes are passed per write, never set session-wide."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     # List partition folders of day-partitioned tables with one task per core, not one per folder.
     spark.conf.set("spark.sql.sources.parallelPartitionDiscovery.parallelism",
                    str(max(1, spark.sparkContext.defaultParallelism)))

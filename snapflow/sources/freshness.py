@@ -23,12 +23,15 @@ def fresh_counts(frames: Mapping[str, DataFrame], as_of, ts_col: str = "extracte
     """One row per source: ``(source, n_rows)`` loaded on ``as_of`` (UTC day).
 
     The day test is a half-open timestamp range, so Parquet scans get it as a pushed
-    filter instead of evaluating ``to_date`` on every row.
+    filter instead of evaluating ``to_date`` on every row. A frame with ``load_date`` (a
+    landing folder by day) also gets a partition filter: other days' files are not opened.
     """
     lo, hi = _day_bounds(as_of)
     parts = []
     for name, df in frames.items():
         ts = F.col(ts_col)
+        if "load_date" in df.columns:
+            df = df.where(F.col("load_date") == F.lit(lo.date()))
         parts.append(
             df.where((ts >= ts_literal(lo)) & (ts < ts_literal(hi)))
             .agg(F.count(F.lit(1)).cast("bigint").alias("n_rows"))

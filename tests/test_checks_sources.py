@@ -73,3 +73,44 @@ def test_land_as_variant_then_stage_without_parsing(spark):
     assert raw.schema["raw_data"].dataType.typeName() == "variant"
     st = stage_repos(raw).collect()
     assert [(r.repo_name, r.stars) for r in st] == [("a", 3)]
+
+
+def test_landing_by_day_keeps_rejected_documents(spark):
+    import os
+    import tempfile
+
+    from snapflow.operators.staging import stage_repos
+    from snapflow.sources.freshness import fresh_counts
+    from snapflow.sources.raw import landing_path, read_rejected
+    from snapflow.streaming.latest import read_latest, stream_latest
+    from tests.conftest import plan_text
+    root = tempfile.mkdtemp(prefix="landd-", dir=os.environ.get("TMPDIR", "/tmp"))
+    target = f"{root}/raw"
+    docs = [("a", '{"stars": 1, "stars": 2}'), ("b", ""), ("c", None), ("d", "[1]"), ("e", "{}"), ("f", "{oops"), (None, "null"),
+            ("g", ' {"stars": 7}')]
+    for day, keep in ((1, 8), (2, 3)):
+        df = spark.createDataFrame(docs[:keep], "repo_name string, doc string")
+        res = land_raw(df, "repo_name", "doc", target, T(2024, 1, day, 5), by_day=True)
+        assert (res.fetched, res.loaded, res.rejected) == ((8, 2, 6) if day == 1 else (3, 1, 2))
+    raw = read_raw(spark, target, "repo_name")
+    assert rows(raw.select("repo_name", "extracted_at")) == [("a", T(2024, 1, 1, 5)), ("a", T(2024, 1, 2, 5)), ("g", T(2024, 1, 1, 5))]
+    gone = read_rejected(spark, target, "repo_name")
+    assert rows(gone.where("extracted_at < '2024-01-02'"), "repo_name", "reason", "document") == [
+        ("b", "not JSON", ""), ("c", "no document", None), ("d", "not an object", "[1]"), ("e", "empty object", "{}"),
+        ("f", "not JSON", "{oops"), (None, "not an object", "null")]
+    assert gone.count() == 8
+    fresh = fresh_counts({"repos": raw}, "2024-01-02")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    scan = [line for line in plan_text(fresh).splitlines() if "FileScan parquet" in line][0]
+    assert "load_date" in scan.split("PartitionFilters")[1].split("PushedFilters")[0] and "2024-01-02" in scan
+    assert fresh.first()["n_rows"] == 1
+    # the stream reads loaded documents only; the last of repeated keys holds
+    stream_latest(spark, landing_path(spark, target), "repo_name", f"{root}/out", f"{root}/ckpt", stage_repos, tiebreak=None).awaitTermination()
+    assert rows(read_latest(spark, f"{root}/out"), "repo_name", "stars") == [("a", 2), ("g", 7)]
+    none = land_raw(spark.createDataFrame([], "repo_name string, doc string"), "repo_name", "doc", f"{root}/none", T(2024, 1, 1), by_day=True)
+    assert (none.fetched, none.loaded) == (0, 0) and read_rejected(spark, f"{root}/none", "repo_name") is None
+    land_raw(spark.createDataFrame(docs, "repo_name string, doc string"), "repo_name", "doc", f"{root}/v", T(2024, 1, 1), as_variant=True, by_day=True)
+    assert rows(read_raw(spark, f"{root}/v", "repo_name").selectExpr("variant_get(raw_data, '$.stars', 'int') as s")) == [(2,), (7,)]
+    land_raw(spark.createDataFrame(docs[1:3], "repo_name string, doc string"), "repo_name", "doc", f"{root}/bad", T(2024, 1, 1), by_day=True)
+    assert read_raw(spark, f"{root}/bad", "repo_name").count() == 0 and read_rejected(spark, f"{root}/bad", "repo_name").count() == 2
+    stream_latest(spark, landing_path(spark, f"{root}/bad"), "repo_name", f"{root}/o", f"{root}/c", stage_repos, tiebreak=None).awaitTermination()
