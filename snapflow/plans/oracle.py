@@ -12,7 +12,7 @@ from __future__ import annotations
 import datetime as dt
 
 from snapflow.plans.daily import EXAMPLE_MAPPING
-from snapflow.plans.queries import AS_OF, DAILY_AS_OF, FRESH_DAY, NOW, ORDER_CUT, PACKAGES_LOADED_AT, REPO_CUT, RUNS
+from snapflow.plans.queries import AS_OF, DAILY_AS_OF, FRESH_DAY, HISTORY_CUTS, NOW, ORDER_CUT, PACKAGES_LOADED_AT, REPO_CUT, RUNS
 
 _NOW = f"TIMESTAMP '{NOW:%Y-%m-%d %H:%M:%S}'"
 _CUT = (AS_OF - dt.timedelta(days=90)).isoformat()
@@ -455,6 +455,7 @@ GROUP BY popularity_tier""",
 }
 
 ORACLE_SQL["daily_rank_window"] = ORACLE_SQL["daily_rank"]
+ORACLE_SQL["trends_update"] = ORACLE_SQL["trends"]
 ORACLE_SQL["stream_latest_repo"] = ORACLE_SQL["latest_repo"]
 ORACLE_SQL["history_step_latest"] = ORACLE_SQL["history_step"]
 
@@ -538,15 +539,18 @@ ORACLE_SQL["daily_run_dimension"] = f"WITH {_run_ctes(1)} SELECT * FROM dim"
 _SM = [c.strip() for c in HIST_CARRIED.split(",")]
 _MORE = ", ".join({"github_stars": "github_stars + 5 AS github_stars",
                    "pypi_downloads_daily": "pypi_downloads_daily + 1 AS pypi_downloads_daily"}.get(c, c) for c in _SM)
+_NEWEST = "QUALIFY row_number() OVER (PARTITION BY technology_name ORDER BY snapshot_date DESC) = 1"
 ORACLE_SQL["history_three_days"] = f"""WITH {SNAP_METRICS},
-two AS (SELECT {_MORE} FROM sm WHERE rn = 2),
-three AS (SELECT * FROM sm WHERE rn = 1)
-SELECT {HIST_CARRIED}, {ZERO_DELTAS} FROM sm WHERE rn = 3
+one AS (SELECT * FROM sm WHERE snapshot_date < DATE '{HISTORY_CUTS[0]}'),
+two AS (SELECT * FROM sm WHERE snapshot_date >= DATE '{HISTORY_CUTS[0]}' AND snapshot_date < DATE '{HISTORY_CUTS[1]}'),
+again AS (SELECT {_MORE} FROM two), three AS (SELECT * FROM sm WHERE snapshot_date >= DATE '{HISTORY_CUTS[1]}'),
+before_again AS (SELECT {HIST_CARRIED} FROM two {_NEWEST}),
+before_three AS (SELECT * FROM (SELECT {HIST_CARRIED} FROM one UNION ALL SELECT {HIST_CARRIED} FROM again) {_NEWEST})
+SELECT {HIST_CARRIED}, {ZERO_DELTAS} FROM one
 UNION ALL
-SELECT {HIST_CARRIED}, CAST(5 AS BIGINT) AS stars_change, CAST(0 AS BIGINT) AS forks_change, CAST(1 AS BIGINT) AS downloads_change,
-  CAST(0 AS BIGINT) AS issues_change, {_NOW} AS history_created_at FROM two
+{_changes(NOW, "before_again").format(src="again")}
 UNION ALL
-{_changes(NOW, "two").format(src="three")}"""
+{_changes(NOW, "before_three").format(src="three")}"""
 
 ORACLE_SQL["example_mapping"] = "WITH m AS (SELECT * FROM (VALUES " + ", ".join(
     f"({i}, '{a}', '{b}', '{c}')" for i, (a, b, c) in enumerate(EXAMPLE_MAPPING)) + f""") t(k, technology_name, github_repo, pypi_package)),

@@ -33,6 +33,7 @@ from snapflow.sources.responses import flatten_package, flatten_repo
 # Fixed values used by the queries and their oracles.
 AS_OF = dt.date(2001, 11, 4)          # last ship date in the test data
 NOW = dt.datetime(2024, 2, 1, 0, 0, 0)
+HISTORY_CUTS = dt.date(1995, 1, 1), dt.date(1998, 1, 1)     # the runs of history_three_days
 FRESH_DAY = dt.date(2024, 1, 15)
 DAILY_AS_OF = dt.date(2024, 1, 30)
 STREAM_CUT = "2024-01-16 00:00:00"
@@ -329,6 +330,22 @@ def q_trends_look_back(spark, sf):
     return build_trends(snap, as_of=AS_OF, days=90, look_back=look_back_start(state, AS_OF, 90))
 
 
+def q_trends_update(spark, sf):
+    """Trends stored the day before, brought up to date after the last day's merge; same result as ``trends``."""
+    from snapflow.operators.history import previous_rows, upsert_with_latest
+    from snapflow.operators.trends import read_trends, update_trends, write_trends
+    m = reliable_checkpoint(B.snapshot_metrics(_snapshots(spark, sf)))
+    path, target, before = scratch_path(spark, "history_trends"), scratch_path(spark, "trends"), AS_OF - dt.timedelta(days=1)
+    upsert_with_latest(spark, path, history_rows(m.where(F.col("snapshot_date") <= F.lit(before)), None, now=NOW))
+    write_trends(spark, target, build_trends(read_history(spark, path), as_of=before, days=90), before, 90)
+    last = m.where(F.col("snapshot_date") > F.lit(before))
+    rows = reliable_checkpoint(history_rows(last, None, now=NOW, previous=previous_rows(spark, path)))
+    state = upsert_with_latest(spark, path, rows)
+    if not update_trends(spark, target, read_history(spark, path), rows, state, AS_OF, 90):
+        raise AssertionError("stored trends of the day before can be brought up to date")
+    return read_trends(spark, target)
+
+
 def q_trend_indicators(spark, sf):
     """Above / below / equal to the 7-row average."""
     w = entity_window()
@@ -393,13 +410,12 @@ def q_history_step_latest(spark, sf):
 
 
 def q_history_three_days(spark, sf):
-    """H1, H1a, H2 over four runs: a first day, the next, the next again with more stars and downloads, a third.
-    Each entity's three newest snapshots are its days."""
+    """H1, H1a, H2 over four runs of all snapshots: those of the first years, of the next ones, these again with more stars
+    and downloads, and of the last. Every row of a run is compared with its entity's newest stored one."""
     from snapflow.operators.history import previous_rows, upsert_with_latest
-    m = B.snapshot_metrics(_snapshots(spark, sf))
-    w = Window.partitionBy("technology_name").orderBy(F.col("snapshot_date").desc_nulls_first())
-    m = reliable_checkpoint(m.withColumn("__rn", F.row_number().over(w)).where("__rn <= 3"))
-    one, two, three = (m.where(F.col("__rn") == k).drop("__rn") for k in (3, 2, 1))
+    m = reliable_checkpoint(B.snapshot_metrics(_snapshots(spark, sf)))
+    day, (low, high) = F.col("snapshot_date"), (F.lit(c) for c in HISTORY_CUTS)
+    one, two, three = m.where(day < low), m.where((day >= low) & (day < high)), m.where(day >= high)
     again = two.withColumns({"github_stars": F.col("github_stars") + 5, "pypi_downloads_daily": F.col("pypi_downloads_daily") + 1})
     path = scratch_path(spark, "history_days")
     for day in (one, two, again, three):
@@ -564,6 +580,7 @@ QUERIES = {
     "trends": q_trends,
     "trends_single": q_trends_single,
     "trends_look_back": q_trends_look_back,
+    "trends_update": q_trends_update,
     "history_first": q_history_first,
     "history_step": q_history_step,
     "history_rerun": q_history_rerun,
