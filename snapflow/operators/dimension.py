@@ -32,24 +32,27 @@ def _key_match(left: Column, right: Column) -> Column:
 
 def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, now=None,
                     repo_tiebreak: Sequence[str] | None = None, package_tiebreak: Sequence[str] | None = None,
-                    reduce_max_keys: int = 200_000) -> DataFrame:
+                    reduce_max_keys: int = 200_000, one_per_key: bool = False) -> DataFrame:
     """One row per mapping row (28 columns).
 
     ``mapping``: ``(technology_name, github_repo, pypi_package)``; ``repos`` / ``packages``:
     staged rows, many per key. Tie-breaks default to every atomic column (deterministic).
     Only the repo/package keys named by the mapping can reach the output, so the staged rows
     are semi-joined with its keys before the latest-row window (fewer rows sorted): against
-    a broadcast, below the shuffle, when the mapping is provably small.
+    a broadcast, below the shuffle, when the mapping is provably small. ``one_per_key``: the
+    staged rows are the latest ones already (``streaming.latest``), so no window runs.
     """
     small = bool(reduce_max_keys) and small_enough(mapping, reduce_max_keys)   # one bounded probe
     gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys, known_small=small)
     py = semi_reduce(packages, "package_name", mapping, "pypi_package", reduce_max_keys, known_small=small)
-    if repo_tiebreak is None:
-        repo_tiebreak = total_tiebreak(gh, ["repo_name", "extracted_at"])
-    if package_tiebreak is None:
-        package_tiebreak = total_tiebreak(py, ["package_name", "extracted_at"])
-    gh = latest_per_key(gh, "repo_name", "extracted_at", repo_tiebreak).alias("gh")
-    py = latest_per_key(py, "package_name", "extracted_at", package_tiebreak).alias("py")
+    if not one_per_key:
+        if repo_tiebreak is None:
+            repo_tiebreak = total_tiebreak(gh, ["repo_name", "extracted_at"])
+        if package_tiebreak is None:
+            package_tiebreak = total_tiebreak(py, ["package_name", "extracted_at"])
+        gh = latest_per_key(gh, "repo_name", "extracted_at", repo_tiebreak)
+        py = latest_per_key(py, "package_name", "extracted_at", package_tiebreak)
+    gh, py = gh.alias("gh"), py.alias("py")
     tm = mapping.select("technology_name", "github_repo", "pypi_package").alias("tm")
     j = (tm.join(gh, _key_match(F.col("tm.github_repo"), F.col("gh.repo_name")), "left")
            .join(py, _key_match(F.col("tm.pypi_package"), F.col("py.package_name")), "left"))

@@ -140,7 +140,8 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
         raise ValueError(f"unknown staging {cfg.staging!r}")
     dim = _materialize(spark, build_dimension(mapping, stg_r, stg_p, now=cfg.now,
                                               repo_tiebreak=cfg.repo_tiebreak,
-                                              package_tiebreak=cfg.package_tiebreak),
+                                              package_tiebreak=cfg.package_tiebreak,
+                                              one_per_key=cfg.staging == "incremental"),
                        cfg.table("dim_technologies", cfg.marts_schema))
     met = _materialize(spark, build_metrics(dim), cfg.table("fct_technology_metrics", cfg.marts_schema))
     target = cfg.table("fct_technology_history", cfg.marts_schema)

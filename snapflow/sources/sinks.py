@@ -127,7 +127,7 @@ def write_layout(spark: SparkSession, target: str, layout: Layout) -> None:
     write_table(spark.createDataFrame([(json.dumps(said),)], "layout string").coalesce(1), layout_path(target))
 
 
-def _save(df: DataFrame, target: str, partition_by: list[str] | None, fmt: str) -> None:
+def _save(df: DataFrame, target: str, partition_by: list[str] | None, fmt: str, bucket_by: str | None = None) -> None:
     if partition_by:
         df = df.hint("rebalance", *partition_by)   # one file per partition value; AQE splits hot ones
     w = df.write.mode("overwrite").format(fmt)
@@ -135,18 +135,22 @@ def _save(df: DataFrame, target: str, partition_by: list[str] | None, fmt: str)
         w = w.partitionBy(*partition_by)
     if is_path(target):
         w.option("partitionOverwriteMode", "static").save(target)
-    else:
-        w.saveAsTable(target)              # options would stay with the table
+        return
+    if bucket_by:                          # joins on the key find it dealt and sorted
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        w = df.repartition(n, bucket_by).write.mode("overwrite").format(fmt).bucketBy(n, bucket_by).sortBy(bucket_by)
+    w.saveAsTable(target)                  # options would stay with the table
 
 
 def write_table(df: DataFrame, target: str, partition_by: list[str] | None = None,
-                fmt: str = "parquet") -> None:
-    """Replace a table: a path (contains '/') or a catalog name."""
+                fmt: str = "parquet", bucket_by: str | None = None) -> None:
+    """Replace a table: a path (contains '/') or a catalog name. ``bucket_by``: a catalog table without partitions is
+    bucketed and sorted by this key, as many buckets as the session has shuffle partitions."""
     spark = df.sparkSession
     if not table_exists(spark, target):
         if not is_path(target) and "." in target:
             spark.sql(f"CREATE DATABASE IF NOT EXISTS {target.rsplit('.', 1)[0]}")
-        _save(df, target, partition_by, fmt)
+        _save(df, target, partition_by, fmt, bucket_by)
         return
     if is_path(target):
         t = target.rstrip("/")
@@ -157,7 +161,7 @@ def write_table(df: DataFrame, target: str, partition_by: list[str] | None = Non
         delete_path(spark, f"{t}__old")
     else:
         spark.sql(f"DROP TABLE IF EXISTS {target}__new")
-        _save(df, f"{target}__new", partition_by, fmt)
+        _save(df, f"{target}__new", partition_by, fmt, bucket_by)
         spark.sql(f"DROP TABLE {target}")
         _adopt(spark, target)
 

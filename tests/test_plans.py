@@ -101,3 +101,25 @@ def test_trends_over_partitioned_history_prunes(spark):
     t, back, lows = trends(daily + new + sparse)
     assert back.start == start and [r[0] for r in back.deep.collect()] == ["sparse"]
     assert t.count() == 2 * 91 + 10 + 1
+
+
+def test_previous_rows_are_joined_in_place(spark):
+    """The bucketed latest table is neither shuffled nor, unless tiny, broadcast."""
+    from snapflow.operators.history import history_rows, previous_rows, upsert_with_latest
+    from tests.test_history import NOW, _metrics
+    spark.sql("DROP DATABASE IF EXISTS bucket_test CASCADE")
+    name, before = "bucket_test.h", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    for n in range(2):
+        m = _metrics(spark, [(f"e{i}", dt.date(2024, 1, 1 + n), i + n, 1, 1, 1) for i in range(50)])
+        upsert_with_latest(spark, name, history_rows(m, None, now=NOW, previous=previous_rows(spark, name)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = history_rows(m, None, now=NOW, previous=previous_rows(spark, name))
+        plan = _plan(new)
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortMergeJoin" in plan        # the current metrics only
+        scan = plan[:plan.index("FileScan parquet spark_catalog.bucket_test.h_latest")].splitlines()
+        assert "Bucketed: true" in plan and not any("Exchange" in line for line in scan[-4:])
+        assert {r.stars_change for r in new.collect()} == {0}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    spark.sql("DROP DATABASE bucket_test CASCADE")

@@ -38,27 +38,25 @@ def test_updates_equal_full_builds(spark, catalog):
     if catalog:
         spark.sql("DROP DATABASE IF EXISTS trends_test CASCADE")
     hist, target = (("trends_test.h", "trends_test.t") if catalog else (f"{root}/h", f"{root}/t"))
-    days = 20
+    days = 12
 
     def measures(names, d):
         return [(e, d, rnd.randint(0, 90), 1, rnd.randint(0, 50), 0) for e in names]
 
-    start = [r for n in range(60) for r in measures([e for e in "abcd" if e != "d" or n % 9 == 0], _day(n))]
+    start = [r for n in range(36) for r in measures([e for e in "abcd" if e != "d" or n % 9 == 0], _day(n))]
     _merge(spark, hist, start)
-    assert not T.update_trends(spark, target, read_history(spark, hist), *_merge(spark, hist, measures("a", _day(59))), _day(60), days)
-    T.write_trends(spark, target, T.build_trends(read_history(spark, hist), as_of=_day(60), days=days), _day(60), days)
-    runs = [(60, measures("abcde", _day(60))),                              # the next day, with a new entity
-            (60, measures("ab", _day(60))),                                 # the same day again
-            (61, measures("b", _day(50)) + measures("c", _day(61))),        # a late day: later frames change
-            (63, measures("f", _day(20)) + [("g", None, 1, 1, 1, 1)]),      # a day before the cut, an undated row
-            (63, [("g", None, 2, 1, 1, 1)]),                                # nothing dated
-            (90, measures("ad", _day(89)))]                                 # most days expire
-    for n, data in runs if not catalog else runs[:3]:
+    assert not T.update_trends(spark, target, read_history(spark, hist), *_merge(spark, hist, measures("a", _day(35))), _day(36), days)
+    T.write_trends(spark, target, T.build_trends(read_history(spark, hist), as_of=_day(36), days=days), _day(36), days)
+    runs = [(36, measures("abcde", _day(36))),                              # the next day, with a new entity
+            (37, measures("b", _day(28)) + measures("c", _day(37))),        # a late day: later frames change
+            (39, measures("f", _day(10)) + [("g", None, 1, 1, 1, 1)]),      # a day before the cut, an undated row
+            (39, [("g", None, 2, 1, 1, 1)]),                                # nothing dated
+            (60, measures("ad", _day(59)))]                                 # most days expire
+    for n, data in runs if not catalog else runs[:2]:
         new, state = _merge(spark, hist, data)
         assert T.update_trends(spark, target, read_history(spark, hist), new, state, _day(n), days), n
         assert rows(T.read_trends(spark, target), *T.TRENDS_COLUMNS) == _whole(spark, hist, _day(n), days), n
-    new, state = _merge(spark, hist, measures("a", _day(90)))
-    assert not T.update_trends(spark, target, read_history(spark, hist), new, state, _day(40), days)      # back in time: whole build
+    assert not T.update_trends(spark, target, read_history(spark, hist), new, state, _day(30), days)      # back in time: whole build
     assert not T.update_trends(spark, target, read_history(spark, hist), new, state, _day(90), days + 1)
     if catalog:
         spark.sql("DROP DATABASE trends_test CASCADE")
