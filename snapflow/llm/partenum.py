@@ -5,13 +5,17 @@ of its band and of the next. Linked sets of an instance differ in at most ``k``
 first-level partitions, each into ``cells`` second-level ones; as there are more partitions than ``k // (spare + 1)``, some
 partition differs in at most ``spare`` cells, so of the signatures that a partition gives - one for each subset of all but
 ``spare`` cells - the sets share one. Signatures of nothing but empty cells are left out: a set with enough partitions of
-more than ``spare`` filled cells meets every partner without them; two sets that both lack those also meet by their single
-features.
+more than ``spare`` filled cells meets every partner without them, and in as many partitions as it has above those that
+differences can spoil, which candidates are held to; two sets that both lack those also meet by their single features.
 
 A signature is an equality join; its groups give candidate pairs, verified on the sets themselves. Small groups give all
-their pairs, larger ones a star first: most are one component then. Those that are not give the pairs between their
-components, up to ``LIMIT`` sets; sets of still larger ones go to the next level, where signatures hold more features. The
-last level has no limit and compares such groups block by block. No link is lost, and none is taken without verification.
+their pairs, larger ones a star: most are one component then. Sets of groups that are not go to the next level. There the
+domain lacks the features that a bounded sample of these sets, one a component, shows to be frequent: sets differ in no more
+features of a part of the domain, and what remains is rare, so passages that many texts share form no groups any more. Sets
+that have no more than ``k`` features left go on to the level after, which takes whole sets and larger subsets. From the
+second level on, groups of several components give the pairs between these, up to ``LIMIT`` sets, held to the signatures
+that linked sets share in all; the last level has no limit and compares such groups block by block. The sample changes the
+work, not the result: no link is lost, and none is taken without verification.
 
 Equal sets are one node, whatever their texts. Null and empty texts have the empty set and link with nothing; a null id
 keeps its row and names a component only if no other id is there; repeated rows are copies.
@@ -23,20 +27,23 @@ from itertools import combinations, repeat
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from snapflow.llm.common import mix64, partitions
+from snapflow.llm.common import mix64, partitions, some_rows
 from snapflow.llm.components import components
 from snapflow.session import reliable_checkpoint
 
-#: (features that may differ within a partition, its cells) by level.
-LEVELS = ((1, 3), (2, 5), (3, 7))
+#: By level: features that may differ within a partition, its cells, whether frequent features are left out.
+LEVELS = ((1, 3, False), (1, 3, True), (2, 5, False), (3, 7, False))
+#: Sets sampled to find frequent features, occurrences there that make one frequent, frequent features at most.
+SAMPLE, OFTEN, FREQUENT = 10_000, 4, 1_000_000
 #: Signatures of a part, sets of a group that gives all pairs at once, sets of a group that goes on to the next level, sets
 #: of a block, pairs that a task compares with one set, bytes of a signature within its part.
-PART, SMALL, LIMIT, BLOCK, STAR, WIDTH = 6_000_000, 8, 256, 256, 2000, 5
-_CHUNK = 400_000                                        # features that are signed at a time
+PART, SMALL, LIMIT, BLOCK, STAR, WIDTH = 4_000_000, 8, 256, 256, 2000, 5
+_CHUNK, _MOST = 400_000, 4095                           # features that are signed at a time; partitions that are counted on
 
 
 def shingles(text: str | None, size: int, seed: int) -> np.ndarray:
@@ -79,27 +86,40 @@ class Instances:
             low = self.high[-1] + 1
         self.high = np.array(self.high)
         self.percent, self.level = percent, level
-        self.spare, self.cells = LEVELS[level]
+        self.spare, self.cells, _ = LEVELS[level]
         self.k = 2 * self.high * (100 - percent) // (100 + percent)
         must = self.k // (self.spare + 1) + 1
         self.partitions = must + -(-must // 5) + 2
         self.subsets = list(combinations(range(self.cells), self.cells - self.spare))
 
-    def signatures(self, n: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(set's number, signature) of the sets of ``n`` features each, one after another."""
+    def taken(self, n: np.ndarray, step: int) -> np.ndarray:
+        """The instance of sets of ``n`` features in their band (step 0) or the next; -1 where they meet nobody there."""
         band = np.searchsorted(self.high, n)
-        owner = np.repeat(np.arange(len(n)), n)
-        sets, keys = [], []
-        for step in (0, 1):
-            t = band + step
-            # equal sets are one node: an instance without room for differences links nothing, nor one above all partners
-            on = (self.k[t] > 0) & ((step == 0) | (n * 100 // self.percent > self.high[band]))
-            s, k = self._instance(np.where(on, t, -1), owner, features)
-            sets.append(s)
-            keys.append(k)
-        return np.concatenate(sets), np.concatenate(keys)
-
-    def _instance(self, t: np.ndarray, owner: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        # equal sets are one node: an instance without room for differences links nothing, nor one above all partners
+        on = (self.k[band + step] > 0) & ((step == 0) | (n * 100 // self.percent > self.high[band]))
+        return np.where(on, band + step, -1)
+
+    def signatures(self, n: np.ndarray, features: np.ndarray, held: np.ndarray | None = None
+                   ) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+        """(set's number, signature) of the sets of ``n`` features each, one after another, of which ``held`` (all) are in the
+        domain; and for each set in how many partitions at least it meets every partner of its own and of the next instance."""
+        owner = np.repeat(np.arange(len(n)), n if held is None else held)
+        found = [self._instance(self.taken(n, step), owner, features) for step in (0, 1)]
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]), [f[2] for f in found]
+
+    def uncovered(self, n: np.ndarray, held: np.ndarray) -> np.ndarray:
+        """Whether linked sets of ``n`` features may have none in common of the ``held`` ones in the domain."""
+        most = np.max([np.where((t := self.taken(n, step)) >= 0, self.k[t], -1) for step in (0, 1)], axis=0)
+        return held <= most
+
+    def least(self, n: np.ndarray, own: np.ndarray, above: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Signatures that linked sets ``a`` and ``b`` (numbers) share at least."""
+        band, up = np.searchsorted(self.high, n), self.taken(n, 1) >= 0
+        alike = np.maximum(own[a], own[b]) + np.where(up[a] & up[b], np.maximum(above[a], above[b]), 0)
+        low, high = np.where(n[a] < n[b], a, b), np.where(n[a] < n[b], b, a)
+        return np.where(band[a] == band[b], alike, np.maximum(above[low], own[high]))
+
+    def _instance(self, t: np.ndarray, owner: np.ndarray, features: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         rows = np.where(t >= 0, self.partitions[t], 0)
         base = np.cumsum(rows) - rows
         here = t[owner] >= 0
@@ -120,23 +140,26 @@ class Instances:
             some = filled[:, subset].any(1)
             sets.append(of[some])
             keys.append(mix64(spread[some][:, subset].sum(1, dtype=np.uint64) ^ place[some] + np.uint64(number)))
-        enough = np.bincount(of, weights=filled.sum(1) > self.spare, minlength=len(t)) > self.k[t] // (self.spare + 1)
-        alone = ~enough[owner]
+        sure = np.bincount(of, weights=filled.sum(1) > self.spare, minlength=len(t)).astype(np.int64) - self.k[t] // (self.spare + 1)
+        alone = sure[owner] <= 0
         sets.append(owner[alone])
         keys.append(mix64(mix64(features[alone]) + t[owner[alone]].astype(np.uint64)))
-        return np.concatenate(sets), np.concatenate(keys)
+        return np.concatenate(sets), np.concatenate(keys), np.where(t >= 0, sure.clip(0, _MOST), 0)
 
     def load(self) -> float:
-        """About how many signatures a feature makes."""
-        return 2.6 * len(self.subsets) * 1.2 * (2 * (100 - self.percent) / (100 + self.percent)) / (self.spare + 1) / 2 + 0.2
+        """About how many signatures a feature makes, over both instances of its set."""
+        differ = 2 * (100 - self.percent) / (100 + self.percent)
+        return 2.6 * 1.2 * differ / (self.spare + 1) * len(self.subsets) + 0.1
 
 
-ENTRIES = "part long, name long, n long, keys binary"
+ENTRIES = "part long, name long, n long, keys binary"            # n: features, and the partitions counted on by 12 bits each
 
 
-def _entries(name: np.ndarray, n: np.ndarray, features: np.ndarray, instances: Instances, parts: int) -> pa.RecordBatch:
+def _entries(held, instances: Instances, parts: int) -> pa.RecordBatch:
     """A row for each set and part: the signatures that the part takes, ``WIDTH`` bytes each."""
-    of, key = instances.signatures(n, features)
+    name, n = np.array([x for x, _, _ in held], np.int64), np.array([k for _, k, _ in held], np.int64)
+    of, key, (own, above) = instances.signatures(n, np.concatenate([f for *_, f in held]), np.array([len(f) for *_, f in held], np.int64))
+    n = n | own << 40 | above << 52
     part = (key % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part * len(n) + of, kind="stable")
     of, part = of[order], part[order]
@@ -149,36 +172,36 @@ def _entries(name: np.ndarray, n: np.ndarray, features: np.ndarray, instances: I
 
 
 def _signed(sets, instances: Instances, parts: int):
-    """Entries of (name, features), some sets at a time."""
+    """Entries of (name, n, features in the domain), some sets at a time."""
     held, size = [], 0
-    for name, features in sets:
-        held.append((name, features))
-        size += len(features)
+    for item in sets:
+        held.append(item)
+        size += len(item[2]) + 1
         if size >= _CHUNK:
-            yield _entries(*_flat(held), instances, parts)
+            yield _entries(held, instances, parts)
             held, size = [], 0
     if held:
-        yield _entries(*_flat(held), instances, parts)
-
-
-def _flat(held) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    return (np.array([x for x, _ in held], np.int64), np.array([len(f) for _, f in held], np.int64),
-            np.concatenate([f for _, f in held]))
+        yield _entries(held, instances, parts)
 
 
 def _parts(rows: DataFrame, instances: Instances) -> int:
     total = rows.agg(F.sum("n")).first()[0] or 0
-    return max(partitions(rows), int(total * instances.load()) // PART + 1)
+    return max(rows.sparkSession.sparkContext.defaultParallelism, int(total * instances.load()) // PART + 1)
+
 
+MET = "grp long, a long, b long, hits long, least long"
+#: Hits of a pair that stands for a larger group, whatever its signatures.
+_STAR_HITS = 1 << 40
 
-def _meet(entries: DataFrame, parts: int, percent: int) -> DataFrame:
-    """What shares a signature: (null, a, b) candidate pairs and (group, name, n) members of groups of over ``SMALL`` sets."""
+
+def _meet(entries: DataFrame, parts: int, instances: Instances) -> DataFrame:
+    """What shares a signature: candidate pairs without ``grp``, with the signatures they share in a part and need in all; and
+    (grp, name, n as packed) members of groups of over ``SMALL`` sets."""
     def run(batches):
         for part, columns in _by_part(batches):
-            yield from _groups(part, *columns, percent)
+            yield from _groups(part, *columns, instances)
 
-    return (entries.repartition(parts, "part").sortWithinPartitions("part")
-            .mapInArrow(run, "grp long, a long, b long"))
+    return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, MET)
 
 
 def _by_part(batches):
@@ -197,8 +220,8 @@ def _by_part(batches):
         yield now, _joined(held)
 
 
-def _joined(held) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(set names, sizes, and per signature the number of its set and the signature)."""
+def _joined(held) -> tuple[np.ndarray, ...]:
+    """(set names, sizes as packed, and per signature the number of its set and the signature)."""
     name = np.concatenate([b.column(1).to_numpy(zero_copy_only=False) for b in held])
     n = np.concatenate([b.column(2).to_numpy(zero_copy_only=False) for b in held])
     keys, counts = [], []
@@ -212,7 +235,8 @@ def _joined(held) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return name, n, np.repeat(np.arange(len(name), dtype=np.int32), np.concatenate(counts)), wide.view(np.uint64).ravel()
 
 
-def _groups(part: int, name: np.ndarray, n: np.ndarray, of: np.ndarray, key: np.ndarray, percent: int):
+def _groups(part: int, name: np.ndarray, packed: np.ndarray, of: np.ndarray, key: np.ndarray, instances: Instances):
+    n, own, above = packed & (2**40 - 1), packed >> 40 & _MOST, packed >> 52 & _MOST
     order = np.argsort(key)
     key, of = key[order], of[order]
     same = np.r_[False, key[1:] == key[:-1]]
@@ -232,42 +256,50 @@ def _groups(part: int, name: np.ndarray, n: np.ndarray, of: np.ndarray, key: np.
         right.append(of[i + d])
     centre = np.repeat(of[start], length)
     star = ~small & (centre != of)
-    a, b = np.concatenate([*left, centre[star]]), np.concatenate([*right, of[star]])
-    fit = 100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b])
-    pairs = np.stack([name[a[fit]], name[b[fit]]], 1)
-    if len(pairs):
-        pairs = np.unique(pairs, axis=0)
-        yield _triples(np.zeros(len(pairs), np.int64), pairs[:, 0], pairs[:, 1], True)
+    for stars, a, b in ((False, np.concatenate(left), np.concatenate(right)), (True, centre[star], of[star])):
+        fit = instances.percent * np.maximum(n[a], n[b]) <= 100 * np.minimum(n[a], n[b])
+        if fit.any():
+            both, first, hits = np.unique(a[fit].astype(np.int64) << 32 | b[fit], return_index=True, return_counts=True)
+            a, b = a[fit][first], b[fit][first]
+            yield _met(None, name[a], name[b], np.full(len(a), _STAR_HITS) if stars else hits, instances.least(n, own, above, a, b))
     if not small.all():
-        group = mix64(key[~small] + mix64(np.array([part], np.uint64))[0]).view(np.int64)
-        yield _triples(group, name[of[~small]], n[of[~small]], False)
+        yield _met(mix64(key[~small] + mix64(np.array([part], np.uint64))[0]).view(np.int64), name[of[~small]], packed[of[~small]])
 
 
-def _triples(group: np.ndarray, a: np.ndarray, b: np.ndarray, no_group: bool) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(group, mask=np.full(len(group), no_group)), pa.array(a), pa.array(b)], names=["grp", "a", "b"])
+def _met(group, a, b, hits=None, least=None) -> pa.RecordBatch:
+    none = pa.nulls(len(a), pa.int64())
+    return pa.record_batch([none if c is None else pa.array(c, pa.int64()) for c in (group, a, b, hits, least)],
+                           names=["grp", "a", "b", "hits", "least"])
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, size: int, seed: int) -> DataFrame:
-    """(name, features) of the ``nodes`` (name, look), read from the texts again; a task hands a text on once."""
+    """(name, features) of the ``nodes`` (name, look), read from the texts again; a task takes a text once. Texts of one hash
+    may add sets that nobody asks for, and a set may come twice."""
     def once(batches):
-        seen = set()
+        seen, squeeze = set(), zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            keep = []
-            for look in batch.column(0).to_pylist():
-                keep.append(look not in seen)
-                seen.add(look)
-            yield batch.filter(pa.array(keep, pa.bool_()))
+            looks, texts = [], []
+            for look, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if look not in seen:
+                    seen.add(look)
+                    looks.append(look)
+                    texts.append(squeeze.compress((text or "").encode()))
+            yield pa.record_batch([pa.array(looks, pa.int64()), pa.array(texts, pa.binary())], names=["look", "text"])
 
     def read(batches):
+        seen, whole = set(), zstandard.ZstdDecompressor()
         for batch in batches:
-            sets = [shingles(t, size, seed) for t in batch.column(0).to_pylist()]
-            yield pa.record_batch([pa.array([_name(s)[0] for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets])],
-                                  names=["name", "features"])
+            names, blobs = [], []
+            for look, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if look not in seen:
+                    seen.add(look)
+                    features = shingles(whole.decompress(text).decode(), size, seed)
+                    names.append(_name(features)[0])
+                    blobs.append(features.tobytes())
+            yield pa.record_batch([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], names=["name", "features"])
 
-    texts = docs.select(F.xxhash64("text").alias("look"), "text").mapInArrow(once, "look long, text string")
-    found = texts.join(nodes.select("look").distinct(), "look", "left_semi").select("text").mapInArrow(
-        read, "name long, features binary")
-    return found.join(nodes.select("name"), "name", "left_semi").dropDuplicates(["name"])
+    texts = docs.select(F.xxhash64("text").alias("look"), "text").mapInArrow(once, "look long, text binary")
+    return texts.join(nodes.select("look").distinct(), "look", "left_semi").mapInArrow(read, "name long, features binary")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -300,22 +332,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _between(groups: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one group but different components that sizes allow, from (grp, name, n, root, members): block by block."""
+def _between(groups: DataFrame, met: DataFrame, instances: Instances) -> DataFrame:
+    """Pairs of one group but different components, from (grp, name, n, root, members), block by block; those that share as
+    many signatures as linked sets must, here and in the smaller groups that ``met`` has the pairs of. What a pair shares in
+    groups that are not among ``groups`` needs no count: it is one component there, or goes on to the next level."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = (groups.withColumn("block", F.pmod(F.xxhash64("name"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
              .select("grp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "n", "root"))
     x, y = dealt.alias("x"), dealt.alias("y")
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("grp", "low", "high")]
-    fit = F.least("x.n", "y.n") * 100 >= F.greatest("x.n", "y.n") * percent
-    met = x.join(y, same[0] & same[1] & same[2] & (F.col("x.name") < F.col("y.name")) & (F.col("x.root") != F.col("y.root")) & fit
-                 & ((F.col("x.block") != F.col("y.block")) | (F.col("x.low") == F.col("x.high"))))
-    return met.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
+    size = [F.col(f"{c}.n").bitwiseAND(2**40 - 1) for c in "xy"]
+    fit = F.least(*size) * 100 >= F.greatest(*size) * instances.percent
+    pairs = x.join(y, same[0] & same[1] & same[2] & (F.col("x.name") < F.col("y.name")) & (F.col("x.root") != F.col("y.root")) & fit
+                   & ((F.col("x.block") != F.col("y.block")) | (F.col("x.low") == F.col("x.high"))))
+    pairs = pairs.groupBy(F.col("x.name").alias("a"), F.col("y.name").alias("b")).agg(
+        F.count("*").alias("hits"), F.first("x.n").alias("n_a"), F.first("y.n").alias("n_b"))
+    small = met.where(F.col("grp").isNull() & (F.col("hits") < _STAR_HITS)).groupBy("a", "b").agg(F.sum("hits").alias("more"))
+    counted = pairs.join(small, ["a", "b"], "left").select("a", "b", (F.col("hits") + F.coalesce("more", F.lit(0))).alias("hits"), "n_a", "n_b")
+
+    def run(batches):
+        for batch in batches:
+            hits, one, two = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
+            k = np.arange(len(hits))
+            packed = np.concatenate([one, two])
+            need = instances.least(packed & (2**40 - 1), packed >> 40 & _MOST, packed >> 52 & _MOST, k, k + len(k))
+            yield batch.select([0, 1]).filter(pa.array(hits >= need))
+
+    return counted.mapInArrow(run, "a long, b long")
 
 
 def _labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (grp, name, n, root, members) of the groups that hold several components."""
+    """Members (grp, name, n as packed, root, members) of the groups that hold several components."""
     rooted = groups.join(labels, groups.a == labels.node, "left").select(
         "grp", F.col("a").alias("name"), F.col("b").alias("n"), F.coalesce("root", "a").alias("root"))
     mixed = rooted.groupBy("grp").agg(F.count("*").alias("members"), F.min("root").alias("least"), F.max("root").alias("most"))
@@ -324,6 +372,7 @@ def _labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
     """(node, root) of the classes (name, look, n) that link with another; ``docs`` are (id, text)."""
+    spark = docs.sparkSession
     instances = Instances(percent, 0)
     parts = _parts(classes, instances)
 
@@ -337,42 +386,85 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: in
                     name = _name(features)[0]
                     if len(features) and name not in seen:
                         seen.add(name)
-                        yield name, features
+                        yield name, len(features), features
         yield from _signed(sets(), instances, parts)
 
-    met = reliable_checkpoint(_meet(docs.select("text").mapInArrow(sign, ENTRIES), parts, percent))
+    met = reliable_checkpoint(_meet(docs.select("text").mapInArrow(sign, ENTRIES), parts, instances))
     pairs, groups = _split(met)
     wanted = pairs.select("a").union(pairs.select("b")).union(groups.select("a")).distinct()
     sets = reliable_checkpoint(_sets(docs, classes.join(wanted, classes.name == wanted.a, "left_semi"), size, seed))
     found = reliable_checkpoint(_verified(pairs, sets, percent))
+    names = None
     for level in range(len(LEVELS)):
         labels = reliable_checkpoint(components(found))
         mixed = reliable_checkpoint(_labelled(groups, labels))
         last = level + 1 == len(LEVELS)
-        now = mixed if last else mixed.where(F.col("members") <= LIMIT)
-        more = _between(now, percent).join(pairs, ["a", "b"], "left_anti")
-        found = reliable_checkpoint(found.union(_verified(reliable_checkpoint(more), sets, percent)))
-        hot = mixed.where(F.col("members") > LIMIT).select("name").distinct()
+        if level:
+            now = mixed if last else mixed.where(F.col("members") <= LIMIT)
+            more = reliable_checkpoint(_between(now, met, instances).join(pairs, ["a", "b"], "left_anti"))
+            found = reliable_checkpoint(found.union(_verified(more, sets, percent)))
+        hot = mixed.where(F.col("members") > (LIMIT if level else 0)).select("name")
+        hot = reliable_checkpoint((hot if names is None else hot.union(names)).distinct())
         if last or not hot.limit(1).count():
-            return components(found)
-        deeper = Instances(percent, level + 1)
-        again = reliable_checkpoint(sets.join(hot, "name", "left_semi").withColumn("n", F.octet_length("features") / 8))
-        parts = _parts(again, deeper)
-
-        def resign(batches, deeper=deeper, parts=parts):
-            sets = ((name, np.frombuffer(blob, np.uint64)) for batch in batches
-                    for name, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
-            yield from _signed(sets, deeper, parts)
-
-        spread = again.select("name", "features").repartition(partitions(again))
-        met = reliable_checkpoint(_meet(spread.mapInArrow(resign, ENTRIES), parts, percent))
+            return components(found) if level else labels
+        instances = Instances(percent, level + 1)
+        again = reliable_checkpoint(sets.join(hot, "name", "left_semi").withColumn("n", (F.octet_length("features") / 8).cast("long")))
+        often = spark.sparkContext.broadcast(_frequent(again, labels) if LEVELS[level + 1][2] else np.empty(0, np.uint64))
+        names = again.select("name", "n", "features").mapInArrow(_uncovered(instances, often), "name long") if len(often.value) else None
+        parts = _parts(again, instances)
+        spread = again.select("name", "n", "features").repartition(partitions(again))
+        met = reliable_checkpoint(_meet(spread.mapInArrow(_resigned(instances, often, parts), ENTRIES), parts, instances))
         pairs, groups = _split(met)
         found = reliable_checkpoint(found.union(_verified(pairs, sets, percent)))
     raise AssertionError("the last level returns")
 
 
+def _domain(often, batches):
+    """(name, n, features in the domain) of (name, n, features)."""
+    out = often.value
+    for batch in batches:
+        for name, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            features = np.frombuffer(blob, np.uint64)
+            if len(out):
+                features = features[out[np.minimum(np.searchsorted(out, features), len(out) - 1)] != features]
+            yield name, n, features
+
+
+def _resigned(instances: Instances, often, parts: int):
+    def run(batches):
+        yield from _signed(_domain(often, batches), instances, parts)
+    return run
+
+
+def _uncovered(instances: Instances, often):
+    def run(batches):
+        for batch in batches:
+            sets = list(_domain(often, [batch]))
+            n, held = np.array([k for _, k, _ in sets], np.int64), np.array([len(f) for *_, f in sets], np.int64)
+            yield batch.select([0]).filter(pa.array(instances.uncovered(n, held) if len(n) else [], pa.bool_()))
+    return run
+
+
+def _frequent(sets: DataFrame, labels: DataFrame) -> np.ndarray:
+    """Features of several sets of a bounded sample, one set a component, ascending; at most ``FREQUENT``."""
+    one = sets.select("name").join(labels, sets.name == labels.node, "left").groupBy(F.coalesce("root", "name")).agg(F.min("name").alias("name"))
+    one = reliable_checkpoint(one.select("name"))
+    sample = sets.join(some_rows(one, one.count(), SAMPLE), "name", "left_semi")
+
+    def run(batches):
+        for batch in batches:
+            for blob in batch.column(0).to_pylist():
+                yield pa.record_batch([pa.array(np.frombuffer(blob, np.int64))], names=["feature"])
+
+    found = sample.select("features").mapInArrow(run, "feature long").groupBy("feature").count().where(F.col("count") >= OFTEN)
+    top = found.orderBy(F.desc("count"), "feature").limit(FREQUENT).select("feature").toArrow().column(0)
+    return np.sort(top.to_numpy().view(np.uint64))
+
+
 def _split(met: DataFrame) -> tuple[DataFrame, DataFrame]:
-    return reliable_checkpoint(met.where("grp IS NULL").select("a", "b").distinct()), met.where("grp IS NOT NULL")
+    """(candidate pairs that share enough signatures, members of larger groups)."""
+    pairs = met.where("grp IS NULL").groupBy("a", "b").agg(F.sum("hits").alias("hits"), F.max("least").alias("least"))
+    return reliable_checkpoint(pairs.where("hits >= least").select("a", "b")), met.where("grp IS NOT NULL")
 
 
 def near_sets(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -73,9 +73,10 @@ def test_links_at_the_bound_and_chains(spark):
     assert found(partenum.near_sets(frame(spark, rows), size=3, percent=60)) == brute(rows, 60, 3)
 
 
-@pytest.mark.parametrize("limit, block", [(256, 256), (2, 3)])
-def test_common_passages_split_no_link(spark, monkeypatch, limit, block):
+@pytest.mark.parametrize("limit, block, often", [(256, 256, 4), (2, 3, 4), (2, 3, 2)])
+def test_common_passages_split_no_link(spark, monkeypatch, limit, block, often):
     """Many texts share most of their words with each other, few are near: groups go on to the last level."""
+    monkeypatch.setattr(partenum, "OFTEN", often)
     monkeypatch.setattr(partenum, "SMALL", 2)
     monkeypatch.setattr(partenum, "LIMIT", limit)
     monkeypatch.setattr(partenum, "BLOCK", block)
@@ -106,5 +107,13 @@ def test_similar_sets_share_a_signature(level):
             both = len(np.intersect1d(a, b))
             if not len(b) or both in (len(a), len(b)) == (True, True) or 100 * both < percent * (len(a) + len(b) - both) or np.array_equal(a, b):
                 continue
-            of, key = instances.signatures(np.array([len(a), len(b)]), np.concatenate([a, b]))
-            assert np.intersect1d(key[of == 0], key[of == 1]).size
+            n = np.array([len(a), len(b)])
+            of, key, (own, above) = instances.signatures(n, np.concatenate([a, b]))
+            shared = np.intersect1d(key[of == 0], key[of == 1]).size
+            assert shared >= max(1, instances.least(n, own, above, np.array([0]), np.array([1]))[0])
+            sets = [x[x % np.uint64(3) > 0] for x in (a, b)]                 # a part of the domain
+            held = np.array([len(x) for x in sets])
+            of, key, (own, above) = instances.signatures(n, np.concatenate(sets), held)
+            shared = np.intersect1d(key[of == 0], key[of == 1]).size
+            least = instances.least(n, own, above, np.array([0]), np.array([1]))[0]
+            assert shared >= max(least, not instances.uncovered(n, held).all())
