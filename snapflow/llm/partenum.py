@@ -23,6 +23,7 @@ keeps its row and names a component only if no other id is there; repeated rows
 
 from __future__ import annotations
 
+import gc
 from itertools import combinations, repeat
 
 import numpy as np
@@ -41,8 +42,9 @@ LEVELS = ((1, 3, False), (1, 3, True), (2, 5, False), (3, 7, False))
 #: Sets sampled to find frequent features, occurrences there that make one frequent, frequent features at most.
 SAMPLE, OFTEN, FREQUENT = 10_000, 4, 1_000_000
 #: Signatures of a part, sets of a group that gives all pairs at once, sets of a group that goes on to the next level, sets
-#: of a block, pairs that a task compares with one set, bytes of a signature within its part.
-PART, SMALL, LIMIT, BLOCK, STAR, WIDTH = 4_000_000, 8, 256, 256, 2000, 5
+#: of a block, pairs that a task compares with one set, bytes of a signature within its part; parts at least, so that the rows
+#: of a set, one a part, do not grow with the table before they reach its signatures.
+PART, SMALL, LIMIT, BLOCK, STAR, WIDTH, PARTS = 2_000_000, 8, 256, 256, 2000, 5, 64
 _CHUNK, _MOST = 400_000, 4095                           # features that are signed at a time; partitions that are counted on
 
 
@@ -186,7 +188,7 @@ def _signed(sets, instances: Instances, parts: int):
 
 def _parts(rows: DataFrame, instances: Instances) -> int:
     total = rows.agg(F.sum("n")).first()[0] or 0
-    return max(rows.sparkSession.sparkContext.defaultParallelism, int(total * instances.load()) // PART + 1)
+    return max(PARTS, int(total * instances.load()) // PART + 1)
 
 
 MET = "grp long, a long, b long, hits long, least long"
@@ -390,9 +392,11 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: in
         yield from _signed(sets(), instances, parts)
 
     met = reliable_checkpoint(_meet(docs.select("text").mapInArrow(sign, ENTRIES), parts, instances))
+    _let_go(spark)
     pairs, groups = _split(met)
     wanted = pairs.select("a").union(pairs.select("b")).union(groups.select("a")).distinct()
     sets = reliable_checkpoint(_sets(docs, classes.join(wanted, classes.name == wanted.a, "left_semi"), size, seed))
+    _let_go(spark)
     found = reliable_checkpoint(_verified(pairs, sets, percent))
     names = None
     for level in range(len(LEVELS)):
@@ -413,12 +417,20 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: in
         names = again.select("name", "n", "features").mapInArrow(_uncovered(instances, often), "name long") if len(often.value) else None
         parts = _parts(again, instances)
         spread = again.select("name", "n", "features").repartition(partitions(again))
+        _let_go(spark)
         met = reliable_checkpoint(_meet(spread.mapInArrow(_resigned(instances, often, parts), ENTRIES), parts, instances))
         pairs, groups = _split(met)
         found = reliable_checkpoint(found.union(_verified(pairs, sets, percent)))
     raise AssertionError("the last level returns")
 
 
+def _let_go(spark) -> None:
+    """Let Spark's cleaner delete the shuffle files of steps whose results are checkpointed: it learns from the collectors
+    that nobody holds them any more."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _domain(often, batches):
     """(name, n, features in the domain) of (name, n, features)."""
     out = often.value
