@@ -1,14 +1,17 @@
 """Personal data and secrets replaced by keyed surrogates; DataFrame functions only.
 
-Detected are e-mail addresses, phone numbers, IPv4 addresses, payment cards (valid check digit), US social security
-numbers, cloud access keys, hexadecimal secrets, values after a password-like word, and persons named after a form of
-address (then also their bare names in the same text). Everything is compared in a normal form (digits of numbers, lower
-case of addresses, each name by itself), so other spellings of one thing get one surrogate, in all texts.
+Detected are e-mail addresses, phone numbers, IPv4 and IPv6 addresses, payment cards (first digits of an issuer, valid
+check digit), bank accounts (IBAN, valid check number), US social security numbers, cloud and repository access keys,
+hexadecimal secrets, values after a password-like word (with a digit; without one from 8 characters if they change from
+lower to upper case or hold a symbol, else from 16), and persons named after a form of address or a doctor's title (then
+also their bare names in the same text). Everything is compared in a normal form (digits of numbers, lower case of
+addresses, each name by itself), so other spellings of one thing get one surrogate, in all texts.
 
 A surrogate is a keyed hash written in the form of what it replaces: same length, separators and classes of characters,
-country code, key prefix, card check digit, script of a name, and a name's gender by its form of address. Surrogates are
-checked against each other and against all detected originals of their kind: of several originals with one candidate the
-least keeps it, the others try again with the next attempt's hash, and from the 16th attempt with one more character.
+country code, key prefix, check digits, script of a name, and a name's gender by its form of address (a title without
+gender: a name of either). Surrogates are checked against each other and against all detected originals of their kind: of
+several originals with one candidate the least keeps it, the others try again with the next attempt's hash, from the 16th
+attempt with one character more at each: room grows tenfold an attempt, so any number of originals comes to an end.
 So different originals always get different surrogates, and no surrogate is an original.
 
 Texts that hold nothing stay as they are (null stays null). Equal texts are worked on once. Values join their surrogates
@@ -18,39 +21,56 @@ alone, which adaptive execution splits.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from snapflow.session import reliable_checkpoint
 
-ATTEMPTS = 64
+#: Attempts in the form of the original; each later one adds a character.
+PLAIN_ATTEMPTS = 16
 
 # Detection patterns and forms of address. Fixed values.
 _OCTET = r"(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
-EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9-])"
+_LETTER = r"\u00C0-\u024F\u0370-\u1FFF"
+EMAIL = (rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{{1,64}}+@(?:[A-Za-z0-9{_LETTER}-]{{1,63}}\.){{1,8}}"
+         rf"(?:[A-Za-z]{{2,24}}|[{_LETTER}]{{2,24}})(?![A-Za-z0-9-])")
 IPV4 = rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?[0-9])"
-KEY = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])"
+_GROUP = "[0-9A-Fa-f]{1,4}"
+IPV6 = (rf"(?<![0-9A-Za-z:])(?=[A-Fa-f:]*[0-9])(?:(?:{_GROUP}:){{7}}{_GROUP}|(?:{_GROUP}:){{1,6}}(?::{_GROUP}){{1,6}})"
+        r"(?![0-9A-Za-z:])")
+KEY = r"(?<![A-Za-z0-9])(?:A(?:KIA|SIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}+)(?![A-Za-z0-9])"
+_KEY_PREFIX = "^(?:A(?:KIA|SIA)|gh[pousr]_)"
+IBAN = (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}| [A-Z0-9]{4}(?: (?=[A-Z]{0,3}[0-9])[A-Z0-9]{4}){1,6}"
+        r"(?: (?=[A-Z]{0,2}[0-9])[A-Z0-9]{1,3})?)(?![A-Za-z0-9])")
 SSN = r"(?<![A-Za-z0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])"
-CARD = r"(?<![A-Za-z0-9])(?:(?:[0-9]{4}[ -]?){3}[0-9]{4}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![A-Za-z0-9])"
+CARD = (r"(?<![A-Za-z0-9])(?:(?:4[0-9]{3}|5[0-8][0-9]{2}|2[2-7][0-9]{2}|35[0-9]{2}|6(?:011|2[0-9]{2}|4[4-9][0-9]|5[0-9]{2}))"
+        r"(?:[ -]?[0-9]{4}){3}|3[47][0-9]{2}[ -]?[0-9]{6}[ -]?[0-9]{5})(?![A-Za-z0-9])")
 PHONE = (r"(?<![A-Za-z0-9+])(?:(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ .-]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}"
          r"|\+[0-9]{1,3}(?:[ .-][0-9]{2,4}){2,5}|\+[1-9][0-9]{0,2}[ .-]?[0-9]{6,12})(?![A-Za-z0-9])")
 HEX = r"(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])"
-SECRET = (r"(?<![A-Za-z0-9_])(?i:password|passwd|pwd|secret|api_?key|access_?token|token)[\"']?[ ]?[=:][ ]?[\"']?"
-          r"(?=[^\s\"',;]*[0-9])[^\s\"',;]{4,}+")
-_SECRET_PREFIX = r"^(?i:password|passwd|pwd|secret|api_?key|access_?token|token)[\"']?[ ]?[=:][ ]?[\"']?"
+_WORDS = r"(?i:password|passwd|pwd|secret|api_?key|access_?token|token)"
+SECRET = (rf"(?<![A-Za-z0-9_]){_WORDS}[\"']?[ ]?[=:][ ]?[\"']?"
+          r"(?:(?=[^\s\"',;]*[0-9])|(?=[^\s\"',;]{16})|(?=[^\s\"',;]{8})(?=[^\s\"',;]*(?:[a-z][A-Z]|[!@#$%^&*+~])))[^\s\"',;]{4,}+")
+_SECRET_PREFIX = rf"^{_WORDS}[\"']?[ ]?[=:][ ]?[\"']?"
 MALE = ["Mister", "Mr", "Herr", "Monsieur", "Señor", "Sr", "господин", "г-н", "κύριος", "Κύριος"]
 FEMALE = ["Mrs", "Miss", "Ms", "Frau", "Madame", "Mme", "Señora", "Sra", "госпожа", "г-жа", "κυρία", "Κυρία"]
+NEUTRAL = ["Dr", "Prof", "Professor", "д-р", "Δρ"]
 _NAME = r"\p{Lu}[\p{L}'’-]{0,40}\p{L}"
-PERSON = rf"(?<![\p{{L}}\p{{N}}])((?:{'|'.join(sorted(MALE + FEMALE, key=len, reverse=True))})\.?[  ])({_NAME})(?: ({_NAME}))?"
-NUMBERED = "|".join([SECRET, EMAIL, IPV4, KEY, SSN, CARD, PHONE, HEX])
+PERSON = rf"(?<![\p{{L}}\p{{N}}])((?:{'|'.join(sorted(MALE + FEMALE + NEUTRAL, key=len, reverse=True))})\.?[  ])({_NAME})(?: ({_NAME}))?"
+NUMBERED = "|".join([SECRET, EMAIL, IPV4, IPV6, KEY, IBAN, SSN, CARD, PHONE, HEX])
+#: What every text with a match of ``NUMBERED`` holds.
+_MARK = "[0-9@]|(?i:passw|pwd|secret|key|token)"
 BASE = f"{NUMBERED}|{PERSON}"
 
-# Syllables that names are built of, by script: first, middle, last of given names (male, female) and of family names.
+# Syllables that names are built of, by script: first, middle, last of given names (male, female) and of family names
+# (male, female), and for Latin of given names of either gender.
 # Fixed values.
 _SYLLABLES = {
     "Latin": ("Al Be Ca Da El Fa Ga He Jo Ka Le Ma Ni Ro Sa Ta".split(), "la ri ne do mi va re lo na ti be ra ni so ve da".split(),
               "o an us er en is in ard".split(), "a ia ine elle ina ette is ora".split(), "ner mann son ley ez eau ini well".split(),
-              "ner mann son ley ez eau ini well".split()),
+              "ner mann son ley ez eau ini well".split(), "is en ar ey lin ian".split()),
     "Cyrillic": ("Ал Бе Ва Да Ели Га Ми Ни Ро Са Та Ма Ла Ка Ве Се".split(), "ла ри не до ми ва ре ло на ти бе ра ни со ве да".split(),
                  "н р й л с к м т".split(), "на ра я ла са ка ма та".split(), "нов ров лин ков тин сов мин бов".split(),
                  "нова рова лина кова тина сова мина бова".split()),
@@ -65,11 +85,16 @@ def _once(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+def _extra(attempt: int) -> int:
+    """Characters that an attempt adds."""
+    return max(0, attempt - PLAIN_ATTEMPTS + 1)
+
+
 def _bytes(key: str, kind: Column, norm: Column, attempt: int) -> Column:
-    """A stream of hash bytes for a value, in hexadecimal blocks of 64: one byte a character and some to spare."""
+    """A stream of hash bytes for a value, in hexadecimal blocks of 64: one byte a character, added ones too, and some to spare."""
     seed = F.concat_ws("\x1f", F.lit(key), kind, norm, F.lit(str(attempt)))
     seed = F.when(F.length(norm) > 128, F.sha2(seed, 512)).otherwise(seed)     # a long value is hashed once, not by block
-    blocks = F.sequence(F.lit(0), F.floor((F.length(norm) + 16) / 64).cast("int"))
+    blocks = F.sequence(F.lit(0), F.floor((F.length(norm) + 16 + _extra(attempt)) / 64).cast("int"))
     return _once(seed, lambda x: F.transform(blocks, lambda j: F.sha2(F.concat(x, F.lit("\x1f"), j.cast("string")), 512)))
 
 
@@ -101,6 +126,13 @@ def luhn(digits: Column) -> Column:
     return F.aggregate(F.transform(F.split(digits, ""), one), F.lit(0), lambda a, x: a + x) % 10
 
 
+def iban_rest(v: Column) -> Column:
+    """The check number (1 if valid) of a bank account number without blanks."""
+    moved = F.split(F.concat(F.substring(v, F.lit(5), F.length(v)), F.left(v, F.lit(4))), "")
+    return F.aggregate(F.transform(moved, lambda c: F.conv(c, 36, 10).cast("int")), F.lit(0),
+                       lambda a, x: (a * F.when(x > 9, 100).otherwise(10) + x) % 97)
+
+
 def _name(script: str, end: int, stream: Column, attempt: int) -> Column:
     first, middle = _SYLLABLES[script][:2]
     last = _SYLLABLES[script][end]
@@ -108,7 +140,7 @@ def _name(script: str, end: int, stream: Column, attempt: int) -> Column:
     def choose(items: list[str], i: int) -> Column:
         b = _byte(stream, F.lit(2 * i)) * 256 + _byte(stream, F.lit(2 * i + 1))
         return F.element_at(F.array(*map(F.lit, items)), (b % len(items) + 1).cast("int"))
-    return F.concat(choose(first, 0), *(choose(middle, 2 + i) for i in range(1 + attempt // 4)), choose(last, 1))
+    return F.concat(choose(first, 0), *(choose(middle, 2 + i) for i in range(min(1 + attempt // 4, 25))), choose(last, 1))
 
 
 def _candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
@@ -117,7 +149,7 @@ def _candidate(key: str, kind: Column, norm: Column, attempt: int) -> Column:
 
 
 def _surrogate(s: Column, kind: Column, norm: Column, attempt: int) -> Column:
-    extra = attempt // 16
+    extra = _extra(attempt)
     more = F.concat(*(_pick("0123456789", _byte(s, F.length(norm) + i)) for i in range(extra))) if extra else F.lit("")
     host = F.substring_index(norm, "@", -1)
     labels = F.split(host, r"\.")
@@ -129,18 +161,23 @@ def _surrogate(s: Column, kind: Column, norm: Column, attempt: int) -> Column:
     body = F.concat(F.left(norm, F.lit(1)), _like(F.substring(norm, F.lit(2), F.length(norm) - 2), s), more)
     check = (F.lit(10) - luhn(F.concat(body, F.lit("0")))) % 10
     letters = F.lit("0123456789abcdef")
-    hexed = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.substring(letters, _byte(s, i) % 16 + 1, F.lit(1))), "")
-    out = (F.when(kind == "email", email).when(kind == "ip", octets)
+    hexed = F.array_join(F.transform(F.split(norm, ""), lambda c, i: F.when(c == ":", c).otherwise(
+        F.substring(letters, _byte(s, i) % 16 + 1, F.lit(1)))), "")
+    prefix = F.regexp_extract(norm, _KEY_PREFIX, 0)
+    account = F.concat(_like(F.substring(norm, F.lit(5), F.length(norm)), s), more)
+    number = F.lpad((F.lit(98) - iban_rest(F.concat(F.left(norm, F.lit(2)), F.lit("00"), account))).cast("string"), 2, "0")
+    out = (F.when(kind == "email", email).when(kind == "ip", F.concat_ws(".", octets, more) if extra else octets)
            .when(kind.isin("phone", "ssn"), F.concat(_like(norm, s, "23456789"), more))
            .when(kind == "card", F.concat(body, check.cast("string")))
-           .when(kind == "key", F.concat(F.lit("AKIA"), _like(F.substring(norm, F.lit(5), F.length(norm)), s), more))
-           .when((kind == "hex") | norm.rlike("^[0-9a-f]+$") & (kind == "secret"), F.concat(hexed, more))
+           .when(kind == "key", F.concat(prefix, _like(F.substring(norm, F.length(prefix) + 1, F.length(norm)), s), more))
+           .when(kind == "iban", F.concat(F.left(norm, F.lit(2)), number, account))
+           .when(kind.isin("hex", "ip6") | norm.rlike("^[0-9a-f]+$") & (kind == "secret"), F.concat(hexed, more))
            .when(kind == "secret", F.concat(_like(norm, s), more)))
     for script in _SYLLABLES:
         for g, gender in enumerate(("male", "female")):
             out = out.when(kind == f"given {gender} {script}", _name(script, 2 + g, s, attempt))
             out = out.when(kind == f"family {gender} {script}", _name(script, 4 + g, s, attempt))
-    return out
+    return out.when(kind == "given neutral Latin", _name("Latin", 6, s, attempt))
 
 
 def surrogates(values: DataFrame, key: str) -> DataFrame:
@@ -148,7 +185,7 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
     todo = values = reliable_checkpoint(values.select("kind", "norm").distinct())
     done = None
     taken = values.select(F.col("kind").alias("k"), F.col("norm").alias("s"))
-    for attempt in range(ATTEMPTS):
+    for attempt in itertools.count():
         tried = todo.withColumn("surrogate", _candidate(key, F.col("kind"), F.col("norm"), attempt))
         free = tried.join(taken, (F.col("kind") == F.col("k")) & (F.col("surrogate") == F.col("s")), "left_anti")
         first = Window.partitionBy("kind", "surrogate").orderBy("norm")
@@ -158,7 +195,6 @@ def surrogates(values: DataFrame, key: str) -> DataFrame:
         if todo.isEmpty():
             return done
         taken = taken.union(won.select("kind", "surrogate"))
-    raise ValueError(f"values without a surrogate after {ATTEMPTS} attempts: a kind has more values than its form allows")
 
 
 def _digits(v: Column) -> Column:
@@ -166,7 +202,7 @@ def _digits(v: Column) -> Column:
 
 
 def _norm(kind: Column, v: Column) -> Column:
-    return (F.when(kind == "email", F.lower(v)).when(kind == "phone", F.right(_digits(v), F.greatest(F.lit(10), F.length(_digits(v)) - 3)))
+    return (F.when(kind.isin("email", "ip6"), F.lower(v)).when(kind == "iban", F.replace(v, F.lit(" "), F.lit(""))).when(kind == "phone", F.right(_digits(v), F.greatest(F.lit(10), F.length(_digits(v)) - 3)))
             .when(kind.isin("card", "ssn"), _digits(v)).when(kind.startswith("given") | kind.startswith("family"), F.initcap(F.lower(v)))
             .otherwise(v))
 
@@ -180,15 +216,20 @@ def _written(kind: Column, v: Column, s: Column) -> Column:
         nth = F.length(_digits(F.substring(v, F.lit(1), i + 1))) - skip
         return F.when(c.rlike("[0-9]") & (nth > 0), F.substring(s, nth, F.lit(1))).otherwise(c)
     numbered = F.concat(F.array_join(F.transform(F.split(v, ""), one), ""), F.substring(s, F.length(_norm(kind, v)) + 1, F.lit(99)))
-    shout = (v == F.upper(v)) & (F.length(v) > 1) & (kind.startswith("given") | kind.startswith("family") | (kind == "email"))
-    return F.when(kind.isin("phone", "card", "ssn"), numbered).when(shout, F.upper(s)).otherwise(s)
+    shout = (v == F.upper(v)) & (F.length(v) > 1) & (kind.startswith("given") | kind.startswith("family") | kind.isin("email", "ip6"))
+    account = F.concat(F.array_join(F.transform(F.split(v, ""), lambda c, i: F.when(c == " ", c).otherwise(
+        F.substring(s, F.length(F.replace(F.substring(v, F.lit(1), i + 1), F.lit(" "), F.lit(""))), F.lit(1)))), ""),
+        F.substring(s, F.length(_norm(kind, v)) + 1, F.lit(99)))
+    return F.when(kind == "iban", account).when(kind.isin("phone", "card", "ssn"), numbered).when(shout, F.upper(s)).otherwise(s)
 
 
 def _people(t: Column) -> Column:
     """(name, kind) of the persons' names in a text."""
     def names(title: Column, one: Column, two: Column) -> Column:
-        gender = F.when(F.regexp_replace(title, r"[.\s ]", "").isin(*FEMALE), F.lit("female")).otherwise(F.lit("male"))
         script = F.when(one.rlike(r"^\p{IsCyrillic}"), F.lit("Cyrillic")).when(one.rlike(r"^\p{IsGreek}"), F.lit("Greek")).otherwise(F.lit("Latin"))
+        bare = F.regexp_replace(title, r"[.\s ]", "")
+        gender = (F.when(bare.isin(*FEMALE), "female").when(~bare.isin(*NEUTRAL), "male").when(script == "Latin", "neutral")
+                  .when((script == "Cyrillic") & one.rlike("[ая]$") | (script == "Greek") & ~one.rlike("ς$"), "female").otherwise("male"))
         # family names differ by gender in some scripts only
         of = F.when(script == "Latin", F.lit("male")).otherwise(gender)
         family = F.when(two == "", one).otherwise(two)
@@ -214,11 +255,14 @@ def _parts(v: Column, people: Column) -> Column:
     person = F.when(two == "", F.array(part(None, title), name(one))).otherwise(
         F.array(part(None, title), name(one), part(None, F.lit(" ")), name(two)))
     prefix = F.regexp_extract(v, _SECRET_PREFIX, 0)
-    return (F.when(prefix != "", F.array(part(None, prefix), part("secret", F.substring(v, F.length(prefix) + 1, F.length(v)))))
+    value = F.substring(v, F.length(prefix) + 1, F.length(v))
+    account = F.when(iban_rest(F.replace(v, F.lit(" "), F.lit(""))) == 1, whole("iban")).otherwise(F.array(part(None, v)))
+    return (F.when(prefix != "", F.array(part(None, prefix), part(F.when(value.rlike(rf"^(?:{KEY})$"), "key").when(value.rlike(rf"^(?:{HEX})$"), "hex").otherwise("secret"), value)))
             .when(title != "", person)
             .when(F.exists(people, lambda x: x["name"] == v), F.array(name(v)))
             .when(v.contains("@"), whole("email")).when(v.rlike(rf"^(?:{IPV4})$"), whole("ip"))
-            .when(v.rlike(rf"^(?:{KEY})$"), whole("key")).when(v.rlike(rf"^(?:{SSN})$"), whole("ssn"))
+            .when(v.rlike(rf"^(?:{IPV6})$"), whole("ip6"))
+            .when(v.rlike(rf"^(?:{KEY})$"), whole("key")).when(v.rlike(rf"^(?:{IBAN})$"), account).when(v.rlike(rf"^(?:{SSN})$"), whole("ssn"))
             .when(v.rlike(rf"^(?:{CARD})$"), F.when(luhn(_digits(v)) == 0, whole("card")).otherwise(F.array(part(None, v))))
             .when(v.rlike(rf"^(?:{HEX})$"), whole("hex")).otherwise(whole("phone")))
 
@@ -227,7 +271,7 @@ def replace(docs: DataFrame, key: str, text_col: str = "text") -> DataFrame:
     """(``row``: the whole input row with its text replaced, ``n_entities``: values replaced in it)."""
     text = F.col("t")
     base = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("t"))
-    found = F.coalesce((text.rlike("[0-9@]") & text.rlike(NUMBERED)) | text.rlike(PERSON), F.lit(False))
+    found = F.coalesce((text.rlike(_MARK) & text.rlike(NUMBERED)) | text.rlike(PERSON), F.lit(False))
     texts = reliable_checkpoint(base.where(found).select(F.sha2("t", 256).alias("id"), "t").dropDuplicates(["id"]))
     people = texts.select("id", "t", F.when(text.rlike(PERSON), _people(text)).otherwise(
         F.array().cast("array<struct<name:string,kind:string>>")).alias("people"))
