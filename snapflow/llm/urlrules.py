@@ -8,7 +8,8 @@ open; on each level the rules' paths are nested prefixes, found by bisection.
 
 A rule fits its host and all subdomains if the url's path starts with the rule's path. The longest rule
 (host and path together) wins, the longer host among equals, then block. No rule fits: the default verdict.
-Rules are broadcast in groups of at most ``GROUP_RULES``, one sorted pass for all of them.
+Rules are broadcast in groups of about ``GROUP_RULES``, dealt by host and path, so that a host of many rules is spread over
+them; a task prepares each group once, and one sorted pass serves all.
 
 Null urls and urls without ``://`` have an empty host and path; rules without host are ignored, a null rule
 path is empty (any path). Repeated pages keep their rows.
@@ -115,7 +116,7 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     groups = max(1, -(-known.count() // GROUP_RULES))
     parts = []
     for g in range(groups):
-        part = known.where(F.pmod(F.xxhash64("key"), F.lit(groups)) == g)
+        part = known.where(F.pmod(F.xxhash64("key", "path"), F.lit(groups)) == g)
         parts.append(spark.sparkContext.broadcast([tuple(r) for r in part.collect()]))
     url = F.col(url_col)
     rows = pages.select(F.col(id_col).cast("long").alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
@@ -123,12 +124,11 @@ def judge(pages: DataFrame, rules: DataFrame, default: str = "allow", id_col: st
     rows = rows.repartitionByRange(partitions(pages), "key", "path", "id").sortWithinPartitions("key")
 
     def run(batches):
-        only = _Sweep(parts[0].value) if len(parts) == 1 else None
+        sweeps = [_Sweep(part.value) for part in parts]
         for batch in batches:
             where = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
             best = [NONE] * batch.num_rows
-            for part in parts:
-                sweep = only or _Sweep(part.value)
+            for sweep in sweeps:
                 best = [max(old, sweep.best(*w), key=lambda x: x[0]) for old, w in zip(best, where, strict=True)]
             yield pa.record_batch([
                 batch.column(3), batch.column(2), batch.column(1), pa.array([b[1] for b in best], pa.string()),
