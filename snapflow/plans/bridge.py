@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from snapflow.functions.scalars import safe_ratio, tier
-from snapflow.session import ensure_parallelism
+from snapflow.session import deal_rows
 from snapflow.operators.metrics import POPULARITY_DEFAULT, POPULARITY_TIERS, USAGE_DEFAULT, USAGE_TIERS
 
 ISO_Z = "yyyy-MM-dd'T'HH:mm:ss'Z'"
@@ -51,7 +51,7 @@ def repo_documents(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """``(extracted_at, repo_name, raw_data)`` landing rows, one per event (plus ``keep``)."""
     m = F.col("event_id") % 10
     k = F.get_json_object("props", "$.k").cast("bigint")
-    e = ensure_parallelism(events).select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"),
+    e = deal_rows(events, "event_id", "ts", "user_id").select("event_id", "ts", "user_id", "event_type", "value", k.alias("k"),
                                           m.alias("m"))
     ts_iso = F.date_format("ts", ISO_Z)
     rest = F.to_json(F.struct(
@@ -121,7 +121,7 @@ def package_documents(orders: DataFrame) -> DataFrame:
         F.concat(F.lit("pkg-"), ok.cast("string"), F.lit(".whl")).alias("filename"),
     )))
     field = F.concat(F.lit('"latest_release_info":'), release_info, F.lit(","))
-    return ensure_parallelism(orders).select(
+    return deal_rows(orders, "o_orderkey", "o_custkey", "o_orderdate").select(
         F.col("o_orderdate").cast("timestamp_ntz").alias("extracted_at"),
         F.concat(F.lit("P"), cust).alias("package_name"),
         _prepend(info, field).alias("raw_data"),

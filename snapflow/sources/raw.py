@@ -27,6 +27,8 @@ log = logging.getLogger(__name__)
 
 #: Partition column of a landing folder by day, and what it says of its rows.
 OUTCOME, LOADED, REJECTED, DAY = "outcome", "loaded", "rejected", "load_date"
+#: Files that a task of a write by day keeps open, so that a batch of one or two days isn't sorted by folder.
+WRITERS = 4
 
 
 def landing_path(spark: SparkSession, source: str) -> str:
@@ -76,10 +78,14 @@ def is_loadable(v: Column) -> Column:
 
 
 def reject_reason(doc: Column, v: Column) -> Column:
-    """Why a document (text, and parsed) doesn't load; null for one that does."""
-    size = F.size(F.try_variant_get(v, "$", "map<string,variant>"))
-    return (F.when(doc.isNull(), "no document").when(v.isNull(), "not JSON").when(F.coalesce(size, F.lit(-1)) < 0, "not an object")
-            .when(size == 0, "empty object"))
+    """Why a document (text, and parsed) doesn't load; null for one that does.
+
+    What ``is_loadable`` says, without a map of every field of the document: only an object can be read as a struct, and
+    the text of one without fields shows it (it has been parsed, so its first brace opens the object).
+    """
+    is_object = F.try_variant_get(v, "$", "struct<_:variant>").isNotNull()
+    return (F.when(doc.isNull(), "no document").when(v.isNull(), "not JSON").when(~is_object, "not an object")
+            .when(doc.rlike(r"^[^{]*\{\s*\}"), "empty object"))
 
 
 def prepare_landing(df: DataFrame, key: str, doc_col: str, loaded_at, as_variant: bool = False) -> DataFrame:
@@ -126,7 +132,13 @@ def land_raw(df: DataFrame, key: str, doc_col: str, target: str, loaded_at,
     if by_day:
         rows = _sorted_out(counted, key, doc_col, loaded_at, as_variant)
         rows = rows.observe(obs_out, F.count_if(F.col(OUTCOME) == LOADED).alias("n"))
-        rows.write.mode("append").format(fmt).partitionBy(OUTCOME, DAY).save(target)
+        conf, name = df.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+        before = conf.get(name)
+        conf.set(name, str(max(int(before), WRITERS)))       # a session setting, no write option
+        try:
+            rows.write.mode("append").format(fmt).partitionBy(OUTCOME, DAY).save(target)
+        finally:
+            conf.set(name, before)
     else:
         rows = prepare_landing(counted, key, doc_col, loaded_at, as_variant=as_variant).observe(
             obs_out, F.count(F.lit(1)).alias("n"))

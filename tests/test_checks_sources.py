@@ -114,3 +114,23 @@ def test_landing_by_day_keeps_rejected_documents(spark):
     land_raw(spark.createDataFrame(docs[1:3], "repo_name string, doc string"), "repo_name", "doc", f"{root}/bad", T(2024, 1, 1), by_day=True)
     assert read_raw(spark, f"{root}/bad", "repo_name").count() == 0 and read_rejected(spark, f"{root}/bad", "repo_name").count() == 2
     stream_latest(spark, landing_path(spark, f"{root}/bad"), "repo_name", f"{root}/o", f"{root}/c", stage_repos, tiebreak=None).awaitTermination()
+
+
+def test_landing_by_day_opens_few_files_and_holds_more(spark, monkeypatch):
+    """Reasons say what ``is_loadable`` says; a batch of more folders than files kept open lands whole; the setting goes back."""
+    from pyspark.sql import DataFrameWriter
+    from pyspark.sql import functions as F
+    from snapflow.sources.raw import is_loadable, read_rejected, reject_reason
+    docs = ["{}", " { } ", "\n{\t}\r\n", "[{}]", "[]", "null", '"{}"', "1", "x", "", None, '{"a":{}}', '{"_":null}', '{"a":null}', ' {"": 1}']
+    df = spark.createDataFrame([(f"k{i}", d, dt.datetime(2024, 1, 1 + i)) for i, d in enumerate(docs)], "repo_name string, doc string, at timestamp_ntz")
+    v = F.try_parse_json("doc")
+    said = df.select(reject_reason(F.col("doc"), v).alias("why"), is_loadable(v).alias("fine")).collect()
+    assert [r["why"] is None for r in said] == [r["fine"] for r in said]
+    assert [r["why"] for r in said] == ["empty object"] * 3 + ["not an object"] * 5 + ["not JSON"] * 2 + ["no document"] + [None] * 4
+    name, seen, save = "spark.sql.maxConcurrentOutputFileWriters", [], DataFrameWriter.save
+    monkeypatch.setattr(DataFrameWriter, "save", lambda self, *a, **k: (seen.append(int(spark.conf.get(name))), save(self, *a, **k))[1])
+    before = spark.conf.get(name)
+    target = tempfile.mkdtemp(prefix="land-", dir=os.environ.get("TMPDIR", "/tmp")) + "/t"
+    land_raw(df.coalesce(1), "repo_name", "doc", target, F.col("at"), by_day=True)
+    assert seen and seen[0] > 0 and spark.conf.get(name) == before       # no sort of whole documents by folder
+    assert read_raw(spark, target, "repo_name").count() == 4 and read_rejected(spark, target, "repo_name").count() == 11

@@ -2,7 +2,10 @@ import datetime as dt
 import os
 import tempfile
 
-from snapflow.session import ensure_parallelism, reliable_checkpoint, storage_root
+from pyspark.sql import functions as F
+
+from snapflow.plans import bridge as B
+from snapflow.session import deal_rows, ensure_parallelism, reliable_checkpoint, storage_root
 from snapflow.sources.sinks import as_view, write_table
 
 
@@ -16,6 +19,29 @@ def test_ensure_parallelism_spreads_only_narrow_inputs(spark):
     assert ensure_parallelism(wide) is wide
 
 
+def test_documents_are_dealt_by_rows_not_by_row_groups(spark):
+    """All rows in one row group, the file in more splits than cores: one task reads them, every task builds documents."""
+    path = tempfile.mkdtemp(prefix="deal-", dir=os.environ.get("TMPDIR", "/tmp")) + "/events.parquet"
+    eid = F.col("id")
+    (spark.range(300_000).coalesce(1).select(
+        eid.alias("event_id"), F.timestamp_seconds(eid).alias("ts"), (eid % 97).alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(1.0).alias("value"), F.concat(F.lit('{"k":'), (eid % 11).cast("string"), F.lit("}")).alias("props")).write.parquet(path))
+    name = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "64k")
+    try:
+        events = spark.read.parquet(path)
+        assert events.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        docs = B.repo_documents(events, keep=("event_id",))
+        per_task = [r["n"] for r in docs.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
+        assert sum(per_task) == 300_000 and max(per_task) < 300_000 * 3 / spark.sparkContext.defaultParallelism
+        assert docs.select("event_id").distinct().count() == 300_000
+        few = spark.range(1000)
+        assert deal_rows(few, "id").count() == 1000 and deal_rows(few, "id", rows=100).distinct().count() == 1000
+    finally:
+        spark.conf.set(name, before)
+
+
 def test_write_table_partitioned_and_view(spark):
     path = tempfile.mkdtemp(prefix="sink-", dir=os.environ.get("TMPDIR", "/tmp")) + "/t"
     df = spark.createDataFrame([(dt.date(2024, 1, d % 3 + 1), d) for d in range(30)], "d date, v int")
