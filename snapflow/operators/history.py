@@ -217,16 +217,18 @@ def previous_rows(spark: SparkSession, target: str, key: str = "technology_name"
 
 
 def upsert_with_latest(spark: SparkSession, target: str, rows: DataFrame, keys: Sequence[str] = HISTORY_KEYS,
-                       part: str = "snapshot_date", key: str = "technology_name") -> DataFrame:
+                       part: str = "snapshot_date", key: str = "technology_name", checkpoint: bool = True) -> DataFrame:
     """``upsert`` plus the table of each entity's newest stored row, first date and newest dates.
 
     The next increment reads that small table (``previous_rows``) instead of scanning the
     whole history for every entity's latest row, so a daily run costs O(entities), not
     O(history). New rows win over stored rows of the same date (the merge replaces them).
     A catalog table is bucketed and sorted by entity, so the next increment's join reads it
-    where it lies: only the current metrics are shuffled. Returns the new latest table.
+    where it lies: only the current metrics are shuffled. ``checkpoint=False``: ``rows`` is
+    checkpointed already. Returns the new latest table.
     """
-    rows = reliable_checkpoint(rows)
+    if checkpoint:
+        rows = reliable_checkpoint(rows)
     latest = latest_path(target)
     old = None if sinks.is_stale(spark, latest) else sinks.read_table(spark, latest, {part: DateType()})
     sinks.mark_stale(spark, latest)
@@ -246,10 +248,9 @@ def upsert_with_latest(spark: SparkSession, target: str, rows: DataFrame, keys:
 
 def sync_columns(target: DataFrame, rows: DataFrame) -> DataFrame:
     """Make ``target`` carry exactly the columns of ``rows``: new ones as typed NULLs,
-    dropped ones removed (``on_schema_change='sync_all_columns'``)."""
+    dropped ones removed, others in the type they have there (``on_schema_change='sync_all_columns'``)."""
     have = set(target.columns)
-    sel = [F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
-           for f in rows.schema.fields]
+    sel = [(F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name) for f in rows.schema.fields]
     return target.select(*sel)
 
 

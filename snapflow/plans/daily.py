@@ -95,16 +95,26 @@ def _materialize(spark: SparkSession, df: DataFrame, target: str, partition_by=N
     return read_table(spark, target)
 
 
-def _incremental_latest(spark, cfg, landing, key, stage, tiebreak):
-    """Latest staged rows per key after taking up newly landed files, and the folder that holds them."""
-    name = landing.rstrip("/").rsplit("/", 1)[-1]
-    out, ckpt = cfg.path(f"staging/{name}_latest"), cfg.path(f"_streams/{name}")
-    empty = stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
-    stream_latest(spark, landing_path(spark, landing), key, out, ckpt, stage, tiebreak=tiebreak, doc_type=cfg.doc_type,
-                  buckets=cfg.latest_buckets).awaitTermination()
-    if read_table(spark, out) is None:        # nothing landed yet
-        return empty, out
-    return read_latest(spark, out, schema=empty.schema), out
+def _incremental_latest(spark, cfg, sources):
+    """Per source ``(landing, key, stage, tiebreak)``: the latest staged rows per key after taking up newly landed files,
+    and the folder that holds them. The sources don't depend on each other: their streams run side by side."""
+    names = [landing.rstrip("/").rsplit("/", 1)[-1] for landing, *_ in sources]
+    outs = [cfg.path(f"staging/{name}_latest") for name in names]
+    running = []
+    try:
+        for name, out, (landing, key, stage, tiebreak) in zip(names, outs, sources, strict=True):
+            running.append(stream_latest(spark, landing_path(spark, landing), key, out, cfg.path(f"_streams/{name}"), stage,
+                                         tiebreak=tiebreak, doc_type=cfg.doc_type, buckets=cfg.latest_buckets))
+        for query in running:
+            query.awaitTermination()
+    finally:
+        for query in running:                 # one failed: the other takes up its files in the next run
+            query.stop()
+    found = []
+    for out, (_, key, stage, _) in zip(outs, sources, strict=True):
+        empty = stage(spark.createDataFrame([], landing_schema(key, cfg.doc_type)))
+        found.append((empty if read_table(spark, out) is None else read_latest(spark, out, schema=empty.schema), out))   # None: nothing landed yet
+    return found
 
 
 def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:
@@ -118,9 +128,9 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     checks = [] if cfg.check == "off" else list(cfg.checks)
     counted: list = []                        # reports of staging checks that need no pass of their own
     if cfg.staging == "incremental":
-        stg_r, log_r = _incremental_latest(spark, cfg, cfg.raw_repos, "repo_name", stage_repos, cfg.repo_tiebreak)
-        stg_p, log_p = _incremental_latest(spark, cfg, cfg.raw_packages, "package_name", stage_packages,
-                                           cfg.package_tiebreak)
+        (stg_r, log_r), (stg_p, log_p) = _incremental_latest(spark, cfg, [
+            (cfg.raw_repos, "repo_name", stage_repos, cfg.repo_tiebreak),
+            (cfg.raw_packages, "package_name", stage_packages, cfg.package_tiebreak)])
         for model, out in (("stg_github_repos", log_r), ("stg_pypi_packages", log_p)):
             nn = [c for c in checks if c.model == model and c.check == "not_null"]
             if nn:
@@ -151,7 +161,7 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     fresh = cfg.trends_input == "history" and cfg.retention_days is not None and not sinks.is_stale(spark, trends_target)
     sinks.mark_stale(spark, trends_target)                       # until it has followed the history
     rows = reliable_checkpoint(rows)
-    state = upsert_with_latest(spark, target, rows)
+    state = upsert_with_latest(spark, target, rows, checkpoint=False)
     hist = read_history(spark, target)
     if hist is None:                                             # no rows yet
         hist = spark.createDataFrame([], rows.schema)
