@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from snapflow.operators.checks import (DEFAULT_CHECKS, assert_checks, counted_report, observe_not_null,
                                        observed_report, run_checks)
 from snapflow.operators.dimension import build_dimension
-from snapflow.operators.history import history_rows, previous_rows, read_history, upsert_with_latest
+from snapflow.operators.history import HISTORY_KEYS, history_rows, previous_rows, read_history, upsert_with_latest
 from snapflow.operators.metrics import build_metrics
 from snapflow.operators.staging import stage_packages, stage_repos
 from snapflow.operators.trends import build_trends, look_back_start, read_trends, update_trends, write_trends
@@ -161,7 +161,7 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     fresh = cfg.trends_input == "history" and cfg.retention_days is not None and not sinks.is_stale(spark, trends_target)
     sinks.mark_stale(spark, trends_target)                       # until it has followed the history
     rows = reliable_checkpoint(rows)
-    state = upsert_with_latest(spark, target, rows, checkpoint=False)
+    state = upsert_with_latest(spark, target, rows, HISTORY_KEYS, "snapshot_date", "technology_name", False)
     hist = read_history(spark, target)
     if hist is None:                                             # no rows yet
         hist = spark.createDataFrame([], rows.schema)
