@@ -45,7 +45,9 @@ SAMPLE, OFTEN, FREQUENT = 10_000, 4, 1_000_000
 #: of a block, pairs that a task compares with one set, bytes of a signature within its part; parts at least, so that the rows
 #: of a set, one a part, do not grow with the table before they reach its signatures.
 PART, SMALL, LIMIT, BLOCK, STAR, WIDTH, PARTS = 2_000_000, 8, 256, 256, 2000, 5, 64
-_CHUNK, _MOST = 400_000, 4095                           # features that are signed at a time; partitions that are counted on
+_CHUNK, _MOST = 100_000, 4095                           # features that are signed at a time; partitions that are counted on
+#: Rows that a task holds as Python values at a time, whatever an Arrow batch has; signatures that it sorts at a time, about.
+ROWS, SORTED = 500, 250_000
 
 
 def shingles(text: str | None, size: int, seed: int) -> np.ndarray:
@@ -64,10 +66,17 @@ def _name(features: np.ndarray) -> tuple[int, int]:
     return int(mix64(np.array([one + np.uint64(len(features))]))[0].view(np.int64)), int(two.view(np.int64))
 
 
+def _few(batches):
+    """The batches, ``ROWS`` rows at a time."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def _names(docs: DataFrame, size: int, seed: int) -> DataFrame:
     """(id, ``look``: the text's hash, ``n`` features, ``name`` and ``check``: digests of the set) of (id, text)."""
     def run(batches):
-        for batch in batches:
+        for batch in _few(batches):
             sets = [shingles(t, size, seed) for t in batch.column(2).to_pylist()]
             names = [_name(s) for s in sets]
             yield pa.record_batch([*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()),
@@ -215,7 +224,6 @@ def _by_part(batches):
         for lo, hi in zip(cuts, np.r_[cuts[1:], len(part)], strict=True):
             if held and part[lo] != now:
                 yield now, _joined(held)
-                held = []
             now = int(part[lo])
             held.append(batch.slice(lo, hi - lo))
     if held:
@@ -223,7 +231,7 @@ def _by_part(batches):
 
 
 def _joined(held) -> tuple[np.ndarray, ...]:
-    """(set names, sizes as packed, and per signature the number of its set and the signature)."""
+    """(set names, sizes as packed, and per signature the number of its set and the signature); lets go of ``held``."""
     name = np.concatenate([b.column(1).to_numpy(zero_copy_only=False) for b in held])
     n = np.concatenate([b.column(2).to_numpy(zero_copy_only=False) for b in held])
     keys, counts = [], []
@@ -232,6 +240,7 @@ def _joined(held) -> tuple[np.ndarray, ...]:
         offsets = np.frombuffer(c.buffers()[1], np.int32)[c.offset:c.offset + len(c) + 1]
         keys.append(np.frombuffer(c.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].reshape(-1, WIDTH))
         counts.append(np.diff(offsets) // WIDTH)
+    held.clear()
     wide = np.zeros((sum(map(len, keys)), 8), np.uint8)
     np.concatenate(keys, out=wide[:, :WIDTH])
     return name, n, np.repeat(np.arange(len(name), dtype=np.int32), np.concatenate(counts)), wide.view(np.uint64).ravel()
@@ -239,6 +248,32 @@ def _joined(held) -> tuple[np.ndarray, ...]:
 
 def _groups(part: int, name: np.ndarray, packed: np.ndarray, of: np.ndarray, key: np.ndarray, instances: Instances):
     n, own, above = packed & (2**40 - 1), packed >> 40 & _MOST, packed >> 52 & _MOST
+    found = {False: [], True: []}
+    for at in _ranges(key):
+        pairs, stars, (many, members) = _alike(name, of[at], key[at])
+        found[False].append(pairs)
+        found[True].append(stars)
+        if len(many):
+            yield _met(mix64(many + mix64(np.array([part], np.uint64))[0]).view(np.int64), name[members], packed[members])
+    for stars, some in found.items():
+        a, b = (np.concatenate([x[side] for x in some]) for side in (0, 1))
+        fit = instances.percent * np.maximum(n[a], n[b]) <= 100 * np.minimum(n[a], n[b])
+        if fit.any():
+            both, first, hits = np.unique(a[fit].astype(np.int64) << 32 | b[fit], return_index=True, return_counts=True)
+            a, b = a[fit][first], b[fit][first]
+            yield _met(None, name[a], name[b], np.full(len(a), _STAR_HITS) if stars else hits, instances.least(n, own, above, a, b))
+
+
+def _ranges(key: np.ndarray):
+    """Positions of the signatures, some whole signatures at a time: about ``SORTED`` positions, by a byte that is mixed well."""
+    pieces = min(256, len(key) // SORTED + 1)
+    piece = (key >> np.uint64(8 * WIDTH - 8) & np.uint64(255)).astype(np.uint16) * np.uint16(pieces) >> 8
+    return (np.flatnonzero(piece == p) for p in range(pieces))
+
+
+def _alike(name: np.ndarray, of: np.ndarray, key: np.ndarray):
+    """Groups of sets (numbers ``of``) with one signature: the pairs of small ones, the stars of others, and these with their
+    members."""
     order = np.argsort(key)
     key, of = key[order], of[order]
     same = np.r_[False, key[1:] == key[:-1]]
@@ -258,14 +293,7 @@ def _groups(part: int, name: np.ndarray, packed: np.ndarray, of: np.ndarray, key
         right.append(of[i + d])
     centre = np.repeat(of[start], length)
     star = ~small & (centre != of)
-    for stars, a, b in ((False, np.concatenate(left), np.concatenate(right)), (True, centre[star], of[star])):
-        fit = instances.percent * np.maximum(n[a], n[b]) <= 100 * np.minimum(n[a], n[b])
-        if fit.any():
-            both, first, hits = np.unique(a[fit].astype(np.int64) << 32 | b[fit], return_index=True, return_counts=True)
-            a, b = a[fit][first], b[fit][first]
-            yield _met(None, name[a], name[b], np.full(len(a), _STAR_HITS) if stars else hits, instances.least(n, own, above, a, b))
-    if not small.all():
-        yield _met(mix64(key[~small] + mix64(np.array([part], np.uint64))[0]).view(np.int64), name[of[~small]], packed[of[~small]])
+    return (np.concatenate(left), np.concatenate(right)), (centre[star], of[star]), (key[~small], of[~small])
 
 
 def _met(group, a, b, hits=None, least=None) -> pa.RecordBatch:
@@ -279,7 +307,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int, seed: int) -> DataFrame:
     may add sets that nobody asks for, and a set may come twice."""
     def once(batches):
         seen, squeeze = set(), zstandard.ZstdCompressor(level=1)
-        for batch in batches:
+        for batch in _few(batches):
             looks, texts = [], []
             for look, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if look not in seen:
@@ -290,7 +318,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, size: int, seed: int) -> DataFrame:
 
     def read(batches):
         seen, whole = set(), zstandard.ZstdDecompressor()
-        for batch in batches:
+        for batch in _few(batches):
             names, blobs = [], []
             for look, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if look not in seen:
@@ -314,7 +342,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     def run(batches):
         whole, now = None, None
-        for batch in batches:
+        for batch in _few(batches):
             a, b = [], []
             for x, salt, side, y, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 features = np.frombuffer(blob, np.uint64)
@@ -382,7 +410,7 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: in
         seen = set()
 
         def sets():
-            for batch in batches:
+            for batch in _few(batches):
                 for text in batch.column(0).to_pylist():
                     features = shingles(text, size, seed)
                     name = _name(features)[0]
@@ -434,7 +462,7 @@ def _let_go(spark) -> None:
 def _domain(often, batches):
     """(name, n, features in the domain) of (name, n, features)."""
     out = often.value
-    for batch in batches:
+    for batch in _few(batches):
         for name, n, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             features = np.frombuffer(blob, np.uint64)
             if len(out):
@@ -450,7 +478,7 @@ def _resigned(instances: Instances, often, parts: int):
 
 def _uncovered(instances: Instances, often):
     def run(batches):
-        for batch in batches:
+        for batch in _few(batches):
             sets = list(_domain(often, [batch]))
             n, held = np.array([k for _, k, _ in sets], np.int64), np.array([len(f) for *_, f in sets], np.int64)
             yield batch.select([0]).filter(pa.array(instances.uncovered(n, held) if len(n) else [], pa.bool_()))
@@ -464,7 +492,7 @@ def _frequent(sets: DataFrame, labels: DataFrame) -> np.ndarray:
     sample = sets.join(some_rows(one, one.count(), SAMPLE), "name", "left_semi")
 
     def run(batches):
-        for batch in batches:
+        for batch in _few(batches):
             for blob in batch.column(0).to_pylist():
                 yield pa.record_batch([pa.array(np.frombuffer(blob, np.int64))], names=["feature"])
 

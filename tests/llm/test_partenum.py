@@ -1,7 +1,10 @@
 import random
+import tracemalloc
 from itertools import combinations
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from snapflow.llm import partenum
@@ -117,3 +120,48 @@ def test_similar_sets_share_a_signature(level):
             shared = np.intersect1d(key[of == 0], key[of == 1]).size
             least = instances.least(n, own, above, np.array([0]), np.array([1]))[0]
             assert shared >= max(least, not instances.uncovered(n, held).all())
+
+
+def _peak(work):
+    tracemalloc.start()
+    try:
+        out = work()
+        return out, tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def _signed_rows(sets, rows, values, seed=2):
+    draw = np.random.default_rng(seed)
+    name, n = draw.integers(-2**62, 2**62, sets), draw.integers(200, 500, sets)
+    of = np.repeat(np.arange(sets, dtype=np.int32), rows // sets)
+    return name, n, of, draw.integers(0, 2**40, values).astype(np.uint64)[draw.integers(0, values, rows)]
+
+
+def test_a_part_is_sorted_in_ranges(monkeypatch):
+    """A task sorts some signatures of its part at a time and finds the same pairs, hits and groups."""
+    instances, rows = partenum.Instances(80, 0), _signed_rows(5000, 60_000, 15_000)
+
+    def met(sorted_at_once):
+        monkeypatch.setattr(partenum, "SORTED", sorted_at_once)
+        found = pa.Table.from_batches(partenum._groups(3, *rows, instances)).to_pylist()
+        return sorted(tuple(r.values()) for r in found if r["grp"] is None), sorted(tuple(r.values()) for r in found if r["grp"] is not None)
+
+    whole = met(10**9)
+    assert all(whole) and met(500) == whole and met(20_000) == whole
+
+
+def test_memory_of_a_part_stays_near_its_signatures():
+    instances, rows = partenum.Instances(80, 0), _signed_rows(20_000, 2_000_000, 16_000_000)
+    met, peak = _peak(lambda: sum(b.num_rows for b in partenum._groups(3, *rows, instances)))
+    assert met and peak < 38e6                          # all at once: 47 MB
+
+
+def test_a_task_holds_few_rows_of_a_batch():
+    """An Arrow batch of many large sets isn't made Python values at once."""
+    blob = np.arange(500, dtype=np.uint64).tobytes()
+    batch = pa.record_batch([pa.array(range(10_000), pa.int64()), pa.array([500] * 10_000, pa.int64()), pa.array([blob] * 10_000)],
+                            names=["name", "n", "features"])
+    often = SimpleNamespace(value=np.empty(0, np.uint64))
+    count, peak = _peak(lambda: sum(1 for _ in partenum._domain(often, [batch])))
+    assert count == 10_000 and peak < 10e6              # all at once: over 40 MB
