@@ -10,6 +10,7 @@ and an uncastable value fails the query unless ``on_error="null"``.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -54,16 +55,35 @@ def variant_field(v: Column, path: str, typ: str, on_error: str = "fail") -> Col
     return c.cast(after) if after else c
 
 
+#: Paths of names alone: their first name is a field of the document.
+_NAMES = re.compile(r"(?:\$\.)?([A-Za-z_]\w*)((?:\.[A-Za-z_]\w*)*)", re.ASCII)
+
+
 def extract(df: DataFrame, col: str, fields: Mapping[str, tuple[str, str]],
-            keep: Iterable[str] = (), on_error: str = "fail") -> DataFrame:
+            keep: Iterable[str] = (), on_error: str = "fail", one_walk: bool = False) -> DataFrame:
     """Select ``keep`` columns plus one typed column per ``name: (path, type)``.
 
-    ``col`` may be JSON text or VARIANT. Paths are ``a.b`` or ``$.a.b``.
+    ``col`` may be JSON text or VARIANT. Paths are ``a.b`` or ``$.a.b``. A lookup by path compares the names of a document
+    one by one; ``one_walk`` takes all its fields in one pass instead, for callers that read every one of ``fields``
+    (those that a caller drops are taken as well then).
     """
-    tmp = "__doc_v"
+    tmp, parts = "__doc_v", "__doc_f"
     d = to_variant(df, col, tmp)
+    split = {n: _NAMES.fullmatch(p) for n, (p, _) in fields.items()} if one_walk else {}
+    heads = list(dict.fromkeys(m[1] for m in split.values() if m))
+    if len({h.lower() for h in heads}) < len(heads):            # names that differ in case alone can't be told apart
+        heads = []
+    if heads:
+        d = d.withColumn(parts, F.try_variant_get(F.col(tmp), "$", f"struct<{','.join(f'`{h}`:variant' for h in heads)}>"))
+
+    def field(name: str, path: str, typ: str) -> Column:
+        m = split.get(name)
+        if not heads or not m:
+            return variant_field(F.col(tmp), path, typ, on_error)
+        return variant_field(F.col(parts)[m[1]], f"${m[2]}", typ, on_error)
+
     cols = [F.col(k) for k in keep]
-    cols += [variant_field(F.col(tmp), p, t, on_error).alias(n) for n, (p, t) in fields.items()]
+    cols += [field(n, p, t).alias(n) for n, (p, t) in fields.items()]
     return d.select(*cols)
 
 

@@ -18,6 +18,11 @@ DIMENSION_COLUMNS = [
     "downloads_last_week", "downloads_last_month", "pypi_release_count", "requires_python", "author",
     "summary", "home_page", "latest_release_upload_time", "last_updated_at", "mart_created_at",
 ]
+# Staged columns that the dimension reads.
+REPO_INPUTS = ["extracted_at", "repo_name", "stars", "forks", "watchers", "open_issues", "contributors_count", "releases_count",
+               "language", "license", "created_at", "updated_at", "latest_release_tag", "latest_release_published_at", "topics"]
+PACKAGE_INPUTS = ["extracted_at", "package_name", "version", "downloads_last_day", "downloads_last_week", "downloads_last_month",
+                  "release_count", "requires_python", "author", "summary", "home_page", "latest_release_upload_time"]
 
 
 def _key_match(left: Column, right: Column) -> Column:
@@ -38,13 +43,16 @@ def build_dimension(mapping: DataFrame, repos: DataFrame, packages: DataFrame, n
     ``mapping``: ``(technology_name, github_repo, pypi_package)``; ``repos`` / ``packages``:
     staged rows, many per key. Tie-breaks default to every atomic column (deterministic).
     Only the repo/package keys named by the mapping can reach the output, so the staged rows
-    are semi-joined with its keys before the latest-row window (fewer rows sorted): against
-    a broadcast, below the shuffle, when the mapping is provably small. ``one_per_key``: the
+    are semi-joined with its keys before the latest-row window (fewer rows sorted), against
+    a broadcast, below the shuffle, when the mapping is provably small. With a larger one no
+    semi-join runs: it would shuffle and sort every staged row, of which the window sends on one
+    a key and task, and the left joins drop the keys that the mapping lacks. ``one_per_key``: the
     staged rows are the latest ones already (``streaming.latest``), so no window runs.
     """
-    small = bool(reduce_max_keys) and small_enough(mapping, reduce_max_keys)   # one bounded probe
-    gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys, known_small=small)
-    py = semi_reduce(packages, "package_name", mapping, "pypi_package", reduce_max_keys, known_small=small)
+    gh, py = repos, packages
+    if reduce_max_keys and small_enough(mapping, reduce_max_keys):             # one bounded probe
+        gh = semi_reduce(repos, "repo_name", mapping, "github_repo", reduce_max_keys, known_small=True)
+        py = semi_reduce(packages, "package_name", mapping, "pypi_package", reduce_max_keys, known_small=True)
     if not one_per_key:
         if repo_tiebreak is None:
             repo_tiebreak = total_tiebreak(gh, ["repo_name", "extracted_at"])

@@ -13,16 +13,18 @@ from __future__ import annotations
 
 import datetime as dt
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from snapflow.operators.checks import (DEFAULT_CHECKS, assert_checks, counted_report, observe_not_null,
                                        observed_report, run_checks)
-from snapflow.operators.dimension import build_dimension
+from snapflow.operators.dimension import PACKAGE_INPUTS, REPO_INPUTS, build_dimension
 from snapflow.operators.history import HISTORY_KEYS, history_rows, previous_rows, read_history, upsert_with_latest
 from snapflow.operators.metrics import build_metrics
-from snapflow.operators.staging import stage_packages, stage_repos
+from snapflow.operators.staging import PACKAGE_COLUMNS, REPO_COLUMNS, stage_packages, stage_repos
 from snapflow.operators.trends import build_trends, look_back_start, read_trends, update_trends, write_trends
 from snapflow.session import reliable_checkpoint
 from snapflow.sources import sinks
@@ -117,6 +119,13 @@ def _incremental_latest(spark, cfg, sources):
     return found
 
 
+def _read(checks, model: str, columns: Sequence[str], inputs: Sequence[str], tiebreak: Sequence[str] | None) -> set[str]:
+    """Staged columns that a run reads: the dimension's, those that break ties (any, if none are named), the checked ones."""
+    if tiebreak is None:
+        return set(columns)
+    return {*inputs, *tiebreak, *(c.column for c in checks if c.model == model and c.check == "not_null")}
+
+
 def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[str, DataFrame]:
     as_of = cfg.as_of or dt.datetime.now(dt.timezone.utc).date()       # load times are UTC
     raw_r = read_raw(spark, cfg.raw_repos, "repo_name")
@@ -129,16 +138,18 @@ def run_daily(spark: SparkSession, mapping: DataFrame, cfg: RunConfig) -> dict[s
     counted: list = []                        # reports of staging checks that need no pass of their own
     if cfg.staging == "incremental":
         (stg_r, log_r), (stg_p, log_p) = _incremental_latest(spark, cfg, [
-            (cfg.raw_repos, "repo_name", stage_repos, cfg.repo_tiebreak),
-            (cfg.raw_packages, "package_name", stage_packages, cfg.package_tiebreak)])
+            (cfg.raw_repos, "repo_name", partial(stage_repos, only=REPO_COLUMNS), cfg.repo_tiebreak),
+            (cfg.raw_packages, "package_name", partial(stage_packages, only=PACKAGE_COLUMNS), cfg.package_tiebreak)])
         for model, out in (("stg_github_repos", log_r), ("stg_pypi_packages", log_p)):
             nn = [c for c in checks if c.model == model and c.check == "not_null"]
             if nn:
                 nulls = null_counts(spark, out)
                 counted.append((nn, lambda nn=nn, nulls=nulls: counted_report(spark, nn, nulls)))
     elif cfg.staging == "full":
-        stg_r = stage_repos(raw_r)                                  # inlined (never stored)
-        stg_p = as_view(stage_packages(raw_p), "stg_pypi_packages")  # a named view
+        as_view(stage_packages(raw_p), "stg_pypi_packages")         # a named view
+        # inlined (never stored); of the view's columns those that the run reads
+        stg_r = stage_repos(raw_r, only=_read(checks, "stg_github_repos", REPO_COLUMNS, REPO_INPUTS, cfg.repo_tiebreak))
+        stg_p = stage_packages(raw_p, only=_read(checks, "stg_pypi_packages", PACKAGE_COLUMNS, PACKAGE_INPUTS, cfg.package_tiebreak))
         # staging checks ride along with the dimension build instead of re-parsing every document
         stg_r, o_r, nn_r = observe_not_null(stg_r, "stg_github_repos", checks)
         stg_p, o_p, nn_p = observe_not_null(stg_p, "stg_pypi_packages", checks)

@@ -8,6 +8,7 @@ match the DuckDB oracle in ``snapflow.plans.oracle``. Build-time columns use the
 from __future__ import annotations
 
 import datetime as dt
+from functools import partial
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -15,13 +16,13 @@ from pyspark.sql import functions as F
 from snapflow.functions.jsonpaths import extract
 from snapflow.functions.scalars import growth_pct, safe_ratio, tier, trend_indicator
 from snapflow.operators import checks as C
-from snapflow.operators.dimension import build_dimension
+from snapflow.operators.dimension import PACKAGE_INPUTS, REPO_INPUTS, build_dimension
 from snapflow.operators.history import history_rows, read_history, rebuild_history, upsert
 from snapflow.operators.latest import latest_per_key
 from snapflow.operators.metrics import (POPULARITY_DEFAULT, POPULARITY_TIERS, USAGE_DEFAULT, USAGE_TIERS,
                                         build_metrics)
 from snapflow.operators.ranking import rank_desc
-from snapflow.operators.staging import stage_packages, stage_repos, variant_to_json
+from snapflow.operators.staging import REPO_COLUMNS, stage_packages, stage_repos, variant_to_json
 from snapflow.operators.trends import build_trends, entity_window, with_lags, with_moving_averages
 from snapflow.plans import bridge as B
 from snapflow.plans.daily import EXAMPLE_MAPPING
@@ -54,12 +55,12 @@ def _raw_packages(spark, sf):
     return B.package_documents(B.table(spark, sf, "orders"))
 
 
-def _stg_repos(spark, sf):
-    return stage_repos(_raw_repos(spark, sf))
+def _stg_repos(spark, sf, only=None):
+    return stage_repos(_raw_repos(spark, sf), only=only)
 
 
-def _stg_packages(spark, sf):
-    return stage_packages(_raw_packages(spark, sf))
+def _stg_packages(spark, sf, only=None):
+    return stage_packages(_raw_packages(spark, sf), only=only)
 
 
 def _snapshots(spark, sf):
@@ -67,8 +68,8 @@ def _snapshots(spark, sf):
 
 
 def _dimension(spark, sf):
-    return build_dimension(B.mapping(B.table(spark, sf, "customer")), _stg_repos(spark, sf),
-                           _stg_packages(spark, sf), now=NOW,
+    return build_dimension(B.mapping(B.table(spark, sf, "customer")), _stg_repos(spark, sf, {*REPO_INPUTS, "full_name"}),
+                           _stg_packages(spark, sf, PACKAGE_INPUTS), now=NOW,
                            repo_tiebreak=["full_name"], package_tiebreak=["version"])
 
 
@@ -225,7 +226,7 @@ def q_stream_latest_repo(spark, sf):
     cut = F.col("extracted_at") < F.lit(STREAM_CUT).cast("timestamp_ntz")
     for part in (raw.where(cut), raw.where(~F.coalesce(cut, F.lit(False)))):   # two days of landings, one run after each
         part.write.mode("append").parquet(landing)
-        q = stream_latest(spark, landing, "repo_name", out, ckpt, stage_repos, tiebreak=["full_name"])
+        q = stream_latest(spark, landing, "repo_name", out, ckpt, partial(stage_repos, only=REPO_COLUMNS), tiebreak=["full_name"])
         q.awaitTermination()
     s = read_latest(spark, out)
     return s.select("repo_name", "extracted_at", "full_name", "stars", "forks", "contributors_count")
@@ -464,11 +465,9 @@ def q_check_accepted(spark, sf):
 def q_check_suite(spark, sf):
     """C4: report of every check over every table. Tables that feed several others are stored once, as in the
     daily run: staged rows (the columns that dimension and checks read), the dimension, the snapshots."""
-    stg_r, stg_p = _stg_repos(spark, sf), _stg_packages(spark, sf)
     stg_r, stg_p, snap = reliable_checkpoints(
-        stg_r.drop("size", "pushed_at", "default_branch"),
-        stg_p.select("package_name", "extracted_at", "version", "downloads_last_day", "downloads_last_week", "downloads_last_month",
-                     "release_count", "requires_python", "author", "summary", "home_page", "latest_release_upload_time"),
+        _stg_repos(spark, sf, {*REPO_INPUTS, "full_name", "description"}),
+        _stg_packages(spark, sf, PACKAGE_INPUTS),
         _snapshots(spark, sf))
     dim = reliable_checkpoint(build_dimension(B.mapping(B.table(spark, sf, "customer")), stg_r, stg_p, now=NOW,
                                               repo_tiebreak=["full_name"], package_tiebreak=["version"]))

@@ -80,6 +80,14 @@ def test_dimension_left_joins_and_strict_greatest(spark):
         assert got["both"].mart_created_at == T(2024, 2, 1)
 
 
+def test_dimension_of_a_large_mapping_shuffles_no_staged_row_for_it(spark):
+    """A mapping beyond ``reduce_max_keys``: no semi-join of all staged rows below the window, the same rows come out."""
+    args = _mapping(spark), _full(_repos(spark), REPO_EXTRA), _full(_packages(spark), PKG_EXTRA)
+    large, small = (build_dimension(*args, now=T(2024, 2, 1), reduce_max_keys=n) for n in (1, 1000))
+    assert "LeftSemi" not in plan_text(large) and "LeftSemi" in plan_text(small)
+    assert rows(large) == rows(small)
+
+
 def test_metrics_ratios_tiers_and_filter(spark):
     dim = build_dimension(_mapping(spark), _full(_repos(spark), REPO_EXTRA), _full(_packages(spark), PKG_EXTRA),
                           now=T(2024, 2, 1))

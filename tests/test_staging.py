@@ -6,7 +6,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from snapflow.functions.jsonpaths import extract
-from snapflow.operators.staging import PACKAGE_COLUMNS, REPO_COLUMNS, stage_packages, stage_repos
+from snapflow.operators.staging import PACKAGE_COLUMNS, REPO_COLUMNS, stage_packages, stage_repos, variant_to_json
+from tests.conftest import plan_text, rows
 
 
 def _raw(spark, docs, key="repo_name"):
@@ -68,3 +69,33 @@ def test_fraction_to_whole_number_rounds(spark):
     raw = _raw(spark, [{"stars": 1.5, "forks": 2.4, "watchers": -1.5, "size": "7", "open_issues": 12345678901234}])
     r = stage_repos(raw).collect()[0]
     assert (r.stars, r.forks, r.watchers, r.size, r.open_issues) == (2, 2, -2, 7, 12345678901234)
+
+
+@pytest.mark.parametrize("stage, key, columns", [(stage_repos, "repo_name", REPO_COLUMNS), (stage_packages, "package_name", PACKAGE_COLUMNS)])
+def test_one_walk_gives_the_columns_of_paths(spark, stage, key, columns):
+    """``only`` takes its columns in one walk: the same values for odd documents, and no lookup by path in the whole one."""
+    full = {key: "in", "stars": "7", "forks": 2.5, "watchers": None, "size": -1.5, "created_at": "2024-01-01T02:00:00+02:00",
+            "topics": ["a", {"b": None}], "license": {"x": 1}, "latest_release": {"tag_name": "v", "published_at": "2024-01-02"},
+            "version": 3, "classifiers": None, "latest_release_info": {"size": "9", "upload_time": None}, "release_count": 1e3}
+    docs = [json.dumps(full), "{}", "[1]", "null", "3", '"x"', None, "no json", f'{{"{key}":null,"topics":null,"latest_release":3,"Stars":5}}',
+            f'{{"{key}":"a","{key}":"b","stars":1,"stars":2,"latest_release":null,"latest_release_info":[1]}}']
+    raw = _raw(spark, docs, key) if key != "repo_name" else _raw(spark, docs)
+    variants = [c for c in ("topics", "classifiers", "requires_dist", "project_urls") if c in columns]
+    shown = lambda df: rows(variant_to_json(df, [c for c in variants if c in df.columns]))
+    assert shown(stage(raw, only=columns)) == shown(stage(raw))
+    some = ["extracted_at", key, columns[3]]
+    assert stage(raw, only=some).columns == [c for c in columns if c in some]
+    assert shown(stage(raw, only=some)) == shown(stage(raw).select(*[c for c in columns if c in some]))
+    assert plan_text(stage(raw)).count("variant_get(__doc_v") > 15
+    plan = plan_text(stage(raw, only=columns))
+    assert "variant_get(__doc_v" not in plan and plan.count("parseJson") == 1
+    with pytest.raises(ValueError, match="nosuch"):
+        stage(raw, only=["nosuch"])
+
+
+def test_one_walk_of_names_that_differ_in_case(spark):
+    df = spark.createDataFrame([('{"a":1,"A":"2","b":{"c":[3]}}',)], "doc string")
+    fields = {"x": ("a", "bigint"), "y": ("A", "bigint"), "z": ("$.b.c[0]", "bigint")}
+    assert rows(extract(df, "doc", fields, one_walk=True)) == [(1, 2, 3)]
+    del fields["y"]
+    assert rows(extract(df, "doc", fields, one_walk=True)) == [(1, 3)]
