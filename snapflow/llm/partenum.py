@@ -1,5 +1,9 @@
 """Jaccard join of shingle sets by PartEnum signatures.
 
+A set links with nothing if more of its features than its links can differ in occur in no other set. That is told first, on
+a part of the feature domain that leaves room for it: each feature travels four bytes, and sets that may link, usually few,
+go on.
+
 Sizes are cut into bands so wide that linked sets lie in one band or in neighbouring ones; a set takes part in the instance
 of its band and of the next. Linked sets of an instance differ in at most ``k`` features. The feature domain is hashed into
 first-level partitions, each into ``cells`` second-level ones; as there are more partitions than ``k // (spare + 1)``, some
@@ -48,16 +52,24 @@ PART, SMALL, LIMIT, BLOCK, STAR, WIDTH, PARTS = 2_000_000, 8, 256, 256, 2000, 5,
 _CHUNK, _MOST = 100_000, 4095                           # features that are signed at a time; partitions that are counted on
 #: Rows that a task holds as Python values at a time, whatever an Arrow batch has; signatures that it sorts at a time, about.
 ROWS, SORTED = 500, 250_000
+#: Sets of up to so many features are told apart by all of these; features that a task sends to that at a time.
+FEW, TOLD = 80, 500_000
 
 
 def shingles(text: str | None, size: int, seed: int) -> np.ndarray:
     """Hashes of the distinct shingles, ascending: words at ASCII white space, A-Z lower-cased; of fewer words one for the
-    whole sequence."""
+    whole sequence. Words are hashed, and shingles from these by columns."""
     words = (text or "").encode().lower().split()
-    if len(words) <= size:
-        return np.array([xxh64_intdigest(b" ".join(words), seed)] if words else [], np.uint64)
-    grams = map(b" ".join, zip(*(words[i:] for i in range(size)), strict=False))
-    return np.unique(np.fromiter(map(xxh64_intdigest, grams, repeat(seed)), np.uint64, len(words) - size + 1))
+    if not words:
+        return np.empty(0, np.uint64)
+    size = min(size, len(words))
+    word = np.fromiter(map(xxh64_intdigest, words, repeat(seed)), np.uint64, len(words))
+    last = len(words) - size + 1
+    grams = word[:last]
+    for i in range(1, size):
+        grams = mix64(grams * np.uint64(0x9E3779B97F4A7C15) + word[i:last + i])
+    grams = np.sort(grams)                              # np.unique takes several times as long
+    return grams[np.r_[True, grams[1:] != grams[:-1]]]
 
 
 def _name(features: np.ndarray) -> tuple[int, int]:
@@ -73,18 +85,142 @@ def _few(batches):
             yield batch.slice(at, ROWS)
 
 
-def _names(docs: DataFrame, size: int, seed: int) -> DataFrame:
-    """(id, ``look``: the text's hash, ``n`` features, ``name`` and ``check``: digests of the set) of (id, text)."""
+def _names(docs: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
+    """(id, ``look``: the text's hash, ``n`` features, ``name`` and ``check``: digests of the set, ``need``: see ``Domain``) of
+    (id, text)."""
+    domain = Domain(percent)
+
     def run(batches):
         for batch in _few(batches):
             sets = [shingles(t, size, seed) for t in batch.column(2).to_pylist()]
             names = [_name(s) for s in sets]
-            yield pa.record_batch([*batch.columns[:2], pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64())],
-                                  names=["id", "look", "n", "name", "check"])
+            n = np.array([len(s) for s in sets], np.int64)
+            need = domain.need(n, np.concatenate([*sets, np.empty(0, np.uint64)]))
+            yield pa.record_batch([*batch.columns[:2], pa.array(n), pa.array([a for a, _ in names], pa.int64()),
+                                   pa.array([b for _, b in names], pa.int64()), pa.array(need)],
+                                  names=["id", "look", "n", "name", "check", "need"])
 
     return docs.select("id", F.xxhash64("text").alias("look"), "text").mapInArrow(
-        run, "id long, look long, n long, name long, check long")
+        run, "id long, look long, n long, name long, check long, need long")
+
+
+#: A set in a part: the keys that follow, and those that another set of the same task has.
+_TOLD = np.dtype([("name", np.int64), ("whole", np.bool_), ("keys", np.uint32), ("known", np.uint32)])
+
+
+class Domain:
+    """Features by which sets are told that link with nothing: twice as many as those in which a set may differ from its
+    partners, of small sets all. Sets that such a small one can link with send all, too. Two features of one key count as
+    one that is shared, which keeps a set."""
+
+    def __init__(self, percent: int):
+        self.percent, self.share = percent, np.uint64(min(2**32, (2**32 * 2 * (100 - percent)) // 100))
+
+    def _within(self, key: np.ndarray, whole: np.ndarray) -> np.ndarray:
+        return whole | (key < self.share)
+
+    @staticmethod
+    def _hash(features: np.ndarray) -> np.ndarray:
+        return mix64(features ^ np.uint64(0x6A09E667F3BCC909))
+
+    def need(self, n: np.ndarray, features: np.ndarray) -> np.ndarray:
+        """How many of the domain's features other sets must have, too, for sets of ``n`` features each to link."""
+        of = np.repeat(np.arange(len(n)), n)
+        held = np.bincount(of, weights=self._within(self._hash(features) >> np.uint64(32), n[of] <= FEW), minlength=len(n))
+        return held.astype(np.int64) - n * (100 - self.percent) // 100
+
+    def sent(self, name: np.ndarray, n: np.ndarray, features: np.ndarray, parts: int) -> pa.RecordBatch:
+        """A row for each part: what it is to know of the features of some sets. Of those that several of these have, the
+        part learns the key alone."""
+        of, h = np.repeat(np.arange(len(n)), n), self._hash(features)
+        on = self._within(h >> np.uint64(32), n[of] * self.percent <= FEW * 100)
+        of, h, half = of[on], h[on], np.uint64(32)
+        part, key = h % np.uint64(parts) << half, h >> half
+        order = np.argsort(part | key)
+        of, part, key = of[order], part[order], key[order]
+        again = np.r_[False, (part[1:] == part[:-1]) & (key[1:] == key[:-1])][:len(key)]
+        alone = ~(again | np.r_[again[1:], False][:len(key)])
+        first = ~alone & ~again
+        place, at = np.unique(part | of.astype(np.uint64), return_inverse=True)
+        number = (place & np.uint64(2**32 - 1)).astype(np.int64)
+        sets = np.zeros(len(place), _TOLD)
+        sets["name"], sets["whole"] = name[number], n[number] <= FEW
+        sets["keys"] = np.bincount(at[alone], minlength=len(place))
+        sets["known"] = np.bincount(at[~alone & self._within(key, n[of] <= FEW)], minlength=len(place))
+        keep = (sets["keys"] > 0) | (sets["known"] > 0)
+        mine = np.flatnonzero(alone)[np.argsort(at[alone], kind="stable")]
+        numbers = np.arange(parts, dtype=np.uint64)
+        return pa.record_batch([pa.array(numbers.astype(np.int64))] + [
+            _binary(values, np.searchsorted(where >> half, np.arange(parts + 1, dtype=np.uint64)))
+            for values, where in ((sets[keep], place[keep]), (key[mine].astype(np.uint32), part[mine]),
+                                  (key[first].astype(np.uint32), part[first]))], names=["part", "sets", "keys", "known"])
+
+    def shared(self, rows) -> tuple[np.ndarray, np.ndarray]:
+        """(name, its features that other sets have, too) of the rows (sets, keys, known) of a part. A set that several tasks
+        sent may count what it shares more than once."""
+        sets, key, known = (np.concatenate([np.frombuffer(r[i], t) for r in rows])
+                            for i, t in enumerate((_TOLD, np.uint32, np.uint32)))
+        of = np.repeat(np.arange(len(sets), dtype=np.int32), sets["keys"])
+        order = np.argsort(key)
+        key, of = key[order], of[order]
+        again = np.r_[False, key[1:] == key[:-1]][:len(key)]
+        there = np.isin(key, known)
+        some = again | np.r_[again[1:], False][:len(key)] | there
+        key, of, there = key[some], of[some], there[some]
+        name = sets["name"][of]
+        order = np.lexsort((name, key))
+        key, of, there, name = key[order], of[order], there[order], name[order]
+        new = np.r_[True, (key[1:] != key[:-1]) | (name[1:] != name[:-1])][:len(key)]
+        key, of, there, name = key[new], of[new], there[new], name[new]
+        start = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][:len(key)])
+        length = np.diff(np.r_[start, len(key)])
+        on = (there | np.repeat(length > 1, length)) & self._within(key, sets["whole"][of])
+        names, at = np.unique(np.concatenate([name[on], sets["name"]]), return_inverse=True)
+        counts = np.bincount(at, weights=np.concatenate([np.ones(int(on.sum())), sets["known"]])).astype(np.int64)
+        return names[counts > 0], counts[counts > 0]
+
+
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Between each two ``cuts`` the bytes of the values there."""
+    data = pa.py_buffer(np.ascontiguousarray(values))
+    return pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * values.itemsize).astype(np.int32)), data])
+
+
+def _may_link(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
+    """The classes (name, n, need) but those that link with nothing, as too few of their features occur in other sets."""
+    domain = Domain(percent)
+    total = classes.agg(F.sum(F.when(F.col("n") <= FEW, F.col("n")).otherwise(F.col("n") * domain.share.item() / 2**32))).first()[0]
+    parts = max(PARTS, int(total or 0) // PART + 1)
+
+    def send(batches):
+        seen, held, count = set(), [], 0
+
+        def out():
+            return domain.sent(np.array([x for x, _ in held], np.int64), np.array([len(f) for _, f in held], np.int64),
+                               np.concatenate([f for _, f in held]), parts)
+        for batch in _few(batches):
+            for text in batch.column(0).to_pylist():
+                features = shingles(text, size, seed)
+                name = _name(features)[0]
+                if len(features) and name not in seen:
+                    seen.add(name)
+                    held.append((name, features))
+                    count += len(features)
+                    if count >= TOLD:
+                        yield out()
+                        held, count = [], 0
+        if held:
+            yield out()
+
+    def tell(batches):
+        for _, rows in _by_part(batches, _rows):
+            names, counts = domain.shared(rows)
+            yield pa.record_batch([pa.array(names), pa.array(counts)], names=["told", "shared"])
+
+    sent = docs.select("text").mapInArrow(send, "part long, sets binary, keys binary, known binary")
+    told = sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(tell, "told long, shared long")
+    told = told.groupBy("told").agg(F.sum("shared").alias("shared"))
+    return classes.join(told, classes.name == told.told, "left").where(F.coalesce("shared", F.lit(0)) >= F.col("need")).select(classes["*"])
 
 
 class Instances:
@@ -215,19 +351,26 @@ def _meet(entries: DataFrame, parts: int, instances: Instances) -> DataFrame:
     return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, MET)
 
 
-def _by_part(batches):
-    """(part, its other columns) of rows sorted by part, across Arrow batches."""
+def _by_part(batches, joined=None):
+    """(part, its other columns as ``joined`` makes them) of rows sorted by part, across Arrow batches."""
+    joined = joined or _joined
     now, held = None, []
     for batch in batches:
         part = batch.column(0).to_numpy(zero_copy_only=False)
         cuts = np.flatnonzero(np.r_[len(part) > 0, part[1:] != part[:-1]])
         for lo, hi in zip(cuts, np.r_[cuts[1:], len(part)], strict=True):
             if held and part[lo] != now:
-                yield now, _joined(held)
+                yield now, joined(held)
             now = int(part[lo])
             held.append(batch.slice(lo, hi - lo))
     if held:
-        yield now, _joined(held)
+        yield now, joined(held)
+
+
+def _rows(held) -> list[tuple]:
+    rows = [row for b in held for row in zip(*(c.to_pylist() for c in b.columns[1:]), strict=True)]
+    held.clear()
+    return rows
 
 
 def _joined(held) -> tuple[np.ndarray, ...]:
@@ -401,30 +544,19 @@ def _labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: int) -> DataFrame:
-    """(node, root) of the classes (name, look, n) that link with another; ``docs`` are (id, text)."""
+    """(node, root) of the classes (name, look, n, need) that link with another; ``docs`` are (id, text)."""
     spark = docs.sparkSession
-    instances = Instances(percent, 0)
+    classes = reliable_checkpoint(_may_link(docs, classes, size, percent, seed))
+    _let_go(spark)
+    sets = _sets(docs, classes, size, seed).withColumn("n", (F.octet_length("features") / 8).cast("long"))
+    sets = reliable_checkpoint(sets.where("n > 0").select("name", "n", "features"))
+    _let_go(spark)
+    instances, every = Instances(percent, 0), spark.sparkContext.broadcast(np.empty(0, np.uint64))
     parts = _parts(classes, instances)
-
-    def sign(batches):
-        seen = set()
-
-        def sets():
-            for batch in _few(batches):
-                for text in batch.column(0).to_pylist():
-                    features = shingles(text, size, seed)
-                    name = _name(features)[0]
-                    if len(features) and name not in seen:
-                        seen.add(name)
-                        yield name, len(features), features
-        yield from _signed(sets(), instances, parts)
-
-    met = reliable_checkpoint(_meet(docs.select("text").mapInArrow(sign, ENTRIES), parts, instances))
+    met = reliable_checkpoint(_meet(sets.mapInArrow(_resigned(instances, every, parts), ENTRIES), parts, instances))
     _let_go(spark)
     pairs, groups = _split(met)
-    wanted = pairs.select("a").union(pairs.select("b")).union(groups.select("a")).distinct()
-    sets = reliable_checkpoint(_sets(docs, classes.join(wanted, classes.name == wanted.a, "left_semi"), size, seed))
-    _let_go(spark)
+    sets = sets.select("name", "features")
     found = reliable_checkpoint(_verified(pairs, sets, percent))
     names = None
     for level in range(len(LEVELS)):
@@ -516,9 +648,10 @@ def near_sets(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "
     seed, clash = -1, True
     while clash:                                        # no two different sets may bear one name
         seed += 1
-        rows = reliable_checkpoint(_names(docs, size, seed))
+        rows = reliable_checkpoint(_names(docs, size, percent, seed))
         classes = reliable_checkpoint(rows.where("n > 0").groupBy("name").agg(
-            F.min("id").alias("rep"), F.min("look").alias("look"), F.min("n").alias("n"), (F.min("check") != F.max("check")).alias("clash")))
+            F.min("id").alias("rep"), F.min("look").alias("look"), F.min("n").alias("n"), F.min("need").alias("need"),
+            (F.min("check") != F.max("check")).alias("clash")))
         clash = classes.where("clash").limit(1).count() > 0
     roots = links(docs, classes, size, percent, seed)
     rooted = classes.join(roots, classes.name == roots.node, "left").select("name", "rep", F.coalesce("root", "name").alias("root"))

@@ -165,3 +165,48 @@ def test_a_task_holds_few_rows_of_a_batch():
     often = SimpleNamespace(value=np.empty(0, np.uint64))
     count, peak = _peak(lambda: sum(1 for _ in partenum._domain(often, [batch])))
     assert count == 10_000 and peak < 10e6              # all at once: over 40 MB
+
+
+def test_sets_that_link_with_nothing_are_told_first(spark, monkeypatch):
+    """Texts whose features hardly occur elsewhere get no signatures; of those that link, none is lost."""
+    monkeypatch.setattr(partenum, "TOLD", 2000)
+    monkeypatch.setattr(partenum, "PART", 500)
+    monkeypatch.setattr(partenum, "FEW", 30)
+    draw, signed = random.Random(3), []
+    alone = [doc(1000 + i, ["one", "line", "that", "all", "of", "them", "have", *(f"a{i}x{k}" for k in range(draw.randrange(40, 300)))])
+             for i in range(60)]
+    linked = near_copies(4, 12, 8)
+    monkeypatch.setattr(partenum, "_parts", lambda rows, instances: signed.append(rows.count()) or 64)
+    assert found(partenum.near_sets(frame(spark, alone + linked))) == brute(alone + linked)
+    assert signed[0] <= len(linked)
+
+
+@pytest.mark.parametrize("percent", (60, 80, 90))
+def test_linked_sets_share_what_they_need(percent):
+    """Across tasks and parts, with small sets beside larger ones and one set sent twice."""
+    draw, domain = np.random.default_rng(percent), partenum.Domain(percent)
+    sets = []
+    for _ in range(300):
+        a = np.unique(draw.integers(1, 2**63, draw.integers(1, 200)).astype(np.uint64))
+        out = draw.integers(0, 1 + len(a) * (100 - percent) // 200)
+        more = draw.integers(1, 2**63, draw.integers(0, 1 + len(a) * (100 - percent) // 200)).astype(np.uint64)
+        sets += [a, np.unique(np.r_[draw.permutation(a)[out:], more])]
+    n = np.array([len(s) for s in sets])
+    need = domain.need(n, np.concatenate(sets))
+    tasks = [list(t) for t in np.array_split(draw.permutation(len(sets)), 4)]
+    tasks[0] += tasks[1][:3]
+    shared, rows = np.zeros(len(sets)), {}
+    for t in tasks:
+        for part, *row in zip(*(c.to_pylist() for c in domain.sent(np.array(t), n[t], np.concatenate([sets[i] for i in t]), 7).columns), strict=True):
+            rows.setdefault(part, []).append(row)
+    for some in rows.values():
+        names, counts = domain.shared(some)
+        shared[names] += counts
+    for i in range(0, len(sets), 2):
+        a, b = sets[i], sets[i + 1]
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= percent * (len(a) + len(b) - both):
+            assert shared[i] >= need[i] and shared[i + 1] >= need[i + 1]
+    lone = np.unique(draw.integers(1, 2**63, 150).astype(np.uint64))
+    (row,) = zip(*(c.to_pylist() for c in domain.sent(np.array([5]), np.array([len(lone)]), lone, 1).columns[1:]), strict=True)
+    assert not len(domain.shared([row])[0]) and domain.need(np.array([len(lone)]), lone)[0] > 0
