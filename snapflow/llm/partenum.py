@@ -13,13 +13,12 @@ more than ``spare`` filled cells meets every partner without them, and in as man
 differences can spoil, which candidates are held to; two sets that both lack those also meet by their single features.
 
 A signature is an equality join; its groups give candidate pairs, verified on the sets themselves. Small groups give all
-their pairs, larger ones a star: most are one component then. Sets of groups that are not go to the next level. There the
-domain lacks the features that a bounded sample of these sets, one a component, shows to be frequent: sets differ in no more
-features of a part of the domain, and what remains is rare, so passages that many texts share form no groups any more. Sets
-that have no more than ``k`` features left go on to the level after, which takes whole sets and larger subsets. From the
-second level on, groups of several components give the pairs between these, up to ``LIMIT`` sets, held to the signatures
-that linked sets share in all; the last level has no limit and compares such groups block by block. The sample changes the
-work, not the result: no link is lost, and none is taken without verification.
+their pairs, larger ones a star: most are one component then. Sets of groups that are not go on to their rarest features: by
+how many of these sets have a feature, counted in full, each takes its rarest ones, so many that linked sets share one at
+least (``Rarest``), and meets by the first that they share: features that follow there must be enough for a link. So what many
+texts have in common, without being similar, makes hardly any pairs. Groups of these features are treated in the same way;
+those that several components are left in give the pairs between these, block by block and without a limit. No link is lost,
+and none is taken without verification.
 
 Equal sets are one node, whatever their texts. Null and empty texts have the empty set and link with nothing; a null id
 keeps its row and names a component only if no other id is there; repeated rows are copies.
@@ -33,22 +32,25 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from snapflow.llm.common import mix64, partitions, some_rows
+from snapflow.llm.common import mix64, partitions
 from snapflow.llm.components import components
 from snapflow.session import reliable_checkpoint
 
-#: By level: features that may differ within a partition, its cells, whether frequent features are left out.
-LEVELS = ((1, 3, False), (1, 3, True), (2, 5, False), (3, 7, False))
-#: Sets sampled to find frequent features, occurrences there that make one frequent, frequent features at most.
-SAMPLE, OFTEN, FREQUENT = 10_000, 4, 1_000_000
-#: Signatures of a part, sets of a group that gives all pairs at once, sets of a group that goes on to the next level, sets
-#: of a block, pairs that a task compares with one set, bytes of a signature within its part; parts at least, so that the rows
-#: of a set, one a part, do not grow with the table before they reach its signatures.
-PART, SMALL, LIMIT, BLOCK, STAR, WIDTH, PARTS = 2_000_000, 8, 256, 256, 2000, 5, 64
+#: By level: features that may differ within a partition, its cells.
+LEVELS = ((1, 3),)
+#: Signatures of a part, sets of a group that gives all pairs at once, sets of a block, pairs that a task compares with one
+#: set, bytes of a signature within its part; parts at least, so that the rows of a set, one a part, do not grow with the table
+#: before they reach its signatures.
+PART, SMALL, BLOCK, STAR, WIDTH, PARTS = 2_000_000, 8, 256, 2000, 5, 64
+#: Links whose components one task finds.
+FIT = 1_000_000
+#: Of levels that are no more (features left out as frequent, groups of a limited size); callers may still set them.
+OFTEN, LIMIT = 4, 256
 _CHUNK, _MOST = 100_000, 4095                           # features that are signed at a time; partitions that are counted on
 #: Rows that a task holds as Python values at a time, whatever an Arrow batch has; signatures that it sorts at a time, about.
 ROWS, SORTED = 500, 250_000
@@ -233,7 +235,7 @@ class Instances:
             low = self.high[-1] + 1
         self.high = np.array(self.high)
         self.percent, self.level = percent, level
-        self.spare, self.cells, _ = LEVELS[level]
+        self.spare, self.cells = LEVELS[level]
         self.k = 2 * self.high * (100 - percent) // (100 + percent)
         must = self.k // (self.spare + 1) + 1
         self.partitions = must + -(-must // 5) + 2
@@ -299,6 +301,36 @@ class Instances:
         return 2.6 * 1.2 * differ / (self.spare + 1) * len(self.subsets) + 0.1
 
 
+class Rarest:
+    """What the rarest features ask of linked sets. Under any one order of all features, a set takes all but so many as it
+    shares with each partner at least, less one: linked sets have some of those in common."""
+
+    def __init__(self, percent: int):
+        self.percent = percent
+
+    def rest(self, n: np.ndarray) -> np.ndarray:
+        """How many of ``n`` features a set does not take."""
+        return -(-n * self.percent // 100) - 1
+
+    def meet(self, n: np.ndarray, ahead: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether ``a`` and ``b`` of one feature may be linked sets that share none before it: of the features that a set
+        takes and that others have, too, ``ahead`` begin with this one. What linked sets share besides features that both
+        take, the one whose taken features end first in the order does not take."""
+        low, high = np.minimum(n[a], n[b]), np.maximum(n[a], n[b])
+        both = -(-(low + high) * self.percent // (100 + self.percent))
+        return (self.percent * high <= 100 * low) & (np.minimum(ahead[a], ahead[b]) >= both - self.rest(high))
+
+    def meet_sql(self, x: str, y: str) -> str:
+        """``meet`` of two rows (n, ahead) that a join names ``x`` and ``y``."""
+        p, high = self.percent, f"greatest({x}.n, {y}.n)"
+        return (f"{p} * {high} <= 100 * least({x}.n, {y}.n) AND least({x}.ahead, {y}.ahead) >= "
+                f"(({x}.n + {y}.n) * {p} + {99 + p}) div {100 + p} - (({high} * {p} + 99) div 100 - 1)")
+
+    def load(self) -> float:
+        """About how many features a set takes, of each of its own."""
+        return (100 - self.percent) / 100 + 0.1
+
+
 ENTRIES = "part long, name long, n long, keys binary"            # n: features, and the partitions counted on by 12 bits each
 
 
@@ -341,12 +373,12 @@ MET = "grp long, a long, b long, hits long, least long"
 _STAR_HITS = 1 << 40
 
 
-def _meet(entries: DataFrame, parts: int, instances: Instances) -> DataFrame:
+def _meet(entries: DataFrame, parts: int, groups, joined=None) -> DataFrame:
     """What shares a signature: candidate pairs without ``grp``, with the signatures they share in a part and need in all; and
-    (grp, name, n as packed) members of groups of over ``SMALL`` sets."""
+    (grp, name, n, more of the member) of groups of over ``SMALL`` sets; by ``groups`` of a part's columns."""
     def run(batches):
-        for part, columns in _by_part(batches):
-            yield from _groups(part, *columns, instances)
+        for part, columns in _by_part(batches, joined):
+            yield from groups(part, *columns)
 
     return entries.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(run, MET)
 
@@ -505,40 +537,24 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _between(groups: DataFrame, met: DataFrame, instances: Instances) -> DataFrame:
-    """Pairs of one group but different components, from (grp, name, n, root, members), block by block; those that share as
-    many signatures as linked sets must, here and in the smaller groups that ``met`` has the pairs of. What a pair shares in
-    groups that are not among ``groups`` needs no count: it is one component there, or goes on to the next level."""
+def _between(groups: DataFrame, rarest: Rarest) -> DataFrame:
+    """Pairs of one group but different components that may be linked, from (grp, name, n, ahead, root, members), block by
+    block."""
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     dealt = (groups.withColumn("block", F.pmod(F.xxhash64("name"), blocks).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
-             .select("grp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "n", "root"))
+             .select("grp", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "name", "n", "ahead", "root"))
     x, y = dealt.alias("x"), dealt.alias("y")
     same = [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("grp", "low", "high")]
-    size = [F.col(f"{c}.n").bitwiseAND(2**40 - 1) for c in "xy"]
-    fit = F.least(*size) * 100 >= F.greatest(*size) * instances.percent
-    pairs = x.join(y, same[0] & same[1] & same[2] & (F.col("x.name") < F.col("y.name")) & (F.col("x.root") != F.col("y.root")) & fit
-                   & ((F.col("x.block") != F.col("y.block")) | (F.col("x.low") == F.col("x.high"))))
-    pairs = pairs.groupBy(F.col("x.name").alias("a"), F.col("y.name").alias("b")).agg(
-        F.count("*").alias("hits"), F.first("x.n").alias("n_a"), F.first("y.n").alias("n_b"))
-    small = met.where(F.col("grp").isNull() & (F.col("hits") < _STAR_HITS)).groupBy("a", "b").agg(F.sum("hits").alias("more"))
-    counted = pairs.join(small, ["a", "b"], "left").select("a", "b", (F.col("hits") + F.coalesce("more", F.lit(0))).alias("hits"), "n_a", "n_b")
-
-    def run(batches):
-        for batch in batches:
-            hits, one, two = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3, 4))
-            k = np.arange(len(hits))
-            packed = np.concatenate([one, two])
-            need = instances.least(packed & (2**40 - 1), packed >> 40 & _MOST, packed >> 52 & _MOST, k, k + len(k))
-            yield batch.select([0, 1]).filter(pa.array(hits >= need))
-
-    return counted.mapInArrow(run, "a long, b long")
+    pairs = x.join(y, same[0] & same[1] & same[2] & (F.col("x.name") < F.col("y.name")) & (F.col("x.root") != F.col("y.root"))
+                   & ((F.col("x.block") != F.col("y.block")) | (F.col("x.low") == F.col("x.high"))) & F.expr(rarest.meet_sql("x", "y")))
+    return pairs.select(F.col("x.name").alias("a"), F.col("y.name").alias("b")).distinct()
 
 
 def _labelled(groups: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (grp, name, n as packed, root, members) of the groups that hold several components."""
+    """Members (grp, name, n, ahead, root, members) of the groups that hold several components."""
     rooted = groups.join(labels, groups.a == labels.node, "left").select(
-        "grp", F.col("a").alias("name"), F.col("b").alias("n"), F.coalesce("root", "a").alias("root"))
+        "grp", F.col("a").alias("name"), F.col("b").alias("n"), F.col("hits").alias("ahead"), F.coalesce("root", "a").alias("root"))
     mixed = rooted.groupBy("grp").agg(F.count("*").alias("members"), F.min("root").alias("least"), F.max("root").alias("most"))
     return rooted.join(mixed.where("least <> most").select("grp", "members"), "grp")
 
@@ -553,35 +569,70 @@ def links(docs: DataFrame, classes: DataFrame, size: int, percent: int, seed: in
     _let_go(spark)
     instances, every = Instances(percent, 0), spark.sparkContext.broadcast(np.empty(0, np.uint64))
     parts = _parts(classes, instances)
-    met = reliable_checkpoint(_meet(sets.mapInArrow(_resigned(instances, every, parts), ENTRIES), parts, instances))
+    entries = sets.mapInArrow(_resigned(instances, every, parts), ENTRIES)
+    met = reliable_checkpoint(_meet(entries, parts, lambda part, *columns: _groups(part, *columns, instances)))
+    _let_go(spark)
+    pairs, groups = _split(met)
+    found = reliable_checkpoint(_verified(pairs, sets.select("name", "features"), percent))
+    _let_go(spark)
+    labels = reliable_checkpoint(_roots(found))
+    hot = reliable_checkpoint(_labelled(groups, labels).select("name").distinct())
+    if not hot.limit(1).count():
+        return labels
+    again = reliable_checkpoint(sets.join(hot, "name", "left_semi"))
+    rarest = Rarest(percent)
+    parts = _parts(again, rarest)
+    del entries, met, pairs, groups, sets
+    _let_go(spark)
+    met = _meet(_rare(_counted(again), rarest, parts), parts, lambda part, *columns: _rare_groups(part, *columns, rarest), _columns)
+    met = reliable_checkpoint(met)
     _let_go(spark)
     pairs, groups = _split(met)
-    sets = sets.select("name", "features")
-    found = reliable_checkpoint(_verified(pairs, sets, percent))
-    names = None
-    for level in range(len(LEVELS)):
-        labels = reliable_checkpoint(components(found))
-        mixed = reliable_checkpoint(_labelled(groups, labels))
-        last = level + 1 == len(LEVELS)
-        if level:
-            now = mixed if last else mixed.where(F.col("members") <= LIMIT)
-            more = reliable_checkpoint(_between(now, met, instances).join(pairs, ["a", "b"], "left_anti"))
-            found = reliable_checkpoint(found.union(_verified(more, sets, percent)))
-        hot = mixed.where(F.col("members") > (LIMIT if level else 0)).select("name")
-        hot = reliable_checkpoint((hot if names is None else hot.union(names)).distinct())
-        if last or not hot.limit(1).count():
-            return components(found) if level else labels
-        instances = Instances(percent, level + 1)
-        again = reliable_checkpoint(sets.join(hot, "name", "left_semi").withColumn("n", (F.octet_length("features") / 8).cast("long")))
-        often = spark.sparkContext.broadcast(_frequent(again, labels) if LEVELS[level + 1][2] else np.empty(0, np.uint64))
-        names = again.select("name", "n", "features").mapInArrow(_uncovered(instances, often), "name long") if len(often.value) else None
-        parts = _parts(again, instances)
-        spread = again.select("name", "n", "features").repartition(partitions(again))
-        _let_go(spark)
-        met = reliable_checkpoint(_meet(spread.mapInArrow(_resigned(instances, often, parts), ENTRIES), parts, instances))
-        pairs, groups = _split(met)
-        found = reliable_checkpoint(found.union(_verified(pairs, sets, percent)))
-    raise AssertionError("the last level returns")
+    again = again.select("name", "features")
+    found = found.union(reliable_checkpoint(_verified(_apart(pairs, labels), again, percent)))
+    _let_go(spark)
+    labels = reliable_checkpoint(_roots(found))
+    mixed = reliable_checkpoint(_labelled(groups, labels))
+    more = reliable_checkpoint(_between(mixed, rarest).join(pairs, ["a", "b"], "left_anti"))
+    _let_go(spark)
+    if not more.limit(1).count():
+        return labels
+    return _roots(found.union(reliable_checkpoint(_verified(more, again, percent))))
+
+
+def _roots(links: DataFrame) -> DataFrame:
+    """``components`` of stored links; of up to ``FIT`` in one task, without exchanges."""
+    if links.count() > FIT:
+        return components(links)
+
+    def run(batches):
+        held = [[c.to_numpy(zero_copy_only=False) for c in batch.columns] for batch in batches]
+        if held:
+            yield pa.record_batch(list(_united(*(np.concatenate(c) for c in zip(*held, strict=True)))), names=["node", "root"])
+
+    return links.select("a", "b").coalesce(1).mapInArrow(run, "node long, root long")
+
+
+def _united(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, the least node reachable) of the ends of links."""
+    node, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    one, two = at[:len(a)], at[len(a):]
+    root, last = np.arange(len(node)), None
+    while last is None or (root != last).any():
+        last, root = root, root.copy()
+        low = np.minimum(last[one], last[two])
+        for side in (one, two, last[one], last[two]):
+            np.minimum.at(root, side, low)
+        while (root[root] != root).any():
+            root = root[root]
+    return node, node[root]
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) of different components."""
+    of = [labels.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in "ab"]
+    return (pairs.join(of[0], "a", "left").join(of[1], "b", "left")
+            .where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b"))
 
 
 def _let_go(spark) -> None:
@@ -608,29 +659,122 @@ def _resigned(instances: Instances, often, parts: int):
     return run
 
 
-def _uncovered(instances: Instances, often):
-    def run(batches):
-        for batch in _few(batches):
-            sets = list(_domain(often, [batch]))
-            n, held = np.array([k for _, k, _ in sets], np.int64), np.array([len(f) for *_, f in sets], np.int64)
-            yield batch.select([0]).filter(pa.array(instances.uncovered(n, held) if len(n) else [], pa.bool_()))
-    return run
+#: Rows of a piece of the sets: what it asks a part, or the part's answer; of source -1 the piece itself.
+PIECES = "piece long, source long, data binary"
 
 
-def _frequent(sets: DataFrame, labels: DataFrame) -> np.ndarray:
-    """Features of several sets of a bounded sample, one set a component, ascending; at most ``FREQUENT``."""
-    one = sets.select("name").join(labels, sets.name == labels.node, "left").groupBy(F.coalesce("root", "name")).agg(F.min("name").alias("name"))
-    one = reliable_checkpoint(one.select("name"))
-    sample = sets.join(some_rows(one, one.count(), SAMPLE), "name", "left_semi")
+def _asked(features: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(order by part, where each part begins there and the last ends, keys in that order) of features that are counted."""
+    h = mix64(features ^ np.uint64(0xBB67AE8584CAA73B))
+    part = (h % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1)), (h[order] >> np.uint64(32)).astype(np.uint32)
 
-    def run(batches):
+
+def _tally(keys: list[np.ndarray]) -> list[np.ndarray]:
+    """For each key of each piece, how often the part was asked for it: a byte, exact up to 128 and then by its logarithm."""
+    _, at, count = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
+    scaled = np.where(count <= 128, count, np.minimum(128 + 8 * np.log2(count / 128), 255)).astype(np.uint8)
+    return np.split(scaled[at], np.cumsum([len(k) for k in keys])[:-1])
+
+
+#: A feature that a set takes, of its part: n, ahead as for ``Rarest.meet``.
+RARE = "part long, name long, n long, ahead long, key long"
+
+
+def _rarest(name: np.ndarray, n: np.ndarray, features: np.ndarray, count: np.ndarray, rarest: Rarest, parts: int) -> pa.RecordBatch:
+    """Rows of ``RARE`` of the sets of ``n`` features each, by the counts of these; such as no other set has meet nobody."""
+    of = np.repeat(np.arange(len(n)), n)
+    order = np.lexsort((features, count, of))
+    of, place = of[order], np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n)
+    taken = (place < (n - rarest.rest(n))[of]) & (count[order] > 1)
+    of, key = of[taken], mix64(features[order][taken] + np.uint64(1))
+    ahead = np.cumsum(np.bincount(of, minlength=len(n)))[of] - np.arange(len(of))
+    part = (key % np.uint64(parts)).astype(np.int64)
+    return pa.record_batch([pa.array(c) for c in (part, name[of], n[of], ahead, key.view(np.int64))], names=["part", "name", "n", "ahead", "key"])
+
+
+def _columns(held) -> list[np.ndarray]:
+    columns = [np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in held]) for i in range(1, held[0].num_columns)]
+    held.clear()
+    return columns
+
+
+def _rare_groups(part: int, name: np.ndarray, n: np.ndarray, ahead: np.ndarray, key: np.ndarray, rarest: Rarest):
+    """Rows of ``MET`` of a part's rows; the centre of a star has most features ahead. Members of groups go with theirs."""
+    key, order = key.view(np.uint64), np.lexsort((name, -ahead))
+    first = np.r_[True, (np.diff(name[order]) != 0) | (np.diff(ahead[order]) != 0)][:len(key)]
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.cumsum(first)
+    found = []
+    for at in _ranges(key):
+        *some, (many, members) = _alike(rank, at, key[at])
+        for a, b in some:
+            fit = rarest.meet(n, ahead, a, b)
+            found.append((np.minimum(name[a], name[b])[fit], np.maximum(name[a], name[b])[fit]))
+        if len(many):
+            yield _met(mix64(many + mix64(np.array([part], np.uint64))[0]).view(np.int64), name[members], n[members], ahead[members])
+    a, b = (np.concatenate([x[side] for x in found]) for side in (0, 1))
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])][:len(a)]
+    yield _met(None, a[new], b[new], np.ones(int(new.sum())), np.ones(int(new.sum())))
+
+
+def _counted(sets: DataFrame) -> DataFrame:
+    """The stored sets (name, n, features) in pieces, with the counts of their features among all of them: rows of ``PIECES``,
+    of a piece in the order of source."""
+    total = sets.agg(F.sum("n")).first()[0] or 0
+    parts = max(PARTS, total // PART + 1)
+
+    def pieces(batches):
+        number, held, size = TaskContext.get().partitionId() << 32, [], 0
         for batch in _few(batches):
-            for blob in batch.column(0).to_pylist():
-                yield pa.record_batch([pa.array(np.frombuffer(blob, np.int64))], names=["feature"])
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held.append(row)
+                size += row[1]
+                if size >= TOLD:
+                    yield number, held
+                    number, held, size = number + 1, [], 0
+        if held:
+            yield number, held
+
+    def ask(batches):
+        for number, held in pieces(batches):
+            _, cuts, keys = _asked(np.frombuffer(b"".join(f for *_, f in held), np.uint64), parts)
+            yield pa.record_batch([pa.array([number] * parts), pa.array(range(parts)), _binary(keys, cuts)], names=["piece", "source", "data"])
 
-    found = sample.select("features").mapInArrow(run, "feature long").groupBy("feature").count().where(F.col("count") >= OFTEN)
-    top = found.orderBy(F.desc("count"), "feature").limit(FREQUENT).select("feature").toArrow().column(0)
-    return np.sort(top.to_numpy().view(np.uint64))
+    def whole(batches):
+        for number, held in pieces(batches):
+            head = np.array([len(held), parts, *(x for x, *_ in held), *(n for _, n, _ in held)], np.int64)
+            data = b"".join([head.tobytes(), *(f for *_, f in held)])
+            yield pa.record_batch([pa.array([number]), pa.array([-1]), pa.array([data])], names=["piece", "source", "data"])
+
+    def answer(batches):
+        for part, rows in _by_part(batches, _rows):
+            counts = _tally([np.frombuffer(data, np.uint32) for _, data in rows])
+            yield pa.record_batch([pa.array([piece for piece, _ in rows]), pa.array([part] * len(rows)), pa.array([c.tobytes() for c in counts])],
+                                  names=["piece", "source", "data"])
+
+    sets = sets.select("name", "n", "features")
+    asked = sets.mapInArrow(ask, PIECES).repartition(parts, "source").sortWithinPartitions("source")
+    answers = asked.select("source", "piece", "data").mapInArrow(answer, PIECES)
+    return (sets.mapInArrow(whole, PIECES).union(answers).repartition(partitions(sets), "piece").sortWithinPartitions("piece", "source"))
+
+
+def _rare(counted: DataFrame, rarest: Rarest, parts: int) -> DataFrame:
+    """Rows of ``RARE`` of sets in pieces."""
+    def run(batches):
+        for _, rows in _by_part(batches, _rows):
+            data = rows[0][1]
+            some, asked = np.frombuffer(data, np.int64, 2)
+            name, n = np.frombuffer(data, np.int64, 2 * some, 16).reshape(2, -1)
+            features = np.frombuffer(data, np.uint64, -1, 16 * (some + 1))
+            count = np.empty(len(features), np.uint8)
+            count[_asked(features, asked)[0]] = np.frombuffer(b"".join(c for _, c in rows[1:]), np.uint8)
+            yield _rarest(name, n, features, count, rarest, parts)
+
+    return counted.mapInArrow(run, RARE)
 
 
 def _split(met: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -210,3 +210,92 @@ def test_linked_sets_share_what_they_need(percent):
     lone = np.unique(draw.integers(1, 2**63, 150).astype(np.uint64))
     (row,) = zip(*(c.to_pylist() for c in domain.sent(np.array([5]), np.array([len(lone)]), lone, 1).columns[1:]), strict=True)
     assert not len(domain.shared([row])[0]) and domain.need(np.array([len(lone)]), lone)[0] > 0
+
+
+def test_texts_that_are_no_copies_make_few_pairs(spark, monkeypatch):
+    """A large group of near copies and changed texts that link with none of them: these meet by what they share, yet hardly
+    any pair is looked at for it."""
+    monkeypatch.setattr(partenum, "SMALL", 2)
+    draw, rows = random.Random(11), []
+    base = [f"b{i}" for i in range(150)]
+    for i in range(120):
+        words = list(base)
+        for k in draw.sample(range(0, 150, 12), draw.choice((1, 1, 5, 6))):
+            words[k] = f"c{i}x{k}"
+        rows.append(doc(i, words))
+    pairs, verified = [], partenum._verified
+    monkeypatch.setattr(partenum, "_verified", lambda some, *rest: pairs.append(some.count()) or verified(some, *rest))
+    want = brute(rows)
+    alone = sum(c not in {x for d, _, x in want if d != c} and c == d for d, _, c in want)
+    assert 20 < alone < 100
+    assert found(partenum.near_sets(frame(spark, rows))) == want
+    assert len(pairs) > 1 and sum(pairs[1:]) < len(rows)    # the first are of signatures
+
+
+@pytest.mark.parametrize("percent", (60, 80, 90))
+def test_linked_sets_meet_by_their_rarest_features(monkeypatch, percent):
+    """Counted in pieces and parts, of sets of all sizes: a linked pair is given, or its sets are members of one group."""
+    monkeypatch.setattr(partenum, "SMALL", 3)
+    draw, rarest, sets = np.random.default_rng(percent), partenum.Rarest(percent), []
+    passage = draw.integers(1, 2**63, 60).astype(np.uint64)
+    for i in range(120):
+        a = draw.integers(1, 2**63, draw.integers(1, 120)).astype(np.uint64)
+        if i % 2:
+            a = np.r_[a, passage]
+        for _ in range(3):
+            sets.append(np.unique(a))
+            a = np.r_[a[draw.integers(0, 1 + len(a) * (100 - percent) // 150):],
+                      draw.integers(1, 2**63, draw.integers(0, 1 + len(a) * (100 - percent) // 200)).astype(np.uint64)]
+            a = draw.permutation(a if len(a) else sets[-1])
+    sets = [np.frombuffer(b, np.uint64) for b in dict.fromkeys(s.tobytes() for s in sets)]
+    pieces = [np.concatenate(sets[:70]), np.concatenate(sets[70:])]
+    asked, count = [partenum._asked(p, 5) for p in pieces], [np.empty(len(p), np.uint8) for p in pieces]
+    for part in range(5):
+        keys = [k[cuts[part]:cuts[part + 1]] for _, cuts, k in asked]
+        for c, (order, cuts, _), told in zip(count, asked, partenum._tally(keys), strict=True):
+            c[order[cuts[part]:cuts[part + 1]]] = told
+    all_of = dict(zip(*np.unique(np.concatenate(pieces), return_counts=True), strict=True))
+    assert all(c == all_of[f] if c < 128 else all_of[f] >= 128 for p, some in zip(pieces, count, strict=True) for f, c in zip(p, some, strict=True))
+    at = [0, 70, len(sets)]
+    rows = pa.Table.from_batches([
+        partenum._rarest(np.arange(lo, hi), np.array([len(s) for s in sets[lo:hi]]), p, c, rarest, 2)
+        for lo, hi, p, c in zip(at, at[1:], pieces, count, strict=False)]).to_pandas()
+    pairs, groups = set(), {}
+    for part, some in rows.groupby("part"):
+        for met in partenum._rare_groups(part, *(some[c].to_numpy() for c in ("name", "n", "ahead", "key")), rarest):
+            for r in met.to_pylist():
+                if r["grp"] is None:
+                    assert r["a"] < r["b"]
+                    pairs.add((r["a"], r["b"]))
+                else:
+                    groups.setdefault(r["grp"], []).append((r["a"], r["b"], r["hits"]))
+    for group in groups.values():
+        n, ahead = (np.array([m[i] for m in group]) for i in (1, 2))
+        x, y = (np.array(c) for c in zip(*combinations(range(len(group)), 2), strict=True))
+        fit = rarest.meet(n, ahead, x, y)
+        pairs |= {tuple(sorted((group[i][0], group[j][0]))) for i, j in zip(x[fit], y[fit], strict=True)}
+    linked = {(i, j) for i, j in combinations(range(len(sets)), 2)
+              if 100 * (both := len(np.intersect1d(sets[i], sets[j]))) >= percent * (len(sets[i]) + len(sets[j]) - both)}
+    assert groups and len(linked) > 100 and linked <= pairs
+
+
+def test_the_join_holds_pairs_to_the_same(spark):
+    draw = random.Random(2)
+    rows = [[draw.randrange(1, 90) for _ in range(2)] + [draw.randrange(1, 20) for _ in range(2)] for _ in range(500)]
+    n, ahead = (np.array([r[i:i + 2] for r in rows]).ravel() for i in (0, 2))
+    some = spark.createDataFrame([(i, (r[0], r[2]), (r[1], r[3])) for i, r in enumerate(rows)],
+                                 "i int, x struct<n: long, ahead: long>, y struct<n: long, ahead: long>")
+    for percent in (60, 80, 99):
+        rarest = partenum.Rarest(percent)
+        want = rarest.meet(n, ahead, np.arange(0, 1000, 2), np.arange(1, 1000, 2))
+        assert [r[0] for r in some.orderBy("i").selectExpr(rarest.meet_sql("x", "y")).collect()] == want.tolist()
+        assert want.any() and not want.all()
+
+
+def test_components_of_few_links_in_one_task(spark, monkeypatch):
+    draw = random.Random(4)
+    links = spark.createDataFrame([(draw.randrange(-500, 500), draw.randrange(-500, 500)) for _ in range(450)] + [(7, 7), (7, -900)], "a long, b long")
+    here = sorted(map(tuple, partenum._roots(links).collect()))
+    monkeypatch.setattr(partenum, "FIT", 0)
+    assert here == sorted(map(tuple, partenum._roots(links).collect()))
+    assert not partenum._roots(links.limit(0)).count()
